@@ -1 +1,152 @@
-"""(filled in below)"""
+"""Label and narrative queries.
+
+``events(event_id, ts, user_id, event_type, value, props)`` stands for label annotations:
+image = ``user_id``, label code = ``event_type``, certain = ``value >= 100``, order = ``event_id``,
+split = ``user_id % 3`` (train / validation / test).  The label dictionary names every code but
+``error`` (so unknown codes occur).  ``conversations(conv_id, turn, role, text)`` are the
+narratives of ``documents`` (``conv_id = doc_id``), read as three inputs (one per role).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from capset.operators import labels as L
+from capset.plans import sqltext as S
+from capset.plans.registry import load, register
+
+SEED = 7
+CERTAIN_MIN = 100.0
+NOT_IN_DICTIONARY = "error"
+SPLITS = ("train", "validation", "test")
+
+
+def _annotations(spark, sf):
+    ev = load(spark, sf, "events")
+    return ev.select(F.col("user_id").alias("image_id"), F.col("event_type").alias("label"),
+                     F.col("value"), F.col("event_id").alias("order"))
+
+
+def _dictionary(spark, sf):
+    ev = load(spark, sf, "events")
+    codes = ev.select(F.col("event_type").alias("code")).distinct().where(F.col("code") != NOT_IN_DICTIONARY)
+    return codes.select("code", F.concat(F.upper(F.substring("code", 1, 1)), F.substring("code", 2, 1 << 20))
+                        .alias("name"))
+
+
+def _per_image(spark, sf):
+    return L.labels_per_image(_annotations(spark, sf), certain=F.col("value") >= CERTAIN_MIN,
+                              dictionary=_dictionary(spark, sf))
+
+
+def _split(col):
+    return F.element_at(F.array(*[F.lit(s) for s in SPLITS]), (F.col(col) % 3 + 1).cast("int"))
+
+
+_PER_IMAGE_SQL = f"""
+WITH dict AS (
+  SELECT code, upper(substr(code, 1, 1)) || substr(code, 2) AS name
+  FROM (SELECT DISTINCT event_type AS code FROM events) WHERE code <> {S.q(NOT_IN_DICTIONARY)}),
+per AS (
+  SELECT user_id AS image_id, value >= {CERTAIN_MIN} AS certain, event_type AS code,
+         min(event_id) AS first, count(*) AS n
+  FROM events GROUP BY ALL),
+named AS (
+  SELECT p.*, coalesce(d.name, p.code) AS name, d.code IS NULL AS unknown
+  FROM per p LEFT JOIN dict d ON d.code = p.code),
+img AS (
+  SELECT image_id,
+         coalesce(list(name ORDER BY first) FILTER (WHERE certain), []) AS certain_labels,
+         coalesce(list(name ORDER BY first) FILTER (WHERE NOT certain), []) AS uncertain_labels,
+         CAST(coalesce(sum(n) FILTER (WHERE certain), 0) AS BIGINT) AS n_certain,
+         CAST(coalesce(sum(n) FILTER (WHERE NOT certain), 0) AS BIGINT) AS n_uncertain,
+         CAST(count(*) FILTER (WHERE unknown) AS BIGINT) AS n_unknown
+  FROM named GROUP BY image_id)
+"""
+
+
+@register("labels_per_image", oracle=_PER_IMAGE_SQL + """
+SELECT image_id, array_to_string(certain_labels, ', ') AS certain_labels,
+       array_to_string(uncertain_labels, ', ') AS uncertain_labels, n_certain, n_uncertain, n_unknown
+FROM img
+""")
+def labels_per_image(spark, sf):
+    p = _per_image(spark, sf)
+    return p.select("image_id", F.array_join("certain_labels", ", ").alias("certain_labels"),
+                    F.array_join("uncertain_labels", ", ").alias("uncertain_labels"),
+                    "n_certain", "n_uncertain", "n_unknown")
+
+
+@register("split_report", oracle=_PER_IMAGE_SQL + f"""
+, s AS (SELECT [{S.q(SPLITS[0])}, {S.q(SPLITS[1])}, {S.q(SPLITS[2])}][image_id % 3 + 1] AS split,
+               len(certain_labels) = 0 AS dropped FROM img)
+SELECT coalesce(split, 'total') AS split, count(*) AS num_samples,
+       CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS dropped
+FROM s GROUP BY ROLLUP (split)
+""")
+def split_report(spark, sf):
+    p = L.flag_dropped(_per_image(spark, sf)).withColumn("split", _split("image_id"))
+    return L.split_report(p)
+
+
+def _templates_sql(items) -> str:
+    return "[" + ", ".join(S.q(t) for t in items) + "]"
+
+
+def _caption_sql() -> str:
+    plain = _templates_sql(L.LABEL_TEMPLATES)
+    maybe = _templates_sql(L.maybe_templates())
+    unit = f"(CAST(('0x' || substr({S.seeded_md5('image_id', SEED)}, 1, 8)) AS BIGINT) / 4294967296.0)"
+    use_maybe = f"({unit} > 0.5 AND len(uncertain_labels) > 0)"
+    t_plain = f"{plain}[{S.seeded_bucket('image_id', SEED, len(L.LABEL_TEMPLATES))} + 1]"
+    t_maybe = f"{maybe}[{S.seeded_bucket('image_id', SEED, len(L.maybe_templates()))} + 1]"
+    filled = (f"replace(replace(CASE WHEN {use_maybe} THEN {t_maybe} ELSE {t_plain} END, "
+              f"'{{certain}}', array_to_string(certain_labels, ', ')), "
+              f"'{{maybe}}', array_to_string(uncertain_labels, ', '))")
+    return f"SELECT image_id, {use_maybe} AS used_maybe, {S.collapse_lower(filled)} AS caption FROM img"
+
+
+@register("template_captions", oracle=_PER_IMAGE_SQL + _caption_sql())
+def template_captions(spark, sf):
+    return L.render_captions(_per_image(spark, sf), seed=SEED).select("image_id", "used_maybe", "caption")
+
+
+def _narratives(spark, sf):
+    conv = load(spark, sf, "conversations").select(
+        F.col("conv_id").alias("doc_id"), "turn", "role", F.col("text").alias("narrative"))
+    parts = [conv.where(F.col("role") == r).drop("role") for r in ("user", "assistant", "system")]
+    return L.append_all(*parts)
+
+
+@register("narrative_override", oracle="""
+WITH hit AS (
+  SELECT d.doc_id, c.turn, true AS from_narrative, c.text AS caption
+  FROM documents d JOIN conversations c ON c.conv_id = d.doc_id
+  WHERE c.role IN ('user', 'assistant', 'system')),
+miss AS (
+  SELECT d.doc_id, CAST(NULL AS BIGINT) AS turn, false AS from_narrative, d.text AS caption
+  FROM documents d WHERE d.doc_id NOT IN (SELECT conv_id FROM conversations
+                                          WHERE role IN ('user', 'assistant', 'system')))
+SELECT doc_id, turn, from_narrative, md5(caption) AS caption_md5 FROM hit
+UNION ALL
+SELECT doc_id, turn, from_narrative, md5(caption) AS caption_md5 FROM miss
+""")
+def narrative_override(spark, sf):
+    docs = load(spark, sf, "documents").select("doc_id", F.col("text").alias("caption"))
+    out = L.override_captions(docs, _narratives(spark, sf), on="doc_id", order="turn")
+    return out.select("doc_id", "turn", "from_narrative", F.md5("caption").alias("caption_md5"))
+
+
+@register("last_wins_union", oracle="""
+WITH u AS (
+  SELECT md5(text) AS key, doc_id, lang,
+         CASE WHEN lang = 'de' THEN 0 WHEN lang = 'en' THEN 1 ELSE 2 END AS input
+  FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY input DESC, doc_id DESC) AS rn FROM u)
+SELECT key, doc_id, lang, input FROM r WHERE rn = 1
+""")
+def last_wins_union(spark, sf):
+    d = load(spark, sf, "documents").select(F.md5("text").alias("key"), "doc_id", "lang")
+    parts = [d.where(F.col("lang") == "de"), d.where(F.col("lang") == "en"),
+             d.where(~F.col("lang").isin("de", "en"))]
+    return L.last_wins_union(parts, key="key", order="doc_id").select("key", "doc_id", "lang", "input")
