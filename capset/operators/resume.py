@@ -92,3 +92,23 @@ def resolve_content(manifest: DataFrame, content: DataFrame, on: str = "url",
 def missing_inputs(expected: DataFrame, present: DataFrame, on: str = "file") -> DataFrame:
     """Expected input files that are not present (left anti on the file name)."""
     return expected.join(present.select(on).distinct(), on, "left_anti")
+
+
+def expected_counts(processed: DataFrame, expected: DataFrame, file: str = "file", lang: str = "lang",
+                    en: str = "en") -> DataFrame:
+    """Rows expected vs processed per input file, all and of one language.
+
+    ``expected`` is either a raw table (one row per expected row, with ``file``/``lang``) or an
+    already counted table ``(file, expected_rows, expected_en)``.
+    """
+    if "expected_rows" not in expected.columns:
+        expected = expected.groupBy(file).agg(
+            F.count(F.lit(1)).alias("expected_rows"),
+            F.count_if(F.col(lang) == en).cast("long").alias("expected_en"))
+    got = processed.groupBy(file).agg(F.count(F.lit(1)).alias("rows"),
+                                      F.count_if(F.col(lang) == en).cast("long").alias("rows_en"))
+    j = expected.join(got, file, "left")
+    return j.select(file, "expected_rows", "expected_en",
+                    F.coalesce("rows", F.lit(0).cast("long")).alias("rows"),
+                    F.coalesce("rows_en", F.lit(0).cast("long")).alias("rows_en"),
+                    (F.col("expected_rows") - F.coalesce("rows", F.lit(0))).alias("missing_rows"))
