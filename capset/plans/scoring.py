@@ -1 +1,80 @@
-"""(filled in below)"""
+"""Scoring queries over ``embeddings(vec_id, embedding float[64], label)``.
+
+Image = ``vec_id % 8 = 0``; its candidates are the other vectors with the same ``vec_id div 8``;
+candidate field = ``CAPTION_FIELDS[vec_id % 8 - 1]``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from capset.operators import scoring as SC
+from capset.plans import sqltext as S
+from capset.plans.registry import load, register
+
+GROUP = 8
+THRESHOLD = 0.3
+SCALE = 100.0
+
+
+def _scored(spark, sf):
+    e = load(spark, sf, "embeddings")
+    grp = F.floor(F.col("vec_id") / GROUP)
+    pos = (F.col("vec_id") % GROUP).cast("int")
+    images = e.where(pos == 0).select(grp.alias("grp"), F.col("vec_id").alias("image_id"),
+                                      F.col("embedding").alias("image_vec"))
+    fields = F.array(*[F.lit(f) for f in SC.CAPTION_FIELDS])
+    cands = e.where(pos != 0).select(grp.alias("grp"), (pos - 1).alias("field_idx"),
+                                     F.element_at(fields, pos).alias("field"),
+                                     F.col("embedding").alias("text_vec"))
+    return SC.score(images, cands, "grp").select("image_id", "field_idx", "field", "score")
+
+
+_FIELDS_SQL = "[" + ", ".join(S.q(f) for f in SC.CAPTION_FIELDS) + "]"
+_SCORED_SQL = f"""
+WITH img AS (SELECT vec_id // {GROUP} AS grp, vec_id AS image_id, embedding AS a
+             FROM embeddings WHERE vec_id % {GROUP} = 0),
+cand AS (SELECT vec_id // {GROUP} AS grp, CAST(vec_id % {GROUP} - 1 AS INTEGER) AS field_idx,
+                {_FIELDS_SQL}[vec_id % {GROUP}] AS field, embedding AS b
+         FROM embeddings WHERE vec_id % {GROUP} <> 0),
+pairs AS (
+  SELECT i.image_id, c.field_idx, c.field,
+         list_sum(list_transform(list_zip(i.a, c.b), lambda x: CAST(x[1] AS DOUBLE) * CAST(x[2] AS DOUBLE))) AS dot,
+         sqrt(list_sum(list_transform(i.a, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) *
+         sqrt(list_sum(list_transform(c.b, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS den
+  FROM img i JOIN cand c ON c.grp = i.grp),
+scored AS (
+  SELECT image_id, field_idx, field,
+         round(CASE WHEN den > 1e-8 THEN dot / den ELSE 0.0 END, 4) AS score FROM pairs)
+"""
+
+
+@register("caption_scores", oracle=_SCORED_SQL + "SELECT image_id, field_idx, field, score FROM scored")
+def caption_scores(spark, sf):
+    return _scored(spark, sf)
+
+
+@register("best_caption", oracle=_SCORED_SQL + f"""
+, r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, field_idx) AS rn,
+               count(*) OVER (PARTITION BY image_id) AS n_candidates FROM scored)
+SELECT image_id, field AS best_field, score AS best_score, n_candidates, score > {THRESHOLD} AS above
+FROM r WHERE rn = 1
+""")
+def best_caption(spark, sf):
+    return SC.best_caption(_scored(spark, sf), "image_id", threshold=THRESHOLD)
+
+
+@register("score_softmax", oracle=_SCORED_SQL + f"""
+, z AS (SELECT image_id, field,
+               exp(score * {SCALE} - max(score * {SCALE}) OVER (PARTITION BY image_id)) AS e FROM scored)
+SELECT image_id, field, round(e / sum(e) OVER (PARTITION BY image_id), 4) AS prob FROM z
+""")
+def score_softmax(spark, sf):
+    s = SC.softmax(_scored(spark, sf), "image_id", scale=SCALE)
+    return s.select("image_id", "field", F.round("prob", 4).alias("prob"))
+
+
+@register("scores_wide", oracle=_SCORED_SQL + "SELECT image_id, " + ", ".join(
+    f"max(score) FILTER (WHERE field = {S.q(f)}) AS {f}" for f in SC.CAPTION_FIELDS) + " FROM scored GROUP BY image_id")
+def scores_wide(spark, sf):
+    return SC.scores_wide(_scored(spark, sf), "image_id")
