@@ -159,3 +159,27 @@ def shard_numbers(df: DataFrame, size_col: str, maxsize: float = 1e9, maxcount:
     # one row per shard; its size depends on maxcount/maxsize, so the join strategy is left to
     # AQE, which measures the materialised pair table before choosing a broadcast.
     return keyed.join(numbered, ["_sh_b", "_sh_c"]).drop("_sh_b", "_sh_c", "_sh_bytes")
+
+
+def dense_positions(df: DataFrame, name: str = "position") -> DataFrame:
+    """0-based position of every row in the current partition order (``zipWithIndex``).
+
+    Call it on a sorted (range-partitioned) DataFrame.  The input is first checkpointed to the
+    shared checkpoint folder so that both passes see the same partitions; the per-partition
+    counts (one row per partition) are then offset and broadcast back.
+    """
+    spark = df.sparkSession
+    from capset.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    fixed = df.checkpoint(eager=True)
+    tagged = fixed.withColumn("_dp_part", F.spark_partition_id()) \
+                  .withColumn("_dp_mid", F.monotonically_increasing_id())
+    per_part = tagged.groupBy("_dp_part").agg(F.count(F.lit(1)).alias("_dp_n"),
+                                              F.min("_dp_mid").alias("_dp_min"))
+    offsets = per_part.select("_dp_part", "_dp_min",
+                              (F.sum("_dp_n").over(Window.orderBy("_dp_part")) - F.col("_dp_n")).alias("_dp_off"))
+    n_parts = fixed.rdd.getNumPartitions()
+    out = tagged.join(_broadcast_bounded(offsets, n_parts, "partitions"), "_dp_part")
+    return out.withColumn(name, F.col("_dp_off") + F.col("_dp_mid") - F.col("_dp_min")) \
+              .drop("_dp_part", "_dp_mid", "_dp_min", "_dp_off")

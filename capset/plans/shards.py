@@ -1 +1,63 @@
-"""(filled in below)"""
+"""Shard packing, seeded shuffles and HTML unescape queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from capset.functions import text as T
+from capset.operators import ordering as O
+from capset.operators import rows as R
+from capset.plans import sqltext as S
+from capset.plans.registry import load, register
+
+MAXSIZE = 200_000      # scaled shard bounds (the reference: 1e9 bytes / 100,000 samples)
+MAXCOUNT = 64
+SEED = 42
+BUFFER = 8
+TITLE_RE = r"<title>(.*?)</title>"
+
+
+@register("shard_pack", oracle=f"""
+WITH r AS (
+  SELECT doc_id,
+         coalesce(sum(n_chars) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         row_number() OVER (ORDER BY doc_id) - 1 AS rn
+  FROM documents)
+SELECT doc_id, CAST(dense_rank() OVER (ORDER BY floor(before / {MAXSIZE}), rn // {MAXCOUNT}) - 1 AS BIGINT) AS shard
+FROM r
+""")
+def shard_pack(spark, sf):
+    d = R.with_row_id(load(spark, sf, "documents").select("doc_id", "n_chars"))
+    return R.shard_numbers(d, "n_chars", MAXSIZE, MAXCOUNT).select("doc_id", "shard")
+
+
+@register("seeded_shuffle", oracle=f"""
+SELECT doc_id, {S.seeded_md5('doc_id', SEED)} AS shuffle_key,
+       row_number() OVER (ORDER BY {S.seeded_md5('doc_id', SEED)}) - 1 AS position
+FROM documents
+""")
+def seeded_shuffle(spark, sf):
+    d = O.seeded_shuffle(load(spark, sf, "documents").select("doc_id"), "doc_id", SEED)
+    return R.dense_positions(d).select("doc_id", "shuffle_key", "position")
+
+
+@register("buffer_shuffle", oracle=f"""
+SELECT doc_id, CAST(doc_id // {BUFFER} AS BIGINT) AS block,
+       row_number() OVER (PARTITION BY doc_id // {BUFFER} ORDER BY {S.seeded_md5('doc_id', SEED)}, doc_id) - 1
+         AS pos_in_block
+FROM documents
+""")
+def buffer_shuffle(spark, sf):
+    d = R.with_row_id(load(spark, sf, "documents").select("doc_id"))
+    return O.buffer_shuffle(d, "doc_id", "row_id", BUFFER, SEED) \
+            .select("doc_id", F.col("block").cast("long").alias("block"),
+                    F.col("pos_in_block").cast("long").alias("pos_in_block"))
+
+
+@register("html_unescape", oracle=f"""
+SELECT page_id, {S.unescape_basic("regexp_extract(html, " + S.q(TITLE_RE) + ", 1)")} AS title
+FROM pages
+""")
+def html_unescape(spark, sf):
+    p = load(spark, sf, "pages")
+    return p.select("page_id", T.unescape_basic(F.regexp_extract("html", TITLE_RE, 1)).alias("title"))

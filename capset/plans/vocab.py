@@ -1 +1,51 @@
-"""(filled in below)"""
+"""Vocabulary queries over the whole ``documents`` corpus."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from capset.functions.text import WS
+from capset.operators import vocab as V
+from capset.plans import sqltext as S
+from capset.plans.registry import load, register
+
+COVERAGE = 0.9999
+NUM_MERGES = 8
+
+_WORDS_SQL = f"list_filter(regexp_split_to_array(text, {S.q(WS + '+')}), lambda w: length(w) > 0)"
+
+
+@register("word_split", oracle=f"""
+WITH w AS (SELECT doc_id, {_WORDS_SQL} AS words FROM documents)
+SELECT doc_id, CAST(len(words) AS INTEGER) AS n_words, md5(array_to_string(words, ' ')) AS words_md5 FROM w
+""")
+def word_split(spark, sf):
+    d = V.word_split(load(spark, sf, "documents").select("doc_id", "text"))
+    return d.select("doc_id", F.size("words").alias("n_words"),
+                    F.md5(F.array_join("words", " ")).alias("words_md5"))
+
+
+@register("word_freq", oracle=f"""
+SELECT word, count(*) AS freq FROM (SELECT unnest({_WORDS_SQL}) AS word FROM documents) GROUP BY word
+""")
+def word_freq(spark, sf):
+    return V.word_freq(load(spark, sf, "documents").select("text"))
+
+
+@register("char_coverage", oracle=f"""
+WITH c AS (SELECT ch AS char, count(*) AS n
+           FROM (SELECT unnest(regexp_extract_all(text, '(?s).')) AS ch FROM documents) GROUP BY ch),
+t AS (SELECT sum(n) AS total FROM c)
+SELECT char, n, coalesce(sum(n) OVER (ORDER BY n DESC, char ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                < {COVERAGE} * (SELECT total FROM t) AS kept
+FROM c
+""")
+def char_coverage(spark, sf):
+    return V.alphabet(load(spark, sf, "documents").select("text"), coverage=COVERAGE)
+
+
+@register("bpe_merges")
+def bpe_merges(spark, sf):
+    """Rows-only check in the driver; tests compare with a plain-Python BPE on a fixture."""
+    wf = V.word_freq(load(spark, sf, "documents").select("text"))
+    return V.bpe_merges(wf, NUM_MERGES)
