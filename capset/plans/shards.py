@@ -61,3 +61,36 @@ FROM pages
 def html_unescape(spark, sf):
     p = load(spark, sf, "pages")
     return p.select("page_id", T.unescape_basic(F.regexp_extract("html", TITLE_RE, 1)).alias("title"))
+
+
+TAR_MAXCOUNT = 250
+TAR_MAXSIZE = 1e8
+
+
+def documents_as_samples(spark, sf):
+    from capset.operators.rows import with_row_id
+    from capset.functions.ids import pad_id
+
+    d = with_row_id(load(spark, sf, "documents"))
+    return d.select("row_id", pad_id("doc_id", 9).alias("key"), F.encode("text", "UTF-8").alias("cap"),
+                    F.to_json(F.struct("lang", "source")).alias("json"), "n_chars")
+
+
+@register("tar_roundtrip", oracle=f"""
+SELECT {S.pad_id('doc_id', 9)} AS key, md5(text) AS cap_md5,
+       CAST(json_object('lang', lang, 'source', source) AS VARCHAR) AS json
+FROM documents
+""")
+def tar_roundtrip(spark, sf):
+    """Write the manifest as tar shards (global prefix packing), read them back."""
+    from capset.session import scratch_path
+    from capset.sinks import write_tar_shards
+    from capset.sources import tarshard
+
+    out = scratch_path(spark, "tar_roundtrip")
+    samples = documents_as_samples(spark, sf)
+    write_tar_shards(samples, out, maxcount=TAR_MAXCOUNT, maxsize=TAR_MAXSIZE, packing="prefix",
+                     size_col="n_chars")
+    tarshard.register(spark)
+    back = spark.read.format("tarshard").schema("key string, cap binary, json string").load(out)
+    return back.select("key", F.md5("cap").alias("cap_md5"), "json")

@@ -41,6 +41,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -61,3 +62,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if ":" not in base and not base.startswith("/"):
         base = os.path.abspath(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``capset`` importable in Python workers (data sources, pandas UDFs).
+
+    The package is zipped once per driver and added with ``addPyFile`` (what ``--py-files``
+    does); executors fetch it from the driver.  No-op when already shipped to this context.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    ident = id(sc._jsc)
+    if ident in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, zpath = tempfile.mkstemp(prefix="capset-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(ident)
