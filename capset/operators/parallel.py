@@ -1,0 +1,20 @@
+"""Parallelism guard for CPU-heavy per-row work right after a scan.
+
+A large input arrives in many file splits and this is a no-op.  A small input in one file with
+one row group is a single split, i.e. one task for all the regex / explode work; then the rows
+are spread round-robin over the cluster's default parallelism first.  The partition count is
+known from the file listing when the plan is built, so the check runs no job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. no RDD access in a remote session
+        return df
+    return df if n >= target else df.repartition(target)

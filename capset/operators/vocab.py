@@ -50,29 +50,47 @@ def alphabet(df: DataFrame, text: str = "text", coverage: float = 0.9999) -> Dat
     return counts.select("char", "n", (before < F.lit(coverage) * total).alias("kept"))
 
 
-def _merge(symbols, left: str, right: str):
-    lit_l, lit_r, lit_m = F.lit(left), F.lit(right), F.lit(left + right)
-    empty = F.array().cast("array<string>")
+# Words are kept as one string with a separator around every symbol (``\x01t\x01h\x01e\x01``),
+# so a merge is one JVM regex replacement and pair counting is a split + zip.
+SEP = "\u0001"
 
-    def step(acc, s):
-        join = (F.size(acc) > 0) & (F.element_at(acc, -1) == lit_l) & (s == lit_r)
-        return F.when(join, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(lit_m))) \
-                .otherwise(F.concat(acc, F.array(s)))
 
-    return F.aggregate(symbols, empty, step)
+def _symbols(w):
+    parts = F.split(w, SEP)
+    return F.slice(parts, 2, F.size(parts) - 2)
 
 
-def pair_counts(words: DataFrame) -> DataFrame:
-    """Adjacent symbol pairs weighted by word frequency."""
-    pairs = words.select(F.explode(F.arrays_zip(
-        F.slice("symbols", 1, F.greatest(F.size("symbols") - 1, F.lit(0))),
-        F.slice("symbols", 2, F.greatest(F.size("symbols") - 1, F.lit(0))))).alias("p"), "freq")
-    return pairs.groupBy(F.col("p")["0"].alias("left"), F.col("p")["1"].alias("right")) \
-                .agg(F.sum("freq").alias("freq"))
+def _quote(sym: str) -> str:
+    """Regex literal of a symbol: every character that is not a letter or digit is escaped."""
+    return "".join(c if c.isalnum() else "\\" + c for c in sym)
+
+
+def _merge_pattern(left: str, right: str) -> tuple[str, str]:
+    """Regex and replacement merging every adjacent ``left right`` (non-overlapping, left to
+    right, as BPE does); the look-ahead keeps the closing separator for the next match."""
+    pat = SEP + _quote(left) + SEP + _quote(right) + "(?=" + SEP + ")"
+    repl = (SEP + left + right).replace("\\", "\\\\").replace("$", "\\$")
+    return pat, repl
+
+
+# one match per symbol boundary; the look-ahead captures "left SEP right" (overlapping pairs)
+PAIR_RE = SEP + "(?=([^" + SEP + "]+" + SEP + "[^" + SEP + "]+)" + SEP + ")"
+
+
+def pair_counts(words: DataFrame, col: str = "w") -> DataFrame:
+    """Adjacent symbol pairs weighted by word frequency: ``(left, right, freq)``.
+
+    Pairs are extracted as strings by one regex pass and aggregated as strings (cheaper than
+    exploding arrays of structs); they are split into their two symbols after the aggregate.
+    """
+    pairs = words.select(F.explode(F.regexp_extract_all(F.col(col), F.lit(PAIR_RE), 1)).alias("p"), "freq")
+    agg = pairs.groupBy("p").agg(F.sum("freq").alias("freq"))
+    parts = F.split("p", SEP)
+    return agg.select(F.element_at(parts, 1).alias("left"), F.element_at(parts, 2).alias("right"), "freq")
 
 
 def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str = "freq",
-               checkpoint_every: int = 5) -> DataFrame:
+               checkpoint_every: int = 8) -> DataFrame:
     """Learn ``num_merges`` BPE merges from ``(word, freq)``: the most frequent adjacent pair
     (ties: smallest left, then right symbol) is merged in every word, one merge per round.
 
@@ -82,19 +100,30 @@ def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str
 
     spark = words.sparkSession
     ensure_checkpoint_dir(spark)
-    cur = words.select(chars(word).alias("symbols"), F.col(freq).cast("long").alias("freq")) \
-               .groupBy("symbols").agg(F.sum("freq").alias("freq"))
-    cur = cur.checkpoint(eager=True)
-    merges = []
+    clean = F.regexp_replace(F.col(word), SEP, "")
+    joined = F.concat(F.lit(SEP), F.array_join(chars(clean), SEP), F.lit(SEP))
+    cur = words.select(joined.alias("w"), F.col(freq).cast("long").alias("freq")) \
+               .groupBy("w").agg(F.sum("freq").alias("freq"))
+    # explicit partition count: AQE would coalesce a small word table into one task
+    cur = cur.repartition(spark.sparkContext.defaultParallelism, "w").checkpoint(eager=True)
+    merges, cached = [], None
     for rank in range(num_merges):
         top = pair_counts(cur).orderBy(F.col("freq").desc(), "left", "right").limit(1).collect()
+        if cached is not None:
+            cached.unpersist()  # the counting job above has filled the newer cache
         if not top:
             break
         l, r, f = top[0]["left"], top[0]["right"], top[0]["freq"]
         merges.append((rank, l, r, int(f)))
-        cur = cur.select(_merge(F.col("symbols"), l, r).alias("symbols"), "freq")
+        pat, repl = _merge_pattern(l, r)
+        nxt = cur.select(F.regexp_replace("w", pat, repl).alias("w"), "freq")
         if (rank + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint(eager=True)
+            cur, cached = nxt.checkpoint(eager=True), None  # reliable: cuts the lineage
+        else:
+            # each merge is computed once: the next counting job fills this cache.  A lost
+            # cache block is recomputed from the lineage since the last checkpoint.
+            cached = cur if cur.is_cached else None
+            cur = nxt.cache()
     return spark.createDataFrame(merges, "rank int, left string, right string, freq long")
 
 

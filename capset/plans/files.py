@@ -21,7 +21,7 @@ from capset.functions import ids as I
 from capset.operators import dedup as D
 from capset.operators import pairs as P
 from capset.plans import sqltext as S
-from capset.plans.registry import load, register
+from capset.plans.registry import load, load_spread, register
 
 IDS_PER_FOLDER = 100
 NO_IMAGE_LANG = "fr"
@@ -186,7 +186,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY md5 ORDER BY doc_id) AS rn FROM
 SELECT doc_id, md5 FROM r WHERE rn = 1
 """)
 def dedup_md5(spark, sf):
-    d = load(spark, sf, "documents").select("doc_id", "text")
+    d = load_spread(spark, sf, "documents", "doc_id", "text")
     return D.dedup_content(d, "text", order="doc_id").select("doc_id", "md5")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from capset.operators import labels as L
 from capset.plans import sqltext as S
-from capset.plans.registry import load, register
+from capset.plans.registry import load, load_spread, register
 
 SEED = 7
 CERTAIN_MIN = 100.0
@@ -132,7 +132,7 @@ UNION ALL
 SELECT doc_id, turn, from_narrative, md5(caption) AS caption_md5 FROM miss
 """)
 def narrative_override(spark, sf):
-    docs = load(spark, sf, "documents").select("doc_id", F.col("text").alias("caption"))
+    docs = load_spread(spark, sf, "documents", "doc_id", "text").select("doc_id", F.col("text").alias("caption"))
     out = L.override_captions(docs, _narratives(spark, sf), on="doc_id", order="turn")
     return out.select("doc_id", "turn", "from_narrative", F.md5("caption").alias("caption_md5"))
 
@@ -146,7 +146,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY input DESC, doc_id
 SELECT key, doc_id, lang, input FROM r WHERE rn = 1
 """)
 def last_wins_union(spark, sf):
-    d = load(spark, sf, "documents").select(F.md5("text").alias("key"), "doc_id", "lang")
+    d = load_spread(spark, sf, "documents", "doc_id", "lang", "text").select(
+        F.md5("text").alias("key"), "doc_id", "lang")
     parts = [d.where(F.col("lang") == "de"), d.where(F.col("lang") == "en"),
              d.where(~F.col("lang").isin("de", "en"))]
     return L.last_wins_union(parts, key="key", order="doc_id").select("key", "doc_id", "lang", "input")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from capset.functions.text import WS
 from capset.operators import vocab as V
 from capset.plans import sqltext as S
-from capset.plans.registry import load, register
+from capset.plans.registry import load_spread, register
 
 COVERAGE = 0.9999
 NUM_MERGES = 8
@@ -20,7 +20,7 @@ WITH w AS (SELECT doc_id, {_WORDS_SQL} AS words FROM documents)
 SELECT doc_id, CAST(len(words) AS INTEGER) AS n_words, md5(array_to_string(words, ' ')) AS words_md5 FROM w
 """)
 def word_split(spark, sf):
-    d = V.word_split(load(spark, sf, "documents").select("doc_id", "text"))
+    d = V.word_split(load_spread(spark, sf, "documents", "doc_id", "text"))
     return d.select("doc_id", F.size("words").alias("n_words"),
                     F.md5(F.array_join("words", " ")).alias("words_md5"))
 
@@ -29,7 +29,7 @@ def word_split(spark, sf):
 SELECT word, count(*) AS freq FROM (SELECT unnest({_WORDS_SQL}) AS word FROM documents) GROUP BY word
 """)
 def word_freq(spark, sf):
-    return V.word_freq(load(spark, sf, "documents").select("text"))
+    return V.word_freq(load_spread(spark, sf, "documents", "text"))
 
 
 @register("char_coverage", oracle=f"""
@@ -41,11 +41,11 @@ SELECT char, n, coalesce(sum(n) OVER (ORDER BY n DESC, char ROWS BETWEEN UNBOUND
 FROM c
 """)
 def char_coverage(spark, sf):
-    return V.alphabet(load(spark, sf, "documents").select("text"), coverage=COVERAGE)
+    return V.alphabet(load_spread(spark, sf, "documents", "text"), coverage=COVERAGE)
 
 
 @register("bpe_merges")
 def bpe_merges(spark, sf):
     """Rows-only check in the driver; tests compare with a plain-Python BPE on a fixture."""
-    wf = V.word_freq(load(spark, sf, "documents").select("text"))
+    wf = V.word_freq(load_spread(spark, sf, "documents", "text"))
     return V.bpe_merges(wf, NUM_MERGES)
