@@ -7,6 +7,7 @@ inside whole-stage codegen.  Regular expressions are written once here so that t
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -118,7 +119,6 @@ _UNESCAPE = None
 def _html_unescape_udf():
     global _UNESCAPE
     if _UNESCAPE is None:
-        import pandas as pd
 
         @F.pandas_udf("string")
         def _unescape(s: pd.Series) -> pd.Series:

@@ -39,7 +39,8 @@ def check_bounds(maxsize: float, maxcount: float) -> None:
 
 def write_tar_shards(df: DataFrame, path: str, maxcount: int = 100000, maxsize: float = 1e9,
                      prefix: str = "ds_", compression: str | None = None, packing: str = "greedy",
-                     size_col: str | None = None, mode: str = "append", check: bool = True) -> None:
+                     size_col: str | None = None, mode: str = "append", check: bool = True,
+                     keep_size_col: bool = False) -> None:
     """Write samples ``(key, <field>...)`` as tar shards (SNK-04/05).
 
     ``packing='greedy'``: every task rolls its own shards by count and bytes (names carry the
@@ -56,6 +57,8 @@ def write_tar_shards(df: DataFrame, path: str, maxcount: int = 100000, maxsize:
     if packing == "prefix":
         numbered = shard_numbers(df, size_col, maxsize, maxcount)
         data = numbered.repartition("shard").sortWithinPartitions("shard", "row_id").drop("row_id")
+        if not keep_size_col:
+            data = data.drop(size_col)
         w = data.write.format("tarshard").option("shardColumn", "shard")
     else:
         w = df.write.format("tarshard")

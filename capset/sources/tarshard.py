@@ -101,7 +101,7 @@ class TarShardReader(DataSourceReader):
                     row.append(v)
             return tuple(row)
 
-        with filesystem.open_input_stream(partition.path) as raw, \
+        with filesystem.open_input_stream(partition.path, compression=None) as raw, \
                 tarfile.open(fileobj=raw, mode=mode) as tf:
             for m in tf:
                 if not m.isfile():
@@ -166,7 +166,7 @@ class TarShardWriter(DataSourceWriter):
         def open_shard(name):
             # streamed straight to a temporary file; the driver's commit renames it
             tmp = posixpath.join(base, f".{name}.{self.job}.{part}.{attempt}.tmp")
-            state["out"] = filesystem.open_output_stream(tmp)
+            state["out"] = filesystem.open_output_stream(tmp, compression=None)
             state["tar"] = tarfile.open(fileobj=state["out"], mode="w|gz" if self.gzip else "w|")
             moves.append((tmp, posixpath.join(base, name)))
 

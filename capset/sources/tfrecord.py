@@ -215,7 +215,7 @@ class TFRecordReader(DataSourceReader):
 
     def read(self, partition):
         filesystem, _ = _fs(self.path)
-        with filesystem.open_input_stream(partition.path) as stream:
+        with filesystem.open_input_stream(partition.path, compression=None) as stream:
             records = iter_records(stream)
             while True:
                 try:
