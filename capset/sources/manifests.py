@@ -124,7 +124,7 @@ def read_caption_map(spark: SparkSession, path, key_sep: str = "_") -> DataFrame
 
 def read_corpus(spark: SparkSession, path) -> DataFrame:
     """A text corpus: one file, or every ``.txt`` below a folder; one row per file (whole text)."""
-    r = spark.read.option("wholetext", True)
+    r = spark.read
     if not str(path).lower().endswith(".txt"):
         r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
-    return r.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return r.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
