@@ -68,6 +68,16 @@ def write_tar_shards(df: DataFrame, path: str, maxcount: int = 100000, maxsize:
     w.mode(mode).save(path)
 
 
+def write_single_tar(df: DataFrame, path: str, name: str = "dataset", compression: str = "gzip") -> None:
+    """One tar (``dataset.tar.gz``) of all samples (SNK-05): a single writer task by design,
+    for small datasets only; use ``write_tar_shards`` otherwise."""
+    from capset.sources import tarshard
+
+    tarshard.register(df.sparkSession)
+    (df.coalesce(1).write.format("tarshard").option("maxcount", 10 ** 12).option("maxsize", 10 ** 15)
+       .option("prefix", name + "_").option("compression", compression).mode("append").save(path))
+
+
 def write_fault_report(report: DataFrame, path: str) -> None:
     """``|``-separated report, lists as JSON arrays (SNK-06)."""
     cols = [F.to_json(F.col(c)).alias(c) if dict(report.dtypes)[c].startswith("array") else F.col(c)
