@@ -101,18 +101,21 @@ def sample_keys(df: DataFrame, row_id: str = ROW_ID, width: int = 9, name: str =
     return df.withColumn(name, pad_id(row_id, width))
 
 
-def near_equal_parts(df: DataFrame, size: int, row_id: str = ROW_ID, name: str = "part") -> DataFrame:
+def near_equal_parts(df: DataFrame, size: int, row_id: str = ROW_ID, name: str = "part",
+                     n: int | None = None) -> DataFrame:
     """Split dense ids 0..n-1 in ``k = max(1, n div size)`` parts, larger parts first (1-based).
 
-    Same result as ``ntile(k)`` / ``numpy.array_split`` but by arithmetic: ``n`` comes from a
-    scalar subquery, so no global window sorts the rows.
+    Same result as ``ntile(k)`` / ``numpy.array_split`` but by arithmetic on the id: one count
+    (a metadata-only job on Parquet) gives ``n``, then ``k``, ``b = n div k`` and ``r = n mod k``
+    are literals, so no global window sorts the rows.
     """
-    n = df.select(F.count(F.lit(1))).scalar()
-    k = F.greatest(F.lit(1).cast("long"), F.floor(n / F.lit(size)))
-    b = F.floor(n / k)
-    r = n - b * k
+    if n is None:
+        n = df.count()
+    k = max(1, n // size)
+    b, r = n // k, n % k
     i = F.col(row_id)
-    part = F.when(i < r * (b + 1), F.floor(i / (b + 1))).otherwise(r + F.floor((i - r * (b + 1)) / b))
+    part = F.when(i < F.lit(r * (b + 1)), F.floor(i / F.lit(b + 1))) \
+            .otherwise(F.lit(r) + F.floor((i - F.lit(r * (b + 1))) / F.lit(b)))
     return df.withColumn(name, (part + 1).cast("long"))
 
 
@@ -144,21 +147,42 @@ def shard_numbers(df: DataFrame, size_col: str, maxsize: float = 1e9, maxcount:
     """Prefix packing: shard = dense number of ``(bytes_before div maxsize, rows_before div maxcount)``.
 
     A shard never holds more than ``maxcount`` rows, and starts a new one when the bytes before
-    a row cross a multiple of ``maxsize``.  The pair table has one row per shard (bounded by
-    rows / maxcount + bytes / maxsize), so numbering it is a small job.  ``row_id`` must be
-    dense 0..n-1 in the packing order.
+    a row cross a multiple of ``maxsize``.  ``row_id`` must be dense 0..n-1 in packing order.
+
+    The layout is computed on the narrow ``(row_id, size)`` projection only: blocked running
+    sums, then the first row of every shard (one row per shard).  Shards are contiguous id
+    ranges, so a small table ``block -> [(start, shard), ...]`` (the shards that touch each
+    block) is checkpointed, and every payload row finds its shard through an equi-join on its
+    block -- broadcast when the table is small enough (its row count is known after the
+    checkpoint).  The payload is never sorted or shuffled here.
     """
-    with_before = running_sum_before(df, size_col, row_id, "_sh_bytes", block_rows)
-    keyed = (with_before
-             .withColumn("_sh_b", F.floor(F.col("_sh_bytes") / F.lit(float(maxsize))))
-             .withColumn("_sh_c", F.floor(F.col(row_id) / F.lit(int(maxcount)))))
-    pairs = keyed.select("_sh_b", "_sh_c").distinct()
-    numbered = pairs.select("_sh_b", "_sh_c",
-                            (F.dense_rank().over(Window.orderBy("_sh_b", "_sh_c")) - 1)
-                            .cast("long").alias(name))
-    # one row per shard; its size depends on maxcount/maxsize, so the join strategy is left to
-    # AQE, which measures the materialised pair table before choosing a broadcast.
-    return keyed.join(numbered, ["_sh_b", "_sh_c"]).drop("_sh_b", "_sh_c", "_sh_bytes")
+    narrow = df.select(F.col(row_id).alias("_sh_id"), F.col(size_col).alias("_sh_size"))
+    before = running_sum_before(narrow, "_sh_size", "_sh_id", "_sh_bytes", block_rows)
+    keyed = before.select("_sh_id", F.floor(F.col("_sh_bytes") / F.lit(float(maxsize))).alias("_sh_b"),
+                          F.floor(F.col("_sh_id") / F.lit(int(maxcount))).alias("_sh_c"))
+    starts = keyed.groupBy("_sh_b", "_sh_c").agg(F.min("_sh_id").alias("_sh_start"))
+    last_id = narrow.select(F.max("_sh_id")).scalar()
+    # window over the shard table (one row per shard), not over the rows
+    w = Window.orderBy("_sh_start")
+    shards = starts.select(
+        "_sh_start", (F.row_number().over(w) - 1).cast("long").alias("_sh_no"),
+        (F.coalesce(F.lead("_sh_start").over(w), last_id + 1) - 1).alias("_sh_end"))
+    blk = lambda c: F.floor(F.col(c) / F.lit(block_rows))
+    cover = shards.select(F.explode(F.sequence(blk("_sh_start"), blk("_sh_end"))).alias("_sh_blk"),
+                          "_sh_start", "_sh_no")
+    per_block = cover.groupBy("_sh_blk").agg(
+        F.sort_array(F.collect_list(F.struct("_sh_start", "_sh_no"))).alias("_sh_arr"))
+    from capset.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    per_block = per_block.checkpoint(eager=True)
+    small = per_block.count() <= MAX_BROADCAST_ROWS
+    lookup = F.broadcast(per_block) if small else per_block
+    rows_ = df.withColumn("_sh_blk", F.floor(F.col(row_id) / F.lit(block_rows)))
+    joined = rows_.join(lookup, "_sh_blk")
+    pick = F.aggregate("_sh_arr", F.lit(-1).cast("long"),
+                       lambda acc, x: F.when(x["_sh_start"] <= F.col(row_id), x["_sh_no"]).otherwise(acc))
+    return joined.withColumn(name, pick).drop("_sh_blk", "_sh_arr")
 
 
 def dense_positions(df: DataFrame, name: str = "position") -> DataFrame:
