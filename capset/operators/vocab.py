@@ -102,10 +102,10 @@ def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str
     ensure_checkpoint_dir(spark)
     clean = F.regexp_replace(F.col(word), SEP, "")
     joined = F.concat(F.lit(SEP), F.array_join(chars(clean), SEP), F.lit(SEP))
+    # one row per distinct word (no regroup needed: counts of equal symbol strings just add up
+    # in the pair counts); explicit partition count, AQE would coalesce a small table to one task
     cur = words.select(joined.alias("w"), F.col(freq).cast("long").alias("freq")) \
-               .groupBy("w").agg(F.sum("freq").alias("freq"))
-    # explicit partition count: AQE would coalesce a small word table into one task
-    cur = cur.repartition(spark.sparkContext.defaultParallelism, "w").checkpoint(eager=True)
+               .repartition(spark.sparkContext.defaultParallelism).cache()
     merges, cached = [], None
     for rank in range(num_merges):
         top = pair_counts(cur).orderBy(F.col("freq").desc(), "left", "right").limit(1).collect()

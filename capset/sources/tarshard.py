@@ -25,7 +25,7 @@ import time
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, InputPartition,
+from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition,
                                     WriterCommitMessage)
 from pyspark.sql.types import BinaryType, StringType, StructType
 
@@ -101,6 +101,18 @@ class TarShardReader(DataSourceReader):
                     row.append(v)
             return tuple(row)
 
+        arrow_ok = all(isinstance(f.dataType, (StringType, BinaryType)) for f in self.schema.fields)
+        buf = []
+
+        def flush():
+            import pyarrow as pa
+
+            cols = list(zip(*buf))
+            arrays = [pa.array(list(c), type=pa.string() if isinstance(f.dataType, StringType) else pa.binary())
+                      for c, f in zip(cols, self.schema.fields)]
+            buf.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=self.schema.fieldNames())
+
         with filesystem.open_input_stream(partition.path, compression=None) as raw, \
                 tarfile.open(fileobj=raw, mode=mode) as tf:
             for m in tf:
@@ -108,16 +120,26 @@ class TarShardReader(DataSourceReader):
                     continue
                 key, field = split_member(m.name)
                 if key != current and current is not None:
-                    yield emit(current, sample)
+                    buf.append(emit(current, sample))
                     sample = {}
+                    if len(buf) >= 1024:
+                        if arrow_ok:
+                            yield flush()
+                        else:
+                            yield from buf
+                            buf.clear()
                 current = key
                 content = tf.extractfile(m).read()
                 sample[field] = content
                 # also expose the field by its first part (``img.png`` -> ``img``)
                 sample.setdefault(field.split(".", 1)[0], content)
             if current is not None:
-                yield emit(current, sample)
-        del fields
+                buf.append(emit(current, sample))
+            if buf:
+                if arrow_ok:
+                    yield flush()
+                else:
+                    yield from buf
 
 
 @dataclass
@@ -127,7 +149,7 @@ class ShardCommit(WriterCommitMessage):
     nbytes: int
 
 
-class TarShardWriter(DataSourceWriter):
+class TarShardWriter(DataSourceArrowWriter):
     def __init__(self, schema: StructType, options, overwrite: bool):
         self.schema = schema
         self.path = options.get("path")
@@ -154,6 +176,7 @@ class TarShardWriter(DataSourceWriter):
         filesystem.create_dir(base, recursive=True)
         fields = [f for f in self.schema.fields if f.name not in ("key", self.shard_col)]
         moves, total, total_bytes = [], 0, 0
+        now = int(time.time())
         state = {"tar": None, "out": None, "count": 0, "size": 0, "seq": 0}
 
         def close():
@@ -171,36 +194,38 @@ class TarShardWriter(DataSourceWriter):
             moves.append((tmp, posixpath.join(base, name)))
 
         current_shard = None
-        for row in iterator:
-            d = row.asDict()
-            if self.shard_col:
-                s = int(d[self.shard_col])
-                if s != current_shard:
-                    close()
-                    current_shard = s
-                    open_shard(f"{self.prefix}{s:06d}{self._suffix()}")
-            else:
-                if state["tar"] is None or state["count"] >= self.maxcount or state["size"] >= self.maxsize:
+        names = [f.name for f in fields]
+        for batch in iterator:  # Arrow record batches: columns converted once per batch
+            cols = {n: batch.column(n).to_pylist() for n in names + ["key"] +
+                    ([self.shard_col] if self.shard_col else [])}
+            for i in range(batch.num_rows):
+                if self.shard_col:
+                    s_no = int(cols[self.shard_col][i])
+                    if s_no != current_shard:
+                        close()
+                        current_shard = s_no
+                        open_shard(f"{self.prefix}{s_no:06d}{self._suffix()}")
+                elif state["tar"] is None or state["count"] >= self.maxcount or state["size"] >= self.maxsize:
                     close()
                     open_shard(f"{self.prefix}{part:05d}_{state['seq']:06d}{self._suffix()}")
                     state["seq"] += 1
-            key = str(d["key"])
-            for f in fields:
-                v = d.get(f.name)
-                if v is None:
-                    continue
-                if isinstance(v, str):
-                    v = v.encode("utf-8")
-                elif not isinstance(v, (bytes, bytearray)):
-                    v = str(v).encode("utf-8")
-                info = tarfile.TarInfo(f"{key}.{f.name}")
-                info.size = len(v)
-                info.mtime = int(time.time())
-                state["tar"].addfile(info, io.BytesIO(bytes(v)))
-                state["size"] += len(v)
-                total_bytes += len(v)
-            state["count"] += 1
-            total += 1
+                key = str(cols["key"][i])
+                for n in names:
+                    v = cols[n][i]
+                    if v is None:
+                        continue
+                    if isinstance(v, str):
+                        v = v.encode("utf-8")
+                    elif not isinstance(v, (bytes, bytearray)):
+                        v = str(v).encode("utf-8")
+                    info = tarfile.TarInfo(f"{key}.{n}")
+                    info.size = len(v)
+                    info.mtime = now
+                    state["tar"].addfile(info, io.BytesIO(v))
+                    state["size"] += len(v)
+                    total_bytes += len(v)
+                state["count"] += 1
+                total += 1
         close()
         return ShardCommit(moves=moves, samples=total, nbytes=total_bytes)
 
