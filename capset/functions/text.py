@@ -31,6 +31,9 @@ CLEAN_STEPS = (
 )
 STRIP = r"\A" + WS + "+|" + WS + r"+\z"
 # ----------------------------------------------------------------------------------------
+# The same white space as a plain character set, from Python's own definition, for ``trim``
+# (which only looks at the two ends instead of running a regex over the whole text).
+WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def _c(c) -> Column:
@@ -38,8 +41,9 @@ def _c(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Remove leading/trailing Unicode white space (Spark's ``trim`` removes blanks only)."""
-    return F.regexp_replace(_c(c), STRIP, "")
+    """Remove leading/trailing Unicode white space (Python's ``str.strip()``): ``trim`` with the
+    white-space character set, so only the two ends of the text are looked at."""
+    return F.trim(_c(c), F.lit(WS_CHARS))
 
 
 def build_caption(*fields) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from capset.functions.text import BASIC_ENTITIES, CLEAN_STEPS, STRIP, WS
+from capset.functions.text import BASIC_ENTITIES, CLEAN_STEPS, WS, WS_CHARS
 
 
 def q(s: str) -> str:
@@ -10,7 +10,7 @@ def q(s: str) -> str:
 
 
 def strip(expr: str) -> str:
-    return f"regexp_replace({expr}, {q(STRIP)}, '', 'g')"
+    return f"trim({expr}, {q(WS_CHARS)})"
 
 
 def build_caption(*fields: str) -> str:
