@@ -268,3 +268,19 @@ def expected_counts(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", F.col("source").alias("file"), "lang")
     done = load(spark, sf, "labels").where(F.col("toxic") == 1).select("doc_id")
     return ec(pending(docs, done, on="doc_id"), docs)
+
+
+@register("key_sets", oracle="""
+SELECT doc_id, 'both' AS side FROM (SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels)
+UNION ALL
+SELECT doc_id, 'documents_only' AS side FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+""")
+def key_sets(spark, sf):
+    """Key intersection and difference of the manifest and the verdict table."""
+    from capset.operators.filters import common_keys, only_in
+
+    d = load(spark, sf, "documents").select("doc_id")
+    lab = load(spark, sf, "labels").select("doc_id")
+    both = common_keys(d, lab, "doc_id").withColumn("side", F.lit("both"))
+    only = only_in(d, lab, "doc_id").withColumn("side", F.lit("documents_only"))
+    return both.unionByName(only)

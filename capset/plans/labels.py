@@ -151,3 +151,34 @@ def last_wins_union(spark, sf):
     parts = [d.where(F.col("lang") == "de"), d.where(F.col("lang") == "en"),
              d.where(~F.col("lang").isin("de", "en"))]
     return L.last_wins_union(parts, key="key", order="doc_id").select("key", "doc_id", "lang", "input")
+
+
+@register("image_paths", oracle=f"""
+SELECT image_id, {S.q('./downsampled-open-images-v4/256px/')} ||
+       ['train-256/', 'validation/', 'test/'][image_id % 3 + 1] || CAST(image_id AS VARCHAR) || '.jpg' AS path
+FROM (SELECT DISTINCT user_id AS image_id FROM events)
+""")
+def image_paths(spark, sf):
+    from capset.operators.samples import image_path
+
+    imgs = load(spark, sf, "events").select(F.col("user_id").alias("image_id")).distinct()
+    return imgs.select("image_id", image_path(_split("image_id"), F.col("image_id").cast("string")).alias("path"))
+
+
+GENERIC_TEMPLATES = {"events": [["a picture of {}", "{} in a photo", "an image showing {}"]]}
+
+
+@register("generic_captions", oracle=_PER_IMAGE_SQL + f"""
+, flat AS (SELECT image_id, list_concat(certain_labels, uncertain_labels) AS labels FROM img)
+SELECT image_id, {S.collapse_lower(
+    "replace(" + "['a picture of {}', '{} in a photo', 'an image showing {}']["
+    + S.seeded_bucket('image_id', SEED, 3) + " + 1], '{}', array_to_string(labels, ', '))")} AS caption,
+       'events_' || CAST(image_id AS VARCHAR) AS caption_key
+FROM flat
+""")
+def generic_captions(spark, sf):
+    """Generic per-dataset rendering (flat label list = certain then uncertain labels)."""
+    from capset.operators.samples import generate_captions
+
+    p = _per_image(spark, sf).select("image_id", F.concat("certain_labels", "uncertain_labels").alias("labels"))
+    return generate_captions(p, "events", GENERIC_TEMPLATES, seed=SEED).select("image_id", "caption", "caption_key")

@@ -78,3 +78,16 @@ def score_softmax(spark, sf):
     f"max(score) FILTER (WHERE field = {S.q(f)}) AS {f}" for f in SC.CAPTION_FIELDS) + " FROM scored GROUP BY image_id")
 def scores_wide(spark, sf):
     return SC.scores_wide(_scored(spark, sf), "image_id")
+
+
+TOP_K = 2
+
+
+@register("top2_captions", oracle=_SCORED_SQL + f"""
+, r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, field_idx) AS rank FROM scored)
+SELECT image_id, field, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= {TOP_K}
+""")
+def top2_captions(spark, sf):
+    """Top-k report per image (the limit is the feature); ties by field order."""
+    t = SC.top_k(_scored(spark, sf), "image_id", "score", k=TOP_K, tie="field_idx")
+    return t.select("image_id", "field", "score", "rank")
