@@ -77,16 +77,24 @@ def _merge_pattern(left: str, right: str) -> tuple[str, str]:
 PAIR_RE = SEP + "(?=([^" + SEP + "]+" + SEP + "[^" + SEP + "]+)" + SEP + ")"
 
 
+def _pair_strings(words: DataFrame, col: str = "w", sign: int = 1) -> DataFrame:
+    """``(p, freq)`` rows: every adjacent pair of every word as ``left SEP right``."""
+    return words.select(F.explode(F.regexp_extract_all(F.col(col), F.lit(PAIR_RE), 1)).alias("p"),
+                        (F.col("freq") * F.lit(sign)).alias("freq"))
+
+
+def _split_pairs(agg: DataFrame) -> DataFrame:
+    parts = F.split("p", SEP)
+    return agg.select(F.element_at(parts, 1).alias("left"), F.element_at(parts, 2).alias("right"), "freq")
+
+
 def pair_counts(words: DataFrame, col: str = "w") -> DataFrame:
     """Adjacent symbol pairs weighted by word frequency: ``(left, right, freq)``.
 
     Pairs are extracted as strings by one regex pass and aggregated as strings (cheaper than
     exploding arrays of structs); they are split into their two symbols after the aggregate.
     """
-    pairs = words.select(F.explode(F.regexp_extract_all(F.col(col), F.lit(PAIR_RE), 1)).alias("p"), "freq")
-    agg = pairs.groupBy("p").agg(F.sum("freq").alias("freq"))
-    parts = F.split("p", SEP)
-    return agg.select(F.element_at(parts, 1).alias("left"), F.element_at(parts, 2).alias("right"), "freq")
+    return _split_pairs(_pair_strings(words, col).groupBy("p").agg(F.sum("freq").alias("freq")))
 
 
 def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str = "freq",
@@ -94,6 +102,11 @@ def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str
     """Learn ``num_merges`` BPE merges from ``(word, freq)``: the most frequent adjacent pair
     (ties: smallest left, then right symbol) is merged in every word, one merge per round.
 
+    Incremental: pair counts are computed once; each round only the words that contain the
+    chosen pair (a plain substring test) are merged, and the pair counts are corrected by
+    ``pairs(after) - pairs(before)`` of those words.  The pair table and the word table are
+    cached per round and checkpointed reliably every ``checkpoint_every`` rounds.
+
     Returns ``(rank, left, right, freq)``; stops early when no pair is left.
     """
     from capset.session import ensure_checkpoint_dir
@@ -102,28 +115,42 @@ def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str
     ensure_checkpoint_dir(spark)
     clean = F.regexp_replace(F.col(word), SEP, "")
     joined = F.concat(F.lit(SEP), F.array_join(chars(clean), SEP), F.lit(SEP))
-    # one row per distinct word (no regroup needed: counts of equal symbol strings just add up
-    # in the pair counts); explicit partition count, AQE would coalesce a small table to one task
+    # one row per distinct word (no regroup needed: equal symbol strings just add up in the pair
+    # counts); explicit partition count, AQE would coalesce a small table into one task
     cur = words.select(joined.alias("w"), F.col(freq).cast("long").alias("freq")) \
                .repartition(spark.sparkContext.defaultParallelism).cache()
-    merges, cached = [], None
+    counts = _pair_strings(cur).groupBy("p").agg(F.sum("freq").alias("freq")).cache()
+    # Round k's counting job reads word table k-1 (filling its cache from table k-2) and the pair
+    # table k-1; only after that job may table k-2 and pair table k-1 be released.
+    merges, words_hist, counts_hist = [], [cur], [counts]
     for rank in range(num_merges):
-        top = pair_counts(cur).orderBy(F.col("freq").desc(), "left", "right").limit(1).collect()
-        if cached is not None:
-            cached.unpersist()  # the counting job above has filled the newer cache
+        top = _split_pairs(counts.where(F.col("freq") > 0)) \
+            .orderBy(F.col("freq").desc(), "left", "right").limit(1).collect()
+        while len(words_hist) > 2:
+            words_hist.pop(0).unpersist()
+        while len(counts_hist) > 1:
+            counts_hist.pop(0).unpersist()
         if not top:
             break
         l, r, f = top[0]["left"], top[0]["right"], top[0]["freq"]
         merges.append((rank, l, r, int(f)))
         pat, repl = _merge_pattern(l, r)
-        nxt = cur.select(F.regexp_replace("w", pat, repl).alias("w"), "freq")
+        hit = F.instr(F.col("w"), SEP + l + SEP + r + SEP) > 0
+        before = cur.where(hit)
+        after = before.select(F.regexp_replace("w", pat, repl).alias("w"), "freq")
+        delta = _pair_strings(after).unionByName(_pair_strings(before, sign=-1))
+        new_counts = counts.unionByName(delta).groupBy("p").agg(F.sum("freq").alias("freq")) \
+                           .where(F.col("freq") != 0)
+        new_cur = cur.select(F.when(hit, F.regexp_replace("w", pat, repl)).otherwise(F.col("w")).alias("w"),
+                             "freq")
         if (rank + 1) % checkpoint_every == 0:
-            cur, cached = nxt.checkpoint(eager=True), None  # reliable: cuts the lineage
+            counts, cur = new_counts.checkpoint(eager=True), new_cur.checkpoint(eager=True)
         else:
-            # each merge is computed once: the next counting job fills this cache.  A lost
-            # cache block is recomputed from the lineage since the last checkpoint.
-            cached = cur if cur.is_cached else None
-            cur = nxt.cache()
+            counts, cur = new_counts.cache(), new_cur.cache()
+        words_hist.append(cur)
+        counts_hist.append(counts)
+    for t in words_hist + counts_hist:
+        t.unpersist()
     return spark.createDataFrame(merges, "rank int, left string, right string, freq long")
 
 
