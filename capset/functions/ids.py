@@ -57,7 +57,7 @@ def numeric_id(c) -> Column:
 
 
 def last_part(c, sep: str = "_") -> Column:
-    """Part after the last separator (``open_images_abc`` -> ``abc``)."""
+    """Part after the last separator (``dataset_abc`` -> ``abc``)."""
     return F.substring_index(_c(c), sep, -1)
 
 

@@ -38,7 +38,7 @@ SPLIT_DIRS = {"validation": "validation/", "train": "train-256/", "test": "test/
 # ------------------------------------------------------------------------------------------------
 
 
-def image_path(split, image_id, root: str = "./downsampled-open-images-v4/256px/",
+def image_path(split, image_id, root: str = "images/256px/",
                split_dirs: dict = SPLIT_DIRS) -> Column:
     """``root + dir(split) + id + '.jpg'``; unknown splits give the root folder."""
     split_c = F.col(split) if isinstance(split, str) else split

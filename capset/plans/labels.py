@@ -154,7 +154,7 @@ def last_wins_union(spark, sf):
 
 
 @register("image_paths", oracle=f"""
-SELECT image_id, {S.q('./downsampled-open-images-v4/256px/')} ||
+SELECT image_id, {S.q('images/256px/')} ||
        ['train-256/', 'validation/', 'test/'][image_id % 3 + 1] || CAST(image_id AS VARCHAR) || '.jpg' AS path
 FROM (SELECT DISTINCT user_id AS image_id FROM events)
 """)

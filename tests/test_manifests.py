@@ -61,8 +61,8 @@ def test_narratives_and_caption_map(spark, tmp_dir):
     write(f"{tmp_dir}/n2.jsonl", '{"image_id": "b", "caption": "third", "other": 1}\n')
     n = M.read_narratives(spark, [f"{tmp_dir}/n1.jsonl", f"{tmp_dir}/n2.jsonl"])
     assert n.columns == ["image_id", "narrative"] and n.count() == 3
-    write(f"{tmp_dir}/caps.json", '{"open_images_x1": {"path": "p/x1.jpg", "caption": "c1"}, '
-                                  '"open_images_x2": {"path": "p/x2.jpg", "caption": "c2"}}')
+    write(f"{tmp_dir}/caps.json", '{"labels_x1": {"path": "p/x1.jpg", "caption": "c1"}, '
+                                  '"labels_x2": {"path": "p/x2.jpg", "caption": "c2"}}')
     m = sorted((r.image_id, r.path, r.caption) for r in M.read_caption_map(spark, f"{tmp_dir}/caps.json").collect())
     assert m == [("x1", "p/x1.jpg", "c1"), ("x2", "p/x2.jpg", "c2")]
 
