@@ -98,14 +98,16 @@ def pair_counts(words: DataFrame, col: str = "w") -> DataFrame:
 
 
 def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str = "freq",
-               checkpoint_every: int = 8) -> DataFrame:
+               checkpoint_every: int = 8, recount_ratio: float = 0.2) -> DataFrame:
     """Learn ``num_merges`` BPE merges from ``(word, freq)``: the most frequent adjacent pair
     (ties: smallest left, then right symbol) is merged in every word, one merge per round.
 
-    Incremental: pair counts are computed once; each round only the words that contain the
-    chosen pair (a plain substring test) are merged, and the pair counts are corrected by
-    ``pairs(after) - pairs(before)`` of those words.  The pair table and the word table are
-    cached per round and checkpointed reliably every ``checkpoint_every`` rounds.
+    Incremental: each round only the words that contain the chosen pair (a plain substring
+    test) are merged, and the pair counts are corrected by ``pairs(after) - pairs(before)`` of
+    those words.  While the chosen pair is still very frequent (at least ``recount_ratio`` of the
+    first merge's count, so it touches a large share of the words) a plain recount of all pairs
+    is cheaper and is used instead; both give the same counts.  The pair table and the word table
+    are cached per round and checkpointed reliably every ``checkpoint_every`` rounds.
 
     Returns ``(rank, left, right, freq)``; stops early when no pair is left.
     """
@@ -138,11 +140,14 @@ def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str
         hit = F.instr(F.col("w"), SEP + l + SEP + r + SEP) > 0
         before = cur.where(hit)
         after = before.select(F.regexp_replace("w", pat, repl).alias("w"), "freq")
-        delta = _pair_strings(after).unionByName(_pair_strings(before, sign=-1))
-        new_counts = counts.unionByName(delta).groupBy("p").agg(F.sum("freq").alias("freq")) \
-                           .where(F.col("freq") != 0)
         new_cur = cur.select(F.when(hit, F.regexp_replace("w", pat, repl)).otherwise(F.col("w")).alias("w"),
                              "freq")
+        if f >= recount_ratio * merges[0][3]:
+            new_counts = _pair_strings(new_cur).groupBy("p").agg(F.sum("freq").alias("freq"))
+        else:
+            delta = _pair_strings(after).unionByName(_pair_strings(before, sign=-1))
+            new_counts = counts.unionByName(delta).groupBy("p").agg(F.sum("freq").alias("freq")) \
+                               .where(F.col("freq") != 0)
         if (rank + 1) % checkpoint_every == 0:
             counts, cur = new_counts.checkpoint(eager=True), new_cur.checkpoint(eager=True)
         else:

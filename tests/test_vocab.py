@@ -52,9 +52,10 @@ def test_word_freq(spark):
 def test_bpe_matches_python(spark):
     df = spark.createDataFrame([(t,) for t in CORPUS], "text string")
     wf = V.word_freq(df)
-    got = [tuple(r) for r in V.bpe_merges(wf, 12, checkpoint_every=3).collect()]
     expect = py_bpe(dict(Counter(w for t in CORPUS for w in t.split())), 12)
-    assert got == expect
+    for ratio in (0.0, 0.5, 2.0):  # all recounts, mixed, all incremental
+        got = [tuple(r) for r in V.bpe_merges(wf, 12, checkpoint_every=3, recount_ratio=ratio).collect()]
+        assert got == expect, ratio
 
 
 def test_alphabet_coverage(spark):
