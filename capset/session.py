@@ -23,6 +23,11 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # Arrow batches of image rows are large; keep pandas batches bounded (image jobs may go lower)
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    # streaming dedup keeps every hash seen: keep that state in RocksDB, not on the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
