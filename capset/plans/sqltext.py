@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from capset.functions.text import BASIC_ENTITIES, CLEAN_STEPS, WS, WS_CHARS
+from capset.functions.text import BASIC_ENTITIES, CLEAN_STEPS, WS, WS_CHARS, for_engine
 
 
 def q(s: str) -> str:
@@ -23,7 +23,7 @@ def build_caption(*fields: str) -> str:
 def clean_caption(expr: str) -> str:
     out = expr
     for pattern, repl in CLEAN_STEPS:
-        out = f"regexp_replace({out}, {q(pattern)}, {q(repl)}, 'g')"
+        out = f"regexp_replace({out}, {q(for_engine(pattern, WS))}, {q(repl)}, 'g')"
     return strip(out)
 
 

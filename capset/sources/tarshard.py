@@ -280,6 +280,3 @@ def register(spark) -> None:
     ship_package(spark)
     spark.dataSource.register(TarShardDataSource)
 
-
-def _binary_or_string(dt) -> bool:
-    return isinstance(dt, (BinaryType, StringType))

@@ -98,3 +98,19 @@ def test_paths(spark):
     assert [x.s for x in r] == ["w00000003", "IMG", "y.tar", "12", "noext", "176"]
     assert [x.e for x in r] == ["txt", "jpeg", "gz", "html", "", ""]
     assert [x.n for x in r] == [3, None, None, 12, None, 176]
+
+
+def test_white_space_classes_equal_python_on_every_code_point(spark):
+    import duckdb
+    import pandas as pd
+
+    rows = [(i, chr(i)) for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF]
+    expect = {i for i, c in rows if c.isspace()}
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["i", "c"]))
+    java = {r.i for r in df.where(F.col("c").rlike("^" + T.WS_JAVA + "$")).select("i").collect()}
+    assert java == expect
+    con = duckdb.connect()
+    con.register("cp", pd.DataFrame(rows, columns=["i", "c"]))
+    re2 = {r[0] for r in con.execute(f"SELECT i FROM cp WHERE regexp_full_match(c, '{T.WS}')").fetchall()}
+    assert re2 == expect
+    assert set(map(ord, T.WS_CHARS)) == expect
