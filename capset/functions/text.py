@@ -93,9 +93,14 @@ def collapse_lower(c) -> Column:
     return F.lower(strip(F.regexp_replace(_c(c), WS_JAVA + "+", " ")))
 
 
+def word_pieces(c) -> Column:
+    """Split on white-space runs; may hold an empty first/last piece (for ``explode`` + filter)."""
+    return F.split(_c(c), WS_JAVA + "+")
+
+
 def words(c) -> Column:
     """Split a caption in words on white space; empty words dropped."""
-    return F.filter(F.split(_c(c), WS_JAVA + "+"), lambda w: F.length(w) > 0)
+    return F.array_remove(F.split(_c(c), WS_JAVA + "+"), "")
 
 
 # Basic HTML entities and their characters (fixed values; ``&amp;`` last so that

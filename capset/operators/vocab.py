@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from capset.functions.text import word_pieces
 from capset.functions.text import words as split_words
 
 
@@ -34,7 +35,7 @@ def word_split(df: DataFrame, text: str = "text") -> DataFrame:
 
 def word_freq(df: DataFrame, text: str = "text") -> DataFrame:
     """``(word, freq)`` over the whole corpus."""
-    w = df.select(F.explode(split_words(text)).alias("word"))
+    w = df.select(F.explode(word_pieces(text)).alias("word")).where(F.col("word") != "")
     return w.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
 
 
