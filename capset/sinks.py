@@ -82,7 +82,8 @@ def write_fault_report(report: DataFrame, path: str) -> None:
     """``|``-separated report, lists as JSON arrays (SNK-06)."""
     cols = [F.to_json(F.col(c)).alias(c) if dict(report.dtypes)[c].startswith("array") else F.col(c)
             for c in report.columns]
-    report.select(*cols).write.mode("overwrite").option("sep", "|").option("header", True).csv(path)
+    report.select(*cols).write.mode("overwrite").option("sep", "|").option("header", True) \
+        .option("escape", '"').csv(path)
 
 
 def write_captions_json(df: DataFrame, path: str) -> None:
