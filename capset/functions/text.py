@@ -38,7 +38,7 @@ WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def for_engine(pattern: str, ws_class: str) -> str:
-    """A clean-up pattern with Python's ``\s`` replaced by an engine's white-space class."""
+    r"""A clean-up pattern with Python's ``\s`` replaced by an engine's white-space class."""
     return pattern.replace(r"\s", ws_class)
 
 
