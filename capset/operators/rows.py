@@ -78,6 +78,18 @@ def with_row_id(df: DataFrame, name: str = ROW_ID, source: str = "auto") -> Data
               .drop("_rid_file", "_rid_blk", "_rid_mid", "_rid_min", "_rid_off")
 
 
+def with_row_id_from(df: DataFrame, file_col: str, index_col: str, name: str = ROW_ID,
+                     max_files: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Row ids in file order for sources that report ``(file, position in file)`` themselves
+    (e.g. the ``tfrecord`` source's ``_file``/``_index``): per-file counts (one row per file),
+    offsets by file name, broadcast back."""
+    per_file = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("_rid_n"))
+    offsets = per_file.select(file_col, (F.sum("_rid_n").over(Window.orderBy(file_col)) - F.col("_rid_n"))
+                              .alias("_rid_off"))
+    out = df.join(_broadcast_bounded(offsets, max_files, "files"), file_col)
+    return out.withColumn(name, F.col("_rid_off") + F.col(index_col)).drop("_rid_off")
+
+
 def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the session's shared checkpoint folder."""
     from capset.session import ensure_checkpoint_dir

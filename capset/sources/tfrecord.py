@@ -8,6 +8,8 @@ Schema: given by the user (``.schema("sampleID binary, image binary, height bigi
 inferred from the first record (``bytes -> binary``, ``int64 -> bigint``, ``float -> float``;
 lists with more than one value become arrays).  A field missing in a record is null.
 
+Add ``_file string, _index bigint`` to the schema to get each record's file and position.
+
 Bad records (truncated file, undecodable protobuf) are skipped with ``mode=DROPMALFORMED``
 (default) or raise with ``mode=FAILFAST``.  ``_corrupt_records`` is not produced; count skipped
 records with ``count()`` differences if needed.
@@ -182,6 +184,11 @@ def frame_record(payload: bytes) -> bytes:
 
 # --- data source -------------------------------------------------------------------------------
 
+# Optional pseudo-columns: the file a record came from and its position among the good records
+# of that file (for row ids in file order, see ``capset.operators.rows.with_row_id_from``).
+FILE_COL = "_file"
+INDEX_COL = "_index"
+
 def _convert(dt, kind, values):
     if isinstance(dt, ArrayType):
         return [_convert(dt.elementType, kind, [v]) for v in values]
@@ -215,6 +222,7 @@ class TFRecordReader(DataSourceReader):
 
     def read(self, partition):
         filesystem, _ = _fs(self.path)
+        index = 0
         with filesystem.open_input_stream(partition.path, compression=None) as stream:
             records = iter_records(stream)
             while True:
@@ -234,8 +242,14 @@ class TFRecordReader(DataSourceReader):
                     continue
                 row = []
                 for f in self.schema.fields:
-                    kind, values = ex.get(f.name, (None, []))
-                    row.append(_convert(f.dataType, kind, values))
+                    if f.name == FILE_COL:
+                        row.append(partition.path)
+                    elif f.name == INDEX_COL:
+                        row.append(index)
+                    else:
+                        kind, values = ex.get(f.name, (None, []))
+                        row.append(_convert(f.dataType, kind, values))
+                index += 1
                 yield tuple(row)
 
 
