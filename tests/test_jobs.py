@@ -102,3 +102,26 @@ def test_vocabulary_and_check(spark, tmp_dir):
     assert v2.count() <= 25
     rep = {r.folder: r for r in J.check_folder(spark, data).collect()}
     assert rep["w00000"].incomplete == ["000000002.txt", "000000003.png"]
+
+
+def test_rerun_of_resume_job_does_nothing(spark, tmp_dir):
+    from capset import sinks as K
+    from capset.operators import resume as RS
+    from capset.sources.manifests import WIDE_MANIFEST_DDL
+
+    names = [c.split()[0] for c in WIDE_MANIFEST_DDL.split(", ")]
+    lines = ["\t".join(names)]
+    for i in range(20):
+        r = dict.fromkeys(names, "")
+        r.update(language="en", image_url=f"http://x/{i}.jpg", caption_reference_description=f"caption {i}",
+                 original_height="1", original_width="1")
+        lines.append("\t".join(r[n] for n in names))
+    os.makedirs(f"{tmp_dir}/m")
+    with gzip.open(f"{tmp_dir}/m/a.tsv.gz", "wt") as f:
+        f.write("\n".join(lines) + "\n")
+    ledger = f"{tmp_dir}/ledger"
+    K.append_ledger(RS.ledger_from(spark.range(0, 5).withColumnRenamed("id", "row_id"), "fetch", "done"), ledger)
+    first = J.captions_from_manifest(spark, f"{tmp_dir}/m", ledger=ledger)
+    assert first.count() == 15
+    K.append_ledger(RS.ledger_from(first.select("row_id"), "fetch", "done"), ledger)
+    assert J.captions_from_manifest(spark, f"{tmp_dir}/m", ledger=ledger).count() == 0
