@@ -108,8 +108,9 @@ def fault_rows(files: DataFrame, min_chars: int = 5) -> DataFrame:
 def fault_report(files: DataFrame, min_chars: int = 5) -> DataFrame:
     """Per folder the four sorted lists (the reference's report layout).
 
-    The lists hold faults only; for a folder with an unbounded number of faults use
-    ``fault_rows`` (long form) instead.  Folders without any file have no row; folders whose
+    The lists hold faults only, and a folder holds at most the ids the dataset layout puts in
+    one folder (10,000 per folder in the reference's layout), so a list is bounded by that
+    capacity.  For trees without such a bound use ``fault_rows`` (long form, no grouping).  Folders without any file have no row; folders whose
     files are all fine have empty lists.
     """
     rows = fault_rows(files, min_chars)

@@ -60,6 +60,11 @@ def read_wide_manifest(spark: SparkSession, path, schema: str = WIDE_MANIFEST_DD
     df = _csv(spark, full, sep, True, nullValue="", emptyValue="").csv(path)
     if row_ids:
         df = with_row_id(df, source="split")
+    # gzip is not splittable: one task per file.  Spread the rows for the per-row work that
+    # follows when there are fewer files than task slots (a no-op for large inputs).
+    from capset.operators.parallel import spread
+
+    df = spread(df)
     if overflow == "drop":
         df = df.where(F.col(OVERFLOW).isNull())
     elif overflow == "error":
