@@ -39,7 +39,7 @@ def check_bounds(maxsize: float, maxcount: float) -> None:
 
 def write_tar_shards(df: DataFrame, path: str, maxcount: int = 100000, maxsize: float = 1e9,
                      prefix: str = "ds_", compression: str | None = None, packing: str = "greedy",
-                     size_col: str | None = None, mode: str = "append", check: bool = True,
+                     size_col: str | None = None, mode: str = "overwrite", check: bool = True,
                      keep_size_col: bool = False) -> None:
     """Write samples ``(key, <field>...)`` as tar shards (SNK-04/05).
 

@@ -207,7 +207,9 @@ class TarShardWriter(DataSourceArrowWriter):
                         open_shard(f"{self.prefix}{s_no:06d}{self._suffix()}")
                 elif state["tar"] is None or state["count"] >= self.maxcount or state["size"] >= self.maxsize:
                     close()
-                    open_shard(f"{self.prefix}{part:05d}_{state['seq']:06d}{self._suffix()}")
+                    # appending next to an earlier run: the job id keeps the names apart
+                    run = "" if self.overwrite else f"{self.job}_"
+                    open_shard(f"{self.prefix}{run}{part:05d}_{state['seq']:06d}{self._suffix()}")
                     state["seq"] += 1
                 key = str(cols["key"][i])
                 for n in names:

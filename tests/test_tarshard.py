@@ -68,3 +68,15 @@ def test_gzip_prefix_packing(spark, tmp_dir):
 def test_bounds_checked(spark, samples, tmp_dir):
     with pytest.raises(ValueError):
         write_tar_shards(samples, os.path.join(tmp_dir, "x"), maxsize=1000)
+
+
+def test_append_keeps_earlier_shards_and_overwrite_replaces(spark, samples, tmp_dir):
+    out = os.path.join(tmp_dir, "app")
+    write_tar_shards(samples, out, maxcount=500, check=False)
+    n1 = len(glob.glob(os.path.join(out, "*.tar")))
+    write_tar_shards(samples, out, maxcount=500, check=False, mode="append")
+    assert len(glob.glob(os.path.join(out, "*.tar"))) == 2 * n1
+    tarshard.register(spark)
+    assert spark.read.format("tarshard").load(out).count() == 2000
+    write_tar_shards(samples, out, maxcount=500, check=False, mode="overwrite")
+    assert spark.read.format("tarshard").load(out).count() == 1000
