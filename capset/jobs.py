@@ -8,6 +8,8 @@ Each job takes paths and the reference's parameters (same defaults) and runs as
 * ``captions_from_labels``  label annotations (+ narratives) -> template captions per image
 * ``vocabulary_from_shards`` tar shards or text files -> character coverage, word counts, BPE merges
 * ``check_folder``          pair check and fault report of a dataset folder
+* ``score_candidates``      caption candidates vs. image embeddings -> similarity table, best caption
+* ``done_in_folder``        ids already written (text and image present) for resuming
 """
 
 from __future__ import annotations
@@ -110,10 +112,13 @@ def shards_from_tfrecords(spark: SparkSession, data: str, shards: str, features:
 
 def captions_from_manifest(spark: SparkSession, path: str, out: str | None = None, languages=("en",),
                            tag: str | None = "English:", per_folder: int = 50000, ledger: str | None = None,
-                           folder_width: int = 5) -> DataFrame:
+                           folder_width: int = 5, done_folder: str | None = None) -> DataFrame:
     """Wide manifest -> languages -> caption (reference + attribution + alt text) cleaned ->
-    ``English:`` lines kept -> pending rows (not in the ledger) -> ``(key, folder, caption, url)``.
-    Written partitioned by folder when ``out`` is given."""
+    ``English:`` lines kept -> pending rows -> ``(key, folder, caption, url)``.
+
+    Pending = not done in the ``ledger`` table and, with ``done_folder``, not already present
+    there as a text *and* an image file of the same id.  Written partitioned by folder when
+    ``out`` is given."""
     df = M.read_wide_manifest(spark, path)
     df = filter_language(df, languages)
     caption = T.clean_caption(T.build_caption("caption_reference_description", "caption_attribution_description",
@@ -126,11 +131,22 @@ def captions_from_manifest(spark: SparkSession, path: str, out: str | None = Non
                     I.media_kind("image_url").alias("media_kind"))
     if ledger:
         res = RS.pending(res, RS.done_and_failed(spark.read.parquet(ledger)))
+    if done_folder:
+        res = RS.pending(res, done_in_folder(spark, done_folder))
     if out:
         write_captions(res, out)
     return res
 
 
+def done_in_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids whose text and image file both exist below ``folder`` (``<id>.txt`` + ``<id>.jpg`` ...)."""
+    files = FS.scan_files(spark, folder, exts=["txt"] + list(P.IMAGE_EXTS))
+    ids = files.select(I.numeric_id("path").alias("row_id"), (F.col("ext") == "txt").alias("_t")) \
+               .where(F.col("row_id").isNotNull())
+    per_id = ids.groupBy("row_id").agg(F.bool_or("_t").alias("t"), F.bool_or(~F.col("_t")).alias("i"))
+    return per_id.where("t AND i").select("row_id")
+
+
 def captions_from_labels(spark: SparkSession, annotations: dict, dictionary: str, narratives=None,
                          out: str | None = None, seed: int = 0, image_root: str = "images/256px/",
                          split_order=("validation", "train", "test")) -> DataFrame:
@@ -161,7 +177,8 @@ def captions_from_labels(spark: SparkSession, annotations: dict, dictionary: str
 
 
 def vocabulary_from_shards(spark: SparkSession, source: str, text_key: str = "label", coverage: float = 0.9999,
-                           vocab_size: int = 4096) -> tuple[DataFrame, DataFrame]:
+                           vocab_size: int = 4096, output_folder: str | None = None
+                           ) -> tuple[DataFrame, DataFrame]:
     """Texts of tar shards (field ``text_key``, HTML entities decoded) or ``.txt`` files ->
     ``(vocab(token, id), merges(rank, left, right, freq))``."""
     from capset.sources import tarshard
@@ -176,7 +193,39 @@ def vocabulary_from_shards(spark: SparkSession, source: str, text_key: str = "la
     alpha = V.alphabet(texts, coverage=coverage).cache()
     n_chars = alpha.where("kept").count()
     merges = V.bpe_merges(V.word_freq(texts), max(0, vocab_size - n_chars))
-    return V.vocabulary(merges, alpha), merges
+    vocab = V.vocabulary(merges, alpha)
+    if output_folder:
+        from capset.sinks import write_vocabulary
+
+        write_vocabulary(vocab, merges, output_folder)
+    return vocab, merges
+
+
+def score_candidates(spark: SparkSession, images: DataFrame, captions: DataFrame, out: str | None = None,
+                     save_embeddings: str | None = None, threshold: float = 0.3, key: str = "row_id"
+                     ) -> tuple[DataFrame, DataFrame]:
+    """Caption candidates scored against their image.
+
+    ``images(row_id, embedding)`` and ``captions(row_id, field, embedding)`` (one row per
+    non-null candidate field) -> wide similarity table (one column per field, rounded to 4,
+    sorted by id when written as TSV to ``out``) and the best caption per image (ties to the
+    earlier field, ``above`` = best score > ``threshold``).  ``save_embeddings`` writes the image
+    vectors as Parquet, 5,000 per file.
+    """
+    from capset.operators import scoring as SC
+    from capset.sinks import write_embeddings, write_similarities
+
+    order = F.array_position(F.array(*[F.lit(f) for f in SC.CAPTION_FIELDS]), F.col("field")) - 1
+    cands = captions.select(key, "field", order.alias("field_idx"), F.col("embedding").alias("text_vec"))
+    imgs = images.select(key, F.col("embedding").alias("image_vec"))
+    scored = SC.score(imgs, cands, key).select(key, "field", "field_idx", "score")
+    wide = SC.scores_wide(scored, key)
+    best = SC.best_caption(scored, key, threshold=threshold)
+    if out:
+        write_similarities(wide, out, key)
+    if save_embeddings:
+        write_embeddings(images.select(key, "embedding"), save_embeddings)
+    return wide, best
 
 
 def check_folder(spark: SparkSession, dataset_folder: str, min_characters: int = 5,

@@ -125,3 +125,19 @@ def test_rerun_of_resume_job_does_nothing(spark, tmp_dir):
     assert first.count() == 15
     K.append_ledger(RS.ledger_from(first.select("row_id"), "fetch", "done"), ledger)
     assert J.captions_from_manifest(spark, f"{tmp_dir}/m", ledger=ledger).count() == 0
+
+
+def test_done_in_folder_and_scoring(spark, tmp_dir):
+    write(f"{tmp_dir}/out/00000/000000001.txt", "x")
+    write(f"{tmp_dir}/out/00000/000000001.jpg", b"x")
+    write(f"{tmp_dir}/out/00000/000000002.txt", "only text")
+    assert [r.row_id for r in J.done_in_folder(spark, f"{tmp_dir}/out").collect()] == [1]
+    imgs = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "row_id long, embedding array<float>")
+    caps = spark.createDataFrame([(1, "section_title", [1.0, 0.0]), (1, "context_page_description", [0.0, 1.0]),
+                                  (2, "section_title", [0.6, 0.8])], "row_id long, field string, embedding array<float>")
+    wide, best = J.score_candidates(spark, imgs, caps, out=f"{tmp_dir}/sim", save_embeddings=f"{tmp_dir}/emb")
+    w = {r.row_id: r for r in wide.collect()}
+    assert w[1].section_title == 1.0 and w[1].context_page_description == 0.0 and w[2].section_title == 0.8
+    b = {r.row_id: (r.best_field, r.above) for r in best.collect()}
+    assert b == {1: ("section_title", True), 2: ("section_title", True)}
+    assert spark.read.parquet(f"{tmp_dir}/emb").count() == 2
