@@ -46,3 +46,13 @@ def test_dedup_stream(spark, tmp_dir):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.caption for r in spark.read.parquet(out).collect()) == ["other", "same"]
+
+
+def test_dedup_within_watermark(spark, tmp_dir):
+    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    write(f"{src}/a.csv", "2024-01-01 00:00:00,h1\n2024-01-01 00:00:05,h1\n2024-01-01 00:00:07,h2\n")
+    df = ST.read_stream(spark, src, "ts timestamp, h string", "csv")
+    q = (ST.dedup_stream(df, "h", watermark=("ts", "10 minutes")).writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.h for r in spark.read.parquet(out).collect()) == ["h1", "h2"]
