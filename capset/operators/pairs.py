@@ -12,7 +12,7 @@ list grows with its *faults*, not with its files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------------------
@@ -74,6 +74,27 @@ def stem_check(files: DataFrame, scope: str = "folder") -> DataFrame:
                         .otherwise(F.lit("incomplete")))
 
 
+def _fault_flags(files: DataFrame, min_chars: int):
+    """Files with per-stem flags (window aggregates over ``(folder, stem)`` -- a handful of
+    files per key -- so the listing and the text lengths behind it are read once, no self-join)
+    and the four fault conditions per file."""
+    img = F.lower(F.col("ext")).isin(list(IMAGE_EXTS))
+    txt = F.lower(F.col("ext")) == TEXT_EXT
+    w = Window.partitionBy("folder", "stem")
+    f = (files.withColumn("_has_t", F.bool_or(txt).over(w))
+              .withColumn("_has_i", F.bool_or(img).over(w))
+              .withColumn("_short", F.coalesce(F.bool_or(txt & (F.col("text_len") < min_chars)).over(w), F.lit(False)))
+              .withColumn("_corrupt", F.coalesce(F.bool_or(img & ~F.col("valid")).over(w), F.lit(False))))
+    paired = F.col("_has_t") & F.col("_has_i")
+    conds = {
+        "incomplete": (~paired, F.col("name")),
+        "corrupt": (paired & img & ~F.coalesce(F.col("valid"), F.lit(True)), F.col("name")),
+        "empty": (paired & txt & F.col("_short"), F.col("name")),
+        "delete": (~paired | ((F.col("_short") | F.col("_corrupt")) & (txt | img)), F.col("path")),
+    }
+    return f, conds
+
+
 def fault_rows(files: DataFrame, min_chars: int = 5) -> DataFrame:
     """Faults in long form: ``(folder, kind, file)`` with kind in incomplete / corrupt / empty /
     delete (``file`` is the name, the full path for ``delete``).
@@ -84,60 +105,40 @@ def fault_rows(files: DataFrame, min_chars: int = 5) -> DataFrame:
     images of paired stems are listed, and their text + image files are to be deleted.  The short
     flag is per stem (the reference carries it over to later stems by mistake).
     """
-    img = F.lower(F.col("ext")).isin(list(IMAGE_EXTS))
-    txt = F.lower(F.col("ext")) == TEXT_EXT
-    per_stem = files.groupBy("folder", "stem").agg(
-        F.bool_or(txt).alias("_has_t"), F.bool_or(img).alias("_has_i"),
-        F.bool_or(txt & (F.col("text_len") < min_chars)).alias("_short"),
-        F.bool_or(img & ~F.col("valid")).alias("_corrupt"))
-    f = files.join(per_stem, ["folder", "stem"])
-    paired = F.col("_has_t") & F.col("_has_i")
-    bad = paired & (F.coalesce(F.col("_short"), F.lit(False)) | F.coalesce(F.col("_corrupt"), F.lit(False)))
-    kinds = F.array(
-        F.when(~paired, F.struct(F.lit("incomplete").alias("kind"), F.col("name").alias("file"))),
-        F.when(paired & img & ~F.col("valid"),
-               F.struct(F.lit("corrupt").alias("kind"), F.col("name").alias("file"))),
-        F.when(paired & txt & F.coalesce(F.col("_short"), F.lit(False)),
-               F.struct(F.lit("empty").alias("kind"), F.col("name").alias("file"))),
-        F.when(~paired | (bad & (txt | img)),
-               F.struct(F.lit("delete").alias("kind"), F.col("path").alias("file"))))
+    f, conds = _fault_flags(files, min_chars)
+    kinds = F.array(*[F.when(c, F.struct(F.lit(k).alias("kind"), v.alias("file"))) for k, (c, v) in conds.items()])
     out = f.select("folder", F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("_k"))
     return out.select("folder", F.col("_k.kind").alias("kind"), F.col("_k.file").alias("file"))
 
 
 def fault_report(files: DataFrame, min_chars: int = 5) -> DataFrame:
-    """Per folder the four sorted lists (the reference's report layout).
+    """Per folder the four sorted lists (the reference's report layout); one scan, one
+    aggregate.  Folders without any file have no row; folders whose files are all fine have
+    empty lists.
 
     The lists hold faults only, and a folder holds at most the ids the dataset layout puts in
     one folder (10,000 per folder in the reference's layout), so a list is bounded by that
-    capacity.  For trees without such a bound use ``fault_rows`` (long form, no grouping).  Folders without any file have no row; folders whose
-    files are all fine have empty lists.
+    capacity.  For trees without such a bound use ``fault_rows`` (long form, no grouping).
     """
-    rows = fault_rows(files, min_chars)
-    folders = files.select("folder").distinct()
-
-    def listed(kind):
-        return F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("file")))).alias(kind)
-
-    lists = rows.groupBy("folder").agg(*[listed(k) for k in ("incomplete", "corrupt", "empty", "delete")])
-    empty = F.array().cast("array<string>")
-    return folders.join(lists, "folder", "left").select(
-        "folder", *[F.coalesce(F.col(k), empty).alias(k) for k in ("incomplete", "corrupt", "empty", "delete")])
+    f, conds = _fault_flags(files, min_chars)
+    return f.groupBy("folder").agg(
+        *[F.sort_array(F.collect_list(F.when(c, v))).alias(k) for k, (c, v) in conds.items()])
 
 
 def pair_counts(files: DataFrame, scope: str = "folder") -> DataFrame:
-    """One row: texts, images, pairs, incomplete stems, corrupt images."""
-    s = stem_check(files, scope)
+    """One row: texts, images, pairs, incomplete stems, corrupt images (one scan, two aggregates)."""
     img = F.lower(F.col("ext")).isin(list(IMAGE_EXTS))
-    per_file = files.agg(
-        F.count_if(F.lower(F.col("ext")) == TEXT_EXT).cast("long").alias("texts"),
-        F.count_if(img).cast("long").alias("images"),
-        F.count_if(img & ~F.coalesce(F.col("valid"), F.lit(True))).cast("long").alias("corrupt"))
-    per_key = s.agg(F.count_if(F.col("status") == "paired").cast("long").alias("pairs"),
-                    F.count_if(F.col("status") == "incomplete").cast("long").alias("incomplete"))
-    # two one-row aggregates side by side (scalar subqueries, no join)
-    return per_file.select("*", per_key.select("pairs").scalar().alias("pairs"),
-                           per_key.select("incomplete").scalar().alias("incomplete"))
+    txt = F.lower(F.col("ext")) == TEXT_EXT
+    per_key = files.groupBy(*_keys(scope)).agg(
+        F.count_if(txt).alias("_t"), F.count_if(img).alias("_i"),
+        F.count_if(img & ~F.coalesce(F.col("valid"), F.lit(True))).alias("_c"))
+    paired = (F.col("_t") > 0) & (F.col("_i") > 0)
+    return per_key.agg(
+        F.sum("_t").cast("long").alias("texts"),
+        F.sum("_i").cast("long").alias("images"),
+        F.sum("_c").cast("long").alias("corrupt"),
+        F.count_if(paired).cast("long").alias("pairs"),
+        F.count_if(~paired).cast("long").alias("incomplete"))
 
 
 def with_sidecar(pairs: DataFrame, sidecars: DataFrame, on=("folder", "stem"),
