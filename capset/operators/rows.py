@@ -146,12 +146,11 @@ def running_sum_before(df: DataFrame, value: str, row_id: str = ROW_ID, name: st
         F.coalesce(F.sum("_rs_tot").over(
             Window.orderBy("_rs_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("_rs_off"))
-    # one row per block (rows / block_rows): checkpointed, counted, broadcast only under the bound
-    from capset.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    prefix = prefix.checkpoint(eager=True)
-    joined = with_blk.join(_broadcast_bounded(prefix, prefix.count(), "blocks"), "_rs_blk")
+    # one row per block: at most max(row_id) div block_rows + 1 rows (one small aggregate job);
+    # broadcast only under the bound, a shuffle join otherwise
+    max_id = df.select(F.max(row_id)).first()[0]
+    n_blocks = 0 if max_id is None else int(max_id) // block_rows + 1
+    joined = with_blk.join(_broadcast_bounded(prefix, n_blocks, "blocks"), "_rs_blk")
     inner = Window.partitionBy("_rs_blk").orderBy(row_id).rowsBetween(Window.unboundedPreceding, -1)
     return (joined.withColumn(name, F.col("_rs_off") + F.coalesce(F.sum(value).over(inner), F.lit(0)))
                   .drop("_rs_blk", "_rs_off"))
