@@ -224,3 +224,37 @@ def resolve_content(spark, sf):
     content = pages.where(F.instr("url", SPAM_MARK) == 0).select("url", F.col("html").alias("content"))
     out = resume.resolve_content(manifest, content, on="url", content_col="content")
     return out.select("doc_id", "url", "status", F.length("content").cast("long").alias("content_len"))
+
+
+@register("sample_fields", oracle=f"""
+SELECT {S.pad_id('doc_id', 9)} AS key, text AS "cap.txt", lang AS "lang.cls", source AS "source.cls"
+FROM documents
+""")
+def sample_fields(spark, sf):
+    """Sample keys from row ids (taken before any filter) and fields named with encoder suffixes."""
+    from capset.operators.samples import to_samples
+
+    d = rows.sample_keys(rows.with_row_id(load(spark, sf, "documents").select("text", "lang", "source")))
+    return to_samples(d, {"text": "cap.txt", "lang": "lang.cls", "source": "source.cls"}, use_encoder=True)
+
+
+@register("ledger_resume", oracle="""
+WITH ledger AS (
+  SELECT doc_id AS row_id, CASE WHEN toxic = 1 THEN 'done' ELSE 'failed' END AS status,
+         CASE WHEN toxic = 1 THEN 1 ELSE 2 - quality END AS attempts
+  FROM labels),
+skip AS (SELECT DISTINCT row_id FROM ledger WHERE status = 'done' OR (status = 'failed' AND attempts >= 2))
+SELECT doc_id AS row_id FROM documents WHERE doc_id NOT IN (SELECT row_id FROM skip)
+""")
+def ledger_resume(spark, sf):
+    """A ledger built from the verdicts: toxic rows are done; the others failed, low-quality
+    ones after 2 attempts, the rest after 1.  Failed rows are retried until they reach 2
+    attempts, so only the first kind is skipped with the done ones."""
+    lab = load(spark, sf, "labels")
+    ledger = lab.select(F.col("doc_id").alias("row_id"), F.lit("fetch").alias("stage"),
+                        F.when(F.col("toxic") == 1, "done").otherwise("failed").alias("status"),
+                        F.lit(None).cast("string").alias("error"),
+                        F.when(F.col("toxic") == 1, 1).otherwise(2 - F.col("quality")).alias("attempts"))
+    skip = resume.done_and_failed(ledger, retry_failed=True, max_attempts=2)
+    docs = load(spark, sf, "documents").select(F.col("doc_id").alias("row_id"))
+    return resume.pending(docs, skip)
