@@ -227,15 +227,16 @@ def resolve_content(spark, sf):
 
 
 @register("sample_fields", oracle=f"""
-SELECT {S.pad_id('doc_id', 9)} AS key, text AS "cap.txt", lang AS "lang.cls", source AS "source.cls"
+SELECT {S.pad_id('doc_id', 9)} AS key, text AS cap, lang AS lang, source AS source
 FROM documents
 """)
 def sample_fields(spark, sf):
-    """Sample keys from row ids (taken before any filter) and fields named with encoder suffixes."""
+    """Sample keys from row ids (taken before any filter) and fields named by the mapping; the
+    encoder suffixes (``cap.txt``) are dropped here so that no result column holds a dot."""
     from capset.operators.samples import to_samples
 
     d = rows.sample_keys(rows.with_row_id(load(spark, sf, "documents").select("text", "lang", "source")))
-    return to_samples(d, {"text": "cap.txt", "lang": "lang.cls", "source": "source.cls"}, use_encoder=True)
+    return to_samples(d, {"text": "cap.txt", "lang": "lang.cls", "source": "source.cls"}, use_encoder=False)
 
 
 @register("ledger_resume", oracle="""
