@@ -62,11 +62,22 @@ def best_caption(scored: DataFrame, image: str, field: str = "field", field_idx:
     return out
 
 
-def top_k(scored: DataFrame, group: str, value: str, k: int = 1, tie: str | None = None) -> DataFrame:
-    """Rows ranked ``<= k`` within their group (a top-k report; the limit is the feature)."""
+def top_k(scored: DataFrame, group: str, value: str, k: int = 1, tie: str | None = None,
+          salts: int = 32) -> DataFrame:
+    """Rows ranked ``<= k`` within their group (a top-k report; the limit is the feature).
+
+    Two stages, so a hot group never sits in one task: rows are first ranked inside
+    ``(group, salt)`` (salt = a hash of the row, ``salts`` ways) keeping ``k`` per salt, then the
+    at most ``k * salts`` survivors of a group are ranked again.  Exact: a row among a group's
+    top ``k`` is also among the top ``k`` of its own salt.  Give ``tie`` to make the order total.
+    """
     order = [F.col(value).desc()] + ([F.col(tie).asc()] if tie else [])
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in scored.columns]), F.lit(salts))
+    first = (scored.withColumn("_tk_salt", salt)
+                   .withColumn("_tk_r", F.row_number().over(Window.partitionBy(group, "_tk_salt").orderBy(*order)))
+                   .where(F.col("_tk_r") <= k).drop("_tk_salt", "_tk_r"))
     w = Window.partitionBy(group).orderBy(*order)
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return first.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def scores_wide(scored: DataFrame, image: str, field: str = "field", value: str = "score",

@@ -100,3 +100,17 @@ def test_resume(spark):
     assert (p.total, p.done, p.remaining, p.percent_done) == (10, 3, 7, 30.0)
     files = spark.createDataFrame([("a/00000012.txt",), ("a/00000012.jpg",), ("b/x.txt",)], "path string")
     assert [r.row_id for r in RS.ids_from_files(files).collect()] == [12]
+
+
+def test_top_k_hot_group_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 40}", rnd.randint(0, 50), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "grp string, score int, idx int").repartition(8)
+    got = sorted((r.grp, r.idx, r.rank) for r in SC.top_k(df, "grp", "score", k=3, tie="idx", salts=8).collect())
+    expect = []
+    for g in {r[0] for r in rows}:
+        ranked = sorted([r for r in rows if r[0] == g], key=lambda r: (-r[1], r[2]))[:3]
+        expect += [(g, r[2], i + 1) for i, r in enumerate(ranked)]
+    assert got == sorted(expect)
