@@ -1,9 +1,11 @@
 """Parallelism guard for CPU-heavy per-row work right after a scan.
 
-A large input arrives in many file splits and this is a no-op.  A small input in one file with
-one row group is a single split, i.e. one task for all the regex / explode work; then the rows
-are spread round-robin over the cluster's default parallelism first.  The partition count is
-known from the file listing when the plan is built, so the check runs no job.
+A large input arrives in many files and this is a no-op.  A small input in a few files (one row
+group each, as the driver's tables are) gives a few busy tasks however many splits Spark plans
+for it -- a split without a row-group start is empty -- so the rows are first spread
+round-robin over the cluster's default parallelism.  The check counts the input files from the
+file listing when the plan is built, so it runs no job; the split count is not used because
+empty splits would hide the problem.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. no RDD access in a remote session
+        n_files = len(df.inputFiles())
+    except Exception:  # noqa: BLE001 - not a file scan (or a remote session): leave it
         return df
-    return df if n >= target else df.repartition(target)
+    return df if n_files >= target else df.repartition(target)
