@@ -56,10 +56,13 @@ def shards_from_folder(spark: SparkSession, data: str, shards: str, maxsize: flo
     pairs = pairs.join(valid, "img_path", "left").where(F.coalesce(F.col("valid"), F.lit(False)))
     keys = ["folder", "stem"] if scope == "folder" else ["stem"]
     numbered = R.dense_positions(pairs.select(*keys, "img_path", "txt_path").orderBy(*keys), "pos")
-    content = FS.scan_files(spark, data, with_content=True).select("path", "content")
-    samples = (numbered
-               .join(content.select(F.col("path").alias("img_path"), F.col("content").alias(img_key)), "img_path")
-               .join(content.select(F.col("path").alias("txt_path"), F.col("content").alias(cap_key)), "txt_path")
+    # bytes are read late, after pairing, and each file once: image and text contents come from
+    # two scans whose listings are restricted to their own extensions
+    img_bytes = FS.scan_files(spark, data, exts=P.IMAGE_EXTS, with_content=True) \
+        .select(F.col("path").alias("img_path"), F.col("content").alias(img_key))
+    txt_bytes = FS.scan_files(spark, data, exts=["txt"], with_content=True) \
+        .select(F.col("path").alias("txt_path"), F.col("content").alias(cap_key))
+    samples = (numbered.join(img_bytes, "img_path").join(txt_bytes, "txt_path")
                .withColumn("key", I.pad_id("pos", 9)))
     cols = ["key", img_key, cap_key]
     if json:

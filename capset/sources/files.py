@@ -20,12 +20,20 @@ def _norm_path(c):
     return F.regexp_replace(c, PATH_NORM, "/")
 
 
+def ext_glob(exts) -> str:
+    """``pathGlobFilter`` for a set of extensions, both cases (``*.{png,PNG,...}``)."""
+    return "*.{" + ",".join(sorted({e.lower() for e in exts} | {e.upper() for e in exts})) + "}"
+
+
 def scan_files(spark: SparkSession, root: str, exts=None, with_content: bool = False,
                depth: int | None = None) -> DataFrame:
     """Files below ``root``: ``path, rel, folder, name, stem, ext, length, modificationTime``
-    (+ ``content``).  ``exts`` filters by extension, case-insensitive; ``depth`` keeps files at
-    most that many folders below ``root`` (0 = root only)."""
+    (+ ``content``).  ``exts`` filters by extension, case-insensitive, inside the file listing
+    (``pathGlobFilter``), so with ``content`` the bytes of other files are never read; ``depth``
+    keeps files at most that many folders below ``root`` (0 = root only)."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if exts:
+        r = r.option("pathGlobFilter", ext_glob(exts))
     df = r.load(root)
     cols = ["path", "length", "modificationTime"] + (["content"] if with_content else [])
     df = df.select(*cols).withColumn("path", _norm_path(F.col("path")))
@@ -58,9 +66,8 @@ def folders_with_text(files: DataFrame) -> DataFrame:
 def image_profiles(spark: SparkSession, root: str, exts=("jpg", "jpeg", "png", "bmp")) -> DataFrame:
     """Width, height and validity of every image below ``root`` (Spark's ``image`` source
     decodes each file; invalid files get ``valid = false``)."""
-    glob = "*.{" + ",".join(sorted(set(list(exts) + [e.upper() for e in exts]))) + "}"
     img = (spark.read.format("image").option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", glob).load(root))
+           .option("pathGlobFilter", ext_glob(exts)).load(root))
     return img.select(_norm_path(F.col("image.origin")).alias("path"),
                       F.col("image.width").alias("width"), F.col("image.height").alias("height"),
                       F.col("image.nChannels").alias("channels"),
