@@ -44,9 +44,10 @@ def alphabet(df: DataFrame, text: str = "text", coverage: float = 0.9999) -> Dat
     all characters (ties by character)."""
     c = df.select(F.explode(chars(text)).alias("char"))
     counts = c.groupBy("char").agg(F.count(F.lit(1)).alias("n"))
-    # window over the per-character table (bounded by the character set, not by the corpus)
+    # windows over the per-character table (bounded by the character set, not by the corpus);
+    # the total is a window over the same table, so the corpus is read once
     w = Window.orderBy(F.col("n").desc(), F.col("char")).rowsBetween(Window.unboundedPreceding, -1)
-    total = counts.select(F.sum("n")).scalar()
+    total = F.sum("n").over(Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     before = F.coalesce(F.sum("n").over(w), F.lit(0))
     return counts.select("char", "n", (before < F.lit(coverage) * total).alias("kept"))
 
