@@ -132,7 +132,7 @@ def near_equal_parts(df: DataFrame, size: int, row_id: str = ROW_ID, name: str =
 
 
 def running_sum_before(df: DataFrame, value: str, row_id: str = ROW_ID, name: str = "before",
-                       block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                       block_rows: int = DEFAULT_BLOCK_ROWS, max_id: int | None = None) -> DataFrame:
     """Sum of ``value`` over all rows with a smaller dense ``row_id`` (exclusive prefix sum).
 
     Blocked: totals per block of ``block_rows`` ids, prefix over the block table, then a
@@ -148,7 +148,8 @@ def running_sum_before(df: DataFrame, value: str, row_id: str = ROW_ID, name: st
         .alias("_rs_off"))
     # one row per block: at most max(row_id) div block_rows + 1 rows (one small aggregate job);
     # broadcast only under the bound, a shuffle join otherwise
-    max_id = df.select(F.max(row_id)).first()[0]
+    if max_id is None:
+        max_id = df.select(F.max(row_id)).first()[0]
     n_blocks = 0 if max_id is None else int(max_id) // block_rows + 1
     joined = with_blk.join(_broadcast_bounded(prefix, n_blocks, "blocks"), "_rs_blk")
     inner = Window.partitionBy("_rs_blk").orderBy(row_id).rowsBetween(Window.unboundedPreceding, -1)
@@ -172,16 +173,18 @@ def shard_numbers(df: DataFrame, size_col: str, maxsize: float = 1e9, maxcount:
     checkpoint).  The payload is never sorted or shuffled here.
     """
     narrow = df.select(F.col(row_id).alias("_sh_id"), F.col(size_col).alias("_sh_size"))
-    before = running_sum_before(narrow, "_sh_size", "_sh_id", "_sh_bytes", block_rows)
+    last_id = narrow.select(F.max("_sh_id")).first()[0]
+    if last_id is None:
+        return df.withColumn(name, F.lit(None).cast("long"))
+    before = running_sum_before(narrow, "_sh_size", "_sh_id", "_sh_bytes", block_rows, max_id=last_id)
     keyed = before.select("_sh_id", F.floor(F.col("_sh_bytes") / F.lit(float(maxsize))).alias("_sh_b"),
                           F.floor(F.col("_sh_id") / F.lit(int(maxcount))).alias("_sh_c"))
     starts = keyed.groupBy("_sh_b", "_sh_c").agg(F.min("_sh_id").alias("_sh_start"))
-    last_id = narrow.select(F.max("_sh_id")).scalar()
     # window over the shard table (one row per shard), not over the rows
     w = Window.orderBy("_sh_start")
     shards = starts.select(
         "_sh_start", (F.row_number().over(w) - 1).cast("long").alias("_sh_no"),
-        (F.coalesce(F.lead("_sh_start").over(w), last_id + 1) - 1).alias("_sh_end"))
+        (F.coalesce(F.lead("_sh_start").over(w), F.lit(int(last_id) + 1)) - 1).alias("_sh_end"))
     blk = lambda c: F.floor(F.col(c) / F.lit(block_rows))
     cover = shards.select(F.explode(F.sequence(blk("_sh_start"), blk("_sh_end"))).alias("_sh_blk"),
                           "_sh_start", "_sh_no")
