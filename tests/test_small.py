@@ -65,3 +65,25 @@ def test_spread_by_input_files(spark, tmp_dir):
     assert spread(many) is many  # enough files: no extra shuffle
     derived = spark.range(10)
     assert spread(derived) is derived or spread(derived).rdd.getNumPartitions() == slots
+
+
+def test_label_name_modes_and_file_flags(spark):
+    import pytest
+
+    from capset.sinks import check_bounds
+
+    per = spark.createDataFrame([("i1", "/m/a"), ("i2", "/m/zz")], "image_id string, code string")
+    d = spark.createDataFrame([("/m/a", "Cat")], "code string, name string")
+    assert [r.image_id for r in L.with_label_names(per, d, on_unknown="drop").collect()] == ["i1"]
+    with pytest.raises(KeyError):
+        L.with_label_names(per, d, on_unknown="error")
+    imgs = spark.createDataFrame([("i1", ["Cat"], "p/i1.jpg"), ("i2", ["Dog"], "p/i2.jpg")],
+                                 "image_id string, certain_labels array<string>, path string")
+    files = spark.createDataFrame([("p/i1.jpg",)], "path string")
+    flags = {r.image_id: r.dropped for r in L.flag_dropped(imgs, files).collect()}
+    assert flags == {"i1": False, "i2": True}
+    with pytest.raises(ValueError):
+        L.override_captions(per, per, on="image_id", dedupe="last")
+    with pytest.raises(ValueError):
+        check_bounds(1e9, 1e6)
+    check_bounds(1e9, 100000)
