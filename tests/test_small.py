@@ -87,3 +87,14 @@ def test_label_name_modes_and_file_flags(spark):
     with pytest.raises(ValueError):
         check_bounds(1e9, 1e6)
     check_bounds(1e9, 100000)
+
+
+def test_expected_counts_precounted_and_retry_all(spark):
+    processed = spark.createDataFrame([("f1", "en"), ("f1", "de")], "file string, lang string")
+    expected = spark.createDataFrame([("f1", 3, 2), ("f2", 1, 1)], "file string, expected_rows long, expected_en long")
+    got = {r.file: (r.rows, r.rows_en, r.missing_rows) for r in RS.expected_counts(processed, expected).collect()}
+    assert got == {"f1": (2, 1, 1), "f2": (0, 0, 1)}
+    ledger = spark.createDataFrame([(1, "s", "done", None, 1), (2, "s", "failed", "x", 9)], RS.LEDGER_SCHEMA)
+    assert [r.row_id for r in RS.done_and_failed(ledger, retry_failed=True).collect()] == [1]
+    assert sorted(r.row_id for r in RS.done_and_failed(ledger, stage="s").collect()) == [1, 2]
+    assert RS.done_and_failed(ledger, stage="other").count() == 0
