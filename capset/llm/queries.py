@@ -50,3 +50,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@register("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capset.llm.lang_id import identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, train(docs))
+
+
+@register("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capset.llm.toxicity import score_toxicity, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
