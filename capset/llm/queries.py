@@ -66,3 +66,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return score_toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op5_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capset.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
