@@ -73,3 +73,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from capset.llm.near_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+@register("op8_embedding_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capset.llm.embedding_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
