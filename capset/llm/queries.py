@@ -80,3 +80,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from capset.llm.embedding_dedup import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capset.llm.token_counts import token_counts
+    from capset.llm.vocabulary import load
+
+    return token_counts(table(spark, sf_dir, "documents"), load())
