@@ -101,3 +101,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_pieces(rows, vocabulary).select(
         "doc_id", "sample", F.size("pieces").cast("long").alias("n_pieces"), "log_prob", "key", "log_inclusion",
         F.xxhash64("pieces").alias("pieces_hash"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@register("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capset.llm.html_extract import extract, train
+
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, train(pages))
