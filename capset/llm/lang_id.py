@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from capset.llm.common import held_out
@@ -138,6 +138,17 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).limit(rows)
 
 
+def predicted(text: Column, model: dict) -> Column:
+    """Struct ``lang_pred, score, ambiguous`` of a text column (see ``identify``)."""
+    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in batches:
+            pred, score, near = decode(model, s.tolist())
+            yield pd.DataFrame({"lang_pred": pred, "score": score, "ambiguous": near})
+
+    return run(F.coalesce(text, F.lit("")))
+
+
 def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row: ``doc_id, held_out, lang_pred, score, ambiguous``.
 
@@ -145,19 +156,8 @@ def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     if the model knows no language.  Whole texts are read.  Repeated rows each get a row; a null id is
     not held out.  Only the text decides the prediction; other columns are not read.
     """
-    kind = docs.schema[id_col].dataType
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in batches:
-            pred, score, near = decode(shared.value, df["text"].tolist())
-            yield pd.DataFrame({"_id": df["_id"], "held_out": df["held_out"], "lang_pred": pred, "score": score,
-                                "ambiguous": near})
-
-    rows = docs.select(F.col(id_col).cast("string").alias("_id"), held_out(F.col(id_col)).alias("held_out"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "_id string, held_out boolean, lang_pred string, score double, ambiguous boolean") \
-        .withColumn("doc_id", F.col("_id").cast(kind)).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+    return docs.select(F.col(id_col).alias("doc_id"), held_out(F.col(id_col)).alias("held_out"),
+                       predicted(F.col(text_col), model).alias("_p")).select("doc_id", "held_out", "_p.*")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -379,9 +379,11 @@ class Sampler:
 
 
 def sample_segmentations(docs: DataFrame, vocabulary: Vocabulary, k: int = 2, seed: int = 23, id_col: str = "doc_id",
-                         text_col: str = "text") -> DataFrame:
+                         text_col: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, sample`` (1 to ``k``), ``pieces, log_prob, key, log_inclusion``: the sampled segmentations.
 
+    ``more`` names text columns that go along.
+
     Up to ``k`` rows per row, distinct segmentations of the whole text in falling order of their keys (perturbed
     log-probabilities); fewer where a text has fewer.  Null and empty texts have one, without pieces, of
     probability 1.  ``log_inclusion`` is the log of the probability that a segmentation is among
@@ -391,35 +393,36 @@ def sample_segmentations(docs: DataFrame, vocabulary: Vocabulary, k: int = 2, se
     """
     kind = docs.schema[id_col].dataType
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    names = ["_id", *[f"_more{i}" for i in range(len(more))]]
+    columns = [*names, "sample", "pieces", "log_prob", "key", "log_inclusion"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sampler = Sampler(shared.value, k, seed)
         for df in batches:
             rows, size = [], 0
-            got = sampler.sample(df["_key"].tolist(), df["text"].tolist())
-            for name, samples in zip(df["_id"], got, strict=True):
+            got = sampler.sample(df["_key"].tolist(), df["_text"].tolist())
+            for row, samples in zip(df[names].itertuples(index=False, name=None), got, strict=True):
                 for n, (pieces, phi, g, log_in) in enumerate(samples, 1):
-                    rows.append((name, n, pieces, phi, g, log_in))
+                    rows.append((*row, n, pieces, phi, g, log_in))
                     size += len(pieces)
                 if size > _OUT:
-                    yield _frame(rows)
+                    yield pd.DataFrame(rows, columns=columns)
                     rows, size = [], 0
-            yield _frame(rows)
+            yield pd.DataFrame(rows, columns=columns)
 
     # the key of a row's draws: any id, as a hash of its text form
-    rows = docs.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("text"),
-                       F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("0"))).alias("_key"))
+    rows = docs.select(F.col(id_col).cast("string").alias("_id"), *[F.col(c).alias(n) for c, n in zip(more, names[1:], strict=True)],
+                       F.col(text_col).alias("_text"), F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("0"))).alias("_key"))
+    strings = ", ".join(f"{n} string" for n in names)
     return rows.mapInPandas(
-        run, "_id string, sample int, pieces array<int>, log_prob double, key double, log_inclusion double").select(
-        F.col("_id").cast(kind).alias("doc_id"), "sample", "pieces", "log_prob", "key", "log_inclusion")
+        run, f"{strings}, sample int, pieces array<int>, log_prob double, key double, log_inclusion double").select(
+        F.col("_id").cast(kind).alias("doc_id"), *[F.col(n).alias(c) for c, n in zip(more, names[1:], strict=True)],
+        "sample", "pieces", "log_prob", "key", "log_inclusion")
 
 
 _OUT = 2_000_000  # pieces in a frame that goes back to Spark
 
 
-def _frame(rows: list) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["_id", "sample", "pieces", "log_prob", "key", "log_inclusion"])
-
 
 class Decoder:
     """Piece ids to text: the exact inverse of encoding for any segmentation."""
