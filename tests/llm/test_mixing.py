@@ -91,4 +91,4 @@ def test_odd_tables(spark):
     assert sorted((r.doc_id, r.source, r.size, r.taken) for r in got) == [(1, None, 0, 0), (2, "a", 0, 0)]
     # rows that repeat an id are documents of their own
     got = mix(frame(spark, [(1, "a b c d", "x")] * 5 + [(None, "a b", "x")], DOC)).collect()
-    assert len(got) == 6 and sum(r.taken for r in got) == 16 and all(r.source_size == 22 for r in got)
+    assert len(got) == 6 and sum(r.taken for r in got) == 22 and all(r.source_size == 22 for r in got)
