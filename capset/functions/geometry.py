@@ -11,8 +11,10 @@ def _c(c) -> Column:
 
 
 def cover_scale(w, h, box_w, box_h) -> Column:
-    """Scale factor that makes the image cover the box: ``max(W / w, H / h)`` in double."""
-    return F.greatest(_c(box_w).cast("double") / _c(w), _c(box_h).cast("double") / _c(h))
+    """Scale factor that makes the image cover the box: ``max(W / w, H / h)`` in double; null if the
+    image has no area."""
+    w, h = _c(w), _c(h)
+    return F.when((w > 0) & (h > 0), F.greatest(F.try_divide(_c(box_w).cast("double"), w), F.try_divide(_c(box_h).cast("double"), h)))
 
 
 def fit_size(w, h, box_w, box_h) -> Column:
@@ -22,9 +24,10 @@ def fit_size(w, h, box_w, box_h) -> Column:
 
 
 def size_action(w, h, min_side: int, max_side: int) -> Column:
-    """``discard`` when both sides are below ``min_side``; ``resize`` when a side is above
-    ``max_side``; ``keep`` otherwise (the discard test wins)."""
+    """``discard`` when both sides are below ``min_side`` or one is unknown or not positive; ``resize`` when
+    a side is above ``max_side``; ``keep`` otherwise (the discard test wins)."""
     w, h = _c(w), _c(h)
-    return (F.when((w < min_side) & (h < min_side), F.lit("discard"))
+    known = F.coalesce((w > 0) & (h > 0), F.lit(False))
+    return (F.when(~known | ((w < min_side) & (h < min_side)), F.lit("discard"))
             .when((w > max_side) | (h > max_side), F.lit("resize"))
             .otherwise(F.lit("keep")))

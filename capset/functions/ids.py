@@ -29,20 +29,42 @@ def batch_name(c, size: int, width: int = 5, prefix: str = "") -> Column:
     return pad_id(batch_of(c, size), width, prefix)
 
 
-def base_name(c) -> Column:
-    """Last path segment of a path or URL (query string and fragment removed)."""
-    no_query = F.regexp_replace(_c(c), r"[?#].*$", "")
-    return F.regexp_extract(no_query, r"([^/]*)/*$", 1)
+def file_name(path) -> Column:
+    """Last segment of a file path, every character of it (``#`` and ``?`` are part of file names)."""
+    return F.regexp_extract(_c(path), r"(?s)([^/]*)/*$", 1)
 
 
-def stem(c) -> Column:
-    """Base name without its last extension (``Path.stem``)."""
-    return F.regexp_extract(base_name(c), r"^(.+?)(\.[^.]*)?$", 1)
+def base_name(url) -> Column:
+    """Last path segment of a URL (query string and fragment removed)."""
+    return file_name(F.regexp_replace(_c(url), r"(?s)[?#].*$", ""))
 
 
-def extension(c) -> Column:
-    """Last extension without the dot, lower-case; empty when none."""
-    return F.lower(F.regexp_extract(base_name(c), r"^.+?\.([^.]*)$", 1))
+def _stem(name: Column) -> Column:
+    return F.regexp_extract(name, r"(?s)^(.+?)(\.[^.]*)?$", 1)
+
+
+def _extension(name: Column) -> Column:
+    return F.lower(F.regexp_extract(name, r"(?s)^.+?\.([^.]*)$", 1))
+
+
+def stem(url) -> Column:
+    """Base name of a URL without its last extension."""
+    return _stem(base_name(url))
+
+
+def file_stem(path) -> Column:
+    """File name without its last extension (``Path.stem``)."""
+    return _stem(file_name(path))
+
+
+def extension(url) -> Column:
+    """Last extension of a URL without the dot, lower-case; empty when none."""
+    return _extension(base_name(url))
+
+
+def file_extension(path) -> Column:
+    """Last extension of a file path without the dot, lower-case; empty when none."""
+    return _extension(file_name(path))
 
 
 def parent_dir(c) -> Column:
@@ -50,10 +72,20 @@ def parent_dir(c) -> Column:
     return F.regexp_extract(_c(c), r"^(.*)/[^/]*$", 1)
 
 
-def numeric_id(c) -> Column:
-    """Digits of a file name before its extension, as bigint (``w00000042.txt`` -> 42)."""
-    digits = F.regexp_extract(base_name(c), r"(\d+)(\.[^.]*)?$", 1)
-    return F.when(digits != "", digits.cast("long"))
+def _number(name: Column) -> Column:
+    digits = F.regexp_extract(name, r"(\d+)(\.[^.]*)?$", 1)
+    return F.when(digits != "", digits.try_cast("long"))
+
+
+def numeric_id(url) -> Column:
+    """Digits of a URL's base name before its extension, as bigint (``w00000042.txt`` -> 42); null if there
+    are none or too many for a bigint."""
+    return _number(base_name(url))
+
+
+def file_number(path) -> Column:
+    """The same of a file path."""
+    return _number(file_name(path))
 
 
 def last_part(c, sep: str = "_") -> Column:

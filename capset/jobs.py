@@ -49,37 +49,39 @@ def shards_from_folder(spark: SparkSession, data: str, shards: str, maxsize: flo
     check_bounds(maxsize, maxcount)
     img_key, cap_key = SM.image_text_keys(image_text_keys)
     files = FS.scan_files(spark, data)
+    profiles = FS.image_profiles(spark, data).select(F.col("path").alias("img_path"), "valid")
     images = P.by_extension(files, P.IMAGE_EXTS)
     texts = P.by_extension(files, ["txt"])
-    pairs = P.pair(images, texts, scope)
-    valid = FS.image_profiles(spark, data).select(F.col("path").alias("img_path"), "valid")
-    pairs = pairs.join(valid, "img_path", "left").where(F.coalesce(F.col("valid"), F.lit(False)))
-    keys = ["folder", "stem"] if scope == "folder" else ["stem"]
-    numbered = R.dense_positions(pairs.select(*keys, "img_path", "txt_path").orderBy(*keys), "pos")
-    # bytes are read late, after pairing, and each file once: image and text contents come from
-    # two scans whose listings are restricted to their own extensions
-    img_bytes = FS.scan_files(spark, data, exts=P.IMAGE_EXTS, with_content=True) \
-        .select(F.col("path").alias("img_path"), F.col("content").alias(img_key))
-    txt_bytes = FS.scan_files(spark, data, exts=["txt"], with_content=True) \
-        .select(F.col("path").alias("txt_path"), F.col("content").alias(cap_key))
-    samples = (numbered.join(img_bytes, "img_path").join(txt_bytes, "txt_path")
-               .withColumn("key", I.pad_id("pos", 9)))
+    length = files.select(F.col("path").alias("_p"), F.col("length").alias("_n"))
+    paired = P.pair(images, texts, scope).select("folder", "stem", "img_path", "txt_path") if scope == "folder" \
+        else P.pair(images, texts, scope).select(F.lit("").alias("folder"), "stem", "img_path", "txt_path")
+    paired = R.materialize(paired.join(profiles, "img_path", "left").withColumn("valid", FS.profiled("valid", "img_path")))
+    # everything up to the write works on paths and lengths: positions, seeded order, shards
+    valid = paired.where("valid")
+    keys = ["folder", "stem"]
+    numbered = R.dense_positions(valid.orderBy(*keys), "pos").withColumn("key", I.pad_id("pos", 9))
     cols = ["key", img_key, cap_key]
+    samples = numbered.withColumns({img_key: F.col("img_path"), cap_key: F.col("txt_path")})
     if json:
-        side = FS.scan_sidecars(spark, data).where(~F.col("corrupt")).select(*keys, "json")
+        side = FS.scan_sidecars(spark, data).where(~F.col("corrupt")).select("folder", "stem", "json")
+        if scope != "folder":
+            side = side.groupBy("stem").agg(F.max("json").alias("json")).withColumn("folder", F.lit(""))
         samples = P.with_sidecar(samples, side, on=keys)
         cols.append("json")
-    out = samples.select(*cols).orderBy(F.md5(F.concat(F.col("key"), F.lit(str(seed)))))
-    write_tar_shards(out, shards, maxcount=int(maxcount), maxsize=maxsize, prefix=shard_prefix,
-                     compression="gzip" if compression else None, check=False)
+    for side, name in (("img_path", "_img_n"), ("txt_path", "_txt_n")):
+        samples = samples.join(length.withColumnsRenamed({"_p": side, "_n": name}), side)
+    ordered = samples.select(*cols, (F.col("_img_n") + F.col("_txt_n")).alias("_bytes")).orderBy(
+        F.md5(F.concat(F.col("key"), F.lit(str(seed)))))
+    write_tar_shards(R.dense_positions(ordered, "row_id"), shards, maxcount=int(maxcount), maxsize=maxsize, prefix=shard_prefix,
+                     compression="gzip" if compression else None, check=False, packing="prefix", size_col="_bytes",
+                     path_fields=[img_key, cap_key])
     counts = P.pair_counts(files.withColumn("valid", F.lit(True)), scope)
-    invalid = valid.where(~F.col("valid")).count()
-    written = numbered.count()
+    invalid, written = profiles.where(~F.col("valid")).count(), valid.count()
     return counts.select("texts", "images", "pairs", F.lit(invalid).alias("invalid_images"),
                          F.lit(written).alias("written"))
 
 
-def shards_from_tfrecords(spark: SparkSession, data: str, shards: str, features: str = TFRECORD_FEATURES,
+def shards_from_tfrecords(spark: SparkSession, data: str, shards: str, features: str | None = TFRECORD_FEATURES,
                           keep_keys: str = "image.pyd,label.cls", use_encoder: bool = False,
                           remove_duplicates: str = "image", min_max_size: str = "192,320",
                           maxsize: float = 1e9, maxcount: float = 100000, shard_prefix: str = "wds_",
@@ -87,30 +89,54 @@ def shards_from_tfrecords(spark: SparkSession, data: str, shards: str, features:
     """TFRecord examples -> first copy per ``md5(remove_duplicates)`` (in file order, before the
     size rule) -> discard / resize / keep by ``min_max_size`` -> kept keys -> tar shards.
 
-    Sample keys are ``%09d`` of the running record number (gaps where records were skipped).
-    Returns the run report (total, duplicates, discarded, resized, remaining).
+    ``features`` is the schema, or None to infer it from the first record; an empty ``keep_keys`` keeps all
+    fields.  Sample keys are ``%09d`` of the running record number (gaps where records were
+    skipped).  Images are not scaled here: samples beyond the size get a field ``resize_to`` (``WxH``).
+    Returns the run report (total, duplicates, discarded, to_resize, remaining).
     """
     from capset.sources import tfrecord
 
     check_bounds(maxsize, maxcount)
     tfrecord.register(spark)
-    df = (spark.read.format("tfrecord").schema(f"{features}, _file string, _index bigint").load(data))
-    df = R.with_row_id_from(df, "_file", "_index").withColumn("key", I.pad_id("row_id", 9))
-    if remove_duplicates:
-        df = D.flag_duplicates(df.withColumn("_md5", F.md5(F.col(remove_duplicates))), "_md5", "row_id")
-    else:
-        df = df.withColumn("is_duplicate", F.lit(False))
+    ddl = features or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tfrecord.infer_schema(data).fields)
+    df = spark.read.format("tfrecord").schema(f"{ddl}, _file string, _index bigint").load(data)
+    names = [c for c in df.columns if c not in ("_file", "_index")]
+    # one decode decides everything; what it needs of a record is narrow and written down
+    content = F.md5(F.col(remove_duplicates).cast("binary")) if remove_duplicates else F.lit(None).cast("string")
+    sides = [F.col(c).cast("long").alias(c) if c in names else F.lit(None).cast("long").alias(c) for c in ("width", "height")]
+    narrow = R.materialize(df.select("_file", "_index", content.alias("_md5"), *sides))
+    narrow = R.with_row_id_from(narrow, "_file", "_index")
+    narrow = D.flag_duplicates(narrow, "_md5", "row_id") if remove_duplicates else narrow.withColumn("is_duplicate", F.lit(False))
     if min_max_size:
         lo, hi = (int(x) for x in min_max_size.split(","))
-        df = D.apply_size_rule(df, "width", "height", lo, hi)
+        narrow = D.apply_size_rule(narrow, "width", "height", lo, hi)
+        target = F.when(F.col("action") == "resize", F.concat_ws("x", "new_width", "new_height"))
     else:
-        df = df.withColumn("action", F.lit("keep"))
-    kept = df.where(~F.col("is_duplicate") & (F.col("action") != "discard"))
-    mapping = {k.split(".")[0]: k for k in keep_keys.split(",") if k}
-    samples = SM.to_samples(kept, mapping, use_encoder=use_encoder)
+        narrow, target = narrow.withColumn("action", F.lit("keep")), F.lit(None).cast("string")
+    decided = R.materialize(narrow.withColumn("resize_to", target).select(
+        "_file", "_index", "row_id", "is_duplicate", "action", "resize_to"))
+    kept = decided.where(~F.col("is_duplicate") & (F.col("action") != "discard"))
+    wanted = {k.split(".")[0]: k for k in keep_keys.split(",") if k} or {n: n for n in names}
+    if missing := set(wanted) - set(names):
+        raise ValueError(f"fields to keep that the records lack: {sorted(missing)}")
+    again = df.select("_file", "_index", *[_raw(df, c).alias(c) for c in wanted])
+    sized = again.join(kept, ["_file", "_index"]).withColumn("key", I.pad_id("row_id", 9))
+    nbytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in wanted), F.lit(0))
+    dense = R.dense_positions(kept.select("_file", "_index", "row_id").orderBy("row_id"), "_dense").select("_file", "_index", "_dense")
+    samples = SM.to_samples(sized.join(dense, ["_file", "_index"]).withColumn("_bytes", nbytes), wanted | {
+        "resize_to": "resize_to", "_dense": "row_id", "_bytes": "_bytes"}, use_encoder=use_encoder)
     write_tar_shards(samples, shards, maxcount=int(maxcount), maxsize=maxsize, prefix=shard_prefix,
-                     compression="gzip" if compression else None, check=False)
-    return D.run_report(df)
+                     compression="gzip" if compression else None, check=False, packing="prefix", size_col="_bytes")
+    return D.run_report(decided)
+
+
+def _raw(df: DataFrame, name: str):
+    """A field's bytes: numbers and lists as text."""
+    kind = dict(df.dtypes)[name]
+    c = F.col(name)
+    if kind == "binary":
+        return c
+    return F.encode(F.to_json(F.struct(c.alias("v"))) if kind.startswith("array") else c.cast("string"), "UTF-8")
 
 
 def captions_from_manifest(spark: SparkSession, path: str, out: str | None = None, languages=("en",),
@@ -144,33 +170,38 @@ def captions_from_manifest(spark: SparkSession, path: str, out: str | None = Non
 def done_in_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Ids whose text and image file both exist below ``folder`` (``<id>.txt`` + ``<id>.jpg`` ...)."""
     files = FS.scan_files(spark, folder, exts=["txt"] + list(P.IMAGE_EXTS))
-    ids = files.select(I.numeric_id("path").alias("row_id"), (F.col("ext") == "txt").alias("_t")) \
+    ids = files.select(I.file_number("path").alias("row_id"), (F.col("ext") == "txt").alias("_t")) \
                .where(F.col("row_id").isNotNull())
     per_id = ids.groupBy("row_id").agg(F.bool_or("_t").alias("t"), F.bool_or(~F.col("_t")).alias("i"))
     return per_id.where("t AND i").select("row_id")
 
 
-def captions_from_labels(spark: SparkSession, annotations: dict, dictionary: str, narratives=None,
-                         out: str | None = None, seed: int = 0, image_root: str = "images/256px/",
+def captions_from_labels(spark: SparkSession, annotations: dict, dictionary: str, templates, endings, narratives=None,
+                         images: str | None = None, out: str | None = None, seed: int = 0, image_root: str = "images/256px/",
                          split_order=("validation", "train", "test")) -> DataFrame:
-    """Label annotation CSVs per split -> labels per image (certain = confidence 1) with names ->
-    template captions -> narratives replace captions -> one row per image, later splits win."""
+    """Label annotation CSVs per split -> labels per image (certain = confidence 1, repeats kept) with names ->
+    template captions -> narratives replace captions -> one row per image, later splits win.
+
+    ``templates`` and ``endings``: see ``labels.render_captions``.  With ``images`` (the folder that holds
+    ``image_root``) images without a file count as dropped.  Of several narratives of an image the last
+    one in the order of the files given, then of their lines, is taken."""
     ann = M.read_annotations(spark, annotations)
     names = M.read_dictionary(spark, dictionary)
+    present = None if images is None else FS.scan_files(spark, images).select(F.col("rel").alias("path"))
     per_split = []
     for split in split_order:
         if split not in annotations:
             continue
         a = ann.where(F.col("split") == split)
         per = L.labels_per_image(a, image="ImageID", label="LabelName", confidence="Confidence",
-                                 order="order", dictionary=names)
-        per = L.flag_dropped(per)
-        caps = L.render_captions(per, seed=seed)
-        caps = caps.withColumn("path", SM.image_path(F.lit(split), "image_id", image_root))
+                                 order="order", dictionary=names, repeats=True)
+        per = per.withColumn("path", SM.image_path(F.lit(split), "image_id", image_root))
+        per = L.flag_dropped(per, present)
+        caps = L.render_captions(per, templates, endings, seed=seed)
         per_split.append(caps.select("image_id", "path", "caption", "dropped"))
     merged = L.last_wins_union(per_split, key="image_id")
     if narratives:
-        n = M.read_narratives(spark, narratives).withColumn("_n_order", F.monotonically_increasing_id())
+        n = M.read_narratives(spark, narratives, order="_n_order")
         merged = L.override_captions(merged, n, on="image_id", dedupe="last", order="_n_order") \
                   .drop("_n_order")
     res = merged.select("image_id", "path", "caption", "dropped")

@@ -49,11 +49,11 @@ def apply_size_rule(df: DataFrame, w: str = "width", h: str = "height", min_side
 
 
 def run_report(flagged: DataFrame, duplicate: str = "is_duplicate", action: str = "action") -> DataFrame:
-    """One row: total, duplicates, discarded, resized, remaining (a single aggregate)."""
+    """One row: total, duplicates, discarded, to_resize, remaining (a single aggregate)."""
     dup = F.col(duplicate)
     return flagged.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(dup).cast("long").alias("duplicates"),
         F.count_if(~dup & (F.col(action) == "discard")).cast("long").alias("discarded"),
-        F.count_if(~dup & (F.col(action) == "resize")).cast("long").alias("resized"),
+        F.count_if(~dup & (F.col(action) == "resize")).cast("long").alias("to_resize"),
     ).withColumn("remaining", F.col("total") - F.col("duplicates") - F.col("discarded"))

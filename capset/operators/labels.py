@@ -6,9 +6,9 @@ Scale notes
 * ``labels_per_image`` first aggregates ``(image, certain, label)`` with a map-side partial
   aggregate, so an image with millions of annotation rows collapses to one row per distinct
   label before anything is shuffled; the per-image list is then bounded by the label
-  vocabulary, never by the number of rows.  Repeated annotations of one label are counted
-  (``n_certain``/``n_uncertain``), the name is listed once, in first-seen order.
-* Label names are a dictionary: broadcast only after a bounded row count check.
+  vocabulary, never by the number of rows.  A name is listed once, in first-seen order, and its number of
+  annotations beside it (``certain_counts``/``uncertain_counts``); ``repeats=True`` lists every row.
+* Label names are a dictionary; whether it is broadcast is left to the planner, which knows its size.
 * ``override_captions`` splits the left join into an inner join (AQE can split a skewed key on
   either side) plus an anti join against *distinct* narrative keys.
 * ``last_wins_union`` is a ``max_by`` aggregate, which is partial-aggregated map-side.
@@ -24,44 +24,10 @@ from pyspark.sql import functions as F
 from capset.functions.hashing import seeded_bucket, seeded_unit
 from capset.functions.text import collapse_lower
 
-DICTIONARY_MAX_ROWS = 1_000_000
-
-# --- fixed values: default caption templates (our own wording) ---------------------------
-# ``{certain}`` is replaced by the certain labels, ``{maybe}`` by the uncertain ones.  The
-# "maybe" templates are every label template followed by every suffix (15 x 4 = 60).
-LABEL_TEMPLATES = (
-    "a picture of {certain}",
-    "a photo showing {certain}",
-    "an image with {certain}",
-    "a small picture of {certain}",
-    "a blurry photo of {certain}",
-    "a sharp picture of {certain}",
-    "a low quality photo of {certain}",
-    "a high quality image of {certain}",
-    "a snapshot of {certain}",
-    "{certain} in a photo",
-    "{certain} in an image",
-    "a rendering of {certain}",
-    "a jpeg image of {certain}",
-    "a nice photo of {certain}",
-    "{certain} shown in a picture",
-)
-MAYBE_SUFFIXES = (
-    " and perhaps {maybe}",
-    " and possibly also {maybe}",
-    " and {maybe}, not certain",
-    " and roughly {maybe}",
-)
-# ------------------------------------------------------------------------------------------
-
-
-def maybe_templates(templates=LABEL_TEMPLATES, suffixes=MAYBE_SUFFIXES) -> tuple[str, ...]:
-    return tuple(t + s for s in suffixes for t in templates)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DICTIONARY_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count bound (a small job on a dictionary)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+def maybe_templates(templates, endings) -> tuple[str, ...]:
+    """Every template with every ending."""
+    return tuple(t + e for e in endings for t in templates)
 
 
 def with_label_names(df: DataFrame, dictionary: DataFrame, code: str = "code", name: str = "name",
@@ -69,7 +35,7 @@ def with_label_names(df: DataFrame, dictionary: DataFrame, code: str = "code", n
     """Look up label names.  Unknown codes keep the code as name and ``unknown = true``;
     ``on_unknown='drop'`` removes them, ``'error'`` raises on the driver if any exists."""
     d = dictionary.select(F.col(code).alias("_code"), F.col(name).alias("_name")).dropDuplicates(["_code"])
-    out = df.join(broadcast_if_small(d), df[code] == F.col("_code"), "left")
+    out = df.join(d, df[code] == F.col("_code"), "left")
     out = out.withColumn("unknown", F.col("_code").isNull()) \
              .withColumn(name, F.coalesce(F.col("_name"), F.col(code))).drop("_code", "_name")
     if on_unknown == "drop":
@@ -83,32 +49,38 @@ def with_label_names(df: DataFrame, dictionary: DataFrame, code: str = "code", n
 
 def labels_per_image(df: DataFrame, image: str = "image_id", label: str = "label",
                      confidence: str = "confidence", order: str = "order", certain: Column | None = None,
-                     dictionary: DataFrame | None = None) -> DataFrame:
-    """One row per image: certain / uncertain label lists (first-seen order) and counts.
+                     dictionary: DataFrame | None = None, repeats: bool = False) -> DataFrame:
+    """One row per image: certain / uncertain label lists (first-seen order), their counts, totals.
 
     ``certain`` defaults to ``confidence == 1``.  With a ``dictionary(code, name)`` the codes are
-    replaced by names (unknown codes kept and counted in ``n_unknown``).
+    replaced by names (unknown codes kept and counted in ``n_unknown``).  ``repeats=True`` gives each
+    annotation row its own entry, in row order: an image's list is then as long as its rows are many.
     """
     cert = certain if certain is not None else (F.col(confidence) == 1)
-    per = (df.select(F.col(image).alias("image_id"), F.col(label).alias("code"),
-                     cert.alias("certain"), F.col(order).alias("_ord"))
-             .groupBy("image_id", "certain", "code")
-             .agg(F.min("_ord").alias("_first"), F.count(F.lit(1)).alias("_n")))
+    rows = df.select(F.col(image).alias("image_id"), F.col(label).alias("code"), cert.alias("certain"),
+                     F.col(order).alias("_first"), F.lit(1).cast("long").alias("_n"))
+    per = rows if repeats else rows.groupBy("image_id", "certain", "code").agg(
+        F.min("_first").alias("_first"), F.sum("_n").alias("_n"))
     if dictionary is not None:
         per = with_label_names(per, dictionary, "code", "name")
     else:
         per = per.withColumn("name", F.col("code")).withColumn("unknown", F.lit(False))
-    entry = F.struct(F.col("_first"), F.col("name"))
+    sure, unsure = F.col("certain"), ~F.col("certain")
+    entry = F.struct("_first", "name", "_n")
+
+    def listed(kind: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when(kind, entry)))
+
+    def total(kind: Column) -> Column:
+        return F.coalesce(F.sum(F.when(kind, F.col("_n"))), F.lit(0)).cast("long")
+
+    unknown = F.collect_set(F.when(F.col("unknown"), F.struct("certain", "code")))
     out = per.groupBy("image_id").agg(
-        F.sort_array(F.collect_list(F.when(F.col("certain"), entry))).alias("_c"),
-        F.sort_array(F.collect_list(F.when(~F.col("certain"), entry))).alias("_u"),
-        F.coalesce(F.sum(F.when(F.col("certain"), F.col("_n"))), F.lit(0)).cast("long").alias("n_certain"),
-        F.coalesce(F.sum(F.when(~F.col("certain"), F.col("_n"))), F.lit(0)).cast("long").alias("n_uncertain"),
-        F.count_if(F.col("unknown")).cast("long").alias("n_unknown"))
+        listed(sure).alias("_c"), listed(unsure).alias("_u"), total(sure).alias("n_certain"),
+        total(unsure).alias("n_uncertain"), F.size(unknown).cast("long").alias("n_unknown"))
     return out.select(
-        "image_id",
-        F.transform("_c", lambda x: x["name"]).alias("certain_labels"),
-        F.transform("_u", lambda x: x["name"]).alias("uncertain_labels"),
+        "image_id", F.col("_c.name").alias("certain_labels"), F.col("_u.name").alias("uncertain_labels"),
+        F.col("_c._n").alias("certain_counts"), F.col("_u._n").alias("uncertain_counts"),
         "n_certain", "n_uncertain", "n_unknown")
 
 
@@ -135,16 +107,20 @@ def split_report(per_image: DataFrame, split: str = "split", dropped: str = "dro
     return r.select(F.coalesce(F.col(split), F.lit("total")).alias(split), "num_samples", "dropped")
 
 
-def render_captions(per_image: DataFrame, seed: int = 0, key: str = "image_id",
-                    templates=LABEL_TEMPLATES, suffixes=MAYBE_SUFFIXES, strict: bool = True,
-                    p_maybe: float = 0.5) -> DataFrame:
+def render_captions(per_image: DataFrame, templates, endings, seed: int = 0, key: str = "image_id",
+                    strict: bool = True, p_maybe: float = 0.5) -> DataFrame:
     """Caption from a template: the "maybe" branch with probability ``p_maybe`` (seeded by key),
     then a seeded template; white space collapsed, lower-cased.
 
+    ``templates`` hold ``{certain}`` where the certain labels go; the "maybe" branch takes a
+    template with one of the ``endings``, which hold ``{maybe}`` for the uncertain ones.  Both are
+    the caller's (any sequence of strings, as read from a file or table).
+
     ``strict=True`` takes the maybe branch only when uncertain labels exist; ``strict=False``
     follows the reference and may render an empty uncertain list.
     """
-    maybe = maybe_templates(templates, suffixes)
+    templates, endings = tuple(templates), tuple(endings)
+    maybe = maybe_templates(templates, endings)
     certain = F.array_join("certain_labels", ", ")
     uncertain = F.array_join("uncertain_labels", ", ")
     draw = seeded_unit(key, seed)
@@ -165,15 +141,19 @@ def append_all(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
+def last_wins(df: DataFrame, key: str, input_col: str, order: str | None = None) -> DataFrame:
+    """Of the rows of a key, the one of the largest ``input_col`` (and of these, of the largest ``order``):
+    one scan where the inputs are told apart by a column."""
+    rank = F.struct(F.col(input_col), F.col(order)) if order else F.col(input_col)
+    cols = [c for c in df.columns if c != key]
+    winner = F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_w")
+    return df.groupBy(key).agg(winner).select(key, *[F.col("_w")[c].alias(c) for c in cols])
+
+
 def last_wins_union(dfs, key: str, order: str | None = None) -> DataFrame:
     """Union by key where a later input wins (and within one input the largest ``order``)."""
     tagged = [d.withColumn("_input", F.lit(i)) for i, d in enumerate(dfs)]
-    u = append_all(*tagged)
-    rank = F.struct(F.col("_input"), F.col(order)) if order else F.col("_input")
-    cols = [c for c in u.columns if c != key]
-    winner = F.max_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_w")
-    return u.groupBy(key).agg(winner).select(key, *[F.col("_w")[c].alias(c) for c in cols]) \
-            .withColumnRenamed("_input", "input")
+    return last_wins(append_all(*tagged), key, "_input", order).withColumnRenamed("_input", "input")
 
 
 def override_captions(df: DataFrame, narratives: DataFrame, on: str, caption: str = "caption",

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capset.functions.ids import numeric_id
+from capset.functions.ids import file_number
 
 LEDGER_SCHEMA = "row_id bigint, stage string, status string, error string, attempts int"
 
@@ -34,7 +34,7 @@ def pending(df: DataFrame, done: DataFrame, on: str = "row_id", done_on: str | N
 
 def ids_from_files(files: DataFrame, path_col: str = "path", name: str = "row_id") -> DataFrame:
     """Distinct numeric ids read off file names (``00000042.txt`` -> 42)."""
-    return files.select(numeric_id(path_col).alias(name)).where(F.col(name).isNotNull()).distinct()
+    return files.select(file_number(path_col).alias(name)).where(F.col(name).isNotNull()).distinct()
 
 
 def ledger_from(ids: DataFrame, stage: str, status: str, on: str = "row_id") -> DataFrame:

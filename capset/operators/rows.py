@@ -10,8 +10,7 @@ file scan itself:
   per-split count table.
 
 In both cases the only ordered computation runs over a table with one row per file or split,
-never over the rows themselves, and that table is joined back with a broadcast whose size is
-bounded by the number of input splits (checked).
+never over the rows themselves; that table is joined back, by whatever join the planner takes for its size.
 
 Running sums over row-scale data (shard packing) use the same idea with fixed-size blocks of
 row ids: per-block totals (one row per block), a prefix over the block table, and a window
@@ -26,16 +25,12 @@ from pyspark.sql import functions as F
 from capset.functions.ids import batch_of, pad_id
 
 ROW_ID = "row_id"
-# Bounds for the small tables that are broadcast back (one row per split / per block / per shard).
-MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_BLOCK_ROWS = 1 << 20
 
 
-def _broadcast_bounded(small: DataFrame, bound: int, what: str) -> DataFrame:
-    """Broadcast a derived table whose row count is known to be at most ``bound``."""
-    if bound > MAX_BROADCAST_ROWS:
-        return small  # let the planner pick a shuffle join
-    return F.broadcast(small)
+def _found(offset: str, what: str):
+    """An offset that must be there: rows never vanish because two scans were cut differently."""
+    return F.coalesce(F.col(offset), F.raise_error(F.lit(f"a {what} of the second scan was not in the first")).cast("long"))
 
 
 def with_row_id(df: DataFrame, name: str = ROW_ID, source: str = "auto") -> DataFrame:
@@ -46,7 +41,6 @@ def with_row_id(df: DataFrame, name: str = ROW_ID, source: str = "auto") -> Data
     Put ids in at ingestion, before filters, and materialise (``materialize``) when the
     result feeds several jobs.
     """
-    n_files = max(1, len(df.inputFiles()))
     if source == "auto":
         try:
             df.select(F.col("_metadata.row_index")).schema
@@ -60,8 +54,8 @@ def with_row_id(df: DataFrame, name: str = ROW_ID, source: str = "auto") -> Data
         offsets = per_file.select(
             "_rid_file",
             (F.sum("_rid_n").over(Window.orderBy("_rid_file")) - F.col("_rid_n")).alias("_rid_off"))
-        out = rows.join(_broadcast_bounded(offsets, n_files, "files"), "_rid_file")
-        return out.withColumn(name, F.col("_rid_off") + F.col("_rid_pos")) \
+        out = rows.join(offsets, "_rid_file", "left")
+        return out.withColumn(name, _found("_rid_off", "file") + F.col("_rid_pos")) \
                   .drop("_rid_file", "_rid_pos", "_rid_off")
     rows = (df.withColumn("_rid_file", F.col("_metadata.file_path"))
               .withColumn("_rid_blk", F.col("_metadata.file_block_start"))
@@ -72,22 +66,20 @@ def with_row_id(df: DataFrame, name: str = ROW_ID, source: str = "auto") -> Data
     offsets = per_split.select(
         "_rid_file", "_rid_blk", "_rid_min",
         (F.sum("_rid_n").over(w) - F.col("_rid_n")).alias("_rid_off"))
-    # splits: at most files x (file size / block) -- bounded by the input listing
-    out = rows.join(_broadcast_bounded(offsets, n_files * 64, "splits"), ["_rid_file", "_rid_blk"])
-    return out.withColumn(name, F.col("_rid_off") + F.col("_rid_mid") - F.col("_rid_min")) \
+    out = rows.join(offsets, ["_rid_file", "_rid_blk"], "left")
+    return out.withColumn(name, _found("_rid_off", "split") + F.col("_rid_mid") - F.col("_rid_min")) \
               .drop("_rid_file", "_rid_blk", "_rid_mid", "_rid_min", "_rid_off")
 
 
-def with_row_id_from(df: DataFrame, file_col: str, index_col: str, name: str = ROW_ID,
-                     max_files: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def with_row_id_from(df: DataFrame, file_col: str, index_col: str, name: str = ROW_ID) -> DataFrame:
     """Row ids in file order for sources that report ``(file, position in file)`` themselves
     (e.g. the ``tfrecord`` source's ``_file``/``_index``): per-file counts (one row per file),
-    offsets by file name, broadcast back."""
+    offsets by file name, joined back."""
     per_file = df.groupBy(file_col).agg(F.count(F.lit(1)).alias("_rid_n"))
     offsets = per_file.select(file_col, (F.sum("_rid_n").over(Window.orderBy(file_col)) - F.col("_rid_n"))
                               .alias("_rid_off"))
-    out = df.join(_broadcast_bounded(offsets, max_files, "files"), file_col)
-    return out.withColumn(name, F.col("_rid_off") + F.col(index_col)).drop("_rid_off")
+    out = df.join(offsets, file_col, "left")
+    return out.withColumn(name, _found("_rid_off", "file") + F.col(index_col)).drop("_rid_off")
 
 
 def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -132,7 +124,7 @@ def near_equal_parts(df: DataFrame, size: int, row_id: str = ROW_ID, name: str =
 
 
 def running_sum_before(df: DataFrame, value: str, row_id: str = ROW_ID, name: str = "before",
-                       block_rows: int = DEFAULT_BLOCK_ROWS, max_id: int | None = None) -> DataFrame:
+                       block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Sum of ``value`` over all rows with a smaller dense ``row_id`` (exclusive prefix sum).
 
     Blocked: totals per block of ``block_rows`` ids, prefix over the block table, then a
@@ -146,12 +138,7 @@ def running_sum_before(df: DataFrame, value: str, row_id: str = ROW_ID, name: st
         F.coalesce(F.sum("_rs_tot").over(
             Window.orderBy("_rs_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("_rs_off"))
-    # one row per block: at most max(row_id) div block_rows + 1 rows (one small aggregate job);
-    # broadcast only under the bound, a shuffle join otherwise
-    if max_id is None:
-        max_id = df.select(F.max(row_id)).first()[0]
-    n_blocks = 0 if max_id is None else int(max_id) // block_rows + 1
-    joined = with_blk.join(_broadcast_bounded(prefix, n_blocks, "blocks"), "_rs_blk")
+    joined = with_blk.join(prefix, "_rs_blk")
     inner = Window.partitionBy("_rs_blk").orderBy(row_id).rowsBetween(Window.unboundedPreceding, -1)
     return (joined.withColumn(name, F.col("_rs_off") + F.coalesce(F.sum(value).over(inner), F.lit(0)))
                   .drop("_rs_blk", "_rs_off"))
@@ -166,17 +153,15 @@ def shard_numbers(df: DataFrame, size_col: str, maxsize: float = 1e9, maxcount:
     a row cross a multiple of ``maxsize``.  ``row_id`` must be dense 0..n-1 in packing order.
 
     The layout is computed on the narrow ``(row_id, size)`` projection only: blocked running
-    sums, then the first row of every shard (one row per shard).  Shards are contiguous id
-    ranges, so a small table ``block -> [(start, shard), ...]`` (the shards that touch each
-    block) is checkpointed, and every payload row finds its shard through an equi-join on its
-    block -- broadcast when the table is small enough (its row count is known after the
-    checkpoint).  The payload is never sorted or shuffled here.
+    sums, then the first row of every shard (one row per shard), which is checkpointed.  Shards are
+    contiguous id ranges; a table ``block -> [(start, shard), ...]`` with blocks as long as an average
+    shard gives every payload row its shard through an equi-join on its block.
     """
     narrow = df.select(F.col(row_id).alias("_sh_id"), F.col(size_col).alias("_sh_size"))
     last_id = narrow.select(F.max("_sh_id")).first()[0]
     if last_id is None:
         return df.withColumn(name, F.lit(None).cast("long"))
-    before = running_sum_before(narrow, "_sh_size", "_sh_id", "_sh_bytes", block_rows, max_id=last_id)
+    before = running_sum_before(narrow, "_sh_size", "_sh_id", "_sh_bytes", block_rows)
     keyed = before.select("_sh_id", F.floor(F.col("_sh_bytes") / F.lit(float(maxsize))).alias("_sh_b"),
                           F.floor(F.col("_sh_id") / F.lit(int(maxcount))).alias("_sh_c"))
     starts = keyed.groupBy("_sh_b", "_sh_c").agg(F.min("_sh_id").alias("_sh_start"))
@@ -185,19 +170,15 @@ def shard_numbers(df: DataFrame, size_col: str, maxsize: float = 1e9, maxcount:
     shards = starts.select(
         "_sh_start", (F.row_number().over(w) - 1).cast("long").alias("_sh_no"),
         (F.coalesce(F.lead("_sh_start").over(w), F.lit(int(last_id) + 1)) - 1).alias("_sh_end"))
-    blk = lambda c: F.floor(F.col(c) / F.lit(block_rows))
+    shards = materialize(shards)
+    # lookup blocks as long as a shard is on average: a block meets two shards or so, whatever the bounds
+    look = max(1, (int(last_id) + 1) // max(1, shards.count()))
+    blk = lambda c: F.floor(F.col(c) / F.lit(look))
     cover = shards.select(F.explode(F.sequence(blk("_sh_start"), blk("_sh_end"))).alias("_sh_blk"),
                           "_sh_start", "_sh_no")
     per_block = cover.groupBy("_sh_blk").agg(
         F.sort_array(F.collect_list(F.struct("_sh_start", "_sh_no"))).alias("_sh_arr"))
-    from capset.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    per_block = per_block.checkpoint(eager=True)
-    small = per_block.count() <= MAX_BROADCAST_ROWS
-    lookup = F.broadcast(per_block) if small else per_block
-    rows_ = df.withColumn("_sh_blk", F.floor(F.col(row_id) / F.lit(block_rows)))
-    joined = rows_.join(lookup, "_sh_blk")
+    joined = df.withColumn("_sh_blk", blk(row_id)).join(per_block, "_sh_blk")
     pick = F.aggregate("_sh_arr", F.lit(-1).cast("long"),
                        lambda acc, x: F.when(x["_sh_start"] <= F.col(row_id), x["_sh_no"]).otherwise(acc))
     return joined.withColumn(name, pick).drop("_sh_blk", "_sh_arr")
@@ -221,7 +202,6 @@ def dense_positions(df: DataFrame, name: str = "position") -> DataFrame:
                                               F.min("_dp_mid").alias("_dp_min"))
     offsets = per_part.select("_dp_part", "_dp_min",
                               (F.sum("_dp_n").over(Window.orderBy("_dp_part")) - F.col("_dp_n")).alias("_dp_off"))
-    n_parts = fixed.rdd.getNumPartitions()
-    out = tagged.join(_broadcast_bounded(offsets, n_parts, "partitions"), "_dp_part")
+    out = tagged.join(offsets, "_dp_part")
     return out.withColumn(name, F.col("_dp_off") + F.col("_dp_mid") - F.col("_dp_min")) \
               .drop("_dp_part", "_dp_mid", "_dp_min", "_dp_off")

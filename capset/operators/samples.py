@@ -56,18 +56,22 @@ def scores_map(scored: DataFrame, image: str, field: str = "field", value: str =
 
 def generate_captions(df: DataFrame, ds_name: str, templates_by_name: dict, labels: str = "labels",
                       key: str = "image_id", seed: int = 0) -> DataFrame:
-    """Generic rendering for a named dataset with a flat label list: a seeded template per row,
-    ``{}`` replaced by the labels joined with ``', '``; unknown names raise on the driver."""
+    """Captions for a named dataset whose images have one flat label list: a seeded template for each row, the
+    labels joined by ``', '`` in the place of its braces.  ``templates_by_name`` maps a name to a
+    sequence of templates; a name it lacks raises on the driver."""
     from capset.functions.hashing import seeded_bucket
     from capset.functions.text import collapse_lower
 
-    if ds_name not in templates_by_name:
-        raise ValueError(f"{ds_name} not in {sorted(templates_by_name)}")
-    temps = [t for group in templates_by_name[ds_name] for t in ([group] if isinstance(group, str) else group)]
-    t = F.element_at(F.array(*[F.lit(x) for x in temps]), (seeded_bucket(key, seed, len(temps)) + 1).cast("int"))
-    filled = F.replace(t, F.lit("{}"), F.array_join(labels, ", "))
-    return df.withColumn("caption", collapse_lower(filled)) \
-             .withColumn("caption_key", F.concat(F.lit(ds_name + "_"), F.col(key).cast("string")))
+    try:
+        own = tuple(templates_by_name[ds_name])
+    except KeyError:
+        raise ValueError(f"no templates for {ds_name!r}; there are some for: {', '.join(sorted(templates_by_name))}") from None
+    pick = (seeded_bucket(key, seed, len(own)) + 1).cast("int")
+    chosen = F.element_at(F.array(*map(F.lit, own)), pick)
+    caption = F.replace(chosen, F.lit("{}"), F.array_join(labels, ", "))
+    return df.withColumns({"caption": collapse_lower(caption),
+                           "caption_key": F.concat(F.lit(f"{ds_name}_"), F.col(key).cast("string"))})
+
 
 
 def with_sample_keys(df: DataFrame, row_id: str = "row_id", width: int = 9) -> DataFrame:

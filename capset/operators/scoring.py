@@ -35,10 +35,10 @@ def candidates(df: DataFrame, key: str, cols=CAPTION_FIELDS) -> DataFrame:
 
 
 def score(images: DataFrame, cands: DataFrame, on: str, image_vec: str = "image_vec",
-          text_vec: str = "text_vec", decimals: int = 4) -> DataFrame:
-    """Cosine similarity of each image with each of its candidates, rounded like the reference."""
-    j = images.join(cands, on)
-    return j.withColumn("score", F.round(cosine(image_vec, text_vec), decimals))
+          text_vec: str = "text_vec") -> DataFrame:
+    """Cosine similarity of each image with each of its candidates.  Not rounded: ranks and softmax need the
+    whole value; round what is written (``scores_wide``, ``scores_map``)."""
+    return images.join(cands, on).withColumn("score", cosine(image_vec, text_vec))
 
 
 def softmax(scored: DataFrame, image: str, value: str = "score", scale: float = 100.0,
@@ -81,10 +81,10 @@ def top_k(scored: DataFrame, group: str, value: str, k: int = 1, tie: str | None
 
 
 def scores_wide(scored: DataFrame, image: str, field: str = "field", value: str = "score",
-                fields=CAPTION_FIELDS) -> DataFrame:
-    """One row per image, one column per field (``pivot`` with the value list given, so no
+                fields=CAPTION_FIELDS, decimals: int = 4) -> DataFrame:
+    """One row per image, one column per field, rounded (``pivot`` with the value list given, so no
     extra job discovers the pivot values)."""
-    return scored.groupBy(image).pivot(field, list(fields)).agg(F.first(value))
+    return scored.groupBy(image).pivot(field, list(fields)).agg(F.round(F.first(value), decimals))
 
 
 def above(df: DataFrame, threshold: float, col: str = "score") -> DataFrame:

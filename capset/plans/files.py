@@ -21,7 +21,7 @@ from capset.functions import ids as I
 from capset.operators import dedup as D
 from capset.operators import pairs as P
 from capset.plans import sqltext as S
-from capset.plans.registry import load, load_spread, register
+from capset.plans.registry import load, register
 
 IDS_PER_FOLDER = 100
 NO_IMAGE_LANG = "fr"
@@ -186,8 +186,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY md5 ORDER BY doc_id) AS rn FROM
 SELECT doc_id, md5 FROM r WHERE rn = 1
 """)
 def dedup_md5(spark, sf):
-    d = load_spread(spark, sf, "documents", "doc_id", "text")
-    return D.dedup_content(d, "text", order="doc_id").select("doc_id", "md5")
+    d = load(spark, sf, "documents").select("doc_id", F.md5("text").alias("md5"))
+    return D.first_per_hash(d, "md5", "doc_id").select("doc_id", "md5")
 
 
 def _sizes(spark, sf):
@@ -236,7 +236,7 @@ flagged AS (
 SELECT count(*) AS total,
        CAST(count(*) FILTER (WHERE is_duplicate) AS BIGINT) AS duplicates,
        CAST(count(*) FILTER (WHERE NOT is_duplicate AND action = 'discard') AS BIGINT) AS discarded,
-       CAST(count(*) FILTER (WHERE NOT is_duplicate AND action = 'resize') AS BIGINT) AS resized,
+       CAST(count(*) FILTER (WHERE NOT is_duplicate AND action = 'resize') AS BIGINT) AS to_resize,
        count(*) - count(*) FILTER (WHERE is_duplicate)
                 - count(*) FILTER (WHERE NOT is_duplicate AND action = 'discard') AS remaining
 FROM flagged

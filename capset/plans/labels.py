@@ -4,7 +4,7 @@
 image = ``user_id``, label code = ``event_type``, certain = ``value >= 100``, order = ``event_id``,
 split = ``user_id % 3`` (train / validation / test).  The label dictionary names every code but
 ``error`` (so unknown codes occur).  ``conversations(conv_id, turn, role, text)`` are the
-narratives of ``documents`` (``conv_id = doc_id``), read as three inputs (one per role).
+narratives of ``documents`` (``conv_id = doc_id``).
 """
 
 from __future__ import annotations
@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 
 from capset.operators import labels as L
 from capset.plans import sqltext as S
-from capset.plans.registry import load, load_spread, register
+from capset.plans.registry import load, register
 
 SEED = 7
 CERTAIN_MIN = 100.0
 NOT_IN_DICTIONARY = "error"
 SPLITS = ("train", "validation", "test")
+#: Templates of this query: an application brings its own.
+TEMPLATES = ("{certain}", "visible: {certain}", "this frame holds {certain}")
+MAYBE_ENDINGS = ("; unsure about {maybe}", " ({maybe}?)")
 
 
 def _annotations(spark, sf):
@@ -58,6 +61,8 @@ img AS (
   SELECT image_id,
          coalesce(list(name ORDER BY first) FILTER (WHERE certain), []) AS certain_labels,
          coalesce(list(name ORDER BY first) FILTER (WHERE NOT certain), []) AS uncertain_labels,
+         coalesce(list(n ORDER BY first) FILTER (WHERE certain), []) AS certain_counts,
+         coalesce(list(n ORDER BY first) FILTER (WHERE NOT certain), []) AS uncertain_counts,
          CAST(coalesce(sum(n) FILTER (WHERE certain), 0) AS BIGINT) AS n_certain,
          CAST(coalesce(sum(n) FILTER (WHERE NOT certain), 0) AS BIGINT) AS n_uncertain,
          CAST(count(*) FILTER (WHERE unknown) AS BIGINT) AS n_unknown
@@ -67,16 +72,38 @@ img AS (
 
 @register("labels_per_image", oracle=_PER_IMAGE_SQL + """
 SELECT image_id, array_to_string(certain_labels, ', ') AS certain_labels,
-       array_to_string(uncertain_labels, ', ') AS uncertain_labels, n_certain, n_uncertain, n_unknown
+       array_to_string(uncertain_labels, ', ') AS uncertain_labels, array_to_string(certain_counts, ',') AS certain_counts,
+       array_to_string(uncertain_counts, ',') AS uncertain_counts, n_certain, n_uncertain, n_unknown
 FROM img
 """)
 def labels_per_image(spark, sf):
     p = _per_image(spark, sf)
     return p.select("image_id", F.array_join("certain_labels", ", ").alias("certain_labels"),
                     F.array_join("uncertain_labels", ", ").alias("uncertain_labels"),
+                    F.array_join(F.col("certain_counts").cast("array<string>"), ",").alias("certain_counts"),
+                    F.array_join(F.col("uncertain_counts").cast("array<string>"), ",").alias("uncertain_counts"),
                     "n_certain", "n_uncertain", "n_unknown")
 
 
+@register("label_rows_per_image", oracle=f"""
+WITH dict AS (
+  SELECT code, upper(substr(code, 1, 1)) || substr(code, 2) AS name
+  FROM (SELECT DISTINCT event_type AS code FROM events) WHERE code <> {S.q(NOT_IN_DICTIONARY)}),
+named AS (SELECT user_id AS image_id, value >= {CERTAIN_MIN} AS certain, event_id, coalesce(name, event_type) AS name
+          FROM events LEFT JOIN dict ON code = event_type)
+SELECT image_id,
+       coalesce(string_agg(name, ', ' ORDER BY event_id) FILTER (WHERE certain), '') AS certain_labels,
+       coalesce(string_agg(name, ', ' ORDER BY event_id) FILTER (WHERE NOT certain), '') AS uncertain_labels
+FROM named GROUP BY image_id
+""")
+def label_rows_per_image(spark, sf):
+    """Every annotation row of an image in its lists, repeats kept, in row order."""
+    p = L.labels_per_image(_annotations(spark, sf), certain=F.col("value") >= CERTAIN_MIN,
+                           dictionary=_dictionary(spark, sf), repeats=True)
+    return p.select("image_id", F.array_join("certain_labels", ", ").alias("certain_labels"),
+                    F.array_join("uncertain_labels", ", ").alias("uncertain_labels"))
+
+
 @register("split_report", oracle=_PER_IMAGE_SQL + f"""
 , s AS (SELECT [{S.q(SPLITS[0])}, {S.q(SPLITS[1])}, {S.q(SPLITS[2])}][image_id % 3 + 1] AS split,
                len(certain_labels) = 0 AS dropped FROM img)
@@ -89,17 +116,20 @@ def split_report(spark, sf):
     return L.split_report(p)
 
 
+MAYBE = L.maybe_templates(TEMPLATES, MAYBE_ENDINGS)
+
+
 def _templates_sql(items) -> str:
     return "[" + ", ".join(S.q(t) for t in items) + "]"
 
 
 def _caption_sql() -> str:
-    plain = _templates_sql(L.LABEL_TEMPLATES)
-    maybe = _templates_sql(L.maybe_templates())
+    plain = _templates_sql(TEMPLATES)
+    maybe = _templates_sql(MAYBE)
     unit = f"(CAST(('0x' || substr({S.seeded_md5('image_id', SEED)}, 1, 8)) AS BIGINT) / 4294967296.0)"
     use_maybe = f"({unit} > 0.5 AND len(uncertain_labels) > 0)"
-    t_plain = f"{plain}[{S.seeded_bucket('image_id', SEED, len(L.LABEL_TEMPLATES))} + 1]"
-    t_maybe = f"{maybe}[{S.seeded_bucket('image_id', SEED, len(L.maybe_templates()))} + 1]"
+    t_plain = f"{plain}[{S.seeded_bucket('image_id', SEED, len(TEMPLATES))} + 1]"
+    t_maybe = f"{maybe}[{S.seeded_bucket('image_id', SEED, len(MAYBE))} + 1]"
     filled = (f"replace(replace(CASE WHEN {use_maybe} THEN {t_maybe} ELSE {t_plain} END, "
               f"'{{certain}}', array_to_string(certain_labels, ', ')), "
               f"'{{maybe}}', array_to_string(uncertain_labels, ', '))")
@@ -108,31 +138,27 @@ def _caption_sql() -> str:
 
 @register("template_captions", oracle=_PER_IMAGE_SQL + _caption_sql())
 def template_captions(spark, sf):
-    return L.render_captions(_per_image(spark, sf), seed=SEED).select("image_id", "used_maybe", "caption")
+    return L.render_captions(_per_image(spark, sf), TEMPLATES, MAYBE_ENDINGS, seed=SEED).select("image_id", "used_maybe", "caption")
 
 
 def _narratives(spark, sf):
-    conv = load(spark, sf, "conversations").select(
-        F.col("conv_id").alias("doc_id"), "turn", "role", F.col("text").alias("narrative"))
-    parts = [conv.where(F.col("role") == r).drop("role") for r in ("user", "assistant", "system")]
-    return L.append_all(*parts)
+    return load(spark, sf, "conversations").select(
+        F.col("conv_id").alias("doc_id"), "turn", F.col("text").alias("narrative"))
 
 
 @register("narrative_override", oracle="""
 WITH hit AS (
   SELECT d.doc_id, c.turn, true AS from_narrative, c.text AS caption
-  FROM documents d JOIN conversations c ON c.conv_id = d.doc_id
-  WHERE c.role IN ('user', 'assistant', 'system')),
+  FROM documents d JOIN conversations c ON c.conv_id = d.doc_id),
 miss AS (
   SELECT d.doc_id, CAST(NULL AS BIGINT) AS turn, false AS from_narrative, d.text AS caption
-  FROM documents d WHERE d.doc_id NOT IN (SELECT conv_id FROM conversations
-                                          WHERE role IN ('user', 'assistant', 'system')))
+  FROM documents d WHERE NOT EXISTS (SELECT 1 FROM conversations c WHERE c.conv_id = d.doc_id))
 SELECT doc_id, turn, from_narrative, md5(caption) AS caption_md5 FROM hit
 UNION ALL
 SELECT doc_id, turn, from_narrative, md5(caption) AS caption_md5 FROM miss
 """)
 def narrative_override(spark, sf):
-    docs = load_spread(spark, sf, "documents", "doc_id", "text").select("doc_id", F.col("text").alias("caption"))
+    docs = load(spark, sf, "documents").select("doc_id", "text").select("doc_id", F.col("text").alias("caption"))
     out = L.override_captions(docs, _narratives(spark, sf), on="doc_id", order="turn")
     return out.select("doc_id", "turn", "from_narrative", F.md5("caption").alias("caption_md5"))
 
@@ -146,11 +172,9 @@ r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY input DESC, doc_id
 SELECT key, doc_id, lang, input FROM r WHERE rn = 1
 """)
 def last_wins_union(spark, sf):
-    d = load_spread(spark, sf, "documents", "doc_id", "lang", "text").select(
-        F.md5("text").alias("key"), "doc_id", "lang")
-    parts = [d.where(F.col("lang") == "de"), d.where(F.col("lang") == "en"),
-             d.where(~F.col("lang").isin("de", "en"))]
-    return L.last_wins_union(parts, key="key", order="doc_id").select("key", "doc_id", "lang", "input")
+    rank = F.when(F.col("lang") == "de", 0).when(F.col("lang") == "en", 1).otherwise(2)
+    d = load(spark, sf, "documents").select(F.md5("text").alias("key"), "doc_id", "lang", rank.alias("input"))
+    return L.last_wins(d, key="key", input_col="input", order="doc_id").select("key", "doc_id", "lang", "input")
 
 
 @register("image_paths", oracle=f"""
@@ -165,13 +189,13 @@ def image_paths(spark, sf):
     return imgs.select("image_id", image_path(_split("image_id"), F.col("image_id").cast("string")).alias("path"))
 
 
-GENERIC_TEMPLATES = {"events": [["a picture of {}", "{} in a photo", "an image showing {}"]]}
+GENERIC = ("{}", "seen here: {}", "{} and nothing else")
 
 
 @register("generic_captions", oracle=_PER_IMAGE_SQL + f"""
 , flat AS (SELECT image_id, list_concat(certain_labels, uncertain_labels) AS labels FROM img)
 SELECT image_id, {S.collapse_lower(
-    "replace(" + "['a picture of {}', '{} in a photo', 'an image showing {}']["
+    "replace(" + _templates_sql(GENERIC) + "["
     + S.seeded_bucket('image_id', SEED, 3) + " + 1], '{}', array_to_string(labels, ', '))")} AS caption,
        'events_' || CAST(image_id AS VARCHAR) AS caption_key
 FROM flat
@@ -181,4 +205,4 @@ def generic_captions(spark, sf):
     from capset.operators.samples import generate_captions
 
     p = _per_image(spark, sf).select("image_id", F.concat("certain_labels", "uncertain_labels").alias("labels"))
-    return generate_captions(p, "events", GENERIC_TEMPLATES, seed=SEED).select("image_id", "caption", "caption_key")
+    return generate_captions(p, "events", {"events": GENERIC}, seed=SEED).select("image_id", "caption", "caption_key")

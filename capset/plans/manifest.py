@@ -13,7 +13,7 @@ from capset.functions import ids as I
 from capset.functions import text as T
 from capset.operators import resume, rows
 from capset.plans import sqltext as S
-from capset.plans.registry import load, load_spread, register
+from capset.plans.registry import load, register
 
 LANGUAGES = ["en", "de"]
 PER_FOLDER = 10000          # ids per numbered folder
@@ -28,7 +28,7 @@ def _langs_sql() -> str:
 
 
 def _manifest(spark, sf):
-    docs = load_spread(spark, sf, "documents", "doc_id", "lang", "text")
+    docs = load(spark, sf, "documents").select("doc_id", "lang", "text")
     return docs.where(F.col("lang").isin(LANGUAGES)).select(
         F.col("doc_id").alias("row_id"),
         I.pad_id("doc_id", 9).alias("key"),
@@ -92,7 +92,7 @@ SELECT doc_id, md5(caption) AS caption_md5, CAST(length(caption) AS BIGINT) AS c
 FROM c
 """)
 def clean_caption(spark, sf):
-    c = load_spread(spark, sf, "documents", "doc_id", "text").select(
+    c = load(spark, sf, "documents").select("doc_id", "text").select(
         "doc_id", T.clean_caption(T.build_caption("text")).alias("caption"))
     return c.select("doc_id", F.md5("caption").alias("caption_md5"),
                     F.length("caption").cast("long").alias("caption_len"),
@@ -104,7 +104,7 @@ WITH s AS (SELECT doc_id, {S.english_segment('text', SEGMENT_TAG)} AS seg FROM d
 SELECT doc_id, md5(seg) AS seg_md5, CAST(length(seg) AS BIGINT) AS seg_len FROM s
 """)
 def tagged_segment(spark, sf):
-    s = load_spread(spark, sf, "documents", "doc_id", "text").select(
+    s = load(spark, sf, "documents").select("doc_id", "text").select(
         "doc_id", T.english_segment("text", SEGMENT_TAG).alias("seg"))
     return s.select("doc_id", F.md5("seg").alias("seg_md5"),
                     F.length("seg").cast("long").alias("seg_len"))

@@ -29,12 +29,3 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def load_spread(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Scan (with column pruning) and spread over the cluster when the scan has too few splits
-    for CPU-heavy per-row work (see ``capset.operators.parallel.spread``)."""
-    from capset.operators.parallel import spread
-
-    df = load(spark, sf_dir, name)
-    if cols:
-        df = df.select(*cols)
-    return spread(df)

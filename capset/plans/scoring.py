@@ -45,23 +45,23 @@ pairs AS (
   FROM img i JOIN cand c ON c.grp = i.grp),
 scored AS (
   SELECT image_id, field_idx, field,
-         round(CASE WHEN den > 1e-8 THEN dot / den ELSE 0.0 END, 4) AS score FROM pairs)
+         CASE WHEN den > 1e-8 THEN dot / den ELSE 0.0 END AS score FROM pairs)
 """
 
 
-@register("caption_scores", oracle=_SCORED_SQL + "SELECT image_id, field_idx, field, score FROM scored")
+@register("caption_scores", oracle=_SCORED_SQL + "SELECT image_id, field_idx, field, round(score, 4) AS score FROM scored")
 def caption_scores(spark, sf):
-    return _scored(spark, sf)
+    return _scored(spark, sf).withColumn("score", F.round("score", 4))
 
 
 @register("best_caption", oracle=_SCORED_SQL + f"""
 , r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, field_idx) AS rn,
                count(*) OVER (PARTITION BY image_id) AS n_candidates FROM scored)
-SELECT image_id, field AS best_field, score AS best_score, n_candidates, score > {THRESHOLD} AS above
+SELECT image_id, field AS best_field, round(score, 4) AS best_score, n_candidates, score > {THRESHOLD} AS above
 FROM r WHERE rn = 1
 """)
 def best_caption(spark, sf):
-    return SC.best_caption(_scored(spark, sf), "image_id", threshold=THRESHOLD)
+    return SC.best_caption(_scored(spark, sf), "image_id", threshold=THRESHOLD).withColumn("best_score", F.round("best_score", 4))
 
 
 @register("score_softmax", oracle=_SCORED_SQL + f"""
@@ -75,7 +75,7 @@ def score_softmax(spark, sf):
 
 
 @register("scores_wide", oracle=_SCORED_SQL + "SELECT image_id, " + ", ".join(
-    f"max(score) FILTER (WHERE field = {S.q(f)}) AS {f}" for f in SC.CAPTION_FIELDS) + " FROM scored GROUP BY image_id")
+    f"round(max(score) FILTER (WHERE field = {S.q(f)}), 4) AS {f}" for f in SC.CAPTION_FIELDS) + " FROM scored GROUP BY image_id")
 def scores_wide(spark, sf):
     return SC.scores_wide(_scored(spark, sf), "image_id")
 
@@ -85,9 +85,38 @@ TOP_K = 2
 
 @register("top2_captions", oracle=_SCORED_SQL + f"""
 , r AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, field_idx) AS rank FROM scored)
-SELECT image_id, field, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= {TOP_K}
+SELECT image_id, field, round(score, 4) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= {TOP_K}
 """)
 def top2_captions(spark, sf):
     """Top-k report per image (the limit is the feature); ties by field order."""
     t = SC.top_k(_scored(spark, sf), "image_id", "score", k=TOP_K, tie="field_idx")
-    return t.select("image_id", "field", "score", "rank")
+    return t.select("image_id", "field", F.round("score", 4).alias("score"), "rank")
+
+
+@register("scores_map", oracle=_SCORED_SQL + "SELECT image_id, string_agg(field || '=' || printf('%.4f', score), ';' "
+          "ORDER BY field_idx) AS scores FROM scored GROUP BY image_id")
+def scores_map(spark, sf):
+    """Scores of an image as a map by field, written in field order."""
+    from capset.operators.samples import scores_map as as_map
+
+    m = as_map(_scored(spark, sf), "image_id")
+    present = F.filter(F.array(*[F.lit(f) for f in SC.CAPTION_FIELDS]), lambda f: F.map_contains_key("scores", f))
+    text = F.transform(present, lambda f: F.format_string("%s=%.4f", f, F.element_at("scores", f)))
+    return m.select("image_id", F.array_join(text, ";").alias("scores"))
+
+
+_WIDE = {"section_title": "lang", "caption_reference_description": "source", "context_page_description": "text"}
+
+
+@register("candidates", oracle=f"""
+SELECT doc_id, field_idx, field, md5(text) AS text_md5, length(text) >= 3 AS long_enough FROM (
+  SELECT doc_id, 0 AS field_idx, 'section_title' AS field, nullif(lang, 'en') AS text FROM documents UNION ALL
+  SELECT doc_id, 1, 'caption_reference_description', source FROM documents UNION ALL
+  SELECT doc_id, 2, 'context_page_description', text FROM documents) WHERE text IS NOT NULL
+""")
+def candidates(spark, sf):
+    """Wide caption columns unpivoted; nulls go, positions stay."""
+    d = load(spark, sf, "documents").select("doc_id", F.nullif("lang", F.lit("en")).alias("section_title"), F.col("source").alias(
+        "caption_reference_description"), F.col("text").alias("context_page_description"))
+    c = SC.candidates(d, "doc_id", cols=list(_WIDE))
+    return c.select("doc_id", "field_idx", "field", F.md5("text").alias("text_md5"), (F.length("text") >= 3).alias("long_enough"))

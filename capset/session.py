@@ -3,12 +3,13 @@
 The library never creates a session on its own inside an operator; these helpers are for
 scripts, tests and the benchmark.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the
 session (the shared folder a cluster names) and only falls back to a local folder when the
-setting is unset, as in tests.
+setting is unset and the session runs on one machine, as in tests.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,10 +40,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
-    if "spark.checkpoint.dir" not in conf:
-        active = SparkSession.getActiveSession()
-        if active is None:
-            b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="capset-ckpt-"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -55,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a checkpoint folder that all of them share")
         current = tempfile.mkdtemp(prefix="capset-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)

@@ -15,13 +15,15 @@ from capset.operators.rows import shard_numbers
 
 def write_captions(df: DataFrame, path: str, folder: str = "folder", fmt: str = "parquet",
                    mode: str = "append") -> None:
-    """``(key, caption, folder)`` partitioned by folder (SNK-01, SNK-10)."""
-    df.repartition(folder).write.mode(mode).partitionBy(folder).format(fmt).save(path)
+    """``(key, caption, folder)`` partitioned by folder (SNK-01, SNK-10).  The rows are rebalanced by folder:
+    small folders share a task, a large one is split over several."""
+    df.hint("rebalance", folder).write.mode(mode).partitionBy(folder).format(fmt).save(path)
 
 
 def write_images(df: DataFrame, path: str, folder: str = "folder", mode: str = "append") -> None:
-    """``(key, content binary, width, height, folder)`` to Parquet by folder (SNK-02)."""
-    df.repartition(folder).write.mode(mode).partitionBy(folder).parquet(path)
+    """``(key, content binary, width, height, folder)`` to Parquet by folder (SNK-02), with more columns if there
+    are any: ``(path, content, caption)`` makes it a captioned image set."""
+    df.hint("rebalance", folder).write.mode(mode).partitionBy(folder).parquet(path)
 
 
 def append_ledger(ledger_rows: DataFrame, path: str) -> None:
@@ -40,13 +42,13 @@ def check_bounds(maxsize: float, maxcount: float) -> None:
 def write_tar_shards(df: DataFrame, path: str, maxcount: int = 100000, maxsize: float = 1e9,
                      prefix: str = "ds_", compression: str | None = None, packing: str = "greedy",
                      size_col: str | None = None, mode: str = "overwrite", check: bool = True,
-                     keep_size_col: bool = False) -> None:
-    """Write samples ``(key, <field>...)`` as tar shards (SNK-04/05).
+                     keep_size_col: bool = False, path_fields=()) -> None:
+    """Write samples ``(key, <field>...)`` as tar shards (SNK-04).
 
     ``packing='greedy'``: every task rolls its own shards by count and bytes (names carry the
     task number).  ``packing='prefix'``: global shard numbers from ``shard_numbers`` (needs a
     dense ``row_id`` and ``size_col``), rows clustered by shard, one file ``<prefix>%06d`` per
-    shard.
+    shard.  ``path_fields`` hold file paths whose bytes the write task reads.
     """
     from capset.sources import tarshard
 
@@ -65,19 +67,11 @@ def write_tar_shards(df: DataFrame, path: str, maxcount: int = 100000, maxsize:
     w = w.option("maxcount", int(maxcount)).option("maxsize", int(maxsize)).option("prefix", prefix)
     if compression:
         w = w.option("compression", compression)
+    if path_fields:
+        w = w.option("pathFields", ",".join(path_fields))
     w.mode(mode).save(path)
 
 
-def write_single_tar(df: DataFrame, path: str, name: str = "dataset", compression: str = "gzip") -> None:
-    """One tar (``dataset.tar.gz``) of all samples (SNK-05): a single writer task by design,
-    for small datasets only; use ``write_tar_shards`` otherwise."""
-    from capset.sources import tarshard
-
-    tarshard.register(df.sparkSession)
-    (df.coalesce(1).write.format("tarshard").option("maxcount", 10 ** 12).option("maxsize", 10 ** 15)
-       .option("prefix", name + "_").option("compression", compression).mode("append").save(path))
-
-
 def write_fault_report(report: DataFrame, path: str) -> None:
     """``|``-separated report, lists as JSON arrays (SNK-06)."""
     cols = [F.to_json(F.col(c)).alias(c) if dict(report.dtypes)[c].startswith("array") else F.col(c)

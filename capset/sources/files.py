@@ -7,6 +7,8 @@ that decide which files are needed.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,19 @@ def _norm_path(c):
     return F.regexp_replace(c, PATH_NORM, "/")
 
 
+def _decoded(origin):
+    """A percent-encoded location as the path that a listing gives (a plus sign is a plus sign)."""
+    return F.try_url_decode(F.replace(origin, F.lit("+"), F.lit("%2B")))
+
+
+def qualified(spark: SparkSession, root: str) -> str:
+    """``root`` as the listing names it: with scheme and working folder of the session's file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    return re.sub(PATH_NORM, "/", full).rstrip("/") or "/"
+
+
 def ext_glob(exts) -> str:
     """``pathGlobFilter`` for a set of extensions, both cases (``*.{png,PNG,...}``)."""
     return "*.{" + ",".join(sorted({e.lower() for e in exts} | {e.upper() for e in exts})) + "}"
@@ -37,17 +52,13 @@ def scan_files(spark: SparkSession, root: str, exts=None, with_content: bool = F
     df = r.load(root)
     cols = ["path", "length", "modificationTime"] + (["content"] if with_content else [])
     df = df.select(*cols).withColumn("path", _norm_path(F.col("path")))
-    base = root.rstrip("/")
-    if base.startswith("file:"):
-        base = F.regexp_replace(F.lit(base), PATH_NORM, "/")
-    else:
-        base = F.lit(base)
-    rel = F.when(F.col("path").startswith(base), F.expr("substring(path, length(_base) + 2)")) \
-           .otherwise(F.col("path"))
-    df = df.withColumn("_base", base).withColumn("rel", rel).drop("_base")
-    df = (df.withColumn("name", I.base_name("path"))
-            .withColumn("stem", I.stem("path"))
-            .withColumn("ext", I.extension("path"))
+    base = qualified(spark, root).rstrip("/")
+    # a root that is a file lists itself: its relative path is its name
+    rel = F.when(F.col("path").startswith(base + "/"), F.substring("path", len(base) + 2, 1 << 30)).otherwise(I.file_name("path"))
+    df = (df.withColumn("rel", rel)
+            .withColumn("name", I.file_name("path"))
+            .withColumn("stem", I.file_stem("path"))
+            .withColumn("ext", I.file_extension("path"))
             .withColumn("folder", F.coalesce(I.parent_dir("rel"), F.lit("")))
             .withColumn("depth", F.size(F.split("rel", "/")) - 1))
     if exts:
@@ -68,7 +79,7 @@ def image_profiles(spark: SparkSession, root: str, exts=("jpg", "jpeg", "png", "
     decodes each file; invalid files get ``valid = false``)."""
     img = (spark.read.format("image").option("recursiveFileLookup", "true")
            .option("pathGlobFilter", ext_glob(exts)).load(root))
-    return img.select(_norm_path(F.col("image.origin")).alias("path"),
+    return img.select(_norm_path(_decoded(F.col("image.origin"))).alias("path"),
                       F.col("image.width").alias("width"), F.col("image.height").alias("height"),
                       F.col("image.nChannels").alias("channels"),
                       (F.col("image.width") > 0).alias("valid"))
@@ -94,6 +105,11 @@ def file_tree(spark: SparkSession, root: str, exts=("txt", "jpg", "jpeg", "png",
     files = scan_files(spark, root, exts=exts)
     texts = text_lengths(spark, root)
     images = image_profiles(spark, root).select("path", "valid")
-    return files.join(texts, "path", "left").join(images, "path", "left") \
-                .withColumn("valid", F.when(F.col("ext").isin("jpg", "jpeg", "png", "bmp"),
-                                            F.coalesce(F.col("valid"), F.lit(False))))
+    joined = files.join(texts, "path", "left").join(images, "path", "left")
+    return joined.withColumn("valid", F.when(F.col("ext").isin("jpg", "jpeg", "png", "bmp"), profiled("valid", "path")))
+
+
+def profiled(valid: str, path: str):
+    """The verdict on an image; a file that was listed but not looked at is an error, not an invalid image."""
+    missing = F.raise_error(F.concat(F.lit("no image profile of "), F.col(path))).cast("boolean")
+    return F.coalesce(F.col(valid), missing)

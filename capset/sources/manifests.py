@@ -60,11 +60,6 @@ def read_wide_manifest(spark: SparkSession, path, schema: str = WIDE_MANIFEST_DD
     df = _csv(spark, full, sep, True, nullValue="", emptyValue="").csv(path)
     if row_ids:
         df = with_row_id(df, source="split")
-    # gzip is not splittable: one task per file.  Spread the rows for the per-row work that
-    # follows when there are fewer files than task slots (a no-op for large inputs).
-    from capset.operators.parallel import spread
-
-    df = spread(df)
     if overflow == "drop":
         df = df.where(F.col(OVERFLOW).isNull())
     elif overflow == "error":
@@ -109,11 +104,27 @@ def read_dictionary(spark: SparkSession, path, code: str = "code", name: str = "
 
 
 def read_narratives(spark: SparkSession, paths, schema: str = "image_id string, caption string",
-                    rename=("caption", "narrative")) -> DataFrame:
-    """JSON-lines narrative files appended; ``caption`` columns renamed to ``narrative``."""
-    df = spark.read.schema(schema).json(list(paths) if not isinstance(paths, str) else paths)
+                    rename=("caption", "narrative"), order: str | None = None) -> DataFrame:
+    """JSON-lines narrative files appended; ``caption`` columns renamed to ``narrative``.
+
+    ``order`` names a column that sorts rows by file, in the order given, and by place in the file."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
     old, new = rename
-    return df.toDF(*[c.replace(old, new) for c in df.columns])
+    parts = []
+    for rank, path in enumerate(paths):
+        df = spark.read.schema(schema).json(path)
+        names = [c.replace(old, new) for c in df.columns]
+        if order:
+            # inside a split rows are numbered as they are read; splits of a file by where they begin
+            df = df.withColumn(order, F.struct(F.lit(rank).alias("rank"), F.col("_metadata.file_path").alias("file"),
+                                               F.col("_metadata.file_block_start").alias("block"),
+                                               F.monotonically_increasing_id().alias("row")))
+            names.append(order)
+        parts.append(df.toDF(*names))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def read_caption_map(spark: SparkSession, path, key_sep: str = "_") -> DataFrame:

@@ -10,8 +10,11 @@ executors.  Writing: each task writes its rows to its own shards, rolling to the
 before a sample when ``maxcount`` samples or ``maxsize`` bytes are reached (so a shard exceeds
 ``maxsize`` by less than one sample).  With ``shardColumn`` the rows are expected to be
 clustered by that column (``repartition(col)``) and each value becomes one shard named by
-its number.  Files are written under temporary names and renamed by the driver's commit;
-abort or a failed attempt leaves no visible shard.
+its number; appending counts on from the last number there.  ``pathFields`` names fields that hold
+file paths: their bytes are read in the write task, so only paths are shuffled before it.
+Files are written under temporary names and renamed by the driver's commit, which never moves a shard
+onto another; an overwrite takes the old shards away after the new ones are in place.  Abort
+or a failed attempt leaves no visible shard.
 
 Paths go through ``pyarrow.fs``, so local folders and object stores work alike.
 """
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import tarfile
 import time
 import uuid
@@ -31,6 +35,8 @@ from pyspark.sql.types import BinaryType, StringType, StructType
 
 DEFAULT_SCHEMA = "key string, img binary, cap binary, json string"
 SHARD_SUFFIXES = (".tar", ".tar.gz", ".tgz")
+#: Bytes of fields in a batch that goes to Spark, beyond which it is closed.
+BATCH_BYTES = 64 << 20
 
 
 def _fs(path: str):
@@ -58,6 +64,19 @@ def _list_shards(path: str) -> list[str]:
     return sorted(files)
 
 
+def _own_shards(path: str, prefix: str) -> list[str]:
+    """Shards in the folder itself whose whole name this writer gives under the prefix."""
+    from pyarrow import fs as pafs
+
+    filesystem, p = _fs(path)
+    name = re.compile(rf"{re.escape(prefix)}(\d{{6}}|([0-9a-f]{{12}}_)?\d{{5}}_\d{{6}})\.tar(\.gz)?")
+    try:
+        infos = filesystem.get_file_info(pafs.FileSelector(p, recursive=False))
+    except FileNotFoundError:
+        return []
+    return sorted(i.path for i in infos if i.type == pafs.FileType.File and name.fullmatch(posixpath.basename(i.path)))
+
+
 def split_member(name: str) -> tuple[str, str]:
     """``dir/000001.img.png`` -> (``dir/000001``, ``img.png``)."""
     d, b = posixpath.split(name)
@@ -86,6 +105,7 @@ class TarShardReader(DataSourceReader):
         fields = [f for f in self.schema.fields if f.name not in ("key", "__shard__")]
         mode = "r|gz" if partition.path.endswith((".gz", ".tgz")) else "r|"
         current, sample = None, {}
+        wanted = {f.name for f in fields}
 
         def emit(key, sample):
             row = []
@@ -102,11 +122,14 @@ class TarShardReader(DataSourceReader):
             return tuple(row)
 
         arrow_ok = all(isinstance(f.dataType, (StringType, BinaryType)) for f in self.schema.fields)
-        buf = []
+        buf, held = [], 0
 
         def flush():
             import pyarrow as pa
 
+            nonlocal held
+            held = 0
+
             cols = list(zip(*buf))
             arrays = [pa.array(list(c), type=pa.string() if isinstance(f.dataType, StringType) else pa.binary())
                       for c, f in zip(cols, self.schema.fields)]
@@ -122,17 +145,23 @@ class TarShardReader(DataSourceReader):
                 if key != current and current is not None:
                     buf.append(emit(current, sample))
                     sample = {}
-                    if len(buf) >= 1024:
+                    if len(buf) >= 1024 or held >= BATCH_BYTES:
                         if arrow_ok:
                             yield flush()
                         else:
                             yield from buf
                             buf.clear()
+                            held = 0
                 current = key
+                # a field goes by its whole name or by its first part (``img.png`` -> ``img``)
+                names = {field, field.split(".", 1)[0]} & wanted
+                if not names:
+                    continue  # the stream skips its bytes
                 content = tf.extractfile(m).read()
-                sample[field] = content
-                # also expose the field by its first part (``img.png`` -> ``img``)
-                sample.setdefault(field.split(".", 1)[0], content)
+                held += len(content)
+                for n in names:
+                    if n == field or n not in sample:
+                        sample[n] = content
             if current is not None:
                 buf.append(emit(current, sample))
             if buf:
@@ -160,6 +189,12 @@ class TarShardWriter(DataSourceArrowWriter):
         self.shard_col = options.get("shardColumn")
         self.job = uuid.uuid4().hex[:12]
         self.overwrite = overwrite
+        self.path_fields = {f for f in options.get("pathfields", options.get("pathFields", "")).split(",") if f}
+        self.first = 0
+        if self.shard_col and not overwrite:
+            numbers = [int(m.group(1)) for p in _own_shards(self.path, self.prefix)
+                       if (m := re.search(r"(?<![0-9_])(\d{6})\.tar", posixpath.basename(p)[len(self.prefix):]))]
+            self.first = max(numbers, default=-1) + 1
         if self.maxcount < 1 or self.maxsize < 1:
             raise ValueError("maxcount and maxsize must be positive")
 
@@ -193,17 +228,20 @@ class TarShardWriter(DataSourceArrowWriter):
             state["tar"] = tarfile.open(fileobj=state["out"], mode="w|gz" if self.gzip else "w|")
             moves.append((tmp, posixpath.join(base, name)))
 
-        current_shard = None
+        current_shard, opened = None, set()
         names = [f.name for f in fields]
         for batch in iterator:  # Arrow record batches: columns converted once per batch
             cols = {n: batch.column(n).to_pylist() for n in names + ["key"] +
                     ([self.shard_col] if self.shard_col else [])}
             for i in range(batch.num_rows):
                 if self.shard_col:
-                    s_no = int(cols[self.shard_col][i])
+                    s_no = int(cols[self.shard_col][i]) + self.first
                     if s_no != current_shard:
+                        if s_no in opened:
+                            raise ValueError(f"rows of shard {s_no} are not together: repartition and sort by {self.shard_col}")
                         close()
                         current_shard = s_no
+                        opened.add(s_no)
                         open_shard(f"{self.prefix}{s_no:06d}{self._suffix()}")
                 elif state["tar"] is None or state["count"] >= self.maxcount or state["size"] >= self.maxsize:
                     close()
@@ -212,10 +250,16 @@ class TarShardWriter(DataSourceArrowWriter):
                     open_shard(f"{self.prefix}{run}{part:05d}_{state['seq']:06d}{self._suffix()}")
                     state["seq"] += 1
                 key = str(cols["key"][i])
+                if "." in posixpath.basename(key):
+                    raise ValueError(f"key {key!r} holds a dot: what follows it would be read as the field")
                 for n in names:
                     v = cols[n][i]
                     if v is None:
                         continue
+                    if n in self.path_fields:
+                        source, where = _fs(v)
+                        with source.open_input_stream(where, compression=None) as f:
+                            v = f.read()
                     if isinstance(v, str):
                         v = v.encode("utf-8")
                     elif not isinstance(v, (bytes, bytearray)):
@@ -232,16 +276,22 @@ class TarShardWriter(DataSourceArrowWriter):
         return ShardCommit(moves=moves, samples=total, nbytes=total_bytes)
 
     def commit(self, messages):
+        from concurrent.futures import ThreadPoolExecutor
+
         filesystem, base = _fs(self.path)
+        moves = [move for m in messages if m is not None for move in m.moves]
+        finals = {final for _, final in moves}
+        old = _own_shards(self.path, self.prefix)
+        if len(finals) < len(moves) or (not self.overwrite and finals & set(old)):
+            self._remove_temps(filesystem, base)
+            raise ValueError("two tasks wrote a shard of one number: repartition by the shard column")
+        # a rename each; object stores copy, so several at a time
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda move: filesystem.move(*move), moves))
         if self.overwrite:
-            for p in _list_shards(self.path):
-                if posixpath.basename(p).startswith(self.prefix):
+            for p in old:
+                if p not in finals:
                     filesystem.delete_file(p)
-        for m in messages:
-            if m is None:
-                continue
-            for tmp, final in m.moves:
-                filesystem.move(tmp, final)
         self._remove_temps(filesystem, base)
 
     def abort(self, messages):

@@ -10,15 +10,19 @@ lists with more than one value become arrays).  A field missing in a record is n
 
 Add ``_file string, _index bigint`` to the schema to get each record's file and position.
 
-Bad records (truncated file, undecodable protobuf) are skipped with ``mode=DROPMALFORMED``
-(default) or raise with ``mode=FAILFAST``.  ``_corrupt_records`` is not produced; count skipped
-records with ``count()`` differences if needed.
+Both checksums of a record (masked CRC-32C) are verified and its length is held against the file's.
+``mode=FAILFAST`` (default) raises at the first damage.  ``mode=DROPMALFORMED`` leaves out records whose data
+are damaged; damage to a length loses the way to the rest of the file, which raises in this mode
+too.  ``mode=PERMISSIVE`` needs a column ``_corrupt string`` in the schema: damage then becomes a row with
+nothing but that column (what is wrong, at which byte), so lost records are counted, never silent.
 """
 
 from __future__ import annotations
 
+import logging
 import struct
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import (ArrayType, BinaryType, DoubleType, FloatType, IntegerType, LongType,
@@ -83,8 +87,8 @@ def _signed64(v: int) -> int:
     return v - (1 << 64) if v >= (1 << 63) else v
 
 
-def parse_example(data: bytes) -> dict:
-    """``{name: ('bytes'|'float'|'int64', [values])}``."""
+def parse_example(data: bytes, wanted: set[str] | None = None) -> dict:
+    """``{name: ('bytes'|'float'|'int64', [values])}`` of all features, or of the ``wanted`` ones."""
     out = {}
     for num, _, features in _fields(data):
         if num != 1:
@@ -98,88 +102,100 @@ def parse_example(data: bytes) -> dict:
                     name = bytes(ev).decode("utf-8")
                 elif enum == 2:
                     feature = ev
-            kind, values = "bytes", []
-            for knum, _, lst in _fields(feature):
-                if knum == 1:
-                    kind = "bytes"
-                    values = [bytes(v) for n2, _, v in _fields(lst) if n2 == 1]
-                elif knum == 2:
-                    kind = "float"
-                    values = []
-                    for n2, wt, v in _fields(lst):
-                        if wt == 2:
-                            values += list(struct.unpack(f"<{len(v) // 4}f", v))
-                        elif wt == 5:
-                            values.append(struct.unpack("<f", v)[0])
-                elif knum == 3:
-                    kind = "int64"
-                    values = []
-                    for n2, wt, v in _fields(lst):
-                        if wt == 2:
-                            p = 0
-                            while p < len(v):
-                                x, p = _varint(v, p)
-                                values.append(_signed64(x))
-                        elif wt == 0:
-                            values.append(_signed64(v))
-            if name is not None:
-                out[name] = (kind, values)
+            if name is not None and (wanted is None or name in wanted):
+                out[name] = _feature(feature)
     return out
 
 
-def iter_records(stream):
-    """Yield raw record payloads; raise ``ValueError`` on a truncated record."""
-    while True:
-        head = stream.read(12)
-        if not head:
-            return
-        if len(head) < 12:
-            raise ValueError("truncated record header")
-        (length,) = struct.unpack("<Q", head[:8])
-        body = stream.read(length + 4)
-        if len(body) < length + 4:
-            raise ValueError("truncated record")
-        yield body[:length]
-
-
-# --- encoding (used by tests and by users who convert data back) -----------------------------
+def _feature(feature: bytes) -> tuple[str, list]:
+    kind, values = "bytes", []
+    for knum, _, lst in _fields(feature):
+        items = list(_fields(lst))
+        if knum == 1:
+            kind, values = "bytes", [bytes(v) for n, _, v in items if n == 1]
+        elif knum == 2:
+            kind, values = "float", []
+            for _, _, v in items:  # packed or one by one: four bytes each
+                values += struct.unpack(f"<{len(v) // 4}f", v)
+        elif knum == 3:
+            kind, values = "int64", []
+            for _, wt, v in items:
+                if wt == 0:
+                    values.append(_signed64(v))
+                p = 0
+                while wt == 2 and p < len(v):
+                    x, p = _varint(v, p)
+                    values.append(_signed64(x))
+    return kind, values
+
+
+# --- checksums --------------------------------------------------------------------------------
+_POLYNOMIAL = 0x82F63B78  # CRC-32C, reflected
+_LANE = 1 << 12
+
+
+@cache
+def _crc_tables():
+    """``t[d][b]``: what a byte ``b`` adds to the state with ``d`` more bytes after it."""
+    import numpy as np
+
+    first = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        first = np.where(first & 1, (first >> 1) ^ np.uint32(_POLYNOMIAL), first >> 1)
+    t = np.zeros((_LANE, 256), np.uint32)
+    t[0] = first
+    for d in range(1, _LANE):
+        t[d] = first[t[d - 1] & 0xFF] ^ (t[d - 1] >> 8)
+    return t
+
+
+def crc32c(data: bytes) -> int:
+    """CRC-32C of whole data: bytes add up (xor) by their distance from the end, a lane at a time."""
+    import numpy as np
+
+    t, state = _crc_tables(), 0xFFFFFFFF
+    for s in range(0, len(data), _LANE):
+        lane = np.frombuffer(data, np.uint8, min(_LANE, len(data) - s), s).copy()
+        if len(lane) < 4:
+            for b in lane.tolist():
+                state = int(t[0][(state ^ b) & 0xFF]) ^ (state >> 8)
+            continue
+        lane[:4] ^= np.frombuffer(struct.pack("<I", state), np.uint8)
+        state = int(np.bitwise_xor.reduce(t[np.arange(len(lane) - 1, -1, -1), lane]))
+    return state ^ 0xFFFFFFFF
 
-def _enc_varint(v: int) -> bytes:
-    v &= (1 << 64) - 1
-    out = bytearray()
-    while True:
-        b = v & 0x7F
-        v >>= 7
-        if v:
-            out.append(b | 0x80)
-        else:
-            out.append(b)
-            return bytes(out)
 
+def masked_crc(data: bytes) -> int:
+    crc = crc32c(data)
+    return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
-def _ld(num: int, payload: bytes) -> bytes:
-    return _enc_varint((num << 3) | 2) + _enc_varint(len(payload)) + payload
 
+class BrokenFrame(ValueError):
+    """The place where the next record begins is unknown."""
 
-def encode_example(features: dict) -> bytes:
-    """``{name: bytes | str | int | float | list}`` -> serialized ``Example``."""
-    entries = b""
-    for name, value in features.items():
-        vals = value if isinstance(value, list) else [value]
-        if all(isinstance(v, (bytes, str)) for v in vals):
-            lst = b"".join(_ld(1, v.encode() if isinstance(v, str) else v) for v in vals)
-            feat = _ld(1, lst)
-        elif all(isinstance(v, int) for v in vals):
-            feat = _ld(3, _ld(1, b"".join(_enc_varint(v) for v in vals)))
-        else:
-            feat = _ld(2, _ld(1, struct.pack(f"<{len(vals)}f", *vals)))
-        entries += _ld(1, _ld(1, name.encode()) + _ld(2, feat))
-    return _ld(1, entries)
 
+def iter_records(stream, size: int | None = None):
+    """Yield ``(byte offset, payload)``; the payload is None if its checksum doesn't match.
 
-def frame_record(payload: bytes) -> bytes:
-    """TFRecord framing (CRC fields are written as zero; the reader does not check them)."""
-    return struct.pack("<Q", len(payload)) + b"\0\0\0\0" + payload + b"\0\0\0\0"
+    Raises ``BrokenFrame`` at a length that is damaged or reaches beyond the file's ``size``."""
+    at = 0
+    while True:
+        head = stream.read(12)
+        if not head:
+            return
+        if len(head) < 12:
+            raise BrokenFrame(f"truncated record header at byte {at}")
+        length, check = struct.unpack("<QI", head)
+        if masked_crc(head[:8]) != check:
+            raise BrokenFrame(f"wrong checksum of a length at byte {at}")
+        if size is not None and at + length + 16 > size:
+            raise BrokenFrame(f"record at byte {at} reaches beyond the file")
+        body = stream.read(length + 4)
+        if len(body) < length + 4:
+            raise BrokenFrame(f"truncated record at byte {at}")
+        data = body[:length]
+        yield at, data if masked_crc(data) == struct.unpack("<I", body[length:])[0] else None
+        at += length + 16
 
 
 # --- data source -------------------------------------------------------------------------------
@@ -188,6 +204,10 @@ def frame_record(payload: bytes) -> bytes:
 # of that file (for row ids in file order, see ``capset.operators.rows.with_row_id_from``).
 FILE_COL = "_file"
 INDEX_COL = "_index"
+CORRUPT_COL = "_corrupt"
+#: Bytes of values in a batch that goes to Spark, beyond which it is closed.
+BATCH_BYTES = 32 << 20
+
 
 def _convert(dt, kind, values):
     if isinstance(dt, ArrayType):
@@ -215,57 +235,86 @@ class TFRecordReader(DataSourceReader):
     def __init__(self, schema: StructType, options):
         self.schema = schema
         self.path = options.get("path")
-        self.failfast = options.get("mode", "DROPMALFORMED").upper() == "FAILFAST"
+        self.mode = options.get("mode", "FAILFAST").upper()
+        if self.mode not in ("FAILFAST", "DROPMALFORMED", "PERMISSIVE"):
+            raise ValueError(f"unknown mode {self.mode}")
+        if self.mode == "PERMISSIVE" and CORRUPT_COL not in schema.fieldNames():
+            raise ValueError(f"mode PERMISSIVE needs a column {CORRUPT_COL} string in the schema")
 
     def partitions(self):
         return [FilePartition(p) for p in _list_files(self.path)]
 
     def read(self, partition):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
         filesystem, _ = _fs(self.path)
-        index = 0
+        arrow = to_arrow_schema(self.schema)
+        special = {FILE_COL, INDEX_COL, CORRUPT_COL}
+        wanted = {f.name for f in self.schema.fields} - special
+        rows, held, index = [], 0, 0
+
+        def batch():
+            nonlocal held
+            columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)]
+            rows.clear()
+            held = 0
+            return pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+        def row(ex: dict, at: int, wrong: str | None = None) -> list:
+            own = {FILE_COL: partition.path, INDEX_COL: None if wrong else at, CORRUPT_COL: wrong}
+            return [own[f.name] if f.name in special else _convert(f.dataType, *ex.get(f.name, (None, []))) for f in self.schema.fields]
+
         with filesystem.open_input_stream(partition.path, compression=None) as stream:
-            records = iter_records(stream)
-            while True:
-                try:
-                    data = next(records)
-                except StopIteration:
-                    return
-                except ValueError:
-                    if self.failfast:
-                        raise
-                    return  # the rest of a truncated file cannot be framed
-                try:
-                    ex = parse_example(data)
-                except (ValueError, IndexError, struct.error, UnicodeDecodeError):
-                    if self.failfast:
-                        raise
+            for at, data, wrong in self._records(stream, filesystem.get_file_info(partition.path).size):
+                ex = {}
+                if not wrong:
+                    try:
+                        ex = parse_example(data, wanted)
+                    except (ValueError, IndexError, struct.error, UnicodeDecodeError) as e:
+                        wrong = f"undecodable record at byte {at}: {e}"
+                if wrong and self.mode == "FAILFAST":
+                    raise ValueError(f"{partition.path}: {wrong}")
+                if wrong and self.mode == "DROPMALFORMED":
+                    logging.getLogger(__name__).warning("%s: %s", partition.path, wrong)
                     continue
-                row = []
-                for f in self.schema.fields:
-                    if f.name == FILE_COL:
-                        row.append(partition.path)
-                    elif f.name == INDEX_COL:
-                        row.append(index)
-                    else:
-                        kind, values = ex.get(f.name, (None, []))
-                        row.append(_convert(f.dataType, kind, values))
-                index += 1
-                yield tuple(row)
+                rows.append(row(ex, index, wrong))
+                index += not wrong
+                held += len(data or b"")
+                if held >= BATCH_BYTES or len(rows) >= 4096:
+                    yield batch()
+        if rows:
+            yield batch()
+
+    def _records(self, stream, size: int):
+        """``(byte offset, payload, what is wrong)``."""
+        try:
+            for at, data in iter_records(stream, size):
+                yield at, data, None if data is not None else f"wrong checksum of the data at byte {at}"
+        except BrokenFrame as e:
+            if self.mode != "PERMISSIVE":
+                raise
+            yield 0, None, f"{e}; the rest of the file can't be read"
 
 
 def infer_schema(path: str) -> StructType:
-    """Schema from the first decodable record of the first file."""
+    """Schema from the first decodable record of the files in name order."""
     filesystem, _ = _fs(path)
     for p in _list_files(path):
         with filesystem.open_input_stream(p) as stream:
-            for data in iter_records(stream):
-                ex = parse_example(data)
-                fields = []
-                for name, (kind, values) in ex.items():
-                    base = {"bytes": BinaryType(), "float": FloatType(), "int64": LongType()}[kind]
-                    fields.append(StructField(name, ArrayType(base) if len(values) > 1 else base))
-                return StructType(fields)
-    raise ValueError(f"no TFRecord found under {path}")
+            try:
+                for _, data in iter_records(stream, filesystem.get_file_info(p).size):
+                    try:
+                        ex = parse_example(data) if data is not None else {}
+                    except (ValueError, IndexError, struct.error, UnicodeDecodeError):
+                        continue
+                    if ex:
+                        base = {"bytes": BinaryType(), "float": FloatType(), "int64": LongType()}
+                        return StructType([StructField(name, ArrayType(base[kind]) if len(values) > 1 else base[kind])
+                                           for name, (kind, values) in ex.items()])
+            except BrokenFrame:
+                continue
+    raise ValueError(f"no readable TFRecord under {path}")
 
 
 class TFRecordDataSource(DataSource):

@@ -47,3 +47,45 @@ def pair_tree(root: str) -> str:
     write(f"{b}/000000000.txt", "same stem, other folder")
     write(f"{b}/000000000.png", png_bytes(3, 3))
     return root
+
+
+# --- TFRecord files -------------------------------------------------------------------------
+
+def _varint(v: int) -> bytes:
+    v &= (1 << 64) - 1
+    out = bytearray()
+    while v > 0x7F:
+        out.append(v & 0x7F | 0x80)
+        v >>= 7
+    return bytes([*out, v])
+
+
+def _sized(num: int, payload: bytes) -> bytes:
+    return _varint((num << 3) | 2) + _varint(len(payload)) + payload
+
+
+def example(features: dict) -> bytes:
+    """``{name: bytes | str | int | float | list}`` as a serialized ``Example``."""
+    entries = b""
+    for name, value in features.items():
+        vals = value if isinstance(value, list) else [value]
+        if all(isinstance(v, (bytes, str)) for v in vals):
+            feature = _sized(1, b"".join(_sized(1, v.encode() if isinstance(v, str) else v) for v in vals))
+        elif all(isinstance(v, int) for v in vals):
+            feature = _sized(3, _sized(1, b"".join(map(_varint, vals))))
+        else:
+            feature = _sized(2, _sized(1, struct.pack(f"<{len(vals)}f", *vals)))
+        entries += _sized(1, _sized(1, name.encode()) + _sized(2, feature))
+    return _sized(1, entries)
+
+
+def framed(payload: bytes) -> bytes:
+    """A record with its two checksums."""
+    from capset.sources.tfrecord import masked_crc
+
+    head = struct.pack("<Q", len(payload))
+    return head + struct.pack("<I", masked_crc(head)) + payload + struct.pack("<I", masked_crc(payload))
+
+
+def records(path: str, examples) -> None:
+    write(path, b"".join(framed(example(e)) for e in examples))

@@ -6,8 +6,7 @@ import os
 import tarfile
 
 from capset import jobs as J
-from capset.sources import tfrecord as TF
-from fixtures import pair_tree, png_bytes, write
+from fixtures import pair_tree, png_bytes, records, write
 
 
 def _members(folder):
@@ -39,17 +38,24 @@ def test_shards_from_tfrecords(spark, tmp_dir):
                     "height": h, "width": w})
     os.makedirs(f"{tmp_dir}/tfr")
     for name, part in (("a.tfrecord", exs[:6]), ("b.tfrecord", exs[6:])):
-        with open(f"{tmp_dir}/tfr/{name}", "wb") as f:
-            for ex in part:
-                f.write(TF.frame_record(TF.encode_example(ex)))
+        records(f"{tmp_dir}/tfr/{name}", part)
     rep = J.shards_from_tfrecords(spark, f"{tmp_dir}/tfr", f"{tmp_dir}/shards", use_encoder=True).first()
     # duplicates: record 7 repeats record 3; sizes: i%3==0 -> discard (both < 192), 1 -> resize, 2 -> keep
-    assert (rep.total, rep.duplicates, rep.discarded, rep.resized) == (12, 1, 4, 3)  # 7 is a copy
+    assert (rep.total, rep.duplicates, rep.discarded, rep.to_resize) == (12, 1, 4, 3)  # 7 is a copy
     assert rep.remaining == 7
     m = _members(f"{tmp_dir}/shards")
     keys = sorted({k.split(".")[0] for k in m})
     assert keys == ["%09d" % i for i in (1, 2, 4, 5, 8, 10, 11)]  # gaps stay
     assert m["000000004.label.cls"] == b"l4" and "000000004.image.pyd" in m
+    assert {k for k in m if k.endswith("resize_to")} == {"000000001.resize_to", "000000004.resize_to", "000000010.resize_to"}
+    assert m["000000001.resize_to"] == b"640x320"
+    assert sorted(os.path.basename(f) for f in glob.glob(f"{tmp_dir}/shards/*.tar")) == ["wds_000000.tar"]
+    # all fields of an inferred schema, none left out
+    rep = J.shards_from_tfrecords(spark, f"{tmp_dir}/tfr", f"{tmp_dir}/all", features=None, keep_keys="",
+                                  remove_duplicates="", min_max_size="").first()
+    m = _members(f"{tmp_dir}/all")
+    assert rep.remaining == 12 and len(m) == 12 * 6
+    assert (m["000000005.height"], m["000000005.label"], m["000000007.image"]) == (b"250", b"l5", b"same")
 
 
 def test_captions_from_manifest(spark, tmp_dir):
@@ -85,7 +91,7 @@ def test_captions_from_labels(spark, tmp_dir):
     write(f"{tmp_dir}/n.jsonl", '{"image_id": "i3", "caption": "a narrative"}\n')
     res = {r.image_id: r for r in J.captions_from_labels(
         spark, {"validation": f"{tmp_dir}/val.csv", "train": f"{tmp_dir}/train.csv"}, f"{tmp_dir}/dict.csv",
-        narratives=[f"{tmp_dir}/n.jsonl"], out=f"{tmp_dir}/caps").collect()}
+        ["shows {certain}"], [", or {maybe}"], narratives=[f"{tmp_dir}/n.jsonl"], out=f"{tmp_dir}/caps").collect()}
     assert sorted(res) == ["i1", "i2", "i3"]
     assert res["i1"].path.endswith("train-256/i1.jpg") and "dog" in res["i1"].caption  # train wins over val
     assert res["i2"].dropped and res["i3"].caption == "a narrative"
@@ -141,3 +147,44 @@ def test_done_in_folder_and_scoring(spark, tmp_dir):
     b = {r.row_id: (r.best_field, r.above) for r in best.collect()}
     assert b == {1: ("section_title", True), 2: ("section_title", True)}
     assert spark.read.parquet(f"{tmp_dir}/emb").count() == 2
+
+
+def test_last_narrative_in_the_order_of_the_files_wins(spark, tmp_dir):
+    write(f"{tmp_dir}/dict.csv", "/m/a,Cat\n")
+    write(f"{tmp_dir}/val.csv", "ImageID,LabelName,Confidence\ni1,/m/a,1\ni2,/m/a,1\n")
+    # the first file is larger: Spark would read it later
+    write(f"{tmp_dir}/1.jsonl", '{"image_id": "i1", "caption": "one"}\n' * 500)
+    write(f"{tmp_dir}/2.jsonl", '{"image_id": "i1", "caption": "two"}\n{"image_id": "i1", "caption": "last"}\n')
+    write(f"{tmp_dir}/root/images/256px/validation/i1.jpg", b"x")
+    for files, want in (("12", "last"), ("21", "one")):
+        res = {r.image_id: r for r in J.captions_from_labels(
+            spark, {"validation": f"{tmp_dir}/val.csv"}, f"{tmp_dir}/dict.csv", ["{certain}"], ["{maybe}"],
+            narratives=[f"{tmp_dir}/{n}.jsonl" for n in files], images=f"{tmp_dir}/root").collect()}
+        assert res["i1"].caption == want
+        assert not res["i1"].dropped and res["i2"].dropped  # no file
+
+
+def test_names_with_blanks_hashes_and_other_letters(spark, tmp_dir):
+    data = os.path.join(tmp_dir, "a dir", "tree")
+    stems = ["pic#4", "pic#5", "a b", "50%", "ä+1", "x?y", "plain"]
+    for s in stems:
+        write(f"{data}/über 1/{s}.png", png_bytes(4, 3))
+        write(f"{data}/über 1/{s}.txt", f"text of {s}")
+    rep = J.check_folder(spark, data).collect()
+    assert all(not (r.incomplete or r.corrupt or r.empty or r.delete) for r in rep)
+    out = J.shards_from_folder(spark, data, os.path.join(tmp_dir, "shards"), maxcount=3).first()
+    assert (out.pairs, out.invalid_images, out.written) == (7, 0, 7)
+    m = _members(os.path.join(tmp_dir, "shards"))
+    assert sorted(v.decode() for k, v in m.items() if k.endswith(".cap")) == sorted(f"text of {s}" for s in stems)
+    assert sorted(os.path.basename(f) for f in glob.glob(f"{tmp_dir}/shards/*.tar")) == [f"ds_{i:06d}.tar" for i in range(3)]
+
+
+def test_relative_roots_list_what_absolute_ones_do(spark, tmp_dir):
+    from capset.sources.files import scan_files
+
+    pair_tree(os.path.join(tmp_dir, "tree"))
+    # the folder that the session started in is what relative paths are relative to
+    started = spark.sparkContext._jvm.java.io.File(".").getCanonicalPath()
+    root = os.path.relpath(os.path.join(tmp_dir, "tree"), started)
+    listed = [sorted(r.rel for r in scan_files(spark, r, depth=1).collect()) for r in (root, os.path.join(tmp_dir, "tree"))]
+    assert listed[0] == listed[1] and len(listed[0]) == 14

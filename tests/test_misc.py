@@ -40,7 +40,7 @@ def test_scores_map_and_generic_captions(spark):
     s = spark.createDataFrame([(1, "a", 0.123456), (1, "b", 0.5)], "image_id long, field string, score double")
     assert SM.scores_map(s, "image_id").first().scores == {"a": 0.1235, "b": 0.5}
     df = spark.createDataFrame([(1, ["Cat", "Dog"])], "image_id long, labels array<string>")
-    out = SM.generate_captions(df, "pets", {"pets": [["a photo of {}", "{} here"]]}).first()
+    out = SM.generate_captions(df, "pets", {"pets": ["a photo of {}", "{} here"]}).first()
     assert out.caption in ("a photo of cat, dog", "cat, dog here") and out.caption_key == "pets_1"
     with pytest.raises(ValueError):
         SM.generate_captions(df, "unknown", {"pets": ["{}"]})

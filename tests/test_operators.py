@@ -18,10 +18,14 @@ def test_labels_per_image_and_names(spark):
     d = spark.createDataFrame([("/m/a", "Cat"), ("/m/b", "Dog"), ("/m/c", "Table, dining")], "code string, name string")
     per = {r.image_id: r for r in L.flag_dropped(L.labels_per_image(ann, dictionary=d)).collect()}
     assert per["i1"].certain_labels == ["Cat", "Table, dining"] and per["i1"].uncertain_labels == ["Dog"]
+    assert sorted(per["i1"].certain_counts) == [1, 2] and per["i1"].uncertain_counts == [1]
+    every = {r.image_id: r for r in L.labels_per_image(ann, dictionary=d, repeats=True).collect()}
+    assert len(every["i1"].certain_labels) == 3 and set(every["i1"].certain_labels) == {"Cat", "Table, dining"}
     assert per["i1"].n_certain == 3 and per["i1"].n_uncertain == 1
     assert per["i2"].dropped and not per["i1"].dropped
     assert per["i3"].n_unknown == 1 and per["i3"].certain_labels == ["/m/zz"]
-    caps = {r.image_id: r for r in L.render_captions(L.flag_dropped(L.labels_per_image(ann, dictionary=d)), seed=3).collect()}
+    caps = {r.image_id: r for r in L.render_captions(
+        L.flag_dropped(L.labels_per_image(ann, dictionary=d)), ["of {certain}", "{certain} here"], [", or {maybe}"], seed=3).collect()}
     assert "cat, table, dining" in caps["i1"].caption
     assert caps["i1"].caption == caps["i1"].caption.lower()
     assert not caps["i3"].used_maybe  # strict: no maybe branch without uncertain labels
@@ -63,7 +67,7 @@ def test_run_report_order_of_rules(spark):
                                "row_id long, h string, width int, height int")
     rep = D.run_report(D.apply_size_rule(D.flag_duplicates(df, "h", "row_id"))).first()
     # row 1 duplicates row 0, which is discarded: the copy is counted as duplicate, not resized
-    assert (rep.total, rep.duplicates, rep.discarded, rep.resized, rep.remaining) == (4, 1, 1, 1, 2)
+    assert (rep.total, rep.duplicates, rep.discarded, rep.to_resize, rep.remaining) == (4, 1, 1, 1, 2)
     sized = {r.row_id: (r.action, r.new_width, r.new_height)
              for r in D.apply_size_rule(df, min_side=192, max_side=320).collect()}
     assert sized[2] == ("resize", int(500 * 3.2), 320)

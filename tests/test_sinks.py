@@ -48,7 +48,7 @@ def test_fault_report_json_tsv_embeddings(spark, tmp_dir):
     assert len(glob.glob(f"{tmp_dir}/emb/part-*.parquet")) == 3
 
 
-def test_corpus_vocabulary_single_tar(spark, tmp_dir):
+def test_corpus_and_vocabulary(spark, tmp_dir):
     t = spark.createDataFrame([("a b\nc",), ("d",)], "text string")
     K.write_corpus(t, f"{tmp_dir}/corpus")
     assert sorted(r.value for r in spark.read.text(f"{tmp_dir}/corpus").collect()) == ["a b c", "d"]
@@ -56,10 +56,3 @@ def test_corpus_vocabulary_single_tar(spark, tmp_dir):
     m = spark.createDataFrame([(0, "a", "b", 3)], "rank int, left string, right string, freq long")
     K.write_vocabulary(v, m, f"{tmp_dir}/vocab")
     assert spark.read.parquet(f"{tmp_dir}/vocab/merges").first().freq == 3
-    s = spark.range(0, 40).repartition(4).select(F.format_string("%09d", "id").alias("key"),
-                                                 F.encode(F.col("id").cast("string"), "UTF-8").alias("cap"))
-    K.write_single_tar(s, f"{tmp_dir}/one", name="dataset")
-    files = glob.glob(f"{tmp_dir}/one/*.tar.gz")
-    assert len(files) == 1
-    with tarfile.open(files[0], "r:gz") as tf:
-        assert len(tf.getmembers()) == 40

@@ -53,20 +53,6 @@ def test_timed_and_logit(spark):
     assert abs(r.l - 100.0) < 1e-9 and r.n == 5.0 and r.d == 25.0
 
 
-def test_spread_by_input_files(spark, tmp_dir):
-    from capset.operators.parallel import spread
-
-    slots = spark.sparkContext.defaultParallelism
-    spark.range(0, 100).coalesce(1).write.parquet(f"{tmp_dir}/one")
-    one = spark.read.parquet(f"{tmp_dir}/one")
-    assert spread(one).rdd.getNumPartitions() == slots
-    spark.range(0, 100).repartition(slots).write.parquet(f"{tmp_dir}/many")
-    many = spark.read.parquet(f"{tmp_dir}/many")
-    assert spread(many) is many  # enough files: no extra shuffle
-    derived = spark.range(10)
-    assert spread(derived) is derived or spread(derived).rdd.getNumPartitions() == slots
-
-
 def test_label_name_modes_and_file_flags(spark):
     import pytest
 

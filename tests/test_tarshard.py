@@ -80,3 +80,58 @@ def test_append_keeps_earlier_shards_and_overwrite_replaces(spark, samples, tmp_
     assert spark.read.format("tarshard").load(out).count() == 2000
     write_tar_shards(samples, out, maxcount=500, check=False, mode="overwrite")
     assert spark.read.format("tarshard").load(out).count() == 1000
+
+
+def shard_rows(spark, n, start=0):
+    return spark.range(start, start + n).select(
+        (F.col("id") - start).alias("row_id"), F.format_string("%09d", "id").alias("key"),
+        F.encode(F.col("id").cast("string"), "UTF-8").alias("cap"), F.lit(10).alias("nbytes"))
+
+
+def test_appended_numbered_shards_count_on(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "n")
+    for start, mode in ((0, "overwrite"), (200, "append")):
+        write_tar_shards(shard_rows(spark, 200, start), out, maxcount=64, packing="prefix", size_col="nbytes", check=False, mode=mode)
+    assert sorted(map(os.path.basename, glob.glob(f"{out}/*.tar"))) == [f"ds_{i:06d}.tar" for i in range(8)]
+    tarshard.register(spark)
+    assert spark.read.format("tarshard").schema("key string, cap string").load(out).distinct().count() == 400
+
+
+def test_overwrite_leaves_other_shards_alone(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "o")
+    one = dict(maxcount=64, packing="prefix", size_col="nbytes", check=False)
+    write_tar_shards(shard_rows(spark, 200), out, **one)
+    write_tar_shards(shard_rows(spark, 10), out, prefix="ds_b_", **one)
+    write_tar_shards(shard_rows(spark, 10), os.path.join(out, "sub"), **one)
+    write_tar_shards(shard_rows(spark, 30), out, **one)
+    assert sorted(os.path.relpath(p, out) for p in glob.glob(f"{out}/**/*.tar", recursive=True)) == [
+        "ds_000000.tar", "ds_b_000000.tar", "sub/ds_000000.tar"]
+
+
+def test_rows_of_a_shard_apart_and_dotted_keys_fail(spark, tmp_dir):
+    rows = spark.createDataFrame([(f"k{i}", i % 2, b"x") for i in range(6)], "key string, shard int, cap binary").coalesce(1)
+    tarshard.register(spark)
+    with pytest.raises(Exception, match="not together"):
+        rows.write.format("tarshard").option("shardColumn", "shard").mode("append").save(os.path.join(tmp_dir, "a"))
+    both = rows.where("shard = 0").repartition(2)
+    with pytest.raises(Exception, match="one number"):
+        both.write.format("tarshard").option("shardColumn", "shard").mode("append").save(os.path.join(tmp_dir, "b"))
+    with pytest.raises(Exception, match="holds a dot"):
+        rows.selectExpr("concat(key, '.a') AS key", "cap").write.format("tarshard").mode("append").save(os.path.join(tmp_dir, "c"))
+    assert not glob.glob(f"{tmp_dir}/*/*.tar")
+
+
+def test_unwanted_members_are_skipped_and_batches_closed_by_bytes(spark, tmp_dir, monkeypatch):
+    from pyspark.sql.types import StructType
+
+    out = os.path.join(tmp_dir, "w")
+    big = spark.range(40).select(F.format_string("%09d", "id").alias("key"), F.expr("cast(repeat('x', 200000) as binary)").alias("img"),
+                                 F.encode(F.lit("c"), "UTF-8").alias("cap")).coalesce(1)
+    write_tar_shards(big, out, check=False)
+    monkeypatch.setattr(tarshard, "BATCH_BYTES", 1_000_000)
+    (shard,) = glob.glob(f"{out}/*.tar")
+    schema = StructType().add("key", "string").add("img", "binary")
+    r = tarshard.TarShardReader(schema, {"path": out})
+    assert [b.num_rows for b in r.read(tarshard.ShardPartition(shard))] == [5] * 8
+    r = tarshard.TarShardReader(StructType().add("key", "string").add("cap", "binary"), {"path": out})
+    assert [b.num_rows for b in r.read(tarshard.ShardPartition(shard))] == [40]

@@ -22,15 +22,17 @@ SAMPLES = [
 
 
 def py_clean(x: str) -> str:
-    for pat, rep in [(r"^\.+\s+", ""), (r"\.\.+", "."), (r"\s\s+", " "), (r"\s+\.+", ""), (r"&amp;", "and")]:
-        x = re.sub(pat, rep, x)
+    from capset.functions.text import CLEAN_STEPS
+
+    for step in CLEAN_STEPS:
+        x = re.sub(step[0], step[1], x)
     return x.strip()
 
 
 def py_segment(x: str, tag: str) -> str:
-    if tag in x:
-        return "\n".join(y.replace(tag, "").strip() for y in x.split("\n") if tag in y)
-    return x
+    """Lines with the tag, without it and trimmed; a text without the tag as it is."""
+    tagged = [line for line in x.split("\n") if tag in line]
+    return "\n".join(line.replace(tag, "").strip() for line in tagged) if tagged else x
 
 
 @pytest.fixture(scope="module")
