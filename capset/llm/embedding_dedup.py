@@ -5,8 +5,8 @@ epsilon.  Vectors are projected on a few leading principal dimensions (an orthon
 bounded sample: distances of projections are never larger), sorted by their cells of width epsilon,
 and cut in that order into intervals: range partitions, and blocks inside them.  The join goes down
 recursively, as Spark joins over the small table of intervals: pairs of partitions whose boxes
-are at most epsilon apart, then pairs of their blocks.  The vectors of a block meet those
-of each block that is left; cosines are computed in double precision.
+are at most epsilon apart, then pairs of their blocks, then, in the task that two blocks meet in, halves of
+them down to small intervals.  Cosines are computed in double precision.
 
 Equal vectors are one class; a class stands for all its members in the counts.
 """
@@ -26,7 +26,9 @@ from capset.llm.components import components
 #: Vectors that the principal dimensions are fitted on, at most.
 SAMPLE = 4_000
 LEADING = 8
-BLOCK = 256
+BLOCK = 1024
+#: The join goes down to intervals of this many vectors inside a task.
+LEAF = 128
 
 
 def _unit(rows: pd.Series) -> np.ndarray:
@@ -55,19 +57,30 @@ def principal(vectors: DataFrame, leading: int = LEADING, rows: int = SAMPLE) ->
     return basis[:, np.argsort(-values)[:leading]].T
 
 
-def _links(ids: np.ndarray, x: np.ndarray, side: np.ndarray, weight: np.ndarray, cosine: float):
-    """Weighted link counts of a pair of blocks, and links that span what its links connect."""
-    two = side.min() != side.max()
-    a = np.flatnonzero(side == 0)
-    b = np.flatnonzero(side == 1) if two else a
-    near = x[a] @ x[b].T >= cosine
-    if not two:
-        np.fill_diagonal(near, False)
-    count = np.zeros(len(ids), np.int64)
-    count[a] += near @ weight[b]
-    if two:
-        count[b] += near.T @ weight[a]
-    root = np.arange(len(ids))
+def _near_intervals(p: np.ndarray, a: tuple[int, int], b: tuple[int, int], eps: float) -> Iterator[tuple[int, int, int, int]]:
+    """Leaf intervals of ``a`` and ``b`` (of the rows of ``p``) that are not provably more than ``eps`` apart."""
+    one, two = p[a[0]:a[1]], p[b[0]:b[1]]
+    gap = np.maximum(0, np.maximum(one.min(axis=0) - two.max(axis=0), two.min(axis=0) - one.max(axis=0)))
+    if (gap * gap).sum() > eps * eps:
+        return
+    if max(a[1] - a[0], b[1] - b[0]) <= LEAF:
+        yield (*a, *b)
+        return
+
+    def halves(x: tuple[int, int]) -> list[tuple[int, int]]:
+        middle = (x[0] + x[1]) // 2
+        return [(x[0], middle), (middle, x[1])] if x[1] - x[0] > LEAF else [x]
+
+    for i, left in enumerate(halves(a)):
+        for right in halves(b)[i if a == b else 0:]:
+            yield from _near_intervals(p, left, right, eps)
+
+
+def _links(x: np.ndarray, p: np.ndarray, cut: int, weight: np.ndarray, cosine: float, eps: float):
+    """Weighted link counts, and links that span what the links connect: of the rows before ``cut`` with
+    those from it on, or of all rows with each other if there is no cut (0)."""
+    n = len(x)
+    count, root, links = np.zeros(n, np.int64), np.arange(n), []
 
     def find(k: int) -> int:
         while root[k] != k:
@@ -75,13 +88,20 @@ def _links(ids: np.ndarray, x: np.ndarray, side: np.ndarray, weight: np.ndarray,
             k = root[k]
         return k
 
-    links = []
-    for i in np.flatnonzero(near.any(axis=1)):
-        for j in np.flatnonzero(near[i]):
-            p, q = find(int(a[i])), find(int(b[j]))
-            if p != q:
-                root[max(p, q)] = min(p, q)
-                links.append((int(a[i]), int(b[j])))
+    a, b = ((0, cut), (cut, n)) if cut else ((0, n), (0, n))
+    for a0, a1, b0, b1 in _near_intervals(p, a, b, eps):
+        near = x[a0:a1] @ x[b0:b1].T >= cosine
+        if (a0, a1) == (b0, b1):
+            near = np.triu(near, 1)
+        if not near.any():
+            continue
+        count[a0:a1] += near @ weight[b0:b1]
+        count[b0:b1] += near.T @ weight[a0:a1]
+        for i, j in zip(*np.nonzero(near), strict=True):
+            r, s = find(a0 + int(i)), find(b0 + int(j))
+            if r != s:
+                root[max(r, s)] = min(r, s)
+                links.append((a0 + int(i), b0 + int(j)))
     return count, links
 
 
@@ -96,7 +116,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
     a component (null, and kept, if it has no other).  An empty table gives an empty result.
     """
     eps = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-9
-    rows = vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).cast("array<double>").alias("_vec"))
+    wide = "double" in vectors.schema[vec_col].dataType.simpleString()  # floats travel as floats
+    kind = "double" if wide else "float"
+    rows = vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).cast(f"array<{kind}>").alias("_vec"))
     good = rows.where(usable(F.col("_vec"))).withColumns({"_digest": F.sha2(_bytes("_vec"), 256), "_salt": salt_of(F.col("_id"))})
     part = good.groupBy("_digest", "_salt").agg(F.min("_id").alias("_class"), F.count(F.lit(1)).alias("_n"))
     whole = part.groupBy("_digest").agg(F.min("_class").alias("_class"), F.sum("_n").alias("_n"),
@@ -107,7 +129,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
     basis = principal(reps, leading)
     linked = None
     if basis is not None:
-        linked = _join(reps, basis, cosine, eps, block)
+        linked = _join(reps, basis, cosine, eps, block, np.float64 if wide else np.float32)
     spark = vectors.sparkSession
     if linked is None:
         counts = spark.createDataFrame([], "_digest string, n_links long")
@@ -131,7 +153,7 @@ def _bytes(vec: str):
     return F.array_join(F.transform(vec, lambda x: (x + F.lit(0.0)).cast("string")), ",")
 
 
-def _join(reps: DataFrame, basis: np.ndarray, cosine: float, eps: float, block: int) -> DataFrame:
+def _join(reps: DataFrame, basis: np.ndarray, cosine: float, eps: float, block: int, number_type: type) -> DataFrame:
     """Rows of link counts (``_digest, n``) and of spanning links (``u, v``) between classes."""
     lead, dim = basis.shape
 
@@ -141,9 +163,9 @@ def _join(reps: DataFrame, basis: np.ndarray, cosine: float, eps: float, block:
             fits = df["_vec"].map(len).to_numpy() == dim
             if fits.any():  # vectors of another length have no box of their own: all are at zero
                 out[fits] = _unit(df["_vec"][fits]) @ basis.T
-            yield df[["_digest", "_class", "_n"]].assign(_p=list(out), _vec=df["_vec"])
+            yield df[["_digest", "_class", "_n"]].assign(_p=list(out), _vec=[np.asarray(v, number_type).tobytes() for v in df["_vec"]])
 
-    kind = "_digest string, _class long, _n long, _p array<double>, _vec array<double>"
+    kind = "_digest string, _class long, _n long, _p array<double>, _vec binary"
     # a class of null ids has no number: -1 keeps the column whole numbers in pandas
     placed = reps.withColumn("_class", F.coalesce("_class", F.lit(-1).cast("long"))).select(
         "_digest", "_class", "_n", "_vec").mapInPandas(project, kind)
@@ -184,18 +206,24 @@ def _join(reps: DataFrame, basis: np.ndarray, cosine: float, eps: float, block:
     met = ordered.drop("_p").join(both, ["_range", "_block"]).drop("_range", "_block")
 
     def compare(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["_side", "_class", "_digest"], kind="stable").reset_index(drop=True)
+        df = df.assign(_length=df["_vec"].map(len))
         out = []
-        length = df["_vec"].map(len).to_numpy()
-        for n in np.unique(length):  # vectors of different length do not meet
-            own = df[length == n]
-            side = own["_side"].to_numpy()
-            if df["_side"].nunique() > 1 and len(np.unique(side)) < 2:
-                continue
-            ids = own["_class"].to_numpy()
-            count, links = _links(ids, _unit(own["_vec"]), side, own["_n"].to_numpy(), cosine)
-            hit = np.flatnonzero(count)
-            out += [(own["_digest"].iloc[i], count[i], None, None) for i in hit]
+        for _, own in df.groupby("_length"):  # vectors of different length do not meet
+            own = own.sort_values(["_side", "_class", "_digest"], kind="stable")
+            x = _unit(own["_vec"].map(lambda b: np.frombuffer(b, number_type)))
+            p = x @ basis.T if x.shape[1] == dim else np.zeros((len(x), lead))
+            cut = int((own["_side"] == 0).sum())
+            if df["_side"].nunique() > 1:
+                if cut in (0, len(own)):
+                    continue
+            else:
+                cut = 0
+            # grid order inside each side, so that halves are near each other
+            order = np.lexsort([*np.floor(p / eps).T[::-1], own["_side"].to_numpy()])
+            own, x, p = own.iloc[order], x[order], p[order]
+            count, links = _links(x, p, cut, own["_n"].to_numpy(), cosine, eps)
+            ids, names = own["_class"].to_numpy(), own["_digest"].to_numpy()
+            out += [(names[i], count[i], None, None) for i in np.flatnonzero(count)]
             out += [(None, 0, ids[i], ids[j]) for i, j in links if ids[i] >= 0 and ids[j] >= 0]
         return pd.DataFrame(out, columns=["_digest", "n", "u", "v"]).astype({"n": "int64", "u": "Int64", "v": "Int64"})
 
