@@ -9,9 +9,9 @@ which runs here as Spark aggregates:
   character table (one row per distinct character, bounded by the character set), never over
   the text rows.
 * ``bpe_merges``: iterative pair counting on the distinct-word table.  Each round is one
-  aggregate over pairs weighted by word frequency; the winning pair (one row) goes to the
-  driver, which is inherent to BPE's sequential definition.  The word table is reliably
-  checkpointed (``spark.checkpoint.dir``) every few rounds to cut the lineage.
+  aggregate over pairs weighted by word frequency; the best pairs (a bounded list) go to the
+  driver, which is inherent to BPE's sequential definition, and as many of them are merged as
+  can be without changing the result.  The word table is reliably checkpointed every few rounds.
 """
 
 from __future__ import annotations
@@ -52,112 +52,86 @@ def alphabet(df: DataFrame, text: str = "text", coverage: float = 0.9999) -> Dat
     return counts.select("char", "n", (before < F.lit(coverage) * total).alias("kept"))
 
 
-# Words are kept as one string with a separator around every symbol (``\x01t\x01h\x01e\x01``),
-# so a merge is one JVM regex replacement and pair counting is a split + zip.
+# Words are kept as one string with a separator on either side of every symbol
+# (``\x01t\x01\x01h\x01\x01e\x01``), so a merge is a literal replacement of ``r\x01\x01l``.
 SEP = "\u0001"
+#: Of the ranked pairs, how many the driver looks at in a round.
+CANDIDATES = 256
 
 
-def _symbols(w):
-    parts = F.split(w, SEP)
-    return F.slice(parts, 2, F.size(parts) - 2)
+def _merged(w, left: str, right: str):
+    """Every adjacent ``left right`` made one symbol, from left to right, none twice."""
+    return F.replace(w, F.lit(f"{SEP}{left}{SEP}{SEP}{right}{SEP}"), F.lit(f"{SEP}{left}{right}{SEP}"))
 
 
-def _quote(sym: str) -> str:
-    """Regex literal of a symbol: every character that is not a letter or digit is escaped."""
-    return "".join(c if c.isalnum() else "\\" + c for c in sym)
-
-
-def _merge_pattern(left: str, right: str) -> tuple[str, str]:
-    """Regex and replacement merging every adjacent ``left right`` (non-overlapping, left to
-    right, as BPE does); the look-ahead keeps the closing separator for the next match."""
-    pat = SEP + _quote(left) + SEP + _quote(right) + "(?=" + SEP + ")"
-    repl = (SEP + left + right).replace("\\", "\\\\").replace("$", "\\$")
-    return pat, repl
-
-
-# one match per symbol boundary; the look-ahead captures "left SEP right" (overlapping pairs)
-PAIR_RE = SEP + "(?=([^" + SEP + "]+" + SEP + "[^" + SEP + "]+)" + SEP + ")"
-
-
-def _pair_strings(words: DataFrame, col: str = "w", sign: int = 1) -> DataFrame:
-    """``(p, freq)`` rows: every adjacent pair of every word as ``left SEP right``."""
-    return words.select(F.explode(F.regexp_extract_all(F.col(col), F.lit(PAIR_RE), 1)).alias("p"),
-                        (F.col("freq") * F.lit(sign)).alias("freq"))
-
-
-def _split_pairs(agg: DataFrame) -> DataFrame:
+def pair_counts(words: DataFrame, col: str = "w") -> DataFrame:
+    """Adjacent symbol pairs weighted by word frequency: ``(left, right, freq)``."""
+    symbols = words.select(F.split(F.expr(f"substring({col}, 2, length({col}) - 2)"), SEP + SEP).alias("s"), "freq").where(F.size("s") > 1)
+    # a pair travels as one string: the aggregate's keys are strings, not structs
+    pair = F.transform(F.sequence(F.lit(1), F.size("s") - 1),
+                       lambda i: F.concat_ws(SEP, F.element_at("s", i), F.element_at("s", i + 1)))
+    counts = symbols.select(F.explode(pair).alias("p"), "freq").groupBy("p").agg(F.sum("freq").alias("freq"))
     parts = F.split("p", SEP)
-    return agg.select(F.element_at(parts, 1).alias("left"), F.element_at(parts, 2).alias("right"), "freq")
+    return counts.select(F.element_at(parts, 1).alias("left"), F.element_at(parts, 2).alias("right"), "freq")
 
 
-def pair_counts(words: DataFrame, col: str = "w") -> DataFrame:
-    """Adjacent symbol pairs weighted by word frequency: ``(left, right, freq)``.
+def independent_merges(ranked: list, complete: bool, limit: int) -> list:
+    """The first of ``ranked`` (``left, right, freq``, best first) that one-by-one merging would also take.
 
-    Pairs are extracted as strings by one regex pass and aggregated as strings (cheaper than
-    exploding arrays of structs); they are split into their two symbols after the aggregate.
+    A merge of ``l r`` changes counts of pairs that hold ``l`` or ``r`` only, downwards, and makes pairs
+    with the new symbol, none more frequent than the pair with ``l`` or ``r`` it comes from.  So the next
+    pair of the list is also the next merge if it shares no symbol with those taken, and every
+    pair that does share one is strictly rarer.  ``complete``: the list holds all pairs.
     """
-    return _split_pairs(_pair_strings(words, col).groupBy("p").agg(F.sum("freq").alias("freq")))
+    taken, used = [], set()
+    for i, (left, right, freq) in enumerate(ranked):
+        if len(taken) == limit:
+            break
+        if taken:
+            same = [p for p in ranked[i:] if p[2] == freq]
+            if not complete and ranked[-1][2] == freq:
+                break  # pairs of this count may lie beyond the list
+            if any(used & {p[0], p[1]} for p in same):
+                break
+        taken.append((left, right, freq))
+        # pairs of higher rank than the next candidate were looked at as candidates themselves
+        used |= {left, right}
+    return taken
 
 
 def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str = "freq",
-               checkpoint_every: int = 8, recount_ratio: float = 0.2) -> DataFrame:
+               merges_per_round: int = 32, checkpoint_every: int = 8) -> DataFrame:
     """Learn ``num_merges`` BPE merges from ``(word, freq)``: the most frequent adjacent pair
-    (ties: smallest left, then right symbol) is merged in every word, one merge per round.
+    (ties: smallest left, then right symbol) is merged in every word, again and again.
 
-    Incremental: each round only the words that contain the chosen pair (a plain substring
-    test) are merged, and the pair counts are corrected by ``pairs(after) - pairs(before)`` of
-    those words.  While the chosen pair is still very frequent (at least ``recount_ratio`` of the
-    first merge's count, so it touches a large share of the words) a plain recount of all pairs
-    is cheaper and is used instead; both give the same counts.  The pair table and the word table
-    are cached per round and checkpointed reliably every ``checkpoint_every`` rounds.
+    A round counts all pairs once and takes up to ``merges_per_round`` merges of which it is certain that
+    merging one by one would take them next (``independent_merges``); with 1 it is one merge a
+    round, with the same result.  A merge is a literal string replacement; the words are checkpointed
+    reliably every ``checkpoint_every`` rounds, and what lies between is replayed from there.
 
     Returns ``(rank, left, right, freq)``; stops early when no pair is left.
     """
-    from capset.session import ensure_checkpoint_dir
+    from capset.operators.rows import materialize
 
     spark = words.sparkSession
-    ensure_checkpoint_dir(spark)
-    clean = F.regexp_replace(F.col(word), SEP, "")
-    joined = F.concat(F.lit(SEP), F.array_join(chars(clean), SEP), F.lit(SEP))
-    # one row per distinct word (no regroup needed: equal symbol strings just add up in the pair
-    # counts); explicit partition count, AQE would coalesce a small table into one task
-    cur = words.select(joined.alias("w"), F.col(freq).cast("long").alias("freq")) \
-               .repartition(spark.sparkContext.defaultParallelism).cache()
-    counts = _pair_strings(cur).groupBy("p").agg(F.sum("freq").alias("freq")).cache()
-    # Round k's counting job reads word table k-1 (filling its cache from table k-2) and the pair
-    # table k-1; only after that job may table k-2 and pair table k-1 be released.
-    merges, words_hist, counts_hist = [], [cur], [counts]
-    for rank in range(num_merges):
-        top = _split_pairs(counts.where(F.col("freq") > 0)) \
-            .orderBy(F.col("freq").desc(), "left", "right").limit(1).collect()
-        while len(words_hist) > 2:
-            words_hist.pop(0).unpersist()
-        while len(counts_hist) > 1:
-            counts_hist.pop(0).unpersist()
-        if not top:
+    clean = F.replace(F.col(word), F.lit(SEP), F.lit(""))
+    spelled = F.concat(F.lit(SEP), F.array_join(chars(clean), SEP + SEP), F.lit(SEP))
+    cur = materialize(words.where(F.length(clean) > 1).select(spelled.alias("w"), F.col(freq).cast("long").alias("freq")))
+    merges: list[tuple] = []
+    rounds = 0
+    while len(merges) < num_merges:
+        top = [tuple(r) for r in pair_counts(cur).orderBy(F.col("freq").desc(), "left", "right").limit(CANDIDATES).collect()]
+        found = independent_merges(top, len(top) < CANDIDATES, min(merges_per_round, num_merges - len(merges)))
+        if not found:
             break
-        l, r, f = top[0]["left"], top[0]["right"], top[0]["freq"]
-        merges.append((rank, l, r, int(f)))
-        pat, repl = _merge_pattern(l, r)
-        hit = F.instr(F.col("w"), SEP + l + SEP + r + SEP) > 0
-        before = cur.where(hit)
-        after = before.select(F.regexp_replace("w", pat, repl).alias("w"), "freq")
-        new_cur = cur.select(F.when(hit, F.regexp_replace("w", pat, repl)).otherwise(F.col("w")).alias("w"),
-                             "freq")
-        if f >= recount_ratio * merges[0][3]:
-            new_counts = _pair_strings(new_cur).groupBy("p").agg(F.sum("freq").alias("freq"))
-        else:
-            delta = _pair_strings(after).unionByName(_pair_strings(before, sign=-1))
-            new_counts = counts.unionByName(delta).groupBy("p").agg(F.sum("freq").alias("freq")) \
-                               .where(F.col("freq") != 0)
-        if (rank + 1) % checkpoint_every == 0:
-            counts, cur = new_counts.checkpoint(eager=True), new_cur.checkpoint(eager=True)
-        else:
-            counts, cur = new_counts.cache(), new_cur.cache()
-        words_hist.append(cur)
-        counts_hist.append(counts)
-    for t in words_hist + counts_hist:
-        t.unpersist()
+        w = F.col("w")
+        for left, right, n in found:
+            merges.append((len(merges), left, right, int(n)))
+            w = _merged(w, left, right)
+        cur = cur.select(w.alias("w"), "freq")
+        rounds += 1
+        if rounds % checkpoint_every == 0:
+            cur = materialize(cur.where(F.instr("w", SEP + SEP) > 0))
     return spark.createDataFrame(merges, "rank int, left string, right string, freq long")
 
 

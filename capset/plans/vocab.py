@@ -10,7 +10,7 @@ from capset.plans import sqltext as S
 from capset.plans.registry import load, register
 
 COVERAGE = 0.9999
-NUM_MERGES = 8
+NUM_MERGES = 32
 
 _WORDS_SQL = f"list_filter(regexp_split_to_array(text, {S.q(WS + '+')}), lambda w: length(w) > 0)"
 
@@ -44,8 +44,23 @@ def char_coverage(spark, sf):
     return V.alphabet(load(spark, sf, "documents").select("text"), coverage=COVERAGE)
 
 
-@register("bpe_merges")
+def _bpe_sql() -> str:
+    """The rounds written out: count pairs, take the best, replace it in every word."""
+    sep = "chr(1)"
+    parts = [f"""WITH words AS (SELECT word, count(*) AS freq FROM (SELECT unnest({_WORDS_SQL}) AS word FROM documents) GROUP BY word),
+w0 AS MATERIALIZED (SELECT {sep} || array_to_string(regexp_extract_all(replace(word, {sep}, ''), '(?s).'), {sep} || {sep}) || {sep} AS w, freq
+  FROM words WHERE length(replace(word, {sep}, '')) > 1)"""]
+    for k in range(NUM_MERGES):
+        parts.append(f"""m{k} AS MATERIALIZED (SELECT l, r, CAST(sum(freq) AS BIGINT) AS freq FROM (
+  SELECT unnest(s[:-2]) AS l, unnest(s[2:]) AS r, freq FROM (
+    SELECT string_split(substr(w, 2, length(w) - 2), {sep} || {sep}) AS s, freq FROM w{k}) WHERE len(s) > 1)
+  GROUP BY l, r ORDER BY freq DESC, l, r LIMIT 1),
+w{k + 1} AS MATERIALIZED (SELECT replace(w, {sep} || l || {sep} || {sep} || r || {sep}, {sep} || l || r || {sep}) AS w, w{k}.freq FROM w{k}, m{k})""")
+    rows = " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS rank, l AS \"left\", r AS \"right\", freq FROM m{k}" for k in range(NUM_MERGES))
+    return ",\n".join(parts) + "\n" + rows
+
+
+@register("bpe_merges", oracle=_bpe_sql())
 def bpe_merges(spark, sf):
-    """Rows-only check in the driver; tests compare with a plain-Python BPE on a fixture."""
     wf = V.word_freq(load(spark, sf, "documents").select("text"))
     return V.bpe_merges(wf, NUM_MERGES)

@@ -53,9 +53,18 @@ def test_bpe_matches_python(spark):
     df = spark.createDataFrame([(t,) for t in CORPUS], "text string")
     wf = V.word_freq(df)
     expect = py_bpe(dict(Counter(w for t in CORPUS for w in t.split())), 12)
-    for ratio in (0.0, 0.5, 2.0):  # all recounts, mixed, all incremental
-        got = [tuple(r) for r in V.bpe_merges(wf, 12, checkpoint_every=3, recount_ratio=ratio).collect()]
-        assert got == expect, ratio
+    for per_round in (1, 3, 32):
+        got = [tuple(r) for r in V.bpe_merges(wf, 12, merges_per_round=per_round, checkpoint_every=3).collect()]
+        assert got == expect, per_round
+
+
+def test_several_merges_a_round_change_nothing(spark):
+    import random
+
+    rng = random.Random(2)
+    freq = Counter("".join(rng.choice("aabbcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(400))
+    wf = spark.createDataFrame(list(freq.items()), "word string, freq long")
+    assert [tuple(r) for r in V.bpe_merges(wf, 60).collect()] == py_bpe(dict(freq), 60)
 
 
 def test_alphabet_coverage(spark):
