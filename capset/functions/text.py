@@ -32,6 +32,8 @@ WS = (
     r"[\t\n\x0b\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# What of it can be in a text of ASCII characters: a class that costs a fraction of the other.
+WS_ASCII = r"[\t\n\x0b\f\r\x1c-\x1f ]"
 # The same set as plain characters, from Python's own definition, for ``trim`` (which only looks
 # at the two ends instead of running a regex over the whole text).
 WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -52,6 +54,13 @@ def strip(c) -> Column:
     return F.trim(_c(c), F.lit(WS_CHARS))
 
 
+def _replace(col: Column, pattern: str, replacement: str) -> Column:
+    """``regexp_replace`` with ``\\s`` as Python's; texts of ASCII characters take the cheap class."""
+    plain = F.octet_length(col) == F.length(col)
+    return F.when(plain, F.regexp_replace(col, for_engine(pattern, WS_ASCII), replacement)).otherwise(
+        F.regexp_replace(col, for_engine(pattern, WS_JAVA), replacement))
+
+
 def build_caption(*fields) -> Column:
     """Join description fields with newlines, nulls as empty strings, framed by newlines.
 
@@ -73,8 +82,8 @@ def clean_caption(c) -> Column:
     (p1, r1), (p2, r2), (p3, r3), (p4, r4), (lit5, r5) = CLEAN_STEPS
     out = F.when(col.startswith("."), F.regexp_replace(col, for_engine(p1, WS_JAVA), r1)).otherwise(col)
     out = F.regexp_replace(out, p2, r2)
-    out = F.regexp_replace(out, for_engine(p3, WS_JAVA), r3)
-    out = F.regexp_replace(out, for_engine(p4, WS_JAVA), r4)
+    out = _replace(out, p3, r3)
+    out = _replace(out, p4, r4)
     out = F.replace(out, F.lit(lit5), F.lit(r5))
     return strip(out)
 
@@ -90,7 +99,7 @@ def english_segment(c, tag: str = "English:") -> Column:
 
 def collapse_lower(c) -> Column:
     """Collapse white space runs to one blank, strip, lower-case."""
-    return F.lower(strip(F.regexp_replace(_c(c), WS_JAVA + "+", " ")))
+    return F.lower(strip(_replace(_c(c), r"\s+", " ")))
 
 
 def word_pieces(c) -> Column:
@@ -103,36 +112,12 @@ def words(c) -> Column:
     return F.array_remove(F.split(_c(c), WS_JAVA + "+"), "")
 
 
-# Basic HTML entities and their characters (fixed values; ``&amp;`` last so that
-# ``&amp;lt;`` becomes ``&lt;`` as with a single unescape pass).
-BASIC_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&#x27;", "'"),
-    ("&apos;", "'"),
-    ("&amp;", "&"),
-)
-
-
-def unescape_basic(c) -> Column:
-    """Replace the basic named/numeric entities; JVM-side and exact for these."""
-    out = _c(c)
-    for ent, ch in BASIC_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
-
-
 def decode_utf8(c) -> Column:
     return F.decode(_c(c), "UTF-8")
 
 
 def html_unescape(c) -> Column:
-    """Full HTML5 entity decoding (Python's ``html.unescape``) as an Arrow-batched pandas UDF.
-
-    Use ``unescape_basic`` when only the five basic entities occur: it stays in the JVM.
-    """
+    """Full HTML5 entity decoding (Python's ``html.unescape``) as an Arrow-batched pandas UDF."""
     return _html_unescape_udf()(_c(c))
 
 

@@ -14,7 +14,6 @@ MAXSIZE = 200_000      # scaled shard bounds (the reference: 1e9 bytes / 100,000
 MAXCOUNT = 64
 SEED = 42
 BUFFER = 8
-TITLE_RE = r"<title>(.*?)</title>"
 
 
 @register("shard_pack", oracle=f"""
@@ -54,13 +53,39 @@ def buffer_shuffle(spark, sf):
                     F.col("pos_in_block").cast("long").alias("pos_in_block"))
 
 
-@register("html_unescape", oracle=f"""
-SELECT page_id, {S.unescape_basic("regexp_extract(html, " + S.q(TITLE_RE) + ", 1)")} AS title
-FROM pages
-""")
+def _unescape_sql() -> str:
+    """Character references by the rules of HTML 5: the names and replacements are the standard library's."""
+    import html
+    from html.entities import html5
+
+    names = ", ".join(f"({S.q(k)}, {S.q(v)})" for k, v in sorted(html5.items()))
+    odd = ", ".join(f"({k}, {S.q(v)})" for k, v in sorted(html._invalid_charrefs.items()) if k)
+    gone = ", ".join(map(str, sorted(html._invalid_codepoints)))
+    return f"""
+WITH names(name, value) AS (VALUES {names}),
+odd(code, value) AS (VALUES {odd}),
+parts AS (SELECT page_id, unnest(string_split(html, '&')) AS p, generate_subscripts(string_split(html, '&'), 1) AS i FROM pages),
+refs AS (SELECT page_id, i, p, regexp_extract(p, '^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{{1,32}};?)', 1) AS ref FROM parts),
+codes AS (SELECT DISTINCT ref, CASE WHEN ref[2] IN ('x', 'X') THEN TRY_CAST('0x' || rtrim(substr(ref, 3), ';') AS BIGINT)
+  ELSE TRY_CAST(rtrim(substr(ref, 2), ';') AS BIGINT) END AS code FROM refs WHERE ref[1] = '#'),
+numbers AS (SELECT ref, CASE WHEN odd.value IS NOT NULL THEN odd.value WHEN c.code IS NULL OR c.code = 0 OR c.code > 1114111
+    OR c.code BETWEEN 55296 AND 57343 THEN chr(65533) WHEN c.code IN ({gone}) THEN '' ELSE chr(CAST(c.code AS INTEGER)) END AS value, '' AS rest
+  FROM codes c LEFT JOIN odd ON odd.code = c.code),
+named AS (SELECT ref, arg_max(value, length(name)) AS value, substr(ref, max(length(name)) + 1) AS rest
+  FROM (SELECT DISTINCT ref FROM refs WHERE ref <> '' AND ref[1] <> '#') r
+  JOIN names ON starts_with(ref, name) AND (name = ref OR length(name) >= 2) GROUP BY ref),
+known AS (SELECT * FROM numbers UNION ALL SELECT * FROM named)
+SELECT page_id, md5(string_agg(CASE WHEN i = 1 THEN p WHEN k.ref IS NULL THEN '&' || p
+  ELSE k.value || k.rest || substr(p, length(k.ref) + 1) END, '' ORDER BY i)) AS text_md5
+FROM refs LEFT JOIN known k ON k.ref = refs.ref AND i > 1 GROUP BY page_id
+"""
+
+
+@register("html_unescape", oracle=_unescape_sql())
 def html_unescape(spark, sf):
+    """All character references of the whole pages."""
     p = load(spark, sf, "pages")
-    return p.select("page_id", T.unescape_basic(F.regexp_extract("html", TITLE_RE, 1)).alias("title"))
+    return p.select("page_id", F.md5(T.html_unescape("html")).alias("text_md5"))
 
 
 TAR_MAXCOUNT = 250

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from capset.functions.text import BASIC_ENTITIES, CLEAN_STEPS, WS, WS_CHARS, for_engine
+from capset.functions.text import CLEAN_STEPS, WS, WS_CHARS, for_engine
 
 
 def q(s: str) -> str:
@@ -39,13 +39,6 @@ def english_segment(expr: str, tag: str) -> str:
     return f"(CASE WHEN instr({expr}, {t}) > 0 THEN {seg} ELSE {expr} END)"
 
 
-def unescape_basic(expr: str) -> str:
-    out = expr
-    for ent, ch in BASIC_ENTITIES:
-        out = f"replace({out}, {q(ent)}, {q(ch)})"
-    return out
-
-
 def pad_id(expr: str, width: int = 9, prefix: str = "") -> str:
     return f"({q(prefix)} || printf('%0{width}d', CAST({expr} AS BIGINT)))"
 

@@ -70,14 +70,11 @@ def test_words(df):
         assert got[i] == s.split()
 
 
-def test_html_unescape_udf_and_basic(spark):
+def test_html_unescape(spark):
     vals = ["a &amp; b", "&lt;p&gt; &quot;q&quot; &#39;s", "&copy; 2024 &eacute;", "&amp;lt;", None]
     d = spark.createDataFrame([(v,) for v in vals], "s string")
     full = [r.u for r in d.select(T.html_unescape("s").alias("u")).collect()]
     assert full == [html.unescape(v) if v is not None else None for v in vals]
-    basic = [r.u for r in d.select(T.unescape_basic("s").alias("u")).collect()]
-    assert basic[:2] == [html.unescape(v) for v in vals[:2]]
-    assert basic[3] == "&lt;"
 
 
 def test_ids(spark):
