@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +37,3 @@ def only_in(a: DataFrame, b: DataFrame, key) -> DataFrame:
     """Rows of ``a`` whose key is not in ``b`` (left anti join on distinct keys of ``b``)."""
     keys = [key] if isinstance(key, str) else list(key)
     return a.join(b.select(*keys).distinct(), keys, "left_anti")
-
-
-def union_all(*dfs: DataFrame) -> DataFrame:
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), dfs)

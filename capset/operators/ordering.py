@@ -30,10 +30,6 @@ def buffer_shuffle(df: DataFrame, key: str, position: str, size: int = 8, seed:
     return df.withColumn("block", blk).withColumn("pos_in_block", F.row_number().over(w) - 1)
 
 
-def sorted_by(df: DataFrame, *cols) -> DataFrame:
-    return df.orderBy(*cols)
-
-
 def sorted_within(df: DataFrame, *cols) -> DataFrame:
     """Sorted inside each partition only (no global sort), e.g. before a per-partition write."""
     return df.sortWithinPartitions(*cols)

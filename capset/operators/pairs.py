@@ -154,6 +154,6 @@ def with_sidecar(pairs: DataFrame, sidecars: DataFrame, on=("folder", "stem"),
              .drop("_raw"))
 
 
-def delete_plan(report: DataFrame) -> DataFrame:
-    """Files to delete as rows (nothing is deleted by the library)."""
-    return report.select("folder", F.explode("delete").alias("path"))
+def delete_plan(files: DataFrame, min_chars: int = 5) -> DataFrame:
+    """Files to delete as rows (nothing is deleted by the library), off the long form of the faults."""
+    return fault_rows(files, min_chars).where(F.col("kind") == "delete").select("folder", F.col("file").alias("path"))

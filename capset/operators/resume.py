@@ -77,7 +77,9 @@ def resolve_content(manifest: DataFrame, content: DataFrame, on: str = "url",
     defined by the reference; we keep the longest content, ties by value), so the join cannot
     fan out.
     """
-    uniq = (content.where(F.col(on).isNotNull())
+    asked = manifest.select(on).where(F.col(on).isNotNull()).distinct()
+    # contents that nobody asks for leave before any bytes are compared
+    uniq = (content.join(asked, on, "left_semi")
             .groupBy(on)
             .agg(F.max_by(F.col(content_col), F.struct(F.length(content_col), F.col(content_col)))
                  .alias(content_col)))

@@ -7,7 +7,6 @@ import time
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from capset.functions.ids import pad_id
 
 
 def to_samples(df: DataFrame, mapping: dict, key: str = "key", use_encoder: bool = False) -> DataFrame:
@@ -74,10 +73,6 @@ def generate_captions(df: DataFrame, ds_name: str, templates_by_name: dict, labe
 
 
 
-def with_sample_keys(df: DataFrame, row_id: str = "row_id", width: int = 9) -> DataFrame:
-    return df.withColumn("key", pad_id(row_id, width))
-
-
 def run_metrics(df: DataFrame, name: str = "run", duplicate: str | None = None,
                 action: str | None = None) -> tuple[DataFrame, Observation]:
     """Attach counters that are filled while the job runs (``DataFrame.observe``): rows and,

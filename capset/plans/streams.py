@@ -22,9 +22,11 @@ def _docs_stream(spark, sf):
 
 @register("stream_dedup", oracle="SELECT DISTINCT md5(text) AS md5 FROM documents")
 def stream_dedup(spark, sf):
+    """Several files, a micro-batch each: what one batch has seen is dropped from the next."""
     base = scratch_path(spark, "stream_dedup")
-    s = _docs_stream(spark, sf).select(F.md5("text").alias("md5"))
-    d = ST.dedup_stream(s, "md5")
+    docs = load(spark, sf, "documents").select("doc_id", F.md5("text").alias("md5"))
+    docs.repartition(4, "doc_id").write.parquet(f"{base}/in")
+    d = ST.dedup_stream(ST.read_stream(spark, f"{base}/in", docs.schema, "parquet", maxFilesPerTrigger=1).select("md5"), "md5")
     q = (d.writeStream.format("parquet").option("checkpointLocation", f"{base}/_checkpoint")
          .option("path", f"{base}/out").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()

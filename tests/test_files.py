@@ -72,6 +72,6 @@ def test_missing_sides_and_one_file_per_stem(spark, tree):
 
 def test_delete_plan_lists_only(spark, tree):
     ft = FS.file_tree(spark, tree)
-    plan = P.delete_plan(P.fault_report(ft))
+    plan = P.delete_plan(ft)
     assert plan.count() == 8
     assert all(os.path.exists(r.path) for r in plan.collect())  # nothing was deleted

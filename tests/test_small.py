@@ -28,7 +28,7 @@ def test_orderings(spark):
     assert a == b and sorted(a) == list(range(200)) and a != list(range(200))
     parts = O.sorted_within(df, "id").rdd.glom().collect()
     assert all(p == sorted(p) for p in ([r.id for r in part] for part in parts))
-    assert [r.id for r in O.sorted_by(df, F.col("id").desc()).limit(3).collect()] == [199, 198, 197]
+    assert [r.id for r in df.orderBy(F.col("id").desc()).limit(3).collect()] == [199, 198, 197]
 
 
 def test_counts_inputs_and_folders(spark, tmp_dir):
