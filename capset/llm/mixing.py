@@ -5,8 +5,8 @@ sources by highest quotients (target / (2 s + 1)), a source's blocks to its grou
 a group's to its shards in the same way (by their words), so every shard gets an integer quota.
 A shard is a hash bucket of about ``shard_words`` words, so shards grow in number, not in size, and
 a source with a third of all words is many shards.  Inside a shard the documents stand in seeded
-order; the quota is met by whole passes over the shard and, for the rest, by a seeded
-permutation of its blocks.
+order; the quota is met by whole passes over the shard and, for the rest, by the blocks that follow a
+seeded one, around the shard's end.  So the mix takes whole documents, but for two a shard.
 """
 
 from __future__ import annotations
@@ -17,13 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BLOCK_WORDS = 16
+#: Words of a block, at most: a small corpus is cut into ``MIN_BLOCKS`` blocks.
+BLOCK_WORDS, MIN_BLOCKS = 16, 1 << 16
 SHARD_WORDS = 1 << 16
 #: Shards of a source are apportioned in groups of about this many.
 GROUP_SHARDS = 1 << 10
 MAX_REPEATS = 3
-#: Primes above any shard's number of blocks: multiplying by one permutes the blocks.
-PRIMES = (2147483647, 2147483629, 2147483587)
 
 
 def word_count(text: Column) -> Column:
@@ -99,22 +98,12 @@ def source_targets(sizes: DataFrame) -> DataFrame:
         F.col("_open") * F.col("_weight") / F.col("_weights")).alias("target"))
 
 
-def _chosen(start: Column, end: Column, words: Column, rest: Column, a: Column, b: Column, size: int) -> Column:
-    """How many of a document's words [start, end) are among the ``rest`` that the shard still takes.
+def _chosen(start: Column, end: Column, words: Column, rest: Column, first: Column) -> Column:
+    """How many of a document's words [start, end) are among the ``rest`` words from ``first`` on, around the end."""
+    def shared(a: Column, b: Column) -> Column:
+        return F.greatest(F.least(end, b) - F.greatest(start, a), F.lit(0).cast("long"))
 
-    Block ``i`` has rank (a i + b) mod the number of whole blocks, the tail of the shard ranks last; blocks
-    are taken by rank, the last one as far as needed.
-    """
-    whole = F.floor(words / size)
-    first, last = F.floor(start / size), F.floor((end - 1) / size)
-
-    def of(i: Column) -> Column:
-        rank = F.when(i < whole, F.pmod(a * i + b, F.greatest(whole, F.lit(1).cast("long")))).otherwise(whole)
-        some = F.least(F.lit(size).cast("long"), F.greatest(rest - rank * size, F.lit(0).cast("long")))
-        return F.greatest(F.least(end, i * size + some) - F.greatest(start, i * size), F.lit(0).cast("long"))
-
-    return F.when((rest <= 0) | (end <= start), F.lit(0).cast("long")).otherwise(F.aggregate(
-        F.sequence(first, F.greatest(last, first)), F.lit(0).cast("long"), lambda got, i: (got + of(i)).cast("long")))
+    return shared(first, F.least(first + rest, words)) + shared(F.lit(0).cast("long"), first + rest - words)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -130,39 +119,38 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                        word_count(F.col(text_col)).alias("size"))
     sizes = rows.groupBy("_source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes).withColumn(
-        "_groups", F.ceil(F.col("source_size") / (shard_words * GROUP_SHARDS)).cast("long")).withColumn(
         "_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long"))
     # quotas of sources
-    share = targets.select("_source", "source_size", "target", "_groups", "_shards",
-                           F.col("target").alias("_votes"),
-                           F.floor(MAX_REPEATS * F.col("source_size") / block_words).cast("long").alias("_cap"),
-                           F.coalesce(F.col("_source"), F.lit("\U0010ffff")).alias("_order"),
-                           F.floor(F.sum("source_size").over(Window.partitionBy()) / block_words).alias("_seats"))
-    kind = "_source string, source_size long, target double, _groups long, _shards long, _votes double, " \
-           "_cap long, _order string, _seats long, _quota long"
-    sources = share.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(_apportion, kind + ", _all int").select(
-        "_source", "source_size", "target", "_groups", "_shards", F.col("_quota").alias("_source_quota"))
+    total = F.sum("source_size").over(Window.partitionBy())
+    share = targets.withColumn("_block", F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(total / MIN_BLOCKS))).cast("long")) \
+        .select("_source", "source_size", "target", "_shards", "_block", F.col("target").alias("_votes"),
+                F.floor(MAX_REPEATS * F.col("source_size") / F.col("_block")).cast("long").alias("_cap"),
+                F.coalesce(F.col("_source"), F.lit("\U0010ffff")).alias("_order"),
+                F.floor(total / F.col("_block")).alias("_seats"), F.lit(0).alias("_all"))
+    kind = "_source string, source_size long, target double, _shards long, _block long, _votes double, _cap long, " \
+           "_order string, _seats long, _all int, _quota long"
+    sources = share.groupBy("_all").applyInPandas(_apportion, kind).select(
+        "_source", "source_size", "target", "_shards", "_block", F.col("_quota").alias("_source_quota"))
     # as many rows as sources: what each document needs of them is joined by source, in salts
     spread = F.lit(256)
     salted = sources.withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
     # nulls don't join
     named = rows.withColumns({"_name": _name(F.col("_source")), "_salt": F.pmod(F.xxhash64("_id"), spread).cast("int")})
-    named = named.join(salted.select(_name(F.col("_source")).alias("_name"), "_salt", "source_size", "target", "_shards",
+    named = named.join(salted.select(_name(F.col("_source")).alias("_name"), "_salt", "source_size", "target", "_shards", "_block",
                                      "_source_quota"), ["_name", "_salt"]).withColumn(
         "shard", F.pmod(F.xxhash64("_id", F.lit(seed)), F.col("_shards"))).withColumn(
         "_group", F.floor(F.col("shard") / GROUP_SHARDS))
     shards = named.groupBy("_name", "_group", "shard").agg(
-        F.sum("size").alias("_words"), F.first("_source_quota").alias("_source_quota"))
+        F.sum("size").alias("_words"), F.first("_source_quota").alias("_source_quota"), F.first("_block").alias("_block"))
     groups = shards.groupBy("_name", "_group").agg(
-        F.sum("_words").cast("double").alias("_votes"), F.first("_source_quota").alias("_seats"))
-    groups = groups.withColumns({"_cap": F.floor(MAX_REPEATS * F.col("_votes") / block_words + 1).cast("long"),
-                                 "_order": F.col("_group")})
+        F.sum("_words").cast("double").alias("_votes"), F.first("_source_quota").alias("_seats"), F.first("_block").alias("_block"))
+    groups = groups.select("_name", "_group", "_votes", "_seats", _cap("_votes").alias("_cap"), F.col("_group").alias("_order"))
     groups = groups.groupBy("_name").applyInPandas(
         _apportion, "_name string, _group long, _votes double, _seats long, _cap long, _order long, _quota long"
     ).select("_name", "_group", F.col("_quota").alias("_seats"))
     quotas = shards.join(groups, ["_name", "_group"]).select(
         "_name", "_group", "shard", F.col("_words").cast("double").alias("_votes"), "_seats",
-        F.floor(MAX_REPEATS * F.col("_words") / block_words + 1).cast("long").alias("_cap"), F.col("shard").alias("_order"))
+        _cap("_words").alias("_cap"), F.col("shard").alias("_order"))
     quotas = quotas.groupBy("_name", "_group").applyInPandas(
         _apportion,
         "_name string, _group long, shard long, _votes double, _seats long, _cap long, _order long, _quota long"
@@ -170,23 +158,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     placed = named.join(quotas, ["_name", "shard"])
     order = Window.partitionBy("_name", "shard").orderBy(F.xxhash64("_id", F.lit(seed + 1)), "_id", "size")
     placed = placed.withColumn("_end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    want = F.least(F.col("quota") * block_words, F.col("_words") * MAX_REPEATS)
+    want = F.least(F.col("quota") * F.col("_block"), F.col("_words") * MAX_REPEATS)
     placed = placed.withColumns({"_want": want, "_start": F.col("_end") - F.col("size")})
     words = F.greatest(F.col("_words"), F.lit(1).cast("long"))
     h = F.xxhash64("_name", "shard", F.lit(seed + 2))
-    placed = placed.withColumns({
-        "_passes": F.floor(F.col("_want") / words),
-        "_a": F.element_at(F.array(*[F.lit(p).cast("long") for p in PRIMES]), (F.pmod(h, F.lit(len(PRIMES))) + 1).cast("int")),
-        "_b": F.pmod(h, F.lit(1 << 31)),
-    })
-    rest = F.col("_want") - F.col("_passes") * words
-    taken = F.col("_passes") * F.col("size") + _chosen(
-        F.col("_start"), F.col("_end"), F.col("_words"), rest, F.col("_a"), F.col("_b"), block_words)
+    passes = F.floor(F.col("_want") / words)
+    first = F.pmod(h, F.greatest(F.floor(F.col("_words") / F.col("_block")), F.lit(1).cast("long"))) * F.col("_block")
+    taken = passes * F.col("size") + _chosen(F.col("_start"), F.col("_end"), F.col("_words"), F.col("_want") - passes * words, first)
     return placed.select(
         F.col("_id").alias("doc_id"), F.when(F.col("_name") != "n", F.substring(F.col("_name"), 2, 1 << 30)).alias("source"),
         "size", "source_size", "target", taken.cast("long").alias("taken"), "shard", "quota")
 
 
+def _cap(words: str) -> Column:
+    """Blocks that a part may get: those of three times its words, a started one with them."""
+    return F.floor(MAX_REPEATS * F.col(words) / F.col("_block") + 1).cast("long")
+
+
 def _name(source: Column) -> Column:
     """A key that is never null: null is ``n``, a name begins with ``s``."""
     return F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
