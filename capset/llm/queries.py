@@ -93,12 +93,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_segmentation")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sampled segmentations of every text: lengths, scores, a hash of the pieces, and of what they decode to."""
-    from capset.llm.segmentation import decode_pieces, sample_segmentations
+    from capset.llm.segmentation import sample_segmentations
     from capset.llm.vocabulary import load
 
-    vocabulary = load()
-    rows = sample_segmentations(table(spark, sf_dir, "documents"), vocabulary, k=2)
-    return decode_pieces(rows, vocabulary).select(
+    return sample_segmentations(table(spark, sf_dir, "documents"), load(), k=2, decoded=True).select(
         "doc_id", "sample", F.size("pieces").cast("long").alias("n_pieces"), "log_prob", "key", "log_inclusion",
         F.xxhash64("pieces").alias("pieces_hash"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from itertools import chain
+from math import exp, log
 
 import numpy as np
 import pandas as pd
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 
 from capset.llm.vocabulary import Vocabulary
 
-_UNITS = 250_000  # distinct units whose lattices a worker keeps
-_GROUP = 1 << 20  # characters whose units are drawn in step
+_UNITS = 160_000  # distinct units whose lattices a worker keeps
+_GROUP = 1 << 19  # characters whose units are drawn in step
+_REACH = 37.0  # -log(-log(u)) is less for every such u
 _DRAW = 1 << 32  # apart from the other uses of the hashes
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -50,8 +52,8 @@ def _hashes(key: np.ndarray, *more: int | np.ndarray) -> np.ndarray:
 
 
 def _uniform(h: np.ndarray) -> np.ndarray:
-    """In (0, 1)."""
-    return (h.astype(np.float64) + 0.5) / 2.0**64
+    """Of 52 bits, in (0, 1)."""
+    return ((h >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
 
 
 def log_probabilities(vocabulary: Vocabulary, offset: float = 10.0) -> np.ndarray:
@@ -64,14 +66,16 @@ def log_probabilities(vocabulary: Vocabulary, offset: float = 10.0) -> np.ndarra
 
 
 class _Column:
-    """An array that grows by doubling."""
+    """An array that grows by a quarter."""
 
     def __init__(self, kind: type):
-        self.all, self.n = np.zeros(1 << 12, kind), 0
+        self.all, self.n = np.zeros(1 << 16, kind), 0
 
     def add(self, more: np.ndarray) -> None:
-        while self.n + len(more) > len(self.all):
-            self.all = np.concatenate([self.all, np.zeros_like(self.all)])
+        if self.n + len(more) > len(self.all):
+            grown = np.zeros(max(self.n + len(more), len(self.all) * 5 // 4), self.all.dtype)
+            grown[:self.n] = self.all[:self.n]
+            self.all = grown
         self.all[self.n:self.n + len(more)] = more
         self.n += len(more)
 
@@ -111,10 +115,10 @@ class Lattices:
         self.clear()
 
     def clear(self) -> None:
-        self.number = _Numbers()
-        self._columns = {"base": _Column(np.int64), "last": _Column(bool), "edges": _Column(np.int64),
-                         "to": _Column(np.int32), "id": _Column(np.int32), "cdf": _Column(np.float64), "cond": _Column(np.float64)}
-        self._columns["edges"].add(np.zeros(1, np.int64))
+        self.number, self.seen = _Numbers(), np.zeros(0, np.int64)
+        self._columns = {"base": _Column(np.int32), "last": _Column(bool), "edges": _Column(np.int32),
+                         "to": _Column(np.int32), "id": _Column(np.int32), "cdf": _Column(np.float32), "cond": _Column(np.float64)}
+        self._columns["edges"].add(np.zeros(1, np.int32))
         self._show()
 
     def _show(self) -> None:
@@ -163,7 +167,8 @@ class Lattices:
             pos, node = pos[hit], self.child[k[hit]]
             if not len(pos):
                 break
-        frm, size, ids = np.concatenate(frm), np.concatenate(size), np.concatenate(ids)
+        # longest first: they are mostly the likeliest, and a draw looks at the edges in turn
+        frm, size, ids = np.concatenate(frm[::-1]), np.concatenate(size[::-1]), np.concatenate(ids[::-1])
         # edges of a position together: the lists of each length are sorted already, so this is a merge
         order = np.argsort(frm, kind="stable")
         frm, size, ids = frm[order], size[order], ids[order]
@@ -195,13 +200,42 @@ class Lattices:
             c[name].add(more)
         self._show()
 
+    def met(self, units: np.ndarray) -> None:
+        """Count how often units occur."""
+        seen = np.bincount(units, minlength=len(self.number))
+        seen[:len(self.seen)] += self.seen
+        self.seen = seen
+
+    def trim(self, limit: int) -> None:
+        """With more than ``limit`` units, keep the most frequent half of them."""
+        if len(self.number) <= limit:
+            return
+        kept = np.sort(np.argsort(-self.seen, kind="stable")[:limit // 2])
+        names = list(self.number)
+        old, first = {k: getattr(self, k) for k in self._columns}, np.append(self.base, len(self.last))
+        nodes = first[kept + 1] - first[kept]
+        node = np.repeat(first[kept] - (np.cumsum(nodes) - nodes), nodes) + np.arange(int(nodes.sum()))
+        count = old["edges"][node + 1] - old["edges"][node]
+        edge = np.repeat(old["edges"][node] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        moved = np.repeat(first[kept] - (np.cumsum(nodes) - nodes), nodes)  # how far a position moves
+        seen = self.seen[kept]
+        self.clear()
+        self.seen = seen
+        self.number.update((names[k], n) for n, k in enumerate(kept.tolist()))
+        for name, more in (("base", np.cumsum(nodes) - nodes), ("last", old["last"][node]), ("edges", np.cumsum(count)),
+                           ("to", old["to"][edge] - np.repeat(moved, count)), ("id", old["id"][edge]), ("cdf", old["cdf"][edge]),
+                           ("cond", old["cond"][edge])):
+            self._columns[name].add(more)
+        self._show()
+
     def draw(self, at: np.ndarray, key: np.ndarray, step: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
         """From each position to its unit's end: all edges, row after row, and each row's number of them."""
         count = np.zeros(len(at), np.int64)
         rows, steps = np.flatnonzero(~self.last[at]), []
-        at = at[rows]
+        at, key = at[rows], _hashes(key[rows], _DRAW + sample)
+        turn = step[rows]
         while len(rows):
-            u = _uniform(_hashes(key[rows], step[rows] + count[rows], _DRAW + sample))
+            u = _uniform(_hashes(key, turn))
             e = self.edges[at]
             wait = np.flatnonzero(u >= self.cdf[e])
             while len(wait):
@@ -210,8 +244,8 @@ class Lattices:
             steps.append((rows, e))
             count[rows] += 1
             at = self.to[e]
-            go = ~self.last[at]
-            rows, at = rows[go], at[go]
+            go = np.flatnonzero(~self.last[at])
+            rows, at, key, turn = rows[go], at[go], key[go], turn[go] + 1
         out = np.zeros(int(count.sum()), np.int64)
         begin = np.cumsum(count) - count
         for n, (rows, e) in enumerate(steps):
@@ -239,8 +273,9 @@ def _truncated(where, g, h: np.ndarray) -> np.ndarray:
 
 
 def _left_nodes(cond: np.ndarray, length: np.ndarray, fresh: np.ndarray, g: np.ndarray, key: np.ndarray, number: int,
-                k: int) -> list[list[tuple[float, int]]]:
-    """For paths one behind the other: the ``k`` best nodes that their free edges leave (key, place).
+                k: int) -> list[list[tuple[float, int, float]]]:
+    """For paths one behind the other: the ``k`` (as many as can still come up) best nodes that their free edges leave: key, place,
+    log-probability up to there.
 
     ``cond`` are the log conditional probabilities of all edges; those from place ``fresh`` on were free.
     """
@@ -248,18 +283,32 @@ def _left_nodes(cond: np.ndarray, length: np.ndarray, fresh: np.ndarray, g: np.n
     own = np.repeat(np.arange(len(length)), length)
     place = np.arange(len(cond)) - begin[own]
     run = np.cumsum(cond) - cond
-    with np.errstate(divide="ignore"):
-        where = run - run[np.minimum(begin, max(0, len(cond) - 1))][own] + np.log(-np.expm1(np.minimum(cond, 0.0))) if len(cond) else cond
-    x = _truncated(where, g[own], _hashes(key[own], place, number, 1))
-    x[place < fresh[own]] = -np.inf
-    out: list[list[tuple[float, int]]] = [[] for _ in length]
+    run = run - run[np.minimum(begin, max(0, len(cond) - 1))][own] if len(cond) else run
+    x = np.full(len(cond), -np.inf)
+
+    def fill(at: np.ndarray) -> None:
+        with np.errstate(divide="ignore"):
+            where = run[at] + np.log(-np.expm1(np.minimum(cond[at], 0.0)))
+        x[at] = _truncated(where, g[own[at]], _hashes(key[own[at]], place[at], number, 1))
+
+    free = place >= fresh[own]
+    near = free & (place < fresh[own] + 64)
+    fill(np.flatnonzero(near))
     full = np.flatnonzero(length)
+    bound = np.full(len(length), -np.inf)  # the k-th best so far
+    rest = x.copy()
+    for _ in range(k if len(full) else 0):
+        bound[full] = np.maximum.reduceat(rest, begin[full])
+        rest[rest == bound[own]] = -np.inf
+    # further on, only nodes that can still be above it
+    fill(np.flatnonzero(free & ~near & (run + _REACH > bound[own])))
+    out: list[list[tuple[float, int, float]]] = [[] for _ in length]
     for _ in range(k if len(full) else 0):
         best = np.maximum.reduceat(x, begin[full])
         hit = np.flatnonzero((x == np.repeat(best, length[full])) & (x > -np.inf))
         paths, first = np.unique(own[hit], return_index=True)
         for d, i in zip(paths.tolist(), hit[first].tolist(), strict=True):
-            out[d].append((float(x[i]), int(place[i])))
+            out[d].append((float(x[i]), int(place[i]), float(run[i])))
         x[hit[first]] = -np.inf
     return out
 
@@ -270,36 +319,37 @@ class _Search:
     def __init__(self, lat: Lattices, key: np.uint64, units: np.ndarray):
         self.lat, self.key, self.units = lat, key, units
         self.samples: list[tuple[np.ndarray, np.ndarray, float]] = []  # edges, edges a unit, key
-        self.heap: list[tuple] = []  # -key, order, sample, place in its path, edges excluded there
+        self.heap: list[tuple] = []  # -key, order, sample, place in its path, log-probability there, edges excluded
 
-    def emit(self, edges: np.ndarray, count: np.ndarray, g: float, left: list[tuple[float, int]]) -> None:
-        """A path and the best of the nodes that it leaves (key, place)."""
+    def emit(self, edges: np.ndarray, count: np.ndarray, g: float, left: list[tuple[float, int, float]]) -> None:
+        """A path and the best of the nodes that it leaves (key, place, log-probability up to there)."""
         number = len(self.samples)
         self.samples.append((edges, count, g))
-        for x, p in left:
-            heapq.heappush(self.heap, (-x, len(self.heap), number, p, (int(edges[p]),)))
-
-    def branch(self) -> tuple | None:
-        """Take the best node: path so far with its next edge, unit and step of that edge, key."""
-        if not self.heap:
-            return None
-        g, _, number, p, excluded = heapq.heappop(self.heap)
+        for x, p, phi in left:
+            heapq.heappush(self.heap, (-x, len(self.heap), number, p, phi, (int(edges[p]),)))
+
+    def branch(self, node: tuple, u: float, h: np.ndarray) -> tuple:
+        """From the best node: the path with its next edge, unit and step of that edge, key.
+
+        ``u`` draws the edge among those that are not excluded, ``h`` the key of what is left."""
+        g, _, number, p, phi, excluded = node
         edges, count, _ = self.samples[number]
         ends = np.cumsum(count)
         unit = int(np.searchsorted(ends, p, side="right"))
-        inside = p > ends[unit] - count[unit]
-        at = int(self.lat.to[edges[p - 1]] if inside else self.lat.base[self.units[unit]])
-        left = np.setdiff1d(np.arange(self.lat.edges[at], self.lat.edges[at + 1]), excluded)
-        prob = np.exp(self.lat.cond[left])
-        turn = len(self.samples)
-        u = float(_uniform(_hashes(self.key, p, turn, 2)))
-        e = int(left[min(int(np.searchsorted(np.cumsum(prob) / prob.sum(), u, side="right")), len(left) - 1)])
-        rest = left[left != e]
-        if len(rest):
-            where = float(self.lat.cond[edges[:p]].sum() + np.logaddexp.reduce(self.lat.cond[rest]))
-            x = float(_truncated(where, -g, _hashes(self.key, p, 1000 + turn, 1)))
-            heapq.heappush(self.heap, (-x, len(self.heap), number, p, (*excluded, e)))
-        return np.append(edges[:p], e), unit, p - int(ends[unit] - count[unit]), count[:unit], -g
+        step = p - int(ends[unit] - count[unit])
+        at = int(self.lat.to[edges[p - 1]] if step else self.lat.base[self.units[unit]])
+        left = [e for e in range(int(self.lat.edges[at]), int(self.lat.edges[at + 1])) if e not in excluded]
+        prob = [exp(x) for x in self.lat.cond[left].tolist()]
+        aim, e = u * sum(prob), left[-1]
+        for e, x in zip(left, prob, strict=True):  # noqa: B007
+            aim -= x
+            if aim < 0:
+                break
+        rest = sum(x for o, x in zip(left, prob, strict=True) if o != e)
+        if rest > 0:
+            x = float(_truncated(phi + log(rest), -g, h))
+            heapq.heappush(self.heap, (-x, len(self.heap), number, p, phi, (*excluded, e)))
+        return np.append(edges[:p], e), unit, step, count[:unit], -g
 
     def result(self) -> list[tuple[np.ndarray, float, float, float]]:
         """Piece ids, log-probability, key, log of the chance to be among the first k, for each sample."""
@@ -333,12 +383,12 @@ class Sampler:
 
     def _group(self, keys: list[int], texts: list[str | None]) -> Iterator[list]:
         lat = self.lat
-        if len(lat.number) > _UNITS:
-            lat.clear()
+        lat.trim(_UNITS)
         units = [self.v.units(t) for t in texts]
         n = np.fromiter(map(len, units), np.int64, len(units))
         flat = np.fromiter(map(lat.number.__getitem__, chain.from_iterable(units)), np.int64, int(n.sum()))
         lat.add_new()
+        lat.met(flat)
         begin = np.concatenate([[0], np.cumsum(n)])
         doc_key = _hashes(np.array(keys, np.int64).view(np.uint64), self.seed)
         own = np.repeat(np.arange(len(texts)), n)
@@ -351,9 +401,12 @@ class Sampler:
         for d, s in enumerate(search):
             s.emit(edge[cut[d]:cut[d + 1]], count[begin[d]:begin[d + 1]], float(top[d]), left[d])
         for turn in range(1, self.k):
-            todo = [(d, b) for d, s in enumerate(search) if (b := s.branch()) is not None]
-            if not todo:
+            nodes = [(d, heapq.heappop(s.heap)) for d, s in enumerate(search) if s.heap]
+            if not nodes:
                 break
+            own, at = doc_key[[d for d, _ in nodes]], np.array([n[3] for _, n in nodes])
+            u, h = _uniform(_hashes(own, at, turn, 2)).tolist(), _hashes(own, at, 1000 + turn, 1)
+            todo = [(d, search[d].branch(n, x, y)) for (d, n), x, y in zip(nodes, u, h, strict=True)]
             # fresh draws from behind the branch's edge to the end of its unit, and of all units after it
             at, key, step = [], [], []
             for d, (head, unit, place, _, _) in todo:
@@ -369,7 +422,7 @@ class Sampler:
             paths = [np.append(head, edge[cut[t]:cut[t + 1]]) for t, (_, (head, *_)) in enumerate(todo)]
             left = _left_nodes(
                 lat.cond[np.concatenate(paths)], np.array([len(x) for x in paths]), np.array([len(b[0]) for _, b in todo]),
-                np.array([b[4] for _, b in todo]), doc_key[[d for d, _ in todo]], turn, self.k)
+                np.array([b[4] for _, b in todo]), doc_key[[d for d, _ in todo]], turn, self.k - turn)
             for t, (d, (_, _, place, before, g)) in enumerate(todo):
                 more = count[rows[t]:rows[t + 1]].copy()
                 more[0] += place + 1
@@ -378,11 +431,23 @@ class Sampler:
             yield s.result()
 
 
+_KEPT: dict[tuple, Sampler] = {}
+
+
+def _sampler(vocabulary: Vocabulary, k: int, seed: int) -> Sampler:
+    """A worker keeps the lattices of one vocabulary from task to task (what is drawn does not depend on it)."""
+    name = (id(vocabulary), k, seed)
+    if name not in _KEPT or _KEPT[name].v is not vocabulary:
+        _KEPT.clear()
+        _KEPT[name] = Sampler(vocabulary, k, seed)
+    return _KEPT[name]
+
+
 def sample_segmentations(docs: DataFrame, vocabulary: Vocabulary, k: int = 2, seed: int = 23, id_col: str = "doc_id",
-                         text_col: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+                         text_col: str = "text", more: tuple[str, ...] = (), decoded: bool = False) -> DataFrame:
     """``doc_id, sample`` (1 to ``k``), ``pieces, log_prob, key, log_inclusion``: the sampled segmentations.
 
-    ``more`` names text columns that go along.
+    ``more`` names text columns that go along; ``decoded`` adds what the pieces decode to as ``text``.
 
     Up to ``k`` rows per row, distinct segmentations of the whole text in falling order of their keys (perturbed
     log-probabilities); fewer where a text has fewer.  Null and empty texts have one, without pieces, of
@@ -394,16 +459,17 @@ def sample_segmentations(docs: DataFrame, vocabulary: Vocabulary, k: int = 2, se
     kind = docs.schema[id_col].dataType
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     names = ["_id", *[f"_more{i}" for i in range(len(more))]]
-    columns = [*names, "sample", "pieces", "log_prob", "key", "log_inclusion"]
+    results = ["sample", "pieces", "log_prob", "key", "log_inclusion", *["text"] * decoded]
+    columns = [*names, *results]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sampler = Sampler(shared.value, k, seed)
+        sampler, decoder = _sampler(shared.value, k, seed), Decoder(shared.value)
         for df in batches:
             rows, size = [], 0
             got = sampler.sample(df["_key"].tolist(), df["_text"].tolist())
             for row, samples in zip(df[names].itertuples(index=False, name=None), got, strict=True):
                 for n, (pieces, phi, g, log_in) in enumerate(samples, 1):
-                    rows.append((*row, n, pieces, phi, g, log_in))
+                    rows.append((*row, n, pieces, phi, g, log_in, *[decoder.decode(pieces)] * decoded))
                     size += len(pieces)
                 if size > _OUT:
                     yield pd.DataFrame(rows, columns=columns)
@@ -415,12 +481,12 @@ def sample_segmentations(docs: DataFrame, vocabulary: Vocabulary, k: int = 2, se
                        F.col(text_col).alias("_text"), F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("0"))).alias("_key"))
     strings = ", ".join(f"{n} string" for n in names)
     return rows.mapInPandas(
-        run, f"{strings}, sample int, pieces array<int>, log_prob double, key double, log_inclusion double").select(
+        run, f"{strings}, sample int, pieces array<int>, log_prob double, key double, log_inclusion double" + ", text string" * decoded).select(
         F.col("_id").cast(kind).alias("doc_id"), *[F.col(n).alias(c) for c, n in zip(more, names[1:], strict=True)],
-        "sample", "pieces", "log_prob", "key", "log_inclusion")
+        *results)
 
 
-_OUT = 2_000_000  # pieces in a frame that goes back to Spark
+_OUT = 500_000  # pieces in a frame that goes back to Spark
 
 
 
@@ -433,11 +499,18 @@ class Decoder:
             text[i] = p.encode("utf-8", "surrogatepass")
         for b, i in enumerate(vocabulary.bytes):
             text[i] = bytes([b])
-        self.get = text.__getitem__
+        self.spelled = np.frombuffer(b"".join(text), np.uint8)
+        self.length = np.fromiter(map(len, text), np.int64, len(text))
+        self.start = np.cumsum(self.length) - self.length
 
     def decode(self, ids) -> str:
         """Ids that the vocabulary does not have raise; the blank that begins a text goes."""
-        return b"".join(map(self.get, ids.tolist() if hasattr(ids, "tolist") else ids))[1:].decode("utf-8", "replace")
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and ids.min() < 0:
+            raise IndexError("a negative piece id")
+        n = self.length[ids]
+        at = np.repeat(self.start[ids] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return self.spelled[at].tobytes()[1:].decode("utf-8", "replace")
 
 
 def decode_pieces(rows: DataFrame, vocabulary: Vocabulary, pieces_col: str = "pieces", out_col: str = "text") -> DataFrame:
