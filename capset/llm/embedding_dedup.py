@@ -3,8 +3,8 @@
 Unit vectors with cosine c are sqrt(2 - 2 c) apart, so the pairs wanted are those within a distance
 epsilon.  Vectors are projected on a few leading principal dimensions (an orthonormal basis fitted on a
 bounded sample: distances of projections are never larger), sorted by their cells of width epsilon,
-and cut in that order into intervals: range partitions, and blocks inside them.  The join goes down
-recursively, as Spark joins over the small table of intervals: pairs of partitions whose boxes
+and cut in that order into intervals: blocks, and ranges of blocks.  The join goes down
+recursively, as Spark joins over the small table of intervals: pairs of ranges whose boxes
 are at most epsilon apart, then pairs of their blocks, then, in the task that two blocks meet in, halves of
 them down to small intervals.  Cosines are computed in double precision.
 
@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from capset.llm.common import salt_bit, salt_of, salts_in
 from capset.llm.components import components
@@ -26,7 +27,9 @@ from capset.llm.components import components
 #: Vectors that the principal dimensions are fitted on, at most.
 SAMPLE = 4_000
 LEADING = 8
-BLOCK = 1024
+BLOCK = 4096
+#: Blocks of a range, the first level of the recursive join.
+RANGE = 32
 #: The join goes down to intervals of this many vectors inside a task.
 LEAF = 128
 
@@ -173,10 +176,14 @@ def _join(reps: DataFrame, basis: np.ndarray, cosine: float, eps: float, block:
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = placed.repartitionByRange(parts, *cells, F.col("_digest")).sortWithinPartitions(*cells, "_digest")
     # the order is written down, since ranges may be cut otherwise when a lost part is computed again
-    number = F.monotonically_increasing_id()
-    ordered = ordered.withColumn("_row", number).select(
-        "*", F.shiftrightunsigned("_row", 33).alias("_range"),
-        F.floor(F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) / block).alias("_block")).drop("_row").checkpoint()
+    ordered = ordered.withColumn("_row", F.monotonically_increasing_id()).select(
+        "*", F.shiftrightunsigned("_row", 33).alias("_part"), F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")) \
+        .drop("_row").checkpoint()
+    # places in the whole order, by a running sum over the partitions' sizes; blocks and ranges of blocks
+    sizes = ordered.groupBy("_part").agg((F.max("_place") + 1).alias("_rows"))
+    before = sizes.select("_part", (F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")).alias("_before"))
+    ordered = ordered.join(before, "_part").withColumn("_block", F.floor((F.col("_before") + F.col("_place")) / block)) \
+        .withColumn("_range", F.floor(F.col("_block") / RANGE)).drop("_part", "_place", "_before")
     ends = [f(F.get("_p", F.lit(k))).alias(f"{n}{k}") for k in range(lead) for f, n in ((F.min, "lo"), (F.max, "hi"))]
     blocks = ordered.groupBy("_range", "_block").agg(*ends)
     ranges = blocks.groupBy("_range").agg(*[f(f"{n}{k}").alias(f"{n}{k}") for k in range(lead) for f, n in ((F.min, "lo"), (F.max, "hi"))])
