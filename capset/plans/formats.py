@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capset import sinks as K
+from capset.operators import pairs as P
+from capset.plans import files as FP
 from capset.plans import sqltext as S
 from capset.plans.registry import load, register
 from capset.session import scratch_path
@@ -222,6 +224,15 @@ def fault_report_file(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.option("sep", "|").option("header", True).option("escape", '"').csv(path)
 
 
+@register("fault_rows_file", oracle=FP._FAULT_ROWS_SQL + "SELECT folder, kind, file FROM rows")
+def fault_rows_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of all faults of the file tree, one fault a line: no list grows with a folder."""
+    path = scratch_path(spark, "fault_rows_file")
+    K.write_fault_report(P.fault_rows(FP._files(spark, sf), FP.MIN_CHARS), path)
+    return spark.read.schema("folder string, kind string, file string").option("sep", "|").option("header", True) \
+        .option("escape", '"').csv(path)
+
+
 @register("tar_append", oracle=f"""
 SELECT {S.pad_id('doc_id', 9)} AS key, md5(text) AS cap_md5, CAST(doc_id % 2 AS INTEGER) AS run FROM documents
 """)
