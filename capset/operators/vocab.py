@@ -16,6 +16,9 @@ which runs here as Spark aggregates:
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter, defaultdict
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,13 +58,9 @@ def alphabet(df: DataFrame, text: str = "text", coverage: float = 0.9999) -> Dat
 # Words are kept as one string with a separator on either side of every symbol
 # (``\x01t\x01\x01h\x01\x01e\x01``), so a merge is a literal replacement of ``r\x01\x01l``.
 SEP = "\u0001"
-#: Of the ranked pairs, how many the driver looks at in a round.
-CANDIDATES = 256
-
-
-def _merged(w, left: str, right: str):
-    """Every adjacent ``left right`` made one symbol, from left to right, none twice."""
-    return F.replace(w, F.lit(f"{SEP}{left}{SEP}{SEP}{right}{SEP}"), F.lit(f"{SEP}{left}{right}{SEP}"))
+#: Of the ranked pairs, how many the driver looks at in a round; and of the words' pieces.
+CANDIDATES = 1024
+SEGMENTS = 100_000
 
 
 def pair_counts(words: DataFrame, col: str = "w") -> DataFrame:
@@ -75,39 +74,88 @@ def pair_counts(words: DataFrame, col: str = "w") -> DataFrame:
     return counts.select(F.element_at(parts, 1).alias("left"), F.element_at(parts, 2).alias("right"), "freq")
 
 
-def independent_merges(ranked: list, complete: bool, limit: int) -> list:
-    """The first of ``ranked`` (``left, right, freq``, best first) that one-by-one merging would also take.
+def certain_merges(segments: list, floor: int, limit: int, known: set) -> list:
+    """Merges ``(left, right, freq)`` that are certain from ``segments`` (symbols, freq): those above ``floor``.
 
-    A merge of ``l r`` changes counts of pairs that hold ``l`` or ``r`` only, downwards, and makes pairs
-    with the new symbol, none more frequent than the pair with ``l`` or ``r`` it comes from.  So the next
-    pair of the list is also the next merge if it shares no symbol with those taken, and every
-    pair that does share one is strictly rarer.  ``complete``: the list holds all pairs.
+    Words are cut between symbols of pairs that come up to ``floor`` times.  A pair made by a merge stands
+    at places where one pair stood before, so what lies across a cut never comes up more often.  That needs
+    new symbols to be made in one way only: a merge whose symbol is in ``known`` or was made before is the last.
     """
-    taken, used = [], set()
-    for i, (left, right, freq) in enumerate(ranked):
-        if len(taken) == limit:
+    words = [list(s) for s, _ in segments]
+    freqs = [f for _, f in segments]
+    counts, where, made, taken = Counter(), defaultdict(set), set(), []
+    for k, s in enumerate(words):
+        for p in zip(s, s[1:]):
+            counts[p] += freqs[k]
+            where[p].add(k)
+    heap = [(-n, *p) for p, n in counts.items() if n > floor]
+    heapq.heapify(heap)
+    while heap and len(taken) < limit:
+        n, left, right = heapq.heappop(heap)
+        if counts[left, right] != -n:
+            continue  # counted anew since
+        taken.append((left, right, -n))
+        token = left + right
+        if token in known or token in made:
             break
-        if taken:
-            same = [p for p in ranked[i:] if p[2] == freq]
-            if not complete and ranked[-1][2] == freq:
-                break  # pairs of this count may lie beyond the list
-            if any(used & {p[0], p[1]} for p in same):
-                break
-        taken.append((left, right, freq))
-        # pairs of higher rank than the next candidate were looked at as candidates themselves
-        used |= {left, right}
+        made.add(token)
+        changed = set()
+        for k in where.pop((left, right)):
+            s, out, i = words[k], [], 0
+            while i < len(s):
+                if i + 1 < len(s) and s[i] == left and s[i + 1] == right:
+                    out.append(token)
+                    i += 2
+                else:
+                    out.append(s[i])
+                    i += 1
+            for p in zip(s, s[1:]):
+                counts[p] -= freqs[k]
+                changed.add(p)
+            for p in zip(out, out[1:]):
+                counts[p] += freqs[k]
+                where[p].add(k)
+                changed.add(p)
+            words[k] = out
+        for p in changed:
+            if counts[p] > floor:
+                heapq.heappush(heap, (-counts[p], *p))
     return taken
 
 
+def _sql(text: str) -> str:
+    """A string literal; all but ASCII letters and digits escaped."""
+    return "'" + "".join(c if c.isascii() and c.isalnum() else f"\\u{ord(c):04x}" if ord(c) < 65536 else f"\\U{ord(c):08x}"
+                         for c in text) + "'"
+
+
+def _segments(words: DataFrame, hot: list) -> DataFrame:
+    """``(s, freq)``: runs of symbols (with ``SEP`` between) whose adjacent pairs are all ``hot``."""
+    symbols = words.select(F.split(F.expr("substring(w, 2, length(w) - 2)"), SEP + SEP).alias("s"), "freq").where(F.size("s") > 1)
+    pairs = ", ".join(_sql(left + SEP + right) for left, right, _ in hot)
+    joint = f"if(concat_ws({_sql(SEP)}, s[i - 1], s[i]) in ({pairs}), {_sql(SEP)}, {_sql(SEP + SEP)})"
+    cut = F.expr(f"array_join(transform(sequence(0, size(s) - 1), i -> if(i = 0, s[0], concat({joint}, s[i]))), '')")
+    runs = symbols.select(F.explode(F.split(cut, SEP + SEP)).alias("s"), "freq").where(F.instr("s", SEP) > 0)
+    return runs.groupBy("s").agg(F.sum("freq").alias("freq"))
+
+
+def _all_merged(merges: list):
+    """``w`` with all ``merges`` made in turn; one array literal, so plans stay small."""
+    pairs = ", ".join(f"named_struct('f', {_sql(SEP + left + SEP + SEP + right + SEP)}, 't', {_sql(SEP + left + right + SEP)})"
+                      for left, right, _ in merges)
+    return F.expr(f"aggregate(array({pairs}), w, (a, x) -> replace(a, x.f, x.t))")
+
+
 def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str = "freq",
                merges_per_round: int = 32, checkpoint_every: int = 8) -> DataFrame:
     """Learn ``num_merges`` BPE merges from ``(word, freq)``: the most frequent adjacent pair
     (ties: smallest left, then right symbol) is merged in every word, again and again.
 
-    A round counts all pairs once and takes up to ``merges_per_round`` merges of which it is certain that
-    merging one by one would take them next (``independent_merges``); with 1 it is one merge a
-    round, with the same result.  A merge is a literal string replacement; the words are checkpointed
-    reliably every ``checkpoint_every`` rounds, and what lies between is replayed from there.
+    A round counts all pairs, cuts the words between symbols of rarer pairs and takes up to
+    ``merges_per_round`` merges from the distinct pieces, as far as merging one by one is certain to take
+    the same (``certain_merges``); with 1 it is one merge a round, with the same result.  The driver sees up to
+    ``SEGMENTS`` pieces: with more, fewer pairs are looked at.  The words are checkpointed reliably every
+    ``checkpoint_every`` rounds or some hundred merges, and what lies between is replayed from there.
 
     Returns ``(rank, left, right, freq)``; stops early when no pair is left.
     """
@@ -118,20 +166,33 @@ def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str
     spelled = F.concat(F.lit(SEP), F.array_join(chars(clean), SEP + SEP), F.lit(SEP))
     cur = materialize(words.where(F.length(clean) > 1).select(spelled.alias("w"), F.col(freq).cast("long").alias("freq")))
     merges: list[tuple] = []
-    rounds = 0
+    known: set[str] = set()
+    rounds = pending = 0
+    wide = CANDIDATES
     while len(merges) < num_merges:
         top = [tuple(r) for r in pair_counts(cur).orderBy(F.col("freq").desc(), "left", "right").limit(CANDIDATES).collect()]
-        found = independent_merges(top, len(top) < CANDIDATES, min(merges_per_round, num_merges - len(merges)))
-        if not found:
+        if not top:
             break
-        w = F.col("w")
-        for left, right, n in found:
-            merges.append((len(merges), left, right, int(n)))
-            w = _merged(w, left, right)
-        cur = cur.select(w.alias("w"), "freq")
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            cur = materialize(cur.where(F.instr("w", SEP + SEP) > 0))
+        wide = min(CANDIDATES, 2 * wide)
+        while True:
+            floor = 0 if wide == CANDIDATES and len(top) < CANDIDATES else top[min(wide, len(top)) - 1][2]
+            hot = [p for p in top if p[2] > floor]
+            found = top[:1]
+            if not hot or merges_per_round == 1:
+                break
+            got = _segments(cur, hot).limit(SEGMENTS + 1).collect()
+            if len(got) <= SEGMENTS:
+                found = certain_merges([(r.s.split(SEP), r.freq) for r in got], floor, min(merges_per_round, num_merges - len(merges)), known)
+                break
+            if wide == 1:
+                break
+            wide = max(1, wide // 4)
+        merges += [(len(merges) + k, left, right, int(n)) for k, (left, right, n) in enumerate(found)]
+        known |= {left + right for left, right, _ in found}
+        cur = cur.select(_all_merged(found).alias("w"), "freq")
+        rounds, pending = rounds + 1, pending + len(found)
+        if rounds % checkpoint_every == 0 or pending >= CANDIDATES // 4:
+            cur, pending = materialize(cur.where(F.instr("w", SEP + SEP) > 0)), 0
     return spark.createDataFrame(merges, "rank int, left string, right string, freq long")
 
 

@@ -67,6 +67,36 @@ def test_several_merges_a_round_change_nothing(spark):
     assert [tuple(r) for r in V.bpe_merges(wf, 60).collect()] == py_bpe(dict(freq), 60)
 
 
+def test_pieces_of_words_change_nothing(spark, monkeypatch):
+    """Many merges a round, from few pairs and few pieces."""
+    import random
+
+    rng = random.Random(5)
+    freq = Counter("".join(rng.choice("abc") for _ in range(rng.randint(2, 12))) for _ in range(300))
+    wf = spark.createDataFrame(list(freq.items()), "word string, freq long")
+    want = py_bpe(dict(freq), 150)
+    assert [tuple(r) for r in V.bpe_merges(wf, 150, merges_per_round=512).collect()] == want
+    monkeypatch.setattr(V, "CANDIDATES", 16)
+    monkeypatch.setattr(V, "SEGMENTS", 40)
+    assert [tuple(r) for r in V.bpe_merges(wf, 20, merges_per_round=512).collect()] == want[:20]
+
+
+def test_a_symbol_made_in_two_ways_ends_the_round():
+    assert V.certain_merges([(("a", "bc"), 9), (("x", "y"), 5)], 0, 9, {"abc"}) == [("a", "bc", 9)]
+    assert V.certain_merges([(("a", "bc"), 9), (("x", "y"), 5)], 5, 9, set()) == [("a", "bc", 9)]
+
+
+def test_registered_query_learns_a_whole_vocabulary(spark):
+    from conftest import SF001
+
+    from capset.plans import QUERIES
+    from capset.plans.registry import load
+
+    kept = V.alphabet(load(spark, SF001, "documents"), coverage=0.9999).where("kept").count()
+    got = QUERIES["bpe_vocabulary"](spark, SF001).collect()
+    assert [r["rank"] for r in got] == list(range(4096 - kept))
+
+
 def test_alphabet_coverage(spark):
     df = spark.createDataFrame([(t,) for t in CORPUS], "text string")
     rows = V.alphabet(df, coverage=0.9).collect()
