@@ -140,10 +140,15 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
     else:
         counts = linked.where("u is null").groupBy("_digest").agg(F.sum("n").alias("n_links"))
         edges = linked.where("u is not null").select("u", "v")
-    comp = components(edges)
-    named = whole.join(counts, "_digest", "left").join(comp.withColumnRenamed("node", "_class"), "_class", "left").select(
+    # classes are joined under their digests' numbers; a component is named by its least id that is not null
+    member = components(edges).withColumnRenamed("node", "_node").join(whole.select(_node().alias("_node"), "_class"), "_node")
+    salted = member.withColumn("_part", salt_of(F.col("_node")))
+    least = salted.groupBy("component", "_part").agg(F.min("_class").alias("_least")).groupBy("component").agg(
+        F.min("_least").alias("_least"), F.collect_set("_part").alias("_parts"))
+    comp = salted.join(least.select("component", "_least", F.explode("_parts").alias("_part")), ["component", "_part"]).select("_node", "_least")
+    named = whole.withColumn("_node", _node()).join(counts, "_digest", "left").join(comp, "_node", "left").select(
         "_digest", (F.coalesce("n_links", F.lit(0).cast("long")) + F.col("_n") - 1).alias("n_links"),
-        F.coalesce("component", "_class").alias("component_id"), F.explode(salts_in(F.col("_mask"))).alias("_salt"))
+        F.coalesce("_least", "_class").alias("component_id"), F.explode(salts_in(F.col("_mask"))).alias("_salt"))
     found = good.select("_id", "_digest", "_salt").join(named, ["_digest", "_salt"]).select("_id", "n_links", "component_id")
     alone = rows.where(~usable(F.col("_vec"))).select("_id", F.lit(0).cast("long").alias("n_links"), F.col("_id").alias("component_id"))
     return found.union(alone).select(
@@ -151,13 +156,18 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id
         F.coalesce(F.col("_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 
+def _node() -> F.Column:
+    """The first 60 bits of a class' digest: its number as a node."""
+    return F.conv(F.substring("_digest", 1, 15), 16, 10).cast("long")
+
+
 def _bytes(vec: str):
     # zero has two signs
     return F.array_join(F.transform(vec, lambda x: (x + F.lit(0.0)).cast("string")), ",")
 
 
 def _join(reps: DataFrame, basis: np.ndarray, cosine: float, eps: float, block: int, number_type: type) -> DataFrame:
-    """Rows of link counts (``_digest, n``) and of spanning links (``u, v``) between classes."""
+    """Rows of link counts (``_digest, n``) and of spanning links (``u, v``) between classes' numbers."""
     lead, dim = basis.shape
 
     def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -166,12 +176,10 @@ def _join(reps: DataFrame, basis: np.ndarray, cosine: float, eps: float, block:
             fits = df["_vec"].map(len).to_numpy() == dim
             if fits.any():  # vectors of another length have no box of their own: all are at zero
                 out[fits] = _unit(df["_vec"][fits]) @ basis.T
-            yield df[["_digest", "_class", "_n"]].assign(_p=list(out), _vec=[np.asarray(v, number_type).tobytes() for v in df["_vec"]])
+            yield df[["_digest", "_n"]].assign(_p=list(out), _vec=[np.asarray(v, number_type).tobytes() for v in df["_vec"]])
 
-    kind = "_digest string, _class long, _n long, _p array<double>, _vec binary"
-    # a class of null ids has no number: -1 keeps the column whole numbers in pandas
-    placed = reps.withColumn("_class", F.coalesce("_class", F.lit(-1).cast("long"))).select(
-        "_digest", "_class", "_n", "_vec").mapInPandas(project, kind)
+    kind = "_digest string, _n long, _p array<double>, _vec binary"
+    placed = reps.select("_digest", "_n", "_vec").mapInPandas(project, kind)
     cells = [F.floor(F.get("_p", F.lit(k)) / eps) for k in range(lead)]
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = placed.repartitionByRange(parts, *cells, F.col("_digest")).sortWithinPartitions(*cells, "_digest")
@@ -216,7 +224,7 @@ def _join(reps: DataFrame, basis: np.ndarray, cosine: float, eps: float, block:
         df = df.assign(_length=df["_vec"].map(len))
         out = []
         for _, own in df.groupby("_length"):  # vectors of different length do not meet
-            own = own.sort_values(["_side", "_class", "_digest"], kind="stable")
+            own = own.sort_values(["_side", "_digest"], kind="stable")
             x = _unit(own["_vec"].map(lambda b: np.frombuffer(b, number_type)))
             p = x @ basis.T if x.shape[1] == dim else np.zeros((len(x), lead))
             cut = int((own["_side"] == 0).sum())
@@ -229,9 +237,11 @@ def _join(reps: DataFrame, basis: np.ndarray, cosine: float, eps: float, block:
             order = np.lexsort([*np.floor(p / eps).T[::-1], own["_side"].to_numpy()])
             own, x, p = own.iloc[order], x[order], p[order]
             count, links = _links(x, p, cut, own["_n"].to_numpy(), cosine, eps)
-            ids, names = own["_class"].to_numpy(), own["_digest"].to_numpy()
+            names = own["_digest"].to_numpy()
+            ids = [int(d[:15], 16) for d in names]
             out += [(names[i], count[i], None, None) for i in np.flatnonzero(count)]
-            out += [(None, 0, ids[i], ids[j]) for i, j in links if ids[i] >= 0 and ids[j] >= 0]
-        return pd.DataFrame(out, columns=["_digest", "n", "u", "v"]).astype({"n": "int64", "u": "Int64", "v": "Int64"})
+            out += [(None, 0, ids[i], ids[j]) for i, j in links]
+        # as objects first: floats would not hold the numbers beside nulls
+        return pd.DataFrame(out, columns=["_digest", "n", "u", "v"], dtype=object).astype({"n": "int64", "u": "Int64", "v": "Int64"})
 
     return met.groupBy("_ra", "_ba", "_rb", "_bb").applyInPandas(compare, "_digest string, n long, u long, v long").checkpoint()

@@ -50,3 +50,15 @@ def test_odd_tables(spark):
     assert list(map(tuple, near_vectors(frame(spark, [(3, None, 1)], VEC)).collect())) == [(3, 0, 3, True)]
     got = near_vectors(frame(spark, [(None, [1.0, 0.0], 1), (4, [1.0, 0.0], 1), (4, [1.0, 0.01], 1), (None, [0.0, 1.0], 1)], VEC)).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(None, 2, 4, False), (4, 2, 4, True), (4, 2, 4, True), (None, 0, None, True)], key=str)
+
+
+def test_null_and_negative_ids_between_near_vectors(spark):
+    """A vector without an id joins what it is near to; negative ids name components like others."""
+    a, n, b = [1.0, 0.0], [0.98, 0.199], [0.97, 0.243]
+    got = near_vectors(frame(spark, [(5, a, 1), (None, n, 1), (7, b, 1)], VEC)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 2, 5, False), (5, 2, 5, True), (7, 2, 5, False)], key=str)
+    far = [0.9, 0.436]  # near to n, not to a
+    got = near_vectors(frame(spark, [(5, a, 1), (None, n, 1), (7, far, 1)], VEC)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 2, 5, False), (5, 1, 5, True), (7, 1, 5, False)], key=str)
+    got = near_vectors(frame(spark, [(-3, a, 1), (-9, n, 1), (4, b, 1)], VEC)).collect()
+    assert sorted(map(tuple, got)) == [(-9, 2, -9, True), (-3, 2, -9, False), (4, 2, -9, False)]
