@@ -8,11 +8,14 @@ from html import unescape
 
 _TOKEN = re.compile(
     r"<!--(?:.*?--\s*>|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
-    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
+    # a quote opens a value only straight after =, any other is a character like others
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>|[^<]+|<", re.S)
+_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?", re.S)
 _PART = re.compile(r"[a-z]+", re.I)
 #: Elements whose content is not text of the page.
 RAW = frozenset("script style template noscript textarea title iframe svg math object select option datalist xmp noembed noframes".split())
+#: Of these, those that HTML reads as raw text: without an end tag they go on to the end of the page.
+RAW_TEXT = frozenset("script style textarea title iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
@@ -82,6 +85,7 @@ def blocks(html: str | None) -> list[Block]:
             links -= t == "a"
         del tags[k:], names[k:]
 
+    endless: set[str] = set()  # elements without an end tag from here on
     source = html or ""
     i, n = 0, len(source)
     match = _TOKEN.match
@@ -115,9 +119,11 @@ def blocks(html: str | None) -> list[Block]:
             flush_here = tag not in INLINE
             if flush_here:
                 flush()
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, i)
+            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, i)
+            if end is None:
+                endless.add(tag)
             if not m.group(3).endswith("/") or tag not in ("svg", "math"):
-                i = end.end() if end else n
+                i = end.end() if end else n if tag in RAW_TEXT else i
             continue
         if tag not in INLINE:
             flush()

@@ -33,6 +33,14 @@ def test_blocks(html, want):
     assert text(html) == want
 
 
+def test_stray_quotes_and_unclosed_elements():
+    assert [b.text for b in blocks("<p title=it's>one two</p><p>don't three</p><p>four</p>")] == ["one two", "don't three", "four"]
+    assert [b.text for b in blocks('<p class="a"">one</p><p title = "x>y">two</p>')] == ["one", "two"]
+    for tag in ("select", "object", "math", "svg", "noscript"):
+        assert [b.text for b in blocks(f"<p>one</p><{tag}><p>two</p>")] == ["one", "two"], tag
+    assert [b.text for b in blocks("<p>one</p><script>two")] == ["one"]
+
+
 def test_paths_and_links():
     page = blocks('<nav id="topMenu"><ul><li><a href=x>home</a></ul></nav><article><p>t <a>l</a></p></article><div style="display: none">h</div>')
     assert [b.path for b in page] == [("nav top menu", "ul", "li", "a"), ("article", "p"), ("div hidden",)]
