@@ -25,7 +25,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier tells, with ``lang`` as predicted; those of unknown language go.
 
     The classifier rejects texts without any letter (null and empty ones among them).  ``lang`` becomes
-    the prediction where the label is null; a label that is there stays.
+    the prediction; where that is ambiguous, a label that is there stays.
     """
     from capset.llm.lang_id import UNKNOWN, predicted, train
 
@@ -33,7 +33,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     told = docs.withColumn("_capset_lang", predicted(docs["text"], train(docs)))
     lang = F.col("_capset_lang.lang_pred")
     return told.where(lang != UNKNOWN).select(
-        *[F.coalesce(docs[c], lang).alias(c) if c == "lang" else docs[c] for c in docs.columns])
+        *[F.coalesce(F.when(F.col("_capset_lang.ambiguous"), docs[c]), lang).alias(c) if c == "lang" else docs[c] for c in docs.columns])
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

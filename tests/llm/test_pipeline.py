@@ -2,7 +2,7 @@ import random
 
 import corpus_pipeline as cp
 import pytest
-from helpers import frame, normal
+from helpers import frame, held_out, normal
 from test_mixing import targets
 from test_near_dedup import brute as near
 
@@ -78,3 +78,23 @@ def test_stages_with_clashing_columns_nulls_and_no_rows(spark):
             if k < 4:
                 assert not got or got[0].asDict().keys() == set(docs.columns)
             assert bool(got) == bool(rows)
+
+
+def test_language_decision_takes_effect(spark):
+    """A wrong label gives way to a clear prediction; an ambiguous one leaves the label."""
+    from pyspark.sql import functions as F
+
+    from capset.llm.common import prepare
+    from capset.llm.lang_id import predicted, train
+
+    rng = random.Random(7)
+    words = {"aa": ["schlung", "ungsch", "schung"], "bb": ["tirami", "balomi", "ratula"]}
+    docs = [(i, " ".join(rng.choice(words[lang]) for _ in range(20)), lang, "x", 1) for i, lang in enumerate(["aa", "bb"] * 150)]
+    wrong = next(i for i in range(1000, 1100) if held_out(i))  # not trained on
+    docs += [(wrong, " ".join(rng.choice(words["bb"]) for _ in range(20)), "aa", "x", 1), (901, "z", "aa", "x", 1), (902, "z", "bb", "x", 1)]
+    df = spark.createDataFrame(docs, DOC)
+    prepare(spark)
+    told = {r.doc_id: r for r in df.select("doc_id", "lang", predicted(F.col("text"), train(df)).alias("p")).collect()}
+    got = {r.doc_id: r.lang for r in cp.language(spark, df, "").collect()}
+    assert got == {i: r.lang if r.p.ambiguous else r.p.lang_pred for i, r in told.items() if r.p.lang_pred != "und"}
+    assert got[wrong] == "bb"
