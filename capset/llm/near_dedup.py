@@ -29,6 +29,8 @@ from capset.llm.components import components
 #: Least similarity in percent -> (bands, minima in a band).  Chance to miss a pair that is exactly
 #: that similar: 4e-5 at 85 (32 bands of 8), 8e-5 at 80 (40 bands of 7).
 BANDS = {85: (32, 8), 80: (40, 7)}
+#: Chance to miss such a pair at any other similarity, at most; and minima in a band and bands, at most, where that can be.
+MISS, ROWS, MOST = 1e-4, 10, 64
 #: Members of a block.
 BLOCK = 128
 _CACHE = 1_000_000  # words whose hashes a worker keeps
@@ -66,6 +68,17 @@ def shingle_hashes(words: list[bytes], width: int, cache: dict) -> np.ndarray:
     return np.unique(got)
 
 
+def bands_for(percent: float) -> tuple[int, int]:
+    """Bands and minima in a band for a least similarity: as in ``BANDS``, or else by ``MISS``."""
+    if percent in BANDS:
+        return BANDS[percent]
+    if not percent > 0:
+        raise ValueError(f"least similarity is {percent} %: no bands find pairs that share nothing")
+    need = lambda r: 1 if percent >= 100 else int(np.ceil(np.log(MISS) / np.log1p(-(percent / 100) ** r)))
+    rows = next((r for r in range(ROWS, 1, -1) if need(r) <= MOST), 1)
+    return need(rows), rows
+
+
 def _minima(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Minima of all hash functions, one row a set (sets are not empty)."""
     out = np.full((len(sets), len(a)), np.iinfo(np.uint64).max, np.uint64)
@@ -237,7 +250,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, id_col:
     share its component; a null id gets its copies' component (null, and kept, if there is none).  Ids
     are integers.  An empty table gives an empty result; other columns are not read.
     """
-    b, r = BANDS.get(percent, (40, 7))
+    b, r = bands_for(percent)
     b, r = bands or b, rows or r
     seen = signatures(docs, width, b, r, id_col, text_col).checkpoint()
     salted = seen.withColumn("_salt", salt_of(F.col("_id")))

@@ -86,3 +86,21 @@ def test_components(spark, seed):
 
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_bands_of_any_similarity(spark):
+    from capset.llm.near_dedup import BANDS, MISS, bands_for
+
+    assert all(bands_for(p) == b for p, b in BANDS.items())
+    for percent in (1, 30, 50, 60, 70, 75, 90, 95, 99):
+        bands, rows = bands_for(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= MISS, percent
+    with pytest.raises(ValueError, match="0 %"):
+        bands_for(0)
+    # half of the words are the same: 40 bands of 7 miss most of these pairs
+    docs = []
+    for k in range(60):
+        same = [f"s{k}x{j}" for j in range(30)]
+        docs += [(2 * k, " ".join([*same, *(f"a{k}x{j}" for j in range(14))])), (2 * k + 1, " ".join([*same, *(f"b{k}x{j}" for j in range(14))]))]
+    got = near_duplicates(frame(spark, docs, DOC), 1, 50).collect()
+    assert sorted(map(tuple, got)) == brute(docs, 1, 50)
