@@ -1,4 +1,7 @@
-"""Every file format of the library: whole tables are written to the shared scratch folder and read back.
+"""File formats of the library: whole tables are written to the shared scratch folder and read back.
+
+TFRecord (``sources.tfrecord``), JSON sidecars (``scan_sidecars``), ``image_profiles`` and ``write_vocabulary``
+have no query here; pytest covers them on generated files.
 
 The rows that come back go through the library's reader and are held against the table itself.  The
 files lie in the session's checkpoint folder, under a name of their own for each run.
