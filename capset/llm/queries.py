@@ -107,3 +107,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pages = table(spark, sf_dir, "pages")
     return extract(pages, train(pages))
+
+
+@register("op12_bpe_codec")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capset.llm.bpe import encode_decode, load
+
+    return encode_decode(table(spark, sf_dir, "documents"), load()).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
