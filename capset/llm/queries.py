@@ -117,3 +117,20 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@register("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capset.llm.conversation_repair import damage, repair
+    from capset.llm.ordered_hash import EMPTY, ordered_sha256
+
+    rows = table(spark, sf_dir, "conversations")
+    report, edits = repair(damage(rows))
+    hashes = ordered_sha256(edits.where("edit != 'D'"), F.col("conv_id"), ["place", "step"], F.concat_ws(":", "role", "text"), "\n")
+    named = rows.select("conv_id").distinct()
+    found = report.withColumnRenamed("conv_id", "_conv")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return named.join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").join(
+        hashes, F.col("conv_id").cast("string").eqNullSafe(F.col("_key")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.lit(EMPTY)).alias("repaired_sha256"))
