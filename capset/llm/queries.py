@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from capset.llm.conversation_sql import repair_sql
 from capset.llm.registry import ORACLES, QUERIES, register, table  # noqa: F401
 
 
@@ -119,7 +120,7 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
-@register("op11_conversation_repair")
+@register("op11_conversation_repair", oracle=repair_sql())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from capset.llm.conversation_repair import damage, repair
     from capset.llm.ordered_hash import EMPTY, ordered_sha256
