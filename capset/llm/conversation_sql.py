@@ -61,3 +61,25 @@ SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coal
   coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit,
   sha256(coalesce(substr(b.x, 2), '')) AS repaired_sha256
 FROM ids LEFT JOIN best ON ids.conv_id IS NOT DISTINCT FROM best.conv_id"""
+
+
+def trie_sql() -> str:
+    """Prefixes as lists of turns; a subtree is found by the prefixes of its members."""
+    return f"""WITH placed AS (SELECT conv_id AS c, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS q,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(q ORDER BY n) AS turns, {crc32('CAST(c AS VARCHAR)')} % 4 AS h FROM placed GROUP BY c),
+built AS (SELECT own.c, list_concat(coalesce(p.turns[1:own.h], []), own.turns[own.h + 1:]) AS turns
+  FROM own LEFT JOIN own p ON p.c = own.c - own.c % 20),
+prefixes AS (SELECT c, len(turns) AS n, unnest(range(len(turns) + 1)) AS d, turns FROM built),
+node AS (SELECT d, turns[1:d] AS prefix, min(c) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS ends FROM prefixes GROUP BY 1, 2),
+child AS (SELECT d - 1 AS d, prefix[1:d - 1] AS prefix, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1, 2),
+counted AS (SELECT node.*, coalesce(n_children, 0) AS n_children,
+  CASE WHEN node.d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(node.prefix[node.d].t, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM node LEFT JOIN child ON node.d = child.d AND node.prefix = child.prefix),
+above AS (SELECT unnest(range(d + 1)) AS e, prefix, n_children, saved FROM counted),
+subtree AS (SELECT e AS d, prefix[1:e] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved FROM above GROUP BY 1, 2)
+SELECT a.conv_id, a.d AS depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, n_leaves,
+  CAST(subtree.saved AS BIGINT) AS saved_tokens, a.ends AS ends_sha256
+FROM counted a JOIN subtree ON a.d = subtree.d AND a.prefix = subtree.prefix
+LEFT JOIN node p ON a.d > 0 AND p.d = a.d - 1 AND p.prefix = a.prefix[1:a.d - 1]"""

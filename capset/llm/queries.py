@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capset.llm.conversation_sql import repair_sql
+from capset.llm.conversation_sql import repair_sql, trie_sql
 from capset.llm.registry import ORACLES, QUERIES, register, table  # noqa: F401
 
 
@@ -135,3 +135,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         hashes, F.col("conv_id").cast("string").eqNullSafe(F.col("_key")), "left").select(
         "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("sha256", F.lit(EMPTY)).alias("repaired_sha256"))
+
+
+@register("op13_conversation_trie", oracle=trie_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capset.llm.conversation_trie import prefix_trie
+
+    conv = F.col("conv")
+    trie = prefix_trie(table(spark, sf_dir, "conversations"), conv - conv % 20, F.crc32(conv.cast("string").cast("binary")) % 4)
+    return trie.drop("first", "last")

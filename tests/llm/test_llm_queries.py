@@ -13,7 +13,8 @@ COLUMNS = {
     "op5": ["doc_id", "n_shingles", "component_id", "kept"], "op6": ["page_id", "host", "path", "rule", "verdict"],
     "op7": ["doc_id", "held_out", "lang_pred", "score"], "op8": ["vec_id", "n_links", "component_id", "kept"],
     "op9": ["doc_id"], "op10": ["doc_id", "n_tokens"],
-    "op11": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"], "op12": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op11": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"], "op13": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    "op12": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
