@@ -61,8 +61,9 @@ def _sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             keep.append(i)
             names.append(best[2])
             verdicts.append(best[3])
-        out = df.iloc[keep].drop(columns=["_part", "_key", "_page"])
-        yield out.assign(rule=names, verdict=verdicts)
+        if keep:  # a batch may hold nothing but rules
+            out = df.iloc[keep].drop(columns=["_part", "_key", "_page"])
+            yield out.assign(rule=names, verdict=verdicts)
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",

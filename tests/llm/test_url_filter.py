@@ -72,3 +72,11 @@ def test_oracle_reads_urls_alike(spark):
     con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
     con.executemany("INSERT INTO pages VALUES (?, ?)", pages)
     assert sorted(con.execute(ORACLES["op6_url_filter"]).fetchall(), key=str) == brute(pages, URL_RULES)
+
+
+def test_more_rules_than_a_batch_and_rules_only(spark):
+    # batches of rules alone before, between and behind pages
+    rules = [(f"h{i}.com", "/", "block") for i in range(6000)] + [("com", "/", "allow")]
+    pages = [(i, f"http://x.h{i * 37}.com/") for i in range(160)]
+    assert collected(spark, pages, rules) == brute(pages, rules)
+    assert collected(spark, [], rules) == []
