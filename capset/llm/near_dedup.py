@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from capset.llm.common import salt_bit, salt_of, salts_in
+from capset.llm.common import SALTS, salt_bit, salt_of, salts_in, with_group_values
 from capset.llm.components import components
 
 #: Least similarity in percent -> (bands, minima in a band).  Chance to miss a pair that is exactly
@@ -33,7 +33,7 @@ BANDS = {85: (32, 8), 80: (40, 7)}
 MISS, ROWS, MOST = 1e-4, 10, 64
 #: Members of a block.
 BLOCK = 128
-_CACHE = 1_000_000  # words whose hashes a worker keeps
+_CACHE = 250_000  # words whose hashes a worker keeps
 _SLICE = 1 << 15  # shingles hashed at once
 
 
@@ -101,7 +101,7 @@ def _minima(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def signatures(docs: DataFrame, width: int, bands: int, rows: int, id_col: str, text_col: str,
                seed: int = 1) -> DataFrame:
-    """``_id, n_shingles, digest`` (of the words) and ``bands`` (a hash for each band; null if empty)."""
+    """``_id, _th`` (hash of the text), ``n_shingles, digest`` (of the words), ``bands`` (a hash for each band; null if empty)."""
     rng = np.random.default_rng(seed)
     a = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2)
@@ -127,11 +127,11 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int, id_col: str,
                     h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + m[:, :, r])
                 for k, row in zip(full, h.view(np.int64), strict=True):
                     got[k] = row
-            yield pd.DataFrame({"_id": df["_id"], "n_shingles": [len(s) for s in sets], "digest": digests, "bands": got})
+            yield pd.DataFrame({"_id": df["_id"], "_th": df["_th"], "n_shingles": [len(s) for s in sets], "digest": digests, "bands": got})
 
     # ids travel as text: pandas would make floats of a column of integers with nulls
-    return docs.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("text")) \
-        .mapInPandas(run, "_id string, n_shingles long, digest binary, bands array<long>") \
+    return docs.select(F.col(id_col).cast("string").alias("_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("_th")) \
+        .mapInPandas(run, "_id string, _th long, n_shingles long, digest binary, bands array<long>") \
         .withColumn("_id", F.col("_id").cast("long"))
 
 
@@ -190,11 +190,13 @@ def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, width
                    text_col: str, block: int = BLOCK) -> DataFrame:
     """Links ``u, v``, on full sets, that span what is similar among classes of a candidate group.
 
-    ``groups`` has ``node, component``.  A group of up to ``block`` members is one block.  A larger one is cut
+    ``classes`` has ``_id`` (the class' number), ``n_shingles`` and, if that is not its number, ``_rid`` and ``_th``: id and hash of
+    the text that stands for it.  ``groups`` has ``node, component``.  A group of up to ``block`` members is one block.  A larger one is cut
     by set size (levels of 5 %) and inside a level by hash; only levels near enough for the
     similarity meet.
     """
-    member = classes.select(F.col("_id").alias("node"), "n_shingles").join(groups, "node").withColumns(
+    own_id = "_rid" if "_rid" in classes.columns else "_id"
+    member = classes.select(F.col("_id").alias("node"), "n_shingles", F.col(own_id).alias("_rid"), "_th").join(groups, "node").withColumns(
         {"_level": _levels("n_shingles"), "_salt": salt_of(F.col("node"))})
     part = member.groupBy("component", "_level", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     level = part.groupBy("component", "_level").agg(F.sum("_n").alias("_n"), F.bit_or(salt_bit(F.col("_salt"))).alias("_mask"))
@@ -214,7 +216,7 @@ def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, width
     one = F.col("_members") <= block
     placed = placed.withColumns({"_mine": F.when(one, F.lit(0).cast("long")).otherwise(mine),
                                  "_others": F.when(one, F.array(F.lit(0).cast("long"))).otherwise(others)})
-    placed = placed.select("node", "component", "_mine", "_others")
+    placed = placed.select("node", "_rid", F.col("_th").alias("_rth"), "component", "_mine", "_others")
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = _Words()
@@ -224,9 +226,11 @@ def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, width
             df["_set"] = [shingle_hashes(words_of(t), width, cache).tobytes() for t in df["text"]]
             yield df.drop(columns="text")
 
-    text = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    full = text.join(placed.hint("shuffle_hash"), "node").select("node", "component", "_mine", "_others", "text").mapInPandas(
-        sets_of, "node long, component long, _mine long, _others array<long>, _set binary")
+    # the text by id and hash, so null ids don't meet each other; rows that repeat both give one set
+    text = docs.select(F.col(id_col).cast("long").alias("_own"), F.xxhash64(text_col).alias("_oth"), F.col(text_col).alias("text"))
+    same = (F.col("_oth") == F.col("_rth")) & F.col("_own").eqNullSafe(F.col("_rid"))
+    full = text.join(placed.hint("shuffle_hash"), same).select("node", "component", "_mine", "_others", "text").mapInPandas(
+        sets_of, "node long, component long, _mine long, _others array<long>, _set binary").dropDuplicates(["node"])
     met = full.select(
         F.col("node").alias("_id"), "component", "_mine", F.explode("_others").alias("_other"), "_set").select(
         "_id", "component", F.least("_mine", "_other").alias("_a"), F.greatest("_mine", "_other").alias("_b"),
@@ -247,23 +251,31 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, id_col:
     Documents are linked if ``100 * shared >= percent * all`` of their distinct shingles of ``width`` words
     (fewer words: all as one); ``component_id`` is the smallest id reachable.  Null and empty texts,
     and those of white space alone, have no shingles and are linked with nothing.  Rows that repeat an id
-    share its component; a null id gets its copies' component (null, and kept, if there is none).  Ids
+    but not its text are documents of their own; a null id links too, but never names a component (null, and kept, if it has no other).  Ids
     are integers.  An empty table gives an empty result; other columns are not read.
     """
     b, r = bands_for(percent)
     b, r = bands or b, rows or r
-    seen = signatures(docs, width, b, r, id_col, text_col).checkpoint()
-    salted = seen.withColumn("_salt", salt_of(F.col("_id")))
-    part = salted.groupBy("digest", "_salt").agg(F.min("_id").alias("_class"))
-    whole = part.groupBy("digest").agg(F.min("_class").alias("_class"), F.bit_or(salt_bit(F.col("_salt"))).alias("_mask"))
-    # the row of each class' smallest id: it is in that id's salt, so hot texts are no hot keys
-    heads = whole.select("digest", "_class", salt_of(F.col("_class")).alias("_salt"))
-    classes = salted.where("n_shingles > 0").join(heads, ["digest", "_salt"]).where("_id = _class").select(
-        "_id", "n_shingles", "bands")
+    salt = F.pmod(F.xxhash64("_id", "_th"), F.lit(SALTS)).cast("int")
+    salted = signatures(docs, width, b, r, id_col, text_col).withColumn("_salt", salt).checkpoint()
+    # a class is stood for by the row of its smallest id (null if it has no other), of these by the least text hash
+    stands = F.struct(F.col("_id").isNull().alias("_none"), "_id", "_th")
+    part = salted.groupBy("digest", "_salt").agg(F.min(stands).alias("_rep"))
+    whole = part.groupBy("digest").agg(F.min("_rep").alias("_rep"), F.bit_or(salt_bit(F.col("_salt"))).alias("_mask"))
+    # classes are joined under numbers of their own, so those without an id link too
+    whole = whole.select("digest", "_mask", F.col("_rep._id").alias("_rid"), F.col("_rep._th").alias("_rth"),
+                         F.monotonically_increasing_id().alias("_class")).checkpoint()
+    # the row that stands for a class is in that row's salt, so hot texts are no hot keys
+    heads = whole.select("digest", "_class", "_rid", "_rth", F.pmod(F.xxhash64("_rid", "_rth"), F.lit(SALTS)).cast("int").alias("_salt"))
+    classes = salted.where("n_shingles > 0").join(heads, ["digest", "_salt"]).where("_id <=> _rid and _th = _rth").select(
+        F.col("_class").alias("_id"), "_rid", "_th", "n_shingles", "bands").dropDuplicates(["_id"]).checkpoint()
     groups = components(candidate_links(classes))
-    linked = components(verified_links(docs, classes, groups, width, percent, id_col, text_col))
-    named = whole.join(linked.withColumnRenamed("node", "_class"), "_class", "left").select(
-        "digest", F.coalesce("component", "_class").alias("_component"), F.explode(salts_in(F.col("_mask"))).alias("_salt"))
+    linked = components(verified_links(docs, classes, groups, width, percent, id_col, text_col)).withColumnRenamed("node", "_class")
+    # a component is named by its least id that is not null
+    member = linked.join(whole.select("_class", "_rid"), "_class")
+    member = with_group_values(member, ["component"], F.col("_class"), {"_m": F.min("_rid")}, {"_least": F.min("_m")}).select("_class", "_least")
+    named = whole.join(member, "_class", "left").select(
+        "digest", F.coalesce("_least", "_rid").alias("_component"), F.explode(salts_in(F.col("_mask"))).alias("_salt"))
     empty = F.col("n_shingles") == 0
     got = salted.select("_id", "n_shingles", "digest", "_salt").join(named, ["digest", "_salt"]).select(
         F.col("_id").alias("doc_id"), "n_shingles", F.when(empty, F.col("_id")).otherwise(F.col("_component")).alias("component_id"))

@@ -104,3 +104,24 @@ def test_bands_of_any_similarity(spark):
         docs += [(2 * k, " ".join([*same, *(f"a{k}x{j}" for j in range(14))])), (2 * k + 1, " ".join([*same, *(f"b{k}x{j}" for j in range(14))]))]
     got = near_duplicates(frame(spark, docs, DOC), 1, 50).collect()
     assert sorted(map(tuple, got)) == brute(docs, 1, 50)
+
+
+def test_null_id_between_near_copies(spark):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join(["x", *words[1:59], "y"]), " ".join(["x", "z", *words[2:58], "y", "y"])]
+    plain = brute(list(zip([5, 6, 7], texts)), 3, 85)
+    assert {c for _, _, c, _ in plain} == {5}
+    got = near_duplicates(frame(spark, [(5, texts[0]), (None, texts[1]), (7, texts[2]), (None, "a lone text without id"), (None, None)], DOC)).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got if r.doc_id) == [(5, 5, True), (7, 5, False)]
+    by = {r.n_shingles: (r.component_id, r.kept) for r in got if r.doc_id is None}
+    assert by == {58: (5, False), 3: (None, True), 0: (None, True)}
+
+
+def test_id_repeated_in_a_group(spark):
+    words = [f"w{i}" for i in range(60)]
+    one, two = " ".join(words), " ".join([*words[:59], "end"])
+    rows = [(9, one)] * 500 + [(8, two), (9, two), (9, "another text of this id")]
+    got = near_duplicates(frame(spark, rows, DOC)).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got if r.n_shingles == 58} == {(9, 8), (8, 8)}
+    assert [(r.component_id, r.kept) for r in got if r.n_shingles == 3] == [(9, True)]
