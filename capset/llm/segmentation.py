@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from capset.llm.vocabulary import Vocabulary
 
 _UNITS = 160_000  # distinct units whose lattices a worker keeps
+_REST = 1 << 15  # of these, those that stay from task to task: half of it, the most frequent
 _GROUP = 1 << 19  # characters whose units are drawn in step
 _REACH = 37.0  # -log(-log(u)) is less for every such u
 _DRAW = 1 << 32  # apart from the other uses of the hashes
@@ -475,6 +476,7 @@ def sample_segmentations(docs: DataFrame, vocabulary: Vocabulary, k: int = 2, se
                     yield pd.DataFrame(rows, columns=columns)
                     rows, size = [], 0
             yield pd.DataFrame(rows, columns=columns)
+        sampler.lat.trim(_REST)
 
     # the key of a row's draws: any id, as a hash of its text form
     rows = docs.select(F.col(id_col).cast("string").alias("_id"), *[F.col(c).alias(n) for c, n in zip(more, names[1:], strict=True)],
