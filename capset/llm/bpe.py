@@ -33,10 +33,16 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 DEFAULT_FILE = "/opt/tokenizers/word_bpe_49k.json"
 #: Symbols that a transducer takes in, beyond its lookahead, before it looks for stable tokens.
 STEP = 1024
-#: Characters of a text that are looked at together, and of the words whose tokens a task keeps.
-SLICE, KEPT = 1 << 18, 1 << 23
+#: Symbols up to which pairs are looked through one by one.
+SHORT = 48
+#: Characters of a text that are looked at together, and of the pieces whose tokens a task keeps (each
+#: counts 64 more), twice.
+SLICE, KEPT = 1 << 18, 1 << 24
+#: Short words whose tokens a task keeps, twice.
+WORDS = 1 << 18
 #: Characters for which Python's tables and the library's agree (tests hold them together).
 _PLAIN = regex.compile("[\\x00-ԯ -⁯]*")
+_CONTROLS = regex.compile("[\x1c-\x1f]")
 _BLANKS = regex.compile("[\t-\r \x85\xa0  -     　]+")
 
 
@@ -56,6 +62,9 @@ class MergeList:
     rules: dict[tuple[int, int], tuple[int, int]]
     size: dict[int, int] = field(default_factory=dict)  # bytes of a token
     lookahead: int = 0
+    token: list[int] = field(default_factory=list)  # by rank
+    rank: dict[tuple[int, int], int] = field(default_factory=dict)
+    ended: dict[int, int] = field(default_factory=dict)
 
     def __post_init__(self):
         self.size = dict.fromkeys([*self.inner, *self.final], 1)
@@ -75,12 +84,32 @@ class MergeList:
             reach[u] = max(reach.get(u, 0), chain)
             self.lookahead = max(self.lookahead, chain)
             self.size[token], first[token] = self.size[u] + self.size[v], u
+        self.token = [token for _, token in self.rules.values()]
+        self.rank = {pair: n for n, pair in enumerate(self.rules)}
+        self.ended = dict(zip(self.inner, self.final, strict=True))
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Make the rules in their order, each from left to right."""
+        if len(symbols) > SHORT:
+            return self._merge_long(symbols)
+        rank, never, now = self.rank, len(self.token), list(symbols)
+        ranks = [rank.get(p, never) for p in zip(now, now[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == never:
+                break
+            at = ranks.index(best)
+            now[at:at + 2] = [self.token[best]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank.get((now[at - 1], now[at]), never)
+            if at < len(ranks):
+                ranks[at] = rank.get((now[at], now[at + 1]), never)
+        return now
+
+    def _merge_long(self, symbols: list[int]) -> list[int]:
+        """The same with a heap of the pairs."""
         rules, n = self.rules, len(symbols)
-        if n < 2:
-            return symbols
         now, after, before = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(*rules[p][:1], i, *p) for i, p in enumerate(zip(symbols, symbols[1:], strict=False)) if p in rules]
         heapq.heapify(heap)
@@ -126,7 +155,7 @@ class Transducer:
         """The word ends here."""
         rest, self.rest = self.rest, []
         if rest:
-            rest[-1] = self.merges.final[self.merges.inner.index(rest[-1])]
+            rest[-1] = self.merges.ended[rest[-1]]
         return self.merges.merge(rest)
 
 
@@ -174,7 +203,6 @@ class Words:
     def _plain(self, text: str) -> list[bytes]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
-        text = _BLANKS.sub(" ", text)
         # character by character: a capital sigma at a word's end has no form of its own
         text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
         return [w.encode() for w in self.find(text)]
@@ -194,38 +222,51 @@ class Words:
             at = cut.start()
         yield text[at:]
 
-    def of(self, text: str) -> Iterator[list[bytes | str]]:
-        """Words as bytes, tokens of their own as strings; one list a slice."""
-        for part in self.slices(text):
-            own = self.special.split(part) if self.special and "<" in part else [part]
-            words: list[bytes | str] = []
-            for n, piece in enumerate(own):
-                if n % 2:
-                    words.append(piece)
-                elif piece:
-                    words += self._plain(piece) if _PLAIN.fullmatch(piece) else self._other(piece)
-            yield words
+    def pieces(self, part: str) -> list[str]:
+        """What stands between blanks: its words depend on nothing else."""
+        # split() also takes four control characters for blanks
+        return _BLANKS.split(part) if _CONTROLS.search(part) else part.split()
+
+    def of(self, piece: str) -> list[bytes | str]:
+        """Words of a piece as bytes, tokens of their own as strings."""
+        words: list[bytes | str] = []
+        if piece.isascii() and "<|" not in piece:
+            return [w.encode() for w in self.find(piece.lower())]
+        for n, own in enumerate(self.special.split(piece) if self.special else [piece]):
+            if n % 2:
+                words.append(own)
+            elif own:
+                words += self._plain(own) if _PLAIN.fullmatch(own) else self._other(own)
+        return words
 
 
 class Encoder:
-    """Texts to ids.  The tokens of up to ``KEPT`` bytes of distinct words are kept."""
+    """Texts to ids.  The tokens of up to ``KEPT`` characters of distinct pieces are kept."""
 
     def __init__(self, vocabulary: WordVocabulary):
-        self.words, self.special = Words(vocabulary), vocabulary.special
+        self.vocabulary, self.words, self.special = vocabulary, Words(vocabulary), vocabulary.special
         self.transducer = Transducer(vocabulary.merges)
-        self.known = _Known(self)
+        self.known, self.kept, self.old = _Known(self), {}, {}
 
     def word(self, word: bytes | str) -> list[int]:
         if isinstance(word, str):
             return [self.special[word]]
-        return self.transducer.feed(word) + self.transducer.finish()
+        ids = self.kept.get(word) or self.old.get(word)
+        if ids is None:
+            ids = self.transducer.feed(word) + self.transducer.finish()
+        if len(word) <= SHORT:
+            self.kept[word] = ids
+            if len(self.kept) > WORDS:
+                self.kept, self.old = {}, self.kept
+        return ids
 
     def encode(self, text: str | None) -> np.ndarray:
         """All ids of the text; none for null."""
         parts = []
-        for words in self.words.of(text or ""):
+        for part in self.words.slices(text or ""):
             self.known.trim()
-            number = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            pieces = self.words.pieces(part)
+            number = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
             begin, ids = np.frombuffer(self.known.begin, np.int64), np.frombuffer(self.known.ids, np.int32)
             size = begin[number + 1] - begin[number]
             ahead = np.cumsum(size) - size
@@ -235,10 +276,10 @@ class Encoder:
 
 
 class _Known(dict):
-    """Numbers of words; ``ids[begin[n]:begin[n + 1]]`` are the tokens of word ``n``."""
+    """Numbers of pieces; ``ids[begin[n]:begin[n + 1]]`` are the tokens of piece ``n``."""
 
     def __init__(self, encoder: Encoder):
-        self.encoder = encoder
+        self.encoder, self.old = encoder, ({}, array("i"), array("q"))
         self.clear()
 
     def clear(self) -> None:
@@ -246,14 +287,22 @@ class _Known(dict):
         self.ids, self.begin, self.letters = array("i"), array("q", [0]), 0
 
     def trim(self) -> None:
+        """When there are many, begin anew; what comes up again is taken from those before."""
         if self.letters > KEPT:
+            self.old = (dict(self), self.ids, self.begin)
             self.clear()
 
-    def __missing__(self, word: bytes | str) -> int:
-        self[word] = n = len(self)
-        self.ids.extend(self.encoder.word(word))
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = len(self)
+        numbers, ids, begin = self.old
+        before = numbers.get(piece)
+        if before is not None:
+            self.ids.extend(ids[begin[before]:begin[before + 1]])
+        else:
+            for word in self.encoder.words.of(piece):
+                self.ids.extend(self.encoder.word(word))
         self.begin.append(len(self.ids))
-        self.letters += len(word) + 64
+        self.letters += len(piece) + 64
         return n
 
 
@@ -279,10 +328,7 @@ class Decoder:
                 spelled[i] = bytes(to_byte[c] for c in inside) + b" " * (inside != token)
         self.known = np.zeros(len(spelled), bool)
         self.known[list(vocabulary.tokens)] = True
-        self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
-        self.size = np.fromiter(map(len, spelled), np.int64, len(spelled))
-        self.begin = np.cumsum(self.size) - self.size
-        self.marks = marks
+        self.spelled, self.marks = spelled, marks
         self.reset()
 
     def reset(self) -> None:
@@ -294,12 +340,10 @@ class Decoder:
         ids = np.asarray(ids, np.int64)
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
             raise IndexError("an id that the vocabulary does not have")
-        size = self.size[ids]
-        ahead = np.cumsum(size) - size
-        data = self.spelled[np.arange(int(size.sum())) + np.repeat(self.begin[ids] - ahead, size)]
-        if not self.started and len(data):
+        data = b"".join(map(self.spelled.__getitem__, ids.tolist()))
+        if not self.started and data:
             data, self.started = data[1:], True  # no blank before the first token
-        return self.text.decode(data.tobytes())
+        return self.text.decode(data)
 
     def finish(self) -> str:
         rest = self.text.decode(b"", final=True)
@@ -307,6 +351,16 @@ class Decoder:
         return rest
 
 
+_LAST: dict[str, Encoder] = {}
+
+
+def _encoder(vocabulary: WordVocabulary) -> Encoder:
+    """A worker keeps one encoder, with the words it knows (a bounded number), from task to task."""
+    if "it" not in _LAST or _LAST["it"].vocabulary is not vocabulary:
+        _LAST["it"] = Encoder(vocabulary)
+    return _LAST["it"]
+
+
 def _frame(ids: list[np.ndarray], texts: list[str]) -> list[pa.Array]:
     ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
     flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
@@ -323,7 +377,7 @@ def encode_decode(docs: DataFrame, vocabulary: WordVocabulary, id_col: str = "do
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(shared.value), Decoder(shared.value, marks)
+        encoder, decoder = _encoder(shared.value), Decoder(shared.value, marks)
         for batch in batches:
             start, letters, ids, texts = 0, 0, [], []
             for n, text in enumerate(batch.column(1)):
