@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import heapq
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -139,22 +141,48 @@ def _segments(words: DataFrame, hot: list) -> DataFrame:
     return runs.groupBy("s").agg(F.sum("freq").alias("freq"))
 
 
-def _all_merged(merges: list):
-    """``w`` with all ``merges`` made in turn; one array literal, so plans stay small."""
-    pairs = ", ".join(f"named_struct('f', {_sql(SEP + left + SEP + SEP + right + SEP)}, 't', {_sql(SEP + left + right + SEP)})"
-                      for left, right, _ in merges)
-    return F.expr(f"aggregate(array({pairs}), w, (a, x) -> replace(a, x.f, x.t))")
+def merge_word(word: str, rank: dict[tuple[str, str], int]) -> str:
+    """The ranked merges made in turn, each from left to right; pairs that come up for a rank already past stay."""
+    symbols, never = word[1:-1].split(SEP + SEP), len(rank)
+    ranks = [rank.get(p, never) for p in zip(symbols, symbols[1:], strict=False)]
+    while ranks:
+        now = min(ranks)
+        if now == never:
+            break
+        at = ranks.index(now)
+        symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+        del ranks[at]
+        for k in (at - 1, at):
+            if 0 <= k < len(ranks):
+                new = rank.get((symbols[k], symbols[k + 1]), never)
+                ranks[k] = new if new > now else never
+    return SEP + (SEP + SEP).join(symbols) + SEP
+
+
+def _all_merged(words: DataFrame, merges: list) -> DataFrame:
+    """``w, freq`` with all ``merges`` made in turn, in Arrow batches.
+
+    As an expression it would be one replacement a merge over every word; here a word costs what it is long."""
+    rank = {(left, right): k for k, (left, right, _) in enumerate(merges)}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in batches:
+            df["w"] = [merge_word(w, rank) for w in df["w"]]
+            yield df
+
+    return words.mapInPandas(run, "w string, freq long")
 
 
 def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str = "freq",
-               merges_per_round: int = 32, checkpoint_every: int = 8) -> DataFrame:
+               merges_per_round: int = 512, checkpoint_every: int = 8) -> DataFrame:
     """Learn ``num_merges`` BPE merges from ``(word, freq)``: the most frequent adjacent pair
     (ties: smallest left, then right symbol) is merged in every word, again and again.
 
     A round counts all pairs, cuts the words between symbols of rarer pairs and takes up to
     ``merges_per_round`` merges from the distinct pieces, as far as merging one by one is certain to take
     the same (``certain_merges``); with 1 it is one merge a round, with the same result.  The driver sees up to
-    ``SEGMENTS`` pieces: with more, fewer pairs are looked at.  The words are checkpointed reliably every
+    ``SEGMENTS`` pieces: with more, the pieces (written, so the words are read once a round) are cut again between
+    more of the pairs.  The words are checkpointed reliably every
     ``checkpoint_every`` rounds or some hundred merges, and what lies between is replayed from there.
 
     Returns ``(rank, left, right, freq)``; stops early when no pair is left.
@@ -173,23 +201,26 @@ def bpe_merges(words: DataFrame, num_merges: int, word: str = "word", freq: str
         top = [tuple(r) for r in pair_counts(cur).orderBy(F.col("freq").desc(), "left", "right").limit(CANDIDATES).collect()]
         if not top:
             break
-        wide = min(CANDIDATES, 2 * wide)
+        wide, pieces = min(CANDIDATES, 2 * wide), None
         while True:
             floor = 0 if wide == CANDIDATES and len(top) < CANDIDATES else top[min(wide, len(top)) - 1][2]
             hot = [p for p in top if p[2] > floor]
             found = top[:1]
             if not hot or merges_per_round == 1:
                 break
-            got = _segments(cur, hot).limit(SEGMENTS + 1).collect()
+            pieces = _segments(cur if pieces is None else pieces, hot)
+            got = pieces.limit(SEGMENTS + 1).collect()
             if len(got) <= SEGMENTS:
                 found = certain_merges([(r.s.split(SEP), r.freq) for r in got], floor, min(merges_per_round, num_merges - len(merges)), known)
                 break
             if wide == 1:
                 break
             wide = max(1, wide // 4)
+            whole = F.concat(F.lit(SEP), F.replace("s", F.lit(SEP), F.lit(SEP + SEP)), F.lit(SEP))
+            pieces = materialize(pieces).select(whole.alias("w"), "freq")
         merges += [(len(merges) + k, left, right, int(n)) for k, (left, right, n) in enumerate(found)]
         known |= {left + right for left, right, _ in found}
-        cur = cur.select(_all_merged(found).alias("w"), "freq")
+        cur = _all_merged(cur, found)
         rounds, pending = rounds + 1, pending + len(found)
         if rounds % checkpoint_every == 0 or pending >= CANDIDATES // 4:
             cur, pending = materialize(cur.where(F.instr("w", SEP + SEP) > 0)), 0

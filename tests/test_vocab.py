@@ -79,6 +79,7 @@ def test_pieces_of_words_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(V, "CANDIDATES", 16)
     monkeypatch.setattr(V, "SEGMENTS", 40)
     assert [tuple(r) for r in V.bpe_merges(wf, 20, merges_per_round=512).collect()] == want[:20]
+    assert indexed_bpe(dict(freq), 150) == want
 
 
 def test_a_symbol_made_in_two_ways_ends_the_round():
@@ -86,6 +87,35 @@ def test_a_symbol_made_in_two_ways_ends_the_round():
     assert V.certain_merges([(("a", "bc"), 9), (("x", "y"), 5)], 5, 9, set()) == [("a", "bc", 9)]
 
 
+def indexed_bpe(word_freq: dict, n: int):
+    """The plain BPE with an index from pairs to words, so that a whole vocabulary ends in time."""
+    words, freqs = [list(w) for w in word_freq], list(word_freq.values())
+    counts, where, merges = Counter(), {}, []
+    for k, s in enumerate(words):
+        for p in zip(s, s[1:]):
+            counts[p] += freqs[k]
+            where.setdefault(p, set()).add(k)
+    for rank in range(n):
+        best = min(((-c, *p) for p, c in counts.items() if c), default=None)
+        if best is None:
+            break
+        left, right = best[1:]
+        merges.append((rank, left, right, -best[0]))
+        for k in where.pop((left, right)):
+            s = words[k]
+            for p in zip(s, s[1:]):
+                counts[p] -= freqs[k]
+            i = 0
+            while i + 1 < len(s):
+                if s[i] == left and s[i + 1] == right:
+                    s[i:i + 2] = [left + right]
+                i += 1
+            for p in zip(s, s[1:]):
+                counts[p] += freqs[k]
+                where.setdefault(p, set()).add(k)
+    return merges
+
+
 def test_registered_query_learns_a_whole_vocabulary(spark):
     from conftest import SF001
 
@@ -93,8 +123,19 @@ def test_registered_query_learns_a_whole_vocabulary(spark):
     from capset.plans.registry import load
 
     kept = V.alphabet(load(spark, SF001, "documents"), coverage=0.9999).where("kept").count()
-    got = QUERIES["bpe_vocabulary"](spark, SF001).collect()
-    assert [r["rank"] for r in got] == list(range(4096 - kept))
+    got = [tuple(r) for r in QUERIES["bpe_vocabulary"](spark, SF001).orderBy("rank").collect()]
+    assert len(got) == 4096 - kept
+    words = {r.word.replace(V.SEP, ""): r.freq for r in V.word_freq(load(spark, SF001, "documents")).collect()}
+    assert got == indexed_bpe(words, len(got))
+
+
+def test_merges_of_a_round_are_made_in_turn():
+    spelled = lambda *s: V.SEP + (V.SEP + V.SEP).join(s) + V.SEP
+    rank = {("a", "a"): 0, ("aa", "b"): 1, ("c", "aa"): 2, ("x", "y"): 3, ("xy", "z"): 4}
+    assert V.merge_word(spelled(*"aaaab"), rank) == spelled("aa", "aab")
+    assert V.merge_word(spelled(*"caab"), rank) == spelled("c", "aab")
+    # a pair that a later merge makes comes too late
+    assert V.merge_word(spelled("xy", "z", "x", "y", "z"), {("xy", "z"): 0, ("x", "y"): 1}) == spelled("xyz", "xy", "z")
 
 
 def test_alphabet_coverage(spark):
