@@ -100,6 +100,31 @@ def count_images(df: DataFrame, image: str = "image_id", approx: bool = False) -
     return df.agg(agg.alias("n_images"))
 
 
+#: Registers of a sketch, as a power of two, and three standard errors of its estimates.
+SKETCH_BITS = 12
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def image_sketches(df: DataFrame, by: list[str], image: str = "image_id", bits: int = SKETCH_BITS) -> DataFrame:
+    """A mergeable sketch of the images of each group (``sketch``, some kB): kept beside the data, it is never counted again."""
+    return df.groupBy(*by).agg(F.hll_sketch_agg(F.col(image), F.lit(bits)).alias("sketch"))
+
+
+def count_sketched(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """About how many images groups of sketches hold together, to within ``SKETCH_ERROR`` of their number almost always."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about"))
+
+
+def label_row_parts(df: DataFrame, image: str = "image_id", label: str = "label", order: str = "order", size: int | None = None) -> DataFrame:
+    """``image_id, part, n, labels``: every annotation row's label in row order, at most ``size`` in a list.
+
+    The form of ``labels_per_image(repeats=True)`` for images with any number of rows."""
+    from capset.operators.groups import LIST_ROWS, chunked_lists
+
+    lists = chunked_lists(df.select(F.col(image).alias("image_id"), label, order), "image_id", label, [order], size or LIST_ROWS)
+    return lists.withColumnRenamed("list", "labels")
+
+
 def split_report(per_image: DataFrame, split: str = "split", dropped: str = "dropped") -> DataFrame:
     """Samples and dropped per split plus a ``total`` row (``rollup``)."""
     r = per_image.rollup(split).agg(F.count(F.lit(1)).alias("num_samples"),

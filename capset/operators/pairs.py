@@ -125,6 +125,16 @@ def fault_report(files: DataFrame, min_chars: int = 5) -> DataFrame:
         *[F.sort_array(F.collect_list(F.when(c, v))).alias(k) for k, (c, v) in conds.items()])
 
 
+def fault_report_parts(files: DataFrame, min_chars: int = 5, size: int | None = None) -> DataFrame:
+    """``folder, kind, part, n, files``: the report's lists in parts of at most ``size`` names, for folders of any size."""
+    from capset.operators.groups import LIST_ROWS, chunked_lists
+
+    rows = fault_rows(files, min_chars).withColumn("_key", F.to_json(F.struct("folder", "kind")))
+    lists = chunked_lists(rows, "_key", "file", ["file"], size or LIST_ROWS)
+    key = F.from_json("_key", "folder string, kind string")
+    return lists.select(key["folder"].alias("folder"), key["kind"].alias("kind"), "part", "n", F.col("list").alias("files"))
+
+
 def pair_counts(files: DataFrame, scope: str = "folder") -> DataFrame:
     """One row: texts, images, pairs, incomplete stems, corrupt images (one scan, two aggregates)."""
     img = F.lower(F.col("ext")).isin(list(IMAGE_EXTS))

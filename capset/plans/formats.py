@@ -20,6 +20,8 @@ from capset.plans.registry import load, register
 from capset.session import scratch_path
 from capset.sources import files as FS
 from capset.sources import manifests as M
+from capset.sources.images import write_files
+from capset.sources.listing import scan_tree
 
 
 def _flat(c) -> F.Column:
@@ -151,22 +153,23 @@ SELECT CAST(page_id AS VARCHAR) AS page_id, md5({_FLAT_SQL.format('html')} || ch
 FROM pages
 """)
 def file_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """One file a page, in a folder of its own: listing, content, text lengths, folders that hold a text."""
+    """One file a page, in a folder of its own: listing by tasks, contents read once, text lengths, folders that hold a text."""
     path = scratch_path(spark, "file_scan")
-    load(spark, sf, "pages").select("page_id", _flat("html").alias("value")).repartition("page_id").write.partitionBy("page_id").text(path)
-    files = FS.scan_files(spark, path, exts=["txt"], with_content=True, depth=1)
-    full = files.join(FS.text_lengths(spark, path), "path").join(FS.folders_with_text(files), "folder")
-    return full.select(F.regexp_extract("folder", r"page_id=(\d+)$", 1).alias("page_id"), F.md5("content").alias("content_md5"),
-                       "ext", "text_len", "depth")
+    pages = load(spark, sf, "pages").select(F.format_string("page_id=%d/page.txt", "page_id").alias("name"),
+                                            F.encode(F.concat(_flat("html"), F.lit("\n")), "UTF-8").alias("content"))
+    write_files(pages, path)
+    files = scan_tree(spark, path, exts=["txt"], with_content=True, depth=1)
+    return files.select(F.regexp_extract("folder", r"page_id=(\d+)$", 1).alias("page_id"), F.md5("content").alias("content_md5"),
+                        "ext", F.length(F.decode("content", "UTF-8")).cast("long").alias("text_len"), "depth") \
+        .join(FS.folders_with_text(scan_tree(spark, path)).select(F.regexp_extract("folder", r"page_id=(\d+)$", 1).alias("page_id")), "page_id")
 
 
 @register("text_corpus", oracle=f"SELECT md5({_FLAT_SQL.format('text')}) AS line_md5, count(*) AS n FROM documents GROUP BY 1")
 def text_corpus(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts to a corpus of one line each; the corpus reader returns whole files, split here into their lines."""
+    """Texts to a corpus of one line each, read back line by line."""
     path = scratch_path(spark, "text_corpus")
     K.write_corpus(load(spark, sf, "documents").withColumn("text", _flat("text")), path)
-    files = M.read_corpus(spark, path)
-    lines = files.select(F.explode(F.split(F.regexp_replace("text", r"\n\z", ""), "\n")).alias("line"))
+    lines = M.read_corpus_lines(spark, path).select(F.col("text").alias("line"))
     return lines.groupBy(F.md5("line").alias("line_md5")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -214,16 +217,19 @@ def score_files(spark: SparkSession, sf: str) -> DataFrame:
     return scores.join(spark.read.parquet(f"{path}/vectors"), "vec_id").select("vec_id", "score", F.size("embedding").cast("long").alias("dims"))
 
 
-@register("fault_report_file", oracle="""
-SELECT source AS folder, CAST(count(*) AS VARCHAR) AS files, to_json(list(doc_id ORDER BY doc_id)) AS ids FROM documents
-WHERE doc_id % 97 = 0 GROUP BY source
+#: Names in a list of the report.
+_LIST = 100
+
+
+@register("fault_report_file", oracle=FP._FAULT_ROWS_SQL + f""", placed AS (
+SELECT *, row_number() OVER (PARTITION BY folder, kind ORDER BY file) - 1 AS place FROM rows)
+SELECT folder, kind, CAST(place // {_LIST} AS VARCHAR) AS part, CAST(count(*) AS VARCHAR) AS n, to_json(list(file ORDER BY file)) AS files
+FROM placed GROUP BY folder, kind, place // {_LIST}
 """)
 def fault_report_file(spark: SparkSession, sf: str) -> DataFrame:
-    """A report with lists, separated by bars (of the documents whose id is divisible by 97: the faults)."""
+    """The report with lists, of all faults of the file tree, separated by bars: a long list goes on in the next part."""
     path = scratch_path(spark, "fault_report_file")
-    d = load(spark, sf, "documents").where(F.col("doc_id") % 97 == 0).groupBy(F.col("source").alias("folder")).agg(
-        F.count(F.lit(1)).alias("files"), F.sort_array(F.collect_list("doc_id")).alias("ids"))
-    K.write_fault_report(d, path)
+    K.write_fault_report(P.fault_report_parts(FP._files(spark, sf), FP.MIN_CHARS, _LIST), path)
     return spark.read.option("sep", "|").option("header", True).option("escape", '"').csv(path)
 
 

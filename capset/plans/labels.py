@@ -206,3 +206,27 @@ def generic_captions(spark, sf):
 
     p = _per_image(spark, sf).select("image_id", F.concat("certain_labels", "uncertain_labels").alias("labels"))
     return generate_captions(p, "events", {"events": GENERIC}, seed=SEED).select("image_id", "caption", "caption_key")
+
+
+@register("label_row_parts", oracle="""
+WITH p AS (SELECT user_id AS image_id, event_type, event_id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 20 AS part FROM events)
+SELECT image_id, CAST(part AS BIGINT) AS part, count(*) AS n, array_to_string(list(event_type ORDER BY event_id), ',') AS labels FROM p GROUP BY image_id, part
+""")
+def label_row_parts(spark, sf):
+    """Every annotation row of an image, in lists of 20."""
+    p = L.label_row_parts(_annotations(spark, sf), size=20)
+    return p.select("image_id", "part", "n", F.array_join("labels", ",").alias("labels"))
+
+
+@register("count_images_sketch", oracle=f"""
+WITH s AS (SELECT CASE user_id % 3 WHEN 0 THEN {S.q(SPLITS[0])} WHEN 1 THEN {S.q(SPLITS[1])} ELSE {S.q(SPLITS[2])} END AS split, event_id FROM events)
+SELECT coalesce(split, 'total') AS split, count(DISTINCT event_id) AS exact, true AS within FROM s GROUP BY ROLLUP(split)
+""")
+def count_images_sketch(spark, sf):
+    """Images (here each event is one) by split and in all: counted, and estimated from sketches by split and type that are merged."""
+    ev = load(spark, sf, "events").select(F.col("event_id").alias("image_id"), _split("user_id").alias("split"), "event_type")
+    sketches = L.image_sketches(ev, ["split", "event_type"])
+    about = L.count_sketched(sketches, ["split"]).unionByName(L.count_sketched(sketches.withColumn("split", F.lit("total")), ["split"]))
+    exact = ev.rollup("split").agg(F.count_distinct("image_id").alias("exact")).withColumn("split", F.coalesce("split", F.lit("total")))
+    within = F.abs(F.col("about") - F.col("exact")) <= F.ceil(F.col("exact") * L.SKETCH_ERROR)
+    return exact.join(about, "split", "left").select("split", "exact", F.coalesce(within, F.col("exact") == 0).alias("within"))

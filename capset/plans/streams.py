@@ -43,3 +43,33 @@ def stream_pending(spark, sf):
     ST.pending_stream(s, lambda: load(spark, sf, "labels").where("toxic = 1")
                       .select(F.col("doc_id").alias("row_id")), f"{base}/out", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/out").select(F.col("row_id").alias("doc_id"), "lang")
+
+
+#: The events come in so many parts of time, one after the other; the watermark waits a little longer than a part takes.
+_PARTS = 4
+
+
+@register("stream_dedup_watermark", oracle="SELECT event_id, ts FROM events")
+def stream_dedup_watermark(spark, sf):
+    """Events delivered twice, in runs that stop and start again: each comes once, late strangers are dropped, the state stays bounded.
+
+    A part's file also holds the part before once more (copies, in time) and, in the last, the first part's events under new
+    ids (late: older than the watermark)."""
+    base = scratch_path(spark, "stream_watermark")
+    ev = load(spark, sf, "events").select("event_id", "ts")
+    seconds = F.col("ts").cast("timestamp_ltz").cast("double")
+    low, high = ev.agg(F.min(seconds), F.max(seconds)).first()
+    length = max(1.0, ((high or 0.0) - (low or 0.0)) / _PARTS)
+    parts = ev.withColumn("part", F.least(F.lit(_PARTS - 1), F.floor((seconds - F.lit(low or 0.0)) / F.lit(length))).cast("int"))
+    rows = []
+    for k in range(_PARTS):
+        new = parts.where((F.col("part") == k) | (F.col("part") == k - 1)).select("event_id", "ts")
+        if k == _PARTS - 1:
+            new = new.unionByName(parts.where("part = 0").select((-1 - F.col("event_id")).alias("event_id"), "ts"))
+        new.write.mode("append").parquet(f"{base}/in")
+        q = ST.dedup_increment(spark, f"{base}/in", ev.schema, "event_id", f"{base}/out", f"{base}/_checkpoint",
+                               ("ts", f"{int(length * 1.1) + 1} seconds"), lambda d: d.withColumn("ts", F.col("ts").cast("timestamp_ltz")), fmt="parquet")
+        rows += ST.state_rows(q)
+    if low is not None and low < high and rows[-1] >= ev.count():
+        raise RuntimeError(f"the state was never cleared: {rows}")
+    return spark.read.schema("event_id long, ts timestamp_ltz").parquet(f"{base}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -143,3 +143,16 @@ def read_corpus(spark: SparkSession, path) -> DataFrame:
     if not str(path).lower().endswith(".txt"):
         r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
     return r.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
+def read_corpus_lines(spark: SparkSession, path) -> DataFrame:
+    """The lines of a text corpus (one file, or every ``.txt`` below a folder): ``path, block, place, text``.
+
+    Files are cut at line ends into input splits, so no row is longer than a line and a large file is read by many tasks.
+    ``block`` is the first byte of the split, ``place`` rises from line to line inside it.
+    """
+    r = spark.read
+    if not str(path).lower().endswith(".txt"):
+        r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
+    return r.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                               F.monotonically_increasing_id().alias("place"), F.col("value").alias("text"))

@@ -49,6 +49,26 @@ def dedup_stream(df: DataFrame, col: str, watermark: tuple[str, str] | None = No
     return df.dropDuplicates([col])
 
 
+def dedup_increment(spark: SparkSession, path: str, schema, col: str, out: str, checkpoint: str, watermark: tuple[str, str] | None = None,
+                    transform: Callable[[DataFrame], DataFrame] | None = None, **options):
+    """Process the files not yet seen under ``path``, drop what was seen before, append to ``out`` and stop; returns the query.
+
+    With a watermark, keys older than it leave the state and rows older than it are dropped as late; run again (after a stop
+    or a loss), it goes on with the state of the checkpoint."""
+    df = read_stream(spark, path, schema, **options)
+    if transform is not None:
+        df = transform(df)
+    q = (dedup_stream(df, col, watermark).writeStream.format("parquet").option("checkpointLocation", checkpoint)
+         .option("path", out).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def state_rows(query) -> list[int]:
+    """Rows in the state after each batch of a finished query."""
+    return [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress if p["stateOperators"]]
+
+
 def pending_stream(df: DataFrame, ledger_loader: Callable[[], DataFrame], out: str, checkpoint: str,
                    on: str = "row_id", transform: Callable[[DataFrame], DataFrame] | None = None):
     """Write the rows of each micro-batch that are not done yet; returns the finished query."""
