@@ -278,3 +278,22 @@ def tar_greedy(spark: SparkSession, sf: str) -> DataFrame:
     tarshard.register(spark)
     back = spark.read.format("tarshard").schema("key string, cap binary, role string").load(path)
     return back.select("key", F.md5("cap").alias("cap_md5"), "role")
+
+
+@register("tar_published", oracle=f"""
+SELECT {S.pad_id('doc_id', 9)} AS key, md5(text) AS cap_md5, CAST(doc_id % 2 AS INTEGER) AS run FROM documents
+""")
+def tar_published(spark: SparkSession, sf: str) -> DataFrame:
+    """Shards in two runs that a list makes visible: nothing is renamed, a file that no list names is not read."""
+    from capset.functions.ids import pad_id
+    from capset.sources import tarshard
+
+    path = scratch_path(spark, "tar_published")
+    d = load(spark, sf, "documents").select(pad_id("doc_id", 9).alias("key"), F.encode("text", "UTF-8").alias("cap"),
+                                            (F.col("doc_id") % 2).cast("string").alias("run"))
+    for run in ("0", "1"):
+        K.write_tar_shards(d.where(F.col("run") == run), path, maxcount=500, mode="append", commit="list")
+    write_files(spark.range(1).select(F.lit("ds_999999-lost.tar").alias("name"), F.encode(F.lit("no tar"), "UTF-8").alias("content")), path)
+    tarshard.register(spark)
+    back = spark.read.format("tarshard").schema("key string, cap binary, run string").load(path)
+    return back.select("key", F.md5("cap").alias("cap_md5"), F.col("run").cast("int").alias("run"))

@@ -42,13 +42,14 @@ def check_bounds(maxsize: float, maxcount: float) -> None:
 def write_tar_shards(df: DataFrame, path: str, maxcount: int = 100000, maxsize: float = 1e9,
                      prefix: str = "ds_", compression: str | None = None, packing: str = "greedy",
                      size_col: str | None = None, mode: str = "overwrite", check: bool = True,
-                     keep_size_col: bool = False, path_fields=()) -> None:
+                     keep_size_col: bool = False, path_fields=(), commit: str = "rename") -> None:
     """Write samples ``(key, <field>...)`` as tar shards (SNK-04).
 
     ``packing='greedy'``: every task rolls its own shards by count and bytes (names carry the
     task number).  ``packing='prefix'``: global shard numbers from ``shard_numbers`` (needs a
     dense ``row_id`` and ``size_col``), rows clustered by shard, one file ``<prefix>%06d`` per
-    shard.  ``path_fields`` hold file paths whose bytes the write task reads.
+    shard.  ``path_fields`` hold file paths whose bytes the write task reads.  ``commit='list'`` renames nothing (for
+    object stores): shards bear the attempt's mark behind their number, and a published list says which are visible.
     """
     from capset.sources import tarshard
 
@@ -69,7 +70,7 @@ def write_tar_shards(df: DataFrame, path: str, maxcount: int = 100000, maxsize:
         w = w.option("compression", compression)
     if path_fields:
         w = w.option("pathFields", ",".join(path_fields))
-    w.mode(mode).save(path)
+    w.option("commit", commit).mode(mode).save(path)
 
 
 def write_fault_report(report: DataFrame, path: str) -> None:

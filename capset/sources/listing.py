@@ -45,6 +45,8 @@ def list_tree(spark: SparkSession, root: str) -> DataFrame:
         for df in batches:
             for path in df["path"]:
                 found = [i for i in files.get_file_info(pafs.FileSelector(path, recursive=False)) if not i.base_name.startswith((".", "_"))]
+                if not found:
+                    continue
                 yield pd.DataFrame({"path": [i.path for i in found], "folder": [i.type == pafs.FileType.Directory for i in found],
                                     "length": [i.size or 0 for i in found], "modificationTime": [i.mtime for i in found]})
 

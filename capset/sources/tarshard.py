@@ -16,6 +16,10 @@ Files are written under temporary names and renamed by the driver's commit, whic
 onto another; an overwrite takes the old shards away after the new ones are in place.  Abort
 or a failed attempt leaves no visible shard.
 
+``commit=list`` is for object stores, where a rename is a copy: tasks write under final names that end in the attempt's own
+mark, and the driver publishes one list of them (``sources.visible``), whatever their number.  Readers here see listed
+shards alone; an overwrite hides the old ones and leaves the files.
+
 Paths go through ``pyarrow.fs``, so local folders and object stores work alike.
 """
 
@@ -33,6 +37,8 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     WriterCommitMessage)
 from pyspark.sql.types import BinaryType, StringType, StructType
 
+from capset.sources.visible import publish, visible_files
+
 DEFAULT_SCHEMA = "key string, img binary, cap binary, json string"
 SHARD_SUFFIXES = (".tar", ".tar.gz", ".tgz")
 #: Bytes of fields in a batch that goes to Spark, beyond which it is closed.
@@ -54,8 +60,11 @@ def _list_shards(path: str) -> list[str]:
 
     filesystem, p = _fs(path)
     info = filesystem.get_file_info(p)
+    published = None if info.type == pafs.FileType.File else visible_files(filesystem, p)
     if info.type == pafs.FileType.File:
         files = [p]
+    elif published is not None:
+        files = [f for f in published if f.endswith(SHARD_SUFFIXES)]
     else:
         sel = pafs.FileSelector(p, recursive=True)
         files = [i.path for i in filesystem.get_file_info(sel)
@@ -191,9 +200,14 @@ class TarShardWriter(DataSourceArrowWriter):
         self.overwrite = overwrite
         self.path_fields = {f for f in options.get("pathfields", options.get("pathFields", "")).split(",") if f}
         self.first = 0
+        self.listed = options.get("commit", "rename").lower() == "list"
+        published = visible_files(*_fs(self.path))
+        if not self.listed and published is not None:
+            raise ValueError(f"the shards of {self.path} are published by a list: write with commit=list")
         if self.shard_col and not overwrite:
-            numbers = [int(m.group(1)) for p in _own_shards(self.path, self.prefix)
-                       if (m := re.search(r"(?<![0-9_])(\d{6})\.tar", posixpath.basename(p)[len(self.prefix):]))]
+            own = [p for p in published or [] if posixpath.basename(p).startswith(self.prefix)] if self.listed else _own_shards(self.path, self.prefix)
+            numbers = [int(m.group(1)) for p in own
+                       if (m := re.search(r"(?<![0-9_])(\d{6})(?:-[0-9a-f]{20})?\.tar", posixpath.basename(p)[len(self.prefix):]))]
             self.first = max(numbers, default=-1) + 1
         if self.maxcount < 1 or self.maxsize < 1:
             raise ValueError("maxcount and maxsize must be positive")
@@ -222,8 +236,10 @@ class TarShardWriter(DataSourceArrowWriter):
             state.update(tar=None, out=None, count=0, size=0)
 
         def open_shard(name):
-            # streamed straight to a temporary file; the driver's commit renames it
+            # streamed straight to a temporary file; the driver's commit renames it, or to the name that it will be listed under
             tmp = posixpath.join(base, f".{name}.{self.job}.{part}.{attempt}.tmp")
+            if self.listed:
+                tmp = posixpath.join(base, f"{name.removesuffix(self._suffix())}-{self.job}{uuid.uuid4().hex[:8]}{self._suffix()}")
             state["out"] = filesystem.open_output_stream(tmp, compression=None)
             state["tar"] = tarfile.open(fileobj=state["out"], mode="w|gz" if self.gzip else "w|")
             moves.append((tmp, posixpath.join(base, name)))
@@ -281,6 +297,11 @@ class TarShardWriter(DataSourceArrowWriter):
         filesystem, base = _fs(self.path)
         moves = [move for m in messages if m is not None for move in m.moves]
         finals = {final for _, final in moves}
+        if self.listed:
+            if len(finals) < len(moves):
+                raise ValueError("two tasks wrote a shard of one number: repartition by the shard column")
+            publish(filesystem, base, [posixpath.basename(own) for own, _ in moves], self.overwrite)
+            return
         old = _own_shards(self.path, self.prefix)
         if len(finals) < len(moves) or (not self.overwrite and finals & set(old)):
             self._remove_temps(filesystem, base)
@@ -296,6 +317,10 @@ class TarShardWriter(DataSourceArrowWriter):
 
     def abort(self, messages):
         filesystem, base = _fs(self.path)
+        if self.listed:  # what no list names is invisible; what finished tasks report goes
+            for own, _ in (move for m in messages if m is not None for move in m.moves):
+                filesystem.delete_file(own)
+            return
         self._remove_temps(filesystem, base)
 
     def _remove_temps(self, filesystem, base):

@@ -135,3 +135,27 @@ def test_unwanted_members_are_skipped_and_batches_closed_by_bytes(spark, tmp_dir
     assert [b.num_rows for b in r.read(tarshard.ShardPartition(shard))] == [5] * 8
     r = tarshard.TarShardReader(StructType().add("key", "string").add("cap", "binary"), {"path": out})
     assert [b.num_rows for b in r.read(tarshard.ShardPartition(shard))] == [40]
+
+
+def test_published_shards(spark, tmp_dir):
+    """Numbered shards by list: append counts on, overwrite hides, lost files and the other commit are refused."""
+    from capset.operators.rows import with_row_id
+
+    out, src = f"{tmp_dir}/out", f"{tmp_dir}/src"
+    spark.range(10).write.parquet(src)
+    rows = with_row_id(spark.read.parquet(src)).select(
+        "row_id", F.format_string("%09d", "id").alias("key"), F.encode(F.col("id").cast("string"), "UTF-8").alias("cap"), F.lit(5).alias("size"))
+    put = lambda mode: write_tar_shards(rows, out, maxcount=4, maxsize=1e8, packing="prefix", size_col="size", mode=mode, commit="list")
+    tarshard.register(spark)
+    read = lambda: sorted(r.key for r in spark.read.format("tarshard").schema("key string, cap binary").load(out).collect())
+    put("append")
+    put("append")
+    numbers = sorted(int(os.path.basename(p)[3:9]) for p in glob.glob(f"{out}/*.tar"))
+    assert numbers == list(range(6)) and not glob.glob(f"{out}/.*tmp")
+    assert read() == sorted(2 * [f"{i:09d}" for i in range(10)])
+    with open(f"{out}/ds_000077-lost.tar", "wb") as f:
+        f.write(b"half a shard of a lost attempt")
+    put("overwrite")
+    assert read() == [f"{i:09d}" for i in range(10)]
+    with pytest.raises(Exception, match="commit=list"):
+        write_tar_shards(rows, out, maxcount=4, maxsize=1e8, packing="prefix", size_col="size", mode="append")
