@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 from html import unescape
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?--\s*>|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
+_TOKENS = [re.compile(
+    r"<!--(?:.*?--\s*>|.*)|" + cdata + r"<[!?][^>]*>|"
     # a quote opens a value only straight after =, any other is a character like others
-    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>|[^<]+|<", re.S)
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>|[^<]+|<", re.S) for cdata in ("", r"<!\[CDATA\[.*?\]\]>|")]
+_VALUE = re.compile(r"=\s*\"[^\"]*\"|=\s*'[^']*'")
+_TAG = re.compile(r"</?[a-zA-Z]")
+_NAME = re.compile(r"[^\s/>]*")
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?", re.S)
 _PART = re.compile(r"[a-z]+", re.I)
 #: Elements whose content is not text of the page.
-RAW = frozenset("script style template noscript textarea title iframe svg math object select option datalist xmp noembed noframes".split())
+RAW = frozenset("script style template noscript textarea title iframe svg select option datalist xmp noembed noframes".split())
 #: Of these, those that HTML reads as raw text: without an end tag they go on to the end of the page.
 RAW_TEXT = frozenset("script style textarea title iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr img input".split())
+    "span strike strong sub sup time tt u var wbr img input math mi mn mo ms mrow msup msub mfrac msqrt mtext".split())
 #: An opening element of the first kind ends an open one of the second, up to the boundary.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
          "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -55,6 +59,44 @@ def _named(tag: str, attributes: str) -> str:
     return " ".join([tag, *words])
 
 
+class _Endless:
+    """Where a tag that begins can have no end, so that no place of a page is looked through again and again for it.
+
+    A tag that was read to the end of the page without one passed each place inside a quoted value or outside of them.  What
+    begins at a place that it passed outside fares no better; of ways that differ in this at a place there are but three."""
+
+    def __init__(self, source: str):
+        self.source, self.last, self.ways, self.name = source, source.rfind(">"), [], (0, 0)
+
+    def _behind_name(self, i: int) -> int:
+        """Where the name of a tag that begins at ``i`` ends; names of tags that begin inside it end there, too."""
+        if not self.name[0] <= i < self.name[1] - 1:
+            self.name = (i, _NAME.match(self.source, i + 2).end())
+        return self.name[1]
+
+    def at(self, i: int) -> bool:
+        if i > self.last:
+            return not self.source.startswith("<!--", i)
+        if not self.ways or self.source[i + 1] in "!?":
+            return False
+        e = self._behind_name(i)
+        if self.source[e:e + 1] == ">":
+            return False
+        for begin, starts, ends in self.ways:
+            k = bisect_right(starts, e) - 1
+            if e >= begin and (k < 0 or e >= ends[k] or e == starts[k]):
+                return True
+        return False
+
+    def note(self, i: int) -> None:
+        """No end was found for what begins at ``i``; a ``<`` without a name behind it says nothing."""
+        if not _TAG.match(self.source, i):
+            return
+        e = self._behind_name(i)
+        spans = [m.span() for m in _VALUE.finditer(self.source, e)]
+        self.ways.append((e, [a for a, _ in spans], [b for _, b in spans]))
+
+
 def blocks(html: str | None) -> list[Block]:
     """Leaf blocks with text.  Comments, scripts, styles, titles and the like are no text.
 
@@ -88,13 +130,20 @@ def blocks(html: str | None) -> list[Block]:
     endless: set[str] = set()  # elements without an end tag from here on
     source = html or ""
     i, n = 0, len(source)
-    match = _TOKEN.match
+    nowhere, sections = _Endless(source), source.rfind("]]>")
     while i < n:
-        m = match(source, i)
-        i = m.end()
-        tag = m.group(2)
+        begins = source[i] == "<"
+        if begins and nowhere.at(i):
+            m = tag = None
+            i += 1
+        else:
+            m = _TOKENS[i <= sections].match(source, i)
+            begin, i = i, m.end()
+            tag = m.group(2)
+            if begins and m.group() == "<":
+                nowhere.note(begin)
         if tag is None:
-            piece = m.group()
+            piece = m.group() if m else "<"
             if piece[0] != "<" or piece == "<":
                 if not parts:
                     at[0] = tuple(names[-_DEPTH:])
@@ -119,10 +168,10 @@ def blocks(html: str | None) -> list[Block]:
             flush_here = tag not in INLINE
             if flush_here:
                 flush()
-            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, i)
+            end = None if tag in endless or i > nowhere.last else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, i)
             if end is None:
                 endless.add(tag)
-            if not m.group(3).endswith("/") or tag not in ("svg", "math"):
+            if not m.group(3).endswith("/") or tag != "svg":
                 i = end.end() if end else n if tag in RAW_TEXT else i
             continue
         if tag not in INLINE:

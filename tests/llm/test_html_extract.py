@@ -110,3 +110,42 @@ def test_batches_do_not_change_labels(weights):
 def test_declared_labels():
     assert declared(blocks("<nav>x</nav><article><p>y</p><aside>z</aside></article>")).tolist() == [0, 1, 0]
     assert declared(blocks("<div>x</div>")) is None and declared(blocks("<article>x</article>")) is None
+
+
+def test_unclosed_tags_cost_linear_time():
+    import time
+
+    for part in ("<a ", '<a x="', "<a x='", '<a x="">y<a z="', "<![CDATA[ >", "</p", "<a b=c'", "<p title=\"'>", "<!x "):
+        for tail in ("", ">", '">', "'>", " x"):
+            page = "<p>one two</p>" + part * (1_000_000 // len(part)) + tail
+            t = time.perf_counter()
+            blocks(page)
+            assert time.perf_counter() - t < 20, (part, tail)
+
+
+def test_the_fast_scan_changes_nothing():
+    """Against the pattern tried anew at every place."""
+    import random
+
+    from capset.llm import html_blocks as H
+
+    class Never(H._Endless):
+        def at(self, i):
+            return False
+
+    rng = random.Random(8)
+    parts = ["<a ", 'x="', "'", '"', ">", "<p>", "</p>", "text ", "=", "<!--", "-->", "<![CDATA[", "]]>", "<script>", "</script>", "<!", "<", "/"]
+    own = H._Endless
+    for _ in range(4000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randint(1, 25)))
+        fast = blocks(page)
+        H._Endless = Never
+        try:
+            assert fast == blocks(page), page
+        finally:
+            H._Endless = own
+
+
+def test_text_of_formulas_and_objects_stays():
+    page = "<main><p>Let <math><mi>x</mi></math> be</p><object data=a.swf><p>the words shown instead</p></object></main>"
+    assert [b.text for b in blocks(page)] == ["Let x be", "the words shown instead"]
