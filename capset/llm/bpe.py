@@ -35,17 +35,19 @@ DEFAULT_FILE = "/opt/tokenizers/word_bpe_49k.json"
 STEP = 1024
 #: Symbols up to which pairs are looked through one by one.
 SHORT = 48
-#: Characters of a text that are looked at together, and of the pieces whose tokens a task keeps (each
+#: Characters of a text that are looked at together, and of the words whose tokens a task keeps (each
 #: counts 64 more), twice.
-SLICE, KEPT = 1 << 18, 1 << 24
-#: Short words whose tokens a task keeps, twice.
-WORDS = 1 << 18
+SLICE, KEPT = 1 << 18, 1 << 25
+#: Characters whose new words are merged side by side.
+GROUP = 1 << 21
 #: Characters for which Python's tables and the library's agree (tests hold them together).
 _PLAIN = regex.compile("[\\x00-ԯ -⁯]*")
-_CONTROLS = regex.compile("[\x1c-\x1f]")
 _BLANKS = regex.compile("[\t-\r \x85\xa0  -     　]+")
 
 
+_PAIR = 1 << 24  # ids are smaller
+
+
 def byte_letters() -> list[str]:
     """The letter of each byte in a byte-level vocabulary: itself where it prints, else from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -87,6 +89,9 @@ class MergeList:
         self.token = [token for _, token in self.rules.values()]
         self.rank = {pair: n for n, pair in enumerate(self.rules)}
         self.ended = dict(zip(self.inner, self.final, strict=True))
+        key = np.array([left * _PAIR + right for left, right in self.rules], np.int64)
+        self.order = np.argsort(key, kind="stable")
+        self.keys = key[self.order]
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Make the rules in their order, each from left to right."""
@@ -107,6 +112,51 @@ class MergeList:
                 ranks[at] = rank.get((now[at], now[at + 1]), never)
         return now
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * _PAIR + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.order[at], len(self.token)) if len(self.keys) else np.full(key.shape, len(self.token))
+
+    def merge_words(self, words: list[bytes]) -> list[list[int]]:
+        """Whole words side by side, each as ``merge`` does it: a step makes each word's next merge."""
+        out: list[list[int]] = [[] for _ in words]
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        inner, final, token, low = np.array(self.inner), np.array(self.final), np.array([*self.token, 0]), 0
+        for width in (8, 16, SHORT):
+            rows = np.flatnonzero((size > low) & (size <= width))
+            low = width
+            if not len(rows):
+                continue
+            n = size[rows]
+            now = np.full((len(rows), width), -1, np.int64)  # symbols, filled up with what no rule knows
+            now[np.arange(width) < n[:, None]] = inner[np.frombuffer(b"".join([words[r] for r in rows.tolist()]), np.uint8)]
+            last = np.frombuffer(bytes(words[r][-1] for r in rows.tolist()), np.uint8)
+            now[np.arange(len(rows)), n - 1] = final[last]
+            ranks = self._ranks(now[:, :-1], now[:, 1:])
+            while len(rows):
+                at = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(rows), np.int64)
+                best = ranks[np.arange(len(rows)), at] if ranks.shape[1] else np.full(len(rows), len(self.token))
+                done = best == len(self.token)
+                if done.any():
+                    for r, symbols in zip(rows[done].tolist(), now[done].tolist(), strict=True):
+                        out[r] = [x for x in symbols if x >= 0]
+                    go = ~done
+                    rows, now, ranks, at, best = rows[go], now[go], ranks[go], at[go], best[go]
+                    if not len(rows):
+                        break
+                every = np.arange(len(rows))
+                now[every, at] = token[best]
+                keep = np.ones(now.shape, bool)
+                keep[every, at + 1] = False
+                now = now[keep].reshape(len(rows), -1)
+                keep = np.ones(ranks.shape, bool)
+                keep[every, at] = False
+                ranks = ranks[keep].reshape(len(rows), -1)
+                for k in (at - 1, at):  # the pairs on either side are new
+                    fits = np.flatnonzero((k >= 0) & (k < ranks.shape[1]))
+                    ranks[fits, k[fits]] = self._ranks(now[fits, k[fits]], now[fits, k[fits] + 1])
+        return out
+
     def _merge_long(self, symbols: list[int]) -> list[int]:
         """The same with a heap of the pairs."""
         rules, n = self.rules, len(symbols)
@@ -200,16 +250,15 @@ class Words:
         self.library = Tokenizer.from_str(vocabulary.source)
         self.bytes = {c: b for b, c in enumerate(byte_letters())}
 
-    def _plain(self, text: str) -> list[bytes]:
+    def _plain(self, text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
         # character by character: a capital sigma at a word's end has no form of its own
-        text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-        return [w.encode() for w in self.find(text)]
+        return self.find("".join(map(str.lower, text)) if "Σ" in text else text.lower())
 
-    def _other(self, text: str) -> list[bytes]:
+    def _other(self, text: str) -> list[str]:
         text = self.library.normalizer.normalize_str(text)
-        return [bytes(map(self.bytes.__getitem__, w)) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
+        return [bytes(map(self.bytes.__getitem__, w)).decode() for w, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def slices(self, text: str) -> Iterator[str]:
         """Parts of about ``SLICE`` characters, cut before a blank, which no word holds."""
@@ -222,69 +271,89 @@ class Words:
             at = cut.start()
         yield text[at:]
 
-    def pieces(self, part: str) -> list[str]:
-        """What stands between blanks: its words depend on nothing else."""
-        # split() also takes four control characters for blanks
-        return _BLANKS.split(part) if _CONTROLS.search(part) else part.split()
+    def of(self, part: str) -> list[str | tuple[str]]:
+        """The words of a part; tokens of their own stand alone in a tuple."""
+        if self.special and "<" in part:
+            words: list[str | tuple[str]] = []
+            for n, own in enumerate(self.special.split(part)):
+                words += [(own,)] if n % 2 else self._words(own)
+            return words
+        return self._words(part)
 
-    def of(self, piece: str) -> list[bytes | str]:
-        """Words of a piece as bytes, tokens of their own as strings."""
-        words: list[bytes | str] = []
-        if piece.isascii() and "<|" not in piece:
-            return [w.encode() for w in self.find(piece.lower())]
-        for n, own in enumerate(self.special.split(piece) if self.special else [piece]):
-            if n % 2:
-                words.append(own)
-            elif own:
-                words += self._plain(own) if _PLAIN.fullmatch(own) else self._other(own)
-        return words
+    def _words(self, part: str) -> list[str]:
+        if part.isascii() or _PLAIN.fullmatch(part):
+            return self._plain(part)
+        # what stands between blanks has words of its own; only some of it needs the library
+        return [w for piece in _BLANKS.split(part) for w in (self._plain(piece) if _PLAIN.fullmatch(piece) else self._other(piece))]
 
 
 class Encoder:
-    """Texts to ids.  The tokens of up to ``KEPT`` characters of distinct pieces are kept."""
+    """Texts to ids.  The tokens of distinct words of up to ``KEPT`` characters in all are kept."""
 
     def __init__(self, vocabulary: WordVocabulary):
-        self.vocabulary, self.words, self.special = vocabulary, Words(vocabulary), vocabulary.special
-        self.transducer = Transducer(vocabulary.merges)
-        self.known, self.kept, self.old = _Known(self), {}, {}
-
-    def word(self, word: bytes | str) -> list[int]:
-        if isinstance(word, str):
-            return [self.special[word]]
-        ids = self.kept.get(word) or self.old.get(word)
-        if ids is None:
-            ids = self.transducer.feed(word) + self.transducer.finish()
-        if len(word) <= SHORT:
-            self.kept[word] = ids
-            if len(self.kept) > WORDS:
-                self.kept, self.old = {}, self.kept
-        return ids
+        self.vocabulary, self.words = vocabulary, Words(vocabulary)
+        self.transducer, self.known = Transducer(vocabulary.merges), _Words()
 
     def encode(self, text: str | None) -> np.ndarray:
         """All ids of the text; none for null."""
-        parts = []
-        for part in self.words.slices(text or ""):
-            self.known.trim()
-            pieces = self.words.pieces(part)
-            number = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-            begin, ids = np.frombuffer(self.known.begin, np.int64), np.frombuffer(self.known.ids, np.int32)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        waits: list[tuple[int, list]] = []
+        size = 0
+        for n, text in enumerate(texts):
+            for part in self.words.slices(text or ""):
+                waits.append((n, self.words.of(part)))
+                size += len(part)
+                if size > GROUP:
+                    self._encode(waits, out)
+                    waits, size = [], 0
+        self._encode(waits, out)
+        return [p[0] if len(p) == 1 else np.concatenate(p) for p in out]
+
+    def _encode(self, waits: list[tuple[int, list]], out: list[list[np.ndarray]]) -> None:
+        """The words of parts of texts, by number; those not met before are encoded together."""
+        known = self.known
+        known.trim()
+        numbers = [np.fromiter(map(known.__getitem__, words), np.int64, len(words)) for _, words in waits]
+        self._add_new()
+        begin, ids = np.frombuffer(known.begin, np.int64), np.frombuffer(known.ids, np.int32)
+        for (n, _), number in zip(waits, numbers, strict=True):
             size = begin[number + 1] - begin[number]
             ahead = np.cumsum(size) - size
-            parts.append(ids[np.arange(int(size.sum())) + np.repeat(begin[number] - ahead, size)])
-            del begin, ids  # the arrays grow again
-        return np.concatenate(parts)
-
-
-class _Known(dict):
-    """Numbers of pieces; ``ids[begin[n]:begin[n + 1]]`` are the tokens of piece ``n``."""
-
-    def __init__(self, encoder: Encoder):
-        self.encoder, self.old = encoder, ({}, array("i"), array("q"))
+            out[n].append(ids[np.arange(int(size.sum())) + np.repeat(begin[number] - ahead, size)])
+
+    def _add_new(self) -> None:
+        known = self.known
+        numbers, ids, begin = known.old
+        found: dict = {}
+        for w in known.new:
+            n = numbers.get(w)
+            if n is not None:
+                found[w] = ids[begin[n]:begin[n + 1]]
+        fresh = [w for w in known.new if w not in found]
+        spelled = [w.encode() if isinstance(w, str) else b"" for w in fresh]
+        short = [k for k, data in enumerate(spelled) if 0 < len(data) <= SHORT]
+        found.update(zip([fresh[k] for k in short], self.vocabulary.merges.merge_words([spelled[k] for k in short]), strict=True))
+        for w, data in zip(fresh, spelled, strict=True):
+            if isinstance(w, tuple):
+                found[w] = [self.vocabulary.special[w[0]]]
+            elif len(data) > SHORT:  # in steps, however long
+                found[w] = self.transducer.feed(data) + self.transducer.finish()
+        known.add([found[w] for w in known.new])
+
+
+class _Words(dict):
+    """Numbers words as they are first looked up (``new``); ``ids[begin[n]:begin[n + 1]]`` are the tokens of word ``n``."""
+
+    def __init__(self):
+        self.old = ({}, array("i"), array("q"))
         self.clear()
 
     def clear(self) -> None:
         super().clear()
-        self.ids, self.begin, self.letters = array("i"), array("q", [0]), 0
+        self.ids, self.begin, self.letters, self.new = array("i"), array("q", [0]), 0, []
 
     def trim(self) -> None:
         """When there are many, begin anew; what comes up again is taken from those before."""
@@ -292,19 +361,20 @@ class _Known(dict):
             self.old = (dict(self), self.ids, self.begin)
             self.clear()
 
-    def __missing__(self, piece: str) -> int:
-        self[piece] = n = len(self)
-        numbers, ids, begin = self.old
-        before = numbers.get(piece)
-        if before is not None:
-            self.ids.extend(ids[begin[before]:begin[before + 1]])
-        else:
-            for word in self.encoder.words.of(piece):
-                self.ids.extend(self.encoder.word(word))
-        self.begin.append(len(self.ids))
-        self.letters += len(piece) + 64
+    def __missing__(self, word) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
         return n
 
+    def add(self, tokens: list) -> None:
+        """The tokens of the new words, in their order."""
+        for t in tokens:
+            self.ids.extend(t)
+        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.begin.extend((np.cumsum(size) + self.begin[-1]).tolist())
+        self.letters += sum(map(len, self.new)) + 64 * len(self.new)
+        self.new = []
+
 
 class Decoder:
     """Ids in, in any portions, text out: bytes wait until they make a whole character.
@@ -379,15 +449,16 @@ def encode_decode(docs: DataFrame, vocabulary: WordVocabulary, id_col: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _encoder(shared.value), Decoder(shared.value, marks)
         for batch in batches:
-            start, letters, ids, texts = 0, 0, [], []
+            start, letters, texts = 0, 0, []
             for n, text in enumerate(batch.column(1)):
-                ids.append(encoder.encode(text.as_py()))
-                texts.append(decoder.feed(ids[-1]) + decoder.finish())
-                letters += len(texts[-1])
-                if letters > 8 * SLICE or n + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, n + 1 - start), *_frame(ids, texts)],
+                texts.append(text.as_py())
+                letters += len(texts[-1] or "")
+                if letters > GROUP or n + 1 == batch.num_rows:
+                    ids = encoder.encode_all(texts)
+                    decoded = [decoder.feed(i) + decoder.finish() for i in ids]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, n + 1 - start), *_frame(ids, decoded)],
                                                      names=["doc_id", "ids", "decoded"])
-                    start, letters, ids, texts = n + 1, 0, [], []
+                    start, letters, texts = n + 1, 0, []
 
     schema = StructType([StructField("doc_id", docs.schema[id_col].dataType),
                          StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())])

@@ -60,6 +60,14 @@ def test_streamed_words_equal_rounds_over_the_whole_word(seed, monkeypatch):
         assert got == by_rounds(merges, [merges.inner[b] for b in word[:-1]] + [merges.final[word[-1]]])
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_words_side_by_side(seed):
+    rng = random.Random(seed)
+    merges = random_list(rng, n=rng.choice([0, 1, 14, 40]))
+    words = [bytes(rng.choice(b"abc") for _ in range(rng.randint(1, bpe.SHORT))) for _ in range(300)] + [b"a", b"ab"]
+    assert merges.merge_words(words) == [by_rounds(merges, [merges.inner[b] for b in w[:-1]] + [merges.final[w[-1]]]) for w in words]
+
+
 def test_lookahead_is_needed_and_enough():
     # a|b waits for b|c, which waits for c|d: what follows a "b" three letters on decides about "ab"
     inner, final = list(range(256)), list(range(256, 512))
@@ -95,6 +103,7 @@ def test_plain_characters_agree_with_the_library(vocabulary, library):
 def test_slices_and_kept_words_change_nothing(vocabulary, library, monkeypatch):
     monkeypatch.setattr(bpe, "SLICE", 7)
     monkeypatch.setattr(bpe, "KEPT", 100)
+    monkeypatch.setattr(bpe, "GROUP", 20)
     encoder = bpe.Encoder(vocabulary)
     text = "Some words, some <|endoftext|> more 12 words\n\n and averylongwordwithoutblanks é ́x " * 3
     assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
