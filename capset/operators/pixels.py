@@ -29,13 +29,13 @@ def _at(table: np.ndarray, places: np.ndarray, axis: int) -> np.ndarray:
 def _area_resize(img: np.ndarray, new_h: int, new_w: int) -> np.ndarray:
     """Box filter: each output pixel is the mean of the input it covers, pixels that it covers in part by their share.
 
-    Sums come from a summed-area table, read at fractional edges; halves go up (by 1e-6, so that rounding agrees everywhere)."""
+    Sums come from a summed-area table, read at fractional edges; means (to six digits) are rounded, halves to even."""
     h, w, c = img.shape
     table = np.zeros((h + 1, w + 1, c))
     table[1:, 1:] = img.astype(np.float64).cumsum(0).cumsum(1)
     ys, xs = np.arange(new_h + 1) * h / new_h, np.arange(new_w + 1) * w / new_w
     sums = np.diff(np.diff(_at(_at(table, ys, 0), xs, 1), axis=0), axis=1)
-    return np.clip(np.floor(sums * new_h * new_w / (h * w) + 0.5 + 1e-6), 0, 255).astype(np.uint8)
+    return np.clip(np.rint(np.round(sums * new_h * new_w / (h * w), 6)), 0, 255).astype(np.uint8)
 
 
 def _to_rgb(img: np.ndarray) -> np.ndarray:

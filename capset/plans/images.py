@@ -62,7 +62,7 @@ v AS (SELECT vec_id, nw, nh, y, x, ch, sum(
   greatest(0, least((x + 1) * w / CAST(nw AS DOUBLE), px + 1) - greatest(x * w / CAST(nw AS DOUBLE), px)) *
   CAST('0x' || substr(m, 1 + 2 * CAST(((py * w + px) * 3 + ch) % 16 AS INTEGER), 2) AS BIGINT)) * nh * nw / (CAST(h AS DOUBLE) * w) AS mean
   FROM c GROUP BY vec_id, nw, nh, w, h, y, x, ch)
-SELECT vec_id, nw AS width, nh AS height, md5(string_agg(printf('%02x', CAST(floor(mean + 0.5 + 1e-6) AS BIGINT)), '' ORDER BY y, x, ch)) AS md5 FROM v GROUP BY vec_id, nw, nh
+SELECT vec_id, nw AS width, nh AS height, md5(string_agg(printf('%02x', CAST(round_even(round(mean, 6), 0) AS BIGINT)), '' ORDER BY y, x, ch)) AS md5 FROM v GROUP BY vec_id, nw, nh
 """)
 def image_resample(spark: SparkSession, sf: str) -> DataFrame:
     """Every image that opens, scaled to cover a box: exact area weights, against sums over all pixels."""

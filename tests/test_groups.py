@@ -130,7 +130,7 @@ def test_resampling_weighs_pixels_by_area(seed):
                     a = max(0, min((y + 1) * h / nh, py + 1) - max(y * h / nh, py))
                     b = max(0, min((x + 1) * w / nw, px + 1) - max(x * w / nw, px))
                     want[y, x] += a * b * img[py, px]
-    want = np.floor(want * nh * nw / (h * w) + 0.5 + 1e-6)
+    want = np.rint(np.round(want * nh * nw / (h * w), 6))
     assert (_area_resize(img, int(nh), int(nw)) == want).all()
 
 
