@@ -16,7 +16,11 @@ from capset.streaming import ingest as ST
 
 def _docs_stream(spark, sf):
     schema = load(spark, sf, "documents").schema
-    # the file source watches a folder; the glob filter picks the one table file in it
+    table = f"{sf.rstrip('/')}/documents.parquet"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return ST.read_stream(spark, table, schema, "parquet")
+    # the file source watches a folder; of a table that is one file, the glob filter picks it
     return ST.read_stream(spark, sf.rstrip("/"), schema, "parquet", pathGlobFilter="documents.parquet")
 
 

@@ -56,3 +56,15 @@ def test_dedup_within_watermark(spark, tmp_dir):
          .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.h for r in spark.read.parquet(out).collect()) == ["h1", "h2"]
+
+
+def test_pending_query_reads_a_table_of_several_files(spark, tmp_dir):
+    from capset.plans import QUERIES
+
+    docs = spark.range(0, 40).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("en").alias("lang"))
+    labels = spark.range(0, 40, 4).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    docs.repartition(3).write.parquet(f"{tmp_dir}/documents.parquet")
+    labels.repartition(2).write.parquet(f"{tmp_dir}/labels.parquet")
+    got = QUERIES["stream_pending"](spark, tmp_dir).collect()
+    assert sorted(r.doc_id for r in got) == [i for i in range(40) if i % 4]
+    assert {r.lang for r in got} == {"en"}
