@@ -7,7 +7,7 @@ inside whole-stage codegen.  Regular expressions are written once here so that t
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -116,23 +116,37 @@ def decode_utf8(c) -> Column:
     return F.decode(_c(c), "UTF-8")
 
 
+# What ``html.unescape`` takes for a reference, behind its ``&``; a reference never holds another ``&``.
+REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
 def html_unescape(c) -> Column:
-    """Full HTML5 entity decoding (Python's ``html.unescape``) as an Arrow-batched pandas UDF."""
-    return _html_unescape_udf()(_c(c))
+    """Full HTML5 entity decoding (Python's ``html.unescape``).
+
+    The text is cut at its ``&`` and put together again in the JVM; an Arrow UDF gets the references alone, so
+    Python holds no text."""
+    parts = F.split(_c(c), "&")
+    rest = F.slice(parts, F.lit(2), F.size(parts) - 1)
+    refs = F.transform(rest, lambda p: F.regexp_extract(p, REFERENCE, 1))
+    values = _references_udf()(F.coalesce(refs, F.array().cast("array<string>")))
+    decoded = F.zip_with(rest, values, lambda p, v: F.concat(v, F.substr(p, F.length(F.regexp_extract(p, REFERENCE, 1)) + 1)))
+    return F.concat(F.element_at(parts, 1), F.array_join(decoded, ""))
 
 
-_UNESCAPE = None
+_REFERENCES = None
 
 
-def _html_unescape_udf():
-    global _UNESCAPE
-    if _UNESCAPE is None:
+def _references_udf():
+    global _REFERENCES
+    if _REFERENCES is None:
 
-        @F.pandas_udf("string")
-        def _unescape(s: pd.Series) -> pd.Series:
+        @F.arrow_udf("array<string>")
+        def _decode(refs: pa.Array) -> pa.Array:
             import html
 
-            return s.map(lambda v: html.unescape(v) if isinstance(v, str) else v)
+            found = refs.values.dictionary_encode()
+            values = pa.array([html.unescape("&" + r) for r in found.dictionary.to_pylist()], refs.type.value_type)
+            return type(refs).from_arrays(refs.offsets, values.take(found.indices))
 
-        _UNESCAPE = _unescape
-    return _UNESCAPE
+        _REFERENCES = _decode
+    return _REFERENCES

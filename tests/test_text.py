@@ -1,6 +1,7 @@
 """Caption expressions against plain-Python versions of the same rules."""
 
 import html
+import random
 import re
 
 import pytest
@@ -84,6 +85,23 @@ def test_html_unescape(spark):
     assert full == [html.unescape(v) if v is not None else None for v in vals]
 
 
+def test_html_unescape_of_awkward_texts(spark):
+    rng = random.Random(4)
+    bits = ["&", "&&", "amp", ";", "#", "x", "#x41", "#65;", "#128;", "#0", "#xD800;", "#1114112;", "#11;", "notit;", "not", "&CounterClockwiseContourIntegral;",
+            "\n", " ", "<", "\u00e9", "\U0001F600", "&NotEqualTilde;", "&nosuchname;", "a" * 40, "&lt", "&#X1F600;", ""]
+    vals = ["".join(rng.choices(bits, k=rng.randrange(12))) for _ in range(400)] + ["", "&", None, "no reference", "&" * 5000, None]
+    d = spark.createDataFrame(list(enumerate(vals)), "i int, s string").repartition(3)
+    got = {r.i: r.u for r in d.select("i", T.html_unescape("s").alias("u")).collect()}
+    assert [got[i] for i in range(len(vals))] == [html.unescape(v) if v is not None else None for v in vals]
+
+
+def test_html_unescape_gives_python_references_alone():
+    import pyarrow as pa
+
+    refs = pa.array([["x"], ["amp;", "#65;", ""], [], ["lt", "amp;"]])
+    assert T._references_udf().func(refs[1:]).to_pylist() == [["&", "A", "&"], [], ["<", "&"]]
+
+
 def test_ids(spark):
     d = spark.createDataFrame([(0,), (42,), (12345,), (1234567890,)], "id long")
     r = d.select(I.pad_id("id", 9).alias("k"), I.pad_id("id", 8, "w").alias("w"),
