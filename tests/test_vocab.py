@@ -1,5 +1,6 @@
 """Vocabulary statistics against plain-Python counts; BPE against a plain-Python BPE."""
 
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -138,6 +139,34 @@ def test_merges_of_a_round_are_made_in_turn():
     assert V.merge_word(spelled("xy", "z", "x", "y", "z"), {("xy", "z"): 0, ("x", "y"): 1}) == spelled("xyz", "xy", "z")
 
 
+def test_words_of_a_batch_are_merged_as_one_by_one():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    for _ in range(200):
+        words = [V.SEP + (V.SEP * 2).join(rng.choices("aab", k=rng.randrange(1, 12))) + V.SEP for _ in range(rng.randrange(1, 30))]
+        symbols, merges = list("ab"), []
+        for _ in range(rng.randrange(1, 14)):
+            pair = rng.choice(symbols), rng.choice(symbols)
+            if pair not in merges:
+                merges.append(pair)
+                symbols.append("".join(pair))
+        batch = pa.RecordBatch.from_pydict({"w": words, "freq": pa.array([1] * len(words), pa.int64())})
+        assert V.merge_batch(batch, merges) == [V.merge_word(w, {p: k for k, p in enumerate(merges)}) for w in words]
+
+
+def test_tasks_count_words_and_characters(spark, monkeypatch):
+    monkeypatch.setattr(V, "_WORDS", 3)
+    texts = ["a b\u00a0c\u2003a\x1cd", None, "", " \t", "\U0001F600 a\u0085b " * 50, "x y z w v u a"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    whole = [t for t in texts if t]
+    assert {r.word: r.freq for r in V.word_freq(df).collect()} == Counter(w for t in whole for w in t.split())
+    counted = V.char_counts(df)
+    assert {r.char: r.n for r in counted.collect()} == Counter("".join(whole))
+    # a task gives one row a character, not one row for each place
+    assert "Generate" not in counted._jdf.queryExecution().toString()
+
+
 def test_alphabet_coverage(spark):
     df = spark.createDataFrame([(t,) for t in CORPUS], "text string")
     rows = V.alphabet(df, coverage=0.9).collect()
