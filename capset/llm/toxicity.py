@@ -5,23 +5,33 @@ never seen share what their parts have learnt.  Filters of widths 1, 2 and 3 run
 whole text; each filter's largest response (max pooling) feeds a logistic output.  A naive Bayes
 model over the same hashed parts guesses the language from the text alone; the threshold of that
 language, calibrated on rows kept back from training, becomes score 0.5.
+
+All labelled rows outside the held-out fold are learnt from.  Up to ``TRAIN_ROWS`` of each class are fitted
+on the driver.  With more, a net fitted to so many is where the tasks start: each goes once through the rows
+of its shard, the nets are averaged by rows, words are counted by language and the thresholds come from
+all rows kept back, all of it in Spark.
 """
 
 from __future__ import annotations
 
+import copy
 import re
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from capset.llm.common import held_out
 
-#: Labelled rows of each class that the classifier learns from, at most; the driver holds them.
+#: Labelled rows of each class that the driver holds, at most.
 TRAIN_ROWS = 2_500
+#: Labelled rows of a shard, about; and rows and words that a task trains on at once, about.
+SHARD_ROWS, _ROWS_AT_ONCE, _WORDS_AT_ONCE = 8_192, 1_024, 1 << 20
+#: Numbers in a block of what the shards add up; bins of the thresholds in one unit of the logit.
+_BLOCK, _BINS = 1 << 13, 64
 TABLE = 1 << 15
 DIM, FILTERS, WIDTHS = 16, 12, (1, 2, 3)
 EPOCHS, BATCH = 8, 32
@@ -65,17 +75,23 @@ class _Net:
         self.out0 = np.zeros(1, np.float32)
 
 
-def _train(docs: list[np.ndarray], parts: np.ndarray, y: np.ndarray, seed: int = 5) -> _Net:
-    """``docs``: word numbers of each text; ``parts``: hashed parts of each word.  Adagrad."""
-    net, rng = _Net(seed), np.random.default_rng(seed)
-    tensors = [net.emb, net.out, net.out0, *net.conv, *net.bias]
-    seen = [np.full_like(t, 1e-3) for t in tensors]
+    def tensors(self) -> list[np.ndarray]:
+        return [self.emb, self.out, self.out0, *self.conv, *self.bias]
+
+
+def _train(docs: list[np.ndarray], parts: np.ndarray, y: np.ndarray, seed: int = 5, net: _Net | None = None, epochs: int = EPOCHS) -> _Net:
+    """``docs``: word numbers of each text; ``parts``: hashed parts of each word.  Adagrad; a given ``net`` learns on."""
+    rng = np.random.default_rng(seed)
+    if net is None:
+        net = _Net(seed)
+        net.seen = [np.full_like(t, 1e-3) for t in net.tensors()]
+    tensors, seen = net.tensors(), net.seen
 
     def step(k: int, grad: np.ndarray, at=slice(None)) -> None:
         seen[k][at] += grad * grad
         tensors[k][at] -= 0.1 * grad / np.sqrt(seen[k][at])
 
-    for _ in range(EPOCHS):
+    for _ in range(epochs):
         order = rng.permutation(len(docs))
         for s in range(0, len(order), BATCH):
             rows = order[s:s + BATCH]
@@ -190,11 +206,23 @@ def _threshold(logit: np.ndarray, y: np.ndarray) -> float:
     return float(np.median(edges[best]))
 
 
-def fit(texts: list[str], langs: list[str | None], labels: list[int]) -> dict:
-    """Model from labelled texts; every fifth row calibrates the thresholds, the others train."""
+def _model(net: _Net, table: np.ndarray, names: list[str]) -> dict:
+    """A model without thresholds; ``table`` has the (smoothed) counts of the parts by language."""
+    table = np.log(table / table.sum(axis=1, keepdims=True)).T.astype(np.float32)
+    return {"emb": net.emb, "filters": np.concatenate([c[j] for c in net.conv for j in range(len(c))], axis=1),
+            "bias": net.bias, "out": net.out, "out0": float(net.out0[0]), "lang": table, "langs": names, "cut": {"": 0.0}}
+
+
+def _numbered(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Word numbers of each text, and the hashed parts of each word."""
     number = _Numbers()
     docs = [np.array([number[w] for w in words_of(t)], np.int64) for t in texts]
-    parts = np.array([_parts(w) for w in number] or np.zeros((1, _PARTS)), np.int64)
+    return docs, np.array([_parts(w) for w in number] or np.zeros((1, _PARTS)), np.int64)
+
+
+def fit(texts: list[str], langs: list[str | None], labels: list[int]) -> dict:
+    """Model from labelled texts; every fifth row calibrates the thresholds, the others train."""
+    docs, parts = _numbered(texts)
     y = np.array(labels, np.float32)
     kept = np.arange(len(docs)) % 5 == 4
     net = _train([d for d, k in zip(docs, kept, strict=True) if not k], parts, y[~kept])
@@ -203,9 +231,7 @@ def fit(texts: list[str], langs: list[str | None], labels: list[int]) -> dict:
     for d, v in zip(docs, langs, strict=True):
         if v is not None:
             table[names.index(v)] += np.bincount(parts[d].ravel(), minlength=TABLE)
-    table = np.log(table / table.sum(axis=1, keepdims=True)).T.astype(np.float32)
-    model = {"emb": net.emb, "filters": np.concatenate([c[j] for c in net.conv for j in range(len(c))], axis=1),
-             "bias": net.bias, "out": net.out, "out0": float(net.out0[0]), "lang": table, "langs": names, "cut": {"": 0.0}}
+    model = _model(net, table, names)
     held = [t for t, k in zip(texts, kept, strict=True) if k]
     score, guess = Scorer(model).score(held)
     logit, guess = np.log(score / (1 - score)) if len(held) else np.zeros(0), np.array(guess)
@@ -217,11 +243,16 @@ def fit(texts: list[str], langs: list[str | None], labels: list[int]) -> dict:
     return model | {"cut": cut}
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id",
-                  text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> list:
-    """At most ``rows`` texts of each class outside the held-out fold, chosen by a hash of the id."""
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(
-        F.col(id_col).alias("_id"), F.col(label_col).alias("_y")).dropDuplicates(["_id"])
+def labelled(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic") -> DataFrame:
+    """``_id, _y, _kept`` of all labels outside the held-out fold; every fifth id is kept back from training."""
+    return labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(
+        F.col(id_col).alias("_id"), F.col(label_col).alias("_y"), (F.pmod(F.xxhash64(id_col, F.lit(11)), F.lit(5)) == 4).alias("_kept")) \
+        .dropDuplicates(["_id"])
+
+
+def training_rows(docs: DataFrame, known: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id",
+                  text_col: str = "text", lang_col: str = "lang") -> list:
+    """At most ``rows`` texts of each class of ``known``, chosen by a hash of the id (and ``4 * rows + 1`` where ids repeat)."""
     count = {r[0]: r[1] for r in known.groupBy("_y").count().collect()}
 
     def share(k: int) -> int:
@@ -233,12 +264,133 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id
     # at most 2 * rows ids
     text = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.col(lang_col).alias("lang")).join(F.broadcast(chosen), "_id")
-    return sorted(text.orderBy("_id").limit(4 * rows).collect(), key=lambda r: (hash((r["_id"] * 2654435761) % 4294967291), r["text"]))
+    return sorted(text.orderBy("_id").limit(4 * rows + 1).collect(), key=lambda r: (hash((r["_id"] * 2654435761) % 4294967291), r["text"]))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
-    got = training_rows(docs, labels, rows)
-    return fit([r["text"] for r in got], [r["lang"] for r in got], [r["_y"] for r in got])
+    """Model from all labelled texts outside the held-out fold."""
+    known = labelled(labels)
+    if max([r[1] for r in known.groupBy("_y").count().collect()], default=0) <= rows:
+        got = training_rows(docs, known, rows)
+        if len(got) <= 4 * rows:
+            return fit([r["text"] for r in got], [r["lang"] for r in got], [r["_y"] for r in got])
+    got = training_rows(docs, known.where("not _kept"), rows)
+    words, parts = _numbered([r["text"] for r in got])
+    start = _train(words, parts, np.array([r["_y"] for r in got], np.float32))
+    shards = max(1, -(-known.count() // SHARD_ROWS))
+    model = _learn_all(_texts_of(docs, known, shards), start)
+    kept = _texts_of(docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)) == 4), known.where("_kept"), shards)
+    return model | {"cut": _thresholds(_logits(kept, model))}
+
+
+def _texts_of(docs: DataFrame, known: DataFrame, shards: int) -> DataFrame:
+    """All labelled texts, ``_id, text, lang, _y, _kept``; the same rows in the same order in each of the shards at every run."""
+    text = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
+        F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text"), "lang")
+    return text.repartition(shards, "_id").join(known.repartition(shards, "_id").hint("merge"), "_id") \
+        .sortWithinPartitions("_id", F.xxhash64("text"))
+
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows put together to about as many as a task trains on at once."""
+    have, size = [], 0
+    for df in batches:
+        step = 64
+        for k in range(0, len(df), step):
+            have.append(df.iloc[k:k + step])
+            size += int(have[-1]["text"].str.len().sum()) // 6
+            if len(have) * step >= _ROWS_AT_ONCE or size >= _WORDS_AT_ONCE:
+                yield pd.concat(have)
+                have, size = [], 0
+    if have:
+        yield pd.concat(have)
+
+
+def _learn_all(rows: DataFrame, start: _Net) -> dict:
+    """A model without thresholds from all rows: the nets of the shards, averaged by rows, and counts by language."""
+    shared = rows.sparkSession.sparkContext.broadcast(start)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        net, n, shard, counts = copy.deepcopy(shared.value), 0, "", {}
+        for df in _chunks(batches):
+            shard = shard or str(df["_id"].iloc[0])
+            docs, parts = _numbered(df["text"].tolist())
+            for words, lang in zip(docs, df["lang"], strict=True):
+                if lang is not None:
+                    mine = counts.setdefault(lang, np.zeros(TABLE))
+                    at, times = np.unique(parts[words], return_counts=True)
+                    mine[at] += times
+            learn = np.flatnonzero(~df["_kept"].to_numpy(bool))
+            n += len(learn)
+            _train([docs[k] for k in learn], parts, df["_y"].to_numpy(np.float32)[learn], net=net, epochs=1)
+        found = {(False, lang): c for lang, c in counts.items()}
+        if n:
+            found[True, ""] = n * np.concatenate([t.ravel() for t in net.tensors()] + [np.ones(1)]).astype(float)
+        for (is_net, lang), values in found.items():
+            blocks = range(0, len(values), _BLOCK)
+            yield pd.DataFrame({"net": is_net, "lang": lang, "block": [k // _BLOCK for k in blocks], "shard": shard,
+                                "data": [values[k:k + _BLOCK].tobytes() for k in blocks]})
+
+    def add(df: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(len(df["data"].iloc[0]) // 8)
+        for data in df.sort_values("shard")["data"]:  # in one order, so that reruns agree
+            total += np.frombuffer(data)
+        return df.iloc[:1].assign(data=[total.tobytes()])
+
+    form = "net boolean, lang string, block int, shard string, data binary"
+    got = rows.mapInPandas(run, form).groupBy("net", "lang", "block").applyInPandas(add, form).collect()
+    sums: dict = {}
+    for r in sorted(got, key=lambda r: r["block"]):
+        sums.setdefault((r["net"], r["lang"]), []).append(np.frombuffer(r["data"]))
+    if (True, "") in sums:
+        values = np.concatenate(sums.pop((True, "")))
+        values, at = values[:-1] / values[-1], 0
+        for t in start.tensors():
+            t[...] = values[at:at + t.size].reshape(t.shape)
+            at += t.size
+    names = sorted(lang for _, lang in sums)
+    return _model(start, 1 + np.stack([np.concatenate(sums[False, v]) for v in names]) if names else np.ones((1, TABLE)), names)
+
+
+def _logits(rows: DataFrame, model: dict) -> DataFrame:
+    """``lang`` (as guessed), ``logit, y`` of each row."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(shared.value)
+        for df in batches:
+            score, guess = scorer.score(df["text"].tolist())
+            yield pd.DataFrame({"lang": guess, "logit": np.log(score / (1 - score)), "y": df["_y"].astype("int64")})
+
+    return rows.select("text", "_y").mapInPandas(run, "lang string, logit double, y long")
+
+
+def _thresholds(logits: DataFrame, least: int = 10) -> dict:
+    """The cut with the fewest errors (``_threshold``) of all rows, under "", and of each language with ``least`` rows of both classes.
+
+    Errors are summed over narrow bins of the logit and then inside each bin, so no task gets all rows of a language."""
+    rows = logits.select(F.explode(F.array(F.lit(""), "lang")).alias("key"), "logit", "y").groupBy("key", "logit").agg(
+        F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).withColumn("bin", F.floor(F.col("logit") * _BINS))
+    bins = rows.groupBy("key", "bin").agg(F.sum("p").alias("bp"), F.sum("n").alias("bn"), F.min("logit").alias("low"))
+    by = Window.partitionBy("key").orderBy("bin")
+    every = Window.partitionBy("key")
+    before = by.rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select("key", "bin", "low", F.coalesce(F.sum("bp").over(before), F.lit(0)).alias("p0"),
+                       F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("n0"), F.sum("bp").over(every).alias("pos"),
+                       F.sum("bn").over(every).alias("neg"), F.lead("low").over(by).alias("up"), F.row_number().over(by).alias("_k"))
+    inside = Window.partitionBy("key", "bin").orderBy("logit")
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = rows.withColumns({"p": F.sum("p").over(so_far), "n": F.sum("n").over(so_far), "next": F.lead("logit").over(inside)}) \
+        .join(bins, ["key", "bin"]).select(
+            "key", "pos", "neg", (F.col("p0") + F.col("p") + F.col("neg") - F.col("n0") - F.col("n")).alias("errors"),
+            F.coalesce((F.col("logit") + F.coalesce("next", "up")) / 2, F.col("logit") + 1).alias("edge"))
+    first = bins.where("_k = 1").select("key", "pos", "neg", F.col("neg").alias("errors"), (F.col("low") - 1).alias("edge"))
+    edges = after.unionByName(first).groupBy("key", "pos", "neg", "errors").agg(F.median("edge").alias("edge"))
+    cut = {"": 0.0}
+    for r in edges.groupBy("key", "pos", "neg").agg(F.min_by("edge", "errors").alias("edge")).collect():
+        if min(r["pos"], r["neg"]) >= (least if r["key"] else 1):
+            cut[r["key"]] = r["edge"]
+    return cut
 
 
 def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

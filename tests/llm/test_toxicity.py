@@ -3,7 +3,7 @@ import random
 import numpy as np
 from helpers import LONG, frame, held_out
 
-from capset.llm.toxicity import Scorer, fit, score_toxicity, train
+from capset.llm.toxicity import Scorer, _threshold, _thresholds, fit, score_toxicity, train
 
 DOC = "doc_id long, text string, lang string, source string"
 LABEL = "doc_id long, quality int, toxic int"
@@ -67,3 +67,42 @@ def test_no_rows_no_labels(spark):
     rows = frame(spark, [(1, "a", None, "s")], DOC)
     odd = frame(spark, [(1, 1, None), (None, 1, 1), (1, 0, 7), (99, 1, 1)], LABEL)
     assert len(score_toxicity(rows, train(rows, odd)).collect()) == 1
+
+
+def test_all_labels_are_learnt_beyond_what_the_driver_holds(spark, monkeypatch):
+    from capset.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 300)
+    docs, labels = corpus(1500)
+    # a word whose only rows are few: a sample of 150 rows of each class holds hardly any of them
+    rare = [(10_000 + i, docs[i][1] + (" grubelig" if i % 2 else ""), "cc", "s") for i in range(60)]
+    docs, labels = docs + rare, labels + [(i, 1, i % 2) for i, *_ in rare]
+    df, lab = frame(spark, docs, DOC), frame(spark, labels, LABEL)
+    one, two = (train(x, lab, rows=150) for x in (df, df.repartition(5)))
+    assert (one["emb"] == two["emb"]).all() and one["cut"] == two["cut"]
+    by = {i: t for i, _, t in labels if not held_out(i)}
+    # the language counts hold every word of every labelled text
+    words = sum(len(toxicity.words_of(t)) for i, t, *_ in docs if i in by)
+    table = np.exp(one["lang"].astype(float))
+    total = [sum(len(toxicity.words_of(t)) for i, t, lang, _ in docs if i in by and lang == v) for v in one["langs"]]
+    assert one["langs"] == ["aa", "bb", "cc"] and sum(total) == words
+    for k, n in enumerate(total):
+        assert np.isclose(table[:, k].min(), 1 / (toxicity.TABLE + 5 * n), rtol=1e-3)
+    got = {r.doc_id: r for r in score_toxicity(df, one).collect()}
+    test = [(i, t) for i, _, t in labels if held_out(i) and i < 10_000]
+    assert sum(got[i].predicted == t for i, t in test) >= 0.93 * len(test)
+
+
+def test_thresholds_of_all_rows(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), round(rng.gauss(2 * y - 1, 1), 1 if rng.random() < 0.5 else 4), y) for y in (0, 1) for _ in range(300)]
+    rows += [("c", 3.0, 1), ("c", 2.0, 0)]
+    got = _thresholds(frame(spark, rows, "lang string, logit double, y long"))
+    assert sorted(got) == ["", "a", "b"]
+    for key, cut in got.items():
+        own = [(x, y) for lang, x, y in rows if key in ("", lang)]
+        errors = lambda c: sum((x >= c) != y for x, y in own)
+        assert errors(cut) == min(errors(c) for c in [-9, *(x + d for x, _ in own for d in (0, 1e-7))])
+    own = [(x + rng.random() * 1e-6, y) for lang, x, y in rows if lang == "a"]
+    assert np.isclose(_thresholds(frame(spark, [("a", *r) for r in own], "lang string, logit double, y long"))["a"],
+                      _threshold(np.array([x for x, _ in own]), np.array([y for _, y in own])))
