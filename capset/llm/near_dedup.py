@@ -197,13 +197,13 @@ def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, width
     """
     own_id = "_rid" if "_rid" in classes.columns else "_id"
     member = classes.select(F.col("_id").alias("node"), "n_shingles", F.col(own_id).alias("_rid"), "_th").join(groups, "node").withColumns(
-        {"_level": _levels("n_shingles"), "_salt": salt_of(F.col("node"))})
+        {"_level": _levels("n_shingles"), "_salt": salt_of(F.col("node"))}).checkpoint()  # read twice
     part = member.groupBy("component", "_level", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     level = part.groupBy("component", "_level").agg(F.sum("_n").alias("_n"), F.bit_or(salt_bit(F.col("_salt"))).alias("_mask"))
     # a group has as many levels as there are powers of 1.05 below the largest set: a few hundred at most
     whole = level.groupBy("component").agg(
         F.sum("_n").alias("_members"), F.bit_or("_mask").alias("_mask"),
-        F.collect_list(F.struct("_level", F.ceil(F.col("_n") / block).cast("int").alias("_parts"))).alias("_of"))
+        F.collect_list(F.struct("_level", F.ceil(F.col("_n") / block).cast("int").alias("_parts"))).alias("_of")).checkpoint()
     back = whole.select("component", "_members", "_of", F.explode(salts_in(F.col("_mask"))).alias("_salt"))
     placed = member.join(back, ["component", "_salt"])
     near = int(np.ceil(np.log(100 / percent) / np.log(1.05)))
@@ -272,8 +272,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, id_col:
     groups = components(candidate_links(classes))
     linked = components(verified_links(docs, classes, groups, width, percent, id_col, text_col)).withColumnRenamed("node", "_class")
     # a component is named by its least id that is not null
-    member = linked.join(whole.select("_class", "_rid"), "_class")
-    member = with_group_values(member, ["component"], F.col("_class"), {"_m": F.min("_rid")}, {"_least": F.min("_m")}).select("_class", "_least")
+    member = linked.join(whole.select("_class", "_rid"), "_class").checkpoint()  # read twice
+    member = with_group_values(member, ["component"], F.col("_class"), {"_m": F.min("_rid")}, {"_least": F.min("_m")}).select(
+        "_class", "_least").checkpoint()
     named = whole.join(member, "_class", "left").select(
         "digest", F.coalesce("_least", "_rid").alias("_component"), F.explode(salts_in(F.col("_mask"))).alias("_salt"))
     empty = F.col("n_shingles") == 0

@@ -125,3 +125,27 @@ def test_id_repeated_in_a_group(spark):
     assert len(got) == len(rows)
     assert {(r.doc_id, r.component_id) for r in got if r.n_shingles == 58} == {(9, 8), (8, 8)}
     assert [(r.component_id, r.kept) for r in got if r.n_shingles == 3] == [(9, True)]
+
+
+def test_plans_stay_small(spark, monkeypatch):
+    """The driver plans a query anew after each of its shuffles: what is written at once holds few of them."""
+    import contextlib
+    import io
+
+    rng = random.Random(7)
+    path = [(i, i + 1) for i in range(40)] + [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(20)]
+    df, edges = frame(spark, corpus(4, 60), DOC), spark.createDataFrame(path, "u long, v long")
+    shuffles, own = [], type(df).checkpoint
+
+    def exchanges(plan):
+        with contextlib.redirect_stdout(io.StringIO()) as out:
+            plan.explain()
+        return out.getvalue().count("Exchange")
+
+    def noted(plan, *args, **kwargs):
+        shuffles.append(exchanges(plan))
+        return own(plan, *args, **kwargs)
+
+    monkeypatch.setattr(type(df), "checkpoint", noted)
+    shuffles += [exchanges(components(edges)), exchanges(near_duplicates(df))]
+    assert max(shuffles) <= 14, shuffles
