@@ -15,6 +15,7 @@ all rows kept back, all of it in Spark.
 from __future__ import annotations
 
 import copy
+import itertools
 import re
 from collections.abc import Iterator
 from zlib import crc32
@@ -278,30 +279,45 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict:
     words, parts = _numbered([r["text"] for r in got])
     start = _train(words, parts, np.array([r["_y"] for r in got], np.float32))
     shards = max(1, -(-known.count() // SHARD_ROWS))
-    model = _learn_all(_texts_of(docs, known, shards), start)
-    kept = _texts_of(docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)) == 4), known.where("_kept"), shards)
+    model = _learn_all(_sharded(docs, known, shards), start)
+    kept = _texts(docs.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(5)) == 4)).repartition(shards, "_id") \
+        .join(known.where("_kept").repartition(shards, "_id").hint("merge"), "_id")
     return model | {"cut": _thresholds(_logits(kept, model))}
 
 
-def _texts_of(docs: DataFrame, known: DataFrame, shards: int) -> DataFrame:
-    """All labelled texts, ``_id, text, lang, _y, _kept``; the same rows in the same order in each of the shards at every run."""
-    text = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text"), "lang")
-    return text.repartition(shards, "_id").join(known.repartition(shards, "_id").hint("merge"), "_id") \
-        .sortWithinPartitions("_id", F.xxhash64("text"))
+
+
+def _sharded(docs: DataFrame, known: DataFrame, shards: int) -> DataFrame:
+    """All labelled texts, ``_id, text, lang, _y, _kept, shard``; a shard is in one task, its rows in the same order at every run.
+
+    Shards go by the id, not by partitions, so there are as many nets as labels ask for, however many
+    partitions there are.  Labels travel with the texts: both are shuffled once, by shard."""
+    none = known.select("_id", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("lang"), "_y", "_kept")
+    rows = none.unionByName(_texts(docs), allowMissingColumns=True).withColumn("shard", F.pmod(F.hash("_id"), F.lit(shards)))
+    of_id = Window.partitionBy("shard", "_id")
+    # more partitions than shards, so that few hold two
+    return rows.repartition(4 * shards, "shard").withColumns({"_y": F.max("_y").over(of_id), "_kept": F.max("_kept").over(of_id)}) \
+        .where("text is not null and _y is not null").sortWithinPartitions("shard", "_id", F.xxhash64("text"))
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows put together to about as many as a task trains on at once."""
-    have, size = [], 0
+    """Rows of one shard put together to about as many as a task trains on at once."""
+    have, size, shard, step = [], 0, None, 64
     for df in batches:
-        step = 64
-        for k in range(0, len(df), step):
-            have.append(df.iloc[k:k + step])
-            size += int(have[-1]["text"].str.len().sum()) // 6
-            if len(have) * step >= _ROWS_AT_ONCE or size >= _WORDS_AT_ONCE:
+        for at, part in df.groupby("shard"):  # rows come in order of their shards
+            if have and at != shard:
                 yield pd.concat(have)
                 have, size = [], 0
+            shard = at
+            for k in range(0, len(part), step):
+                have.append(part.iloc[k:k + step])
+                size += int(have[-1]["text"].str.len().sum()) // 6
+                if len(have) * step >= _ROWS_AT_ONCE or size >= _WORDS_AT_ONCE:
+                    yield pd.concat(have)
+                    have, size = [], 0
     if have:
         yield pd.concat(have)
 
@@ -311,8 +327,12 @@ def _learn_all(rows: DataFrame, start: _Net) -> dict:
     shared = rows.sparkSession.sparkContext.broadcast(start)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, chunks in itertools.groupby(_chunks(batches), lambda df: df["shard"].iloc[0]):
+            yield from learn_shard(chunks)
+
+    def learn_shard(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         net, n, shard, counts = copy.deepcopy(shared.value), 0, "", {}
-        for df in _chunks(batches):
+        for df in chunks:
             shard = shard or str(df["_id"].iloc[0])
             docs, parts = _numbered(df["text"].tolist())
             for words, lang in zip(docs, df["lang"], strict=True):

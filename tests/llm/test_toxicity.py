@@ -93,6 +93,19 @@ def test_all_labels_are_learnt_beyond_what_the_driver_holds(spark, monkeypatch):
     assert sum(got[i].predicted == t for i, t in test) >= 0.93 * len(test)
 
 
+def test_shards_go_by_rows_not_by_partitions(spark, monkeypatch):
+    """More partitions give no more nets, which the shuffle would have to hold, and the same model."""
+    from capset.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 300)
+    docs, labels = corpus(700)
+    df, lab = frame(spark, docs + docs[:20], DOC), frame(spark, labels, LABEL)
+    one, own = train(df, lab, rows=100), type(df).repartition
+    monkeypatch.setattr(type(df), "repartition", lambda d, n, *cols: own(d, max(n, 31), *cols))
+    two = train(df, lab, rows=100)
+    assert (one["emb"] == two["emb"]).all() and (one["lang"] == two["lang"]).all() and one["cut"] == two["cut"]
+
+
 def test_thresholds_of_all_rows(spark):
     rng = random.Random(5)
     rows = [(rng.choice("ab"), round(rng.gauss(2 * y - 1, 1), 1 if rng.random() < 0.5 else 4), y) for y in (0, 1) for _ in range(300)]
